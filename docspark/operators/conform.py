@@ -121,7 +121,8 @@ def _scalar(x: Column, kind: Column, f: Field, path: str) -> tuple[Column, Colum
         s = F.when(kind == "string", F.try_variant_get(x, "$", "string"))
         num = F.when(kind == "long", F.try_variant_get(x, "$", "long"))
         native = F.when(kind == "date", F.try_variant_get(x, "$", "timestamp_ntz"))
-        val = F.coalesce(native, parse_date(s, f.date_formats(), num))
+        # dates have millisecond resolution
+        val = F.date_trunc("millisecond", F.coalesce(native, parse_date(s, f.date_formats(), num))).cast("timestamp_ntz")
         return val, _err(val.isNull(), path, "date does not match format " + (f.format or "default"))
     if t == "ip":
         s = F.when(kind == "string", F.trim(F.try_variant_get(x, "$", "string")))
@@ -153,9 +154,10 @@ def _null_value(f: Field) -> Column | None:
 # Fields and objects
 # ----------------------------------------------------------------------------------------------------------------
 
-def conform_value(x: Column, f: Field, path: str, dynamic) -> tuple[Column, Column]:
-    """Value of field ``f`` from variant ``x`` (already the field's own value) plus its errors."""
-    kind = variant_kind(x)
+def conform_value(x: Column, f: Field, path: str, dynamic, kind: Column | None = None) -> tuple[Column, Column]:
+    """Value of field ``f`` from variant ``x`` (already the field's own value) plus its errors. ``kind`` may be
+    passed in when it was computed by an earlier projection."""
+    kind = variant_kind(x) if kind is None else kind
     present = kind.isNotNull() & (kind != "null")
     if f.type == "object":
         value, errs = conform_object(x, f.properties, path + ".", f.dynamic if f.dynamic is not None else dynamic)
@@ -218,16 +220,23 @@ def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr:
     optionally ``_source`` (the whole document, C5/C7) and ``_errors``; ``keep`` columns are passed through."""
     if collection.dynamic not in DYNAMIC_MODES:
         raise ValueError(collection.dynamic)
-    d = df.select(*(keep or []), doc.alias("__doc"), *( [id_expr.alias("__id")] if id_expr is not None else []))
+    # Stage 1 extracts each top-level value and its JSON kind once; stage 2 converts. Two small projections keep
+    # the generated code of each under the JVM method size limit (one huge expression falls back to interpretation).
+    names = list(collection.fields)
+    d = df.select(*(keep or []), doc.alias("__doc"), *([id_expr.alias("__id")] if id_expr is not None else []))
+    d = d.select("*", variant_kind(F.col("__doc")).alias("__kdoc"),
+                 *[child(F.col("__doc"), n).alias(f"__v{i}") for i, n in enumerate(names)])
+    d = d.select("*", *[variant_kind(F.col(f"__v{i}")).alias(f"__k{i}") for i in range(len(names))])
     v = F.col("__doc")
     cols, errs = [], []
-    not_object = variant_kind(v).isNull() | (variant_kind(v) != "object")
-    for name, f in collection.fields.items():
-        val, err = conform_value(child(v, name), f, name, collection.dynamic)
+    not_object = F.col("__kdoc").isNull() | (F.col("__kdoc") != "object")
+    for i, (name, f) in enumerate(collection.fields.items()):
+        x, k = F.col(f"__v{i}"), F.col(f"__k{i}")
+        val, err = conform_value(x, f, name, collection.dynamic, k)
         cols.append(val.cast(f.spark_type()).alias(name))
         errs.append(err)
         for sub, sf in (f.fields or {}).items():
-            sval, serr = conform_value(child(v, name), sf, f"{name}.{sub}", collection.dynamic)
+            sval, serr = conform_value(x, sf, f"{name}.{sub}", collection.dynamic, k)
             cols.append(sval.cast(sf.spark_type()).alias(f"{name}__{sub}"))
             errs.append(serr)
     if collection.dynamic == "strict":
