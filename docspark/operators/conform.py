@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F, types as
 
 from ..functions.dates import parse_date
 from ..functions.ip import ip_key
+from ..plans.sizing import ensure_parallelism
 from ..schema import (DYNAMIC_MODES, ERRORS_COL, ID_COL, SOURCE_COL, Collection, DynamicTemplate, Field)
 
 # Integer ranges of the declared integral types.
@@ -32,21 +33,25 @@ ERROR_TYPE = T.ArrayType(T.StructType([T.StructField("field", T.StringType()),
 # JSON kind of a variant value
 # ----------------------------------------------------------------------------------------------------------------
 
+def kind_of_schema(s: Column) -> Column:
+    """JSON kind from a ``schema_of_variant`` string (prefix tests only; objects and arrays tested first)."""
+    return (F.when(s.isNull(), F.lit(None).cast("string"))
+            .when(s.startswith("OBJECT"), "object")
+            .when(s.startswith("ARRAY"), "array")
+            .when(s == "STRING", "string")
+            .when(s.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "long")
+            .when(s.startswith("DECIMAL") & s.endswith(",0)"), "long")
+            .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), "double")
+            .when(s == "BOOLEAN", "boolean")
+            .when(s.startswith("TIMESTAMP") | (s == "DATE"), "date")
+            .when(s == "VOID", "null")
+            .otherwise(F.lower(s)))
+
+
 def variant_kind(v: Column) -> Column:
-    """JSON kind of a VARIANT value: string, long, double, boolean, object, array, date, null; NULL when absent."""
-    s = F.schema_of_variant(v)
-    head = F.regexp_extract(s, r"^([A-Z_]+)", 1)
-    return (F.when(v.isNull(), F.lit(None).cast("string"))
-            .when(head == "STRING", "string")
-            .when(head.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "long")
-            .when((head == "DECIMAL") & s.endswith(",0)"), "long")
-            .when(head.isin("DECIMAL", "DOUBLE", "FLOAT"), "double")
-            .when(head == "BOOLEAN", "boolean")
-            .when(head == "OBJECT", "object")
-            .when(head == "ARRAY", "array")
-            .when(head.isin("TIMESTAMP", "TIMESTAMP_NTZ", "DATE"), "date")
-            .when(head == "VOID", "null")
-            .otherwise(F.lower(head)))
+    """JSON kind of a VARIANT value: string, long, double, boolean, object, array, date, null; NULL when absent.
+    (Where it matters for speed, compute ``schema_of_variant`` once into a column and use :func:`kind_of_schema`.)"""
+    return F.when(v.isNotNull(), kind_of_schema(F.schema_of_variant(v)))
 
 
 def _path(name: str) -> str:
@@ -215,7 +220,8 @@ def conform_object(v: Column, props: Mapping[str, Field], prefix: str, dynamic)
 
 
 def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr: Column | None = None,
-                    keep: list[str] | None = None, keep_source: bool = True) -> DataFrame:
+                    keep: list[str] | None = None, keep_source: bool = True,
+                    is_object: Column | None = None) -> DataFrame:
     """C1-C11 on a VARIANT document column. Output: ``_id``, declared fields, multi-field columns ``f__sub``,
     optionally ``_source`` (the whole document, C5/C7) and ``_errors``; ``keep`` columns are passed through."""
     if collection.dynamic not in DYNAMIC_MODES:
@@ -223,13 +229,18 @@ def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr:
     # Stage 1 extracts each top-level value and its JSON kind once; stage 2 converts. Two small projections keep
     # the generated code of each under the JVM method size limit (one huge expression falls back to interpretation).
     names = list(collection.fields)
-    d = df.select(*(keep or []), doc.alias("__doc"), *([id_expr.alias("__id")] if id_expr is not None else []))
-    d = d.select("*", variant_kind(F.col("__doc")).alias("__kdoc"),
-                 *[child(F.col("__doc"), n).alias(f"__v{i}") for i, n in enumerate(names)])
-    d = d.select("*", *[variant_kind(F.col(f"__v{i}")).alias(f"__k{i}") for i in range(len(names))])
+    df = ensure_parallelism(df)
+    d = df.select(*(keep or []), doc.alias("__doc"), *([id_expr.alias("__id")] if id_expr is not None else []),
+                  *([is_object.alias("__isobj")] if is_object is not None else []))
+    d = d.select("*", *[child(F.col("__doc"), n).alias(f"__v{i}") for i, n in enumerate(names)],
+                 *([] if is_object is not None else
+                   [(F.col("__doc").isNotNull() & F.schema_of_variant(F.col("__doc")).startswith("OBJECT")).alias("__isobj")]))
+    d = d.select("*", *[F.when(F.col(f"__v{i}").isNotNull(), F.schema_of_variant(F.col(f"__v{i}"))).alias(f"__s{i}")
+                        for i in range(len(names))])
+    d = d.select("*", *[kind_of_schema(F.col(f"__s{i}")).alias(f"__k{i}") for i in range(len(names))])
     v = F.col("__doc")
     cols, errs = [], []
-    not_object = F.col("__kdoc").isNull() | (F.col("__kdoc") != "object")
+    not_object = ~F.coalesce(F.col("__isobj"), F.lit(False))
     for i, (name, f) in enumerate(collection.fields.items()):
         x, k = F.col(f"__v{i}"), F.col(f"__k{i}")
         val, err = conform_value(x, f, name, collection.dynamic, k)
@@ -259,14 +270,99 @@ def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr:
 def conform_json(df: DataFrame, collection: Collection, raw_col: str = "doc", id_expr: Column | None = None,
                  keep: list[str] | None = None, keep_source: bool = True) -> DataFrame:
     """S2 + C1: JSON text documents → typed rows. Unparseable text is an error row, not a failed job."""
-    return conform_variant(df, collection, F.try_parse_json(F.col(raw_col)), id_expr, keep, keep_source)
+    parsed = F.try_parse_json(F.col(raw_col))
+    looks_like_object = F.ltrim(F.col(raw_col)).startswith("{") & parsed.isNotNull()
+    return conform_variant(df, collection, parsed, id_expr, keep, keep_source, looks_like_object)
+
+
+def _typed_scalar(c: Column, src: T.DataType, f: Field, path: str) -> tuple[Column, Column] | None:
+    """Conversion of a typed column to a declared scalar field, or None when only the variant path applies."""
+    t = f.type
+    present = c.isNotNull()
+    if f.multi or t in ("object", "nested", "geo_point"):
+        return None
+    if t in ("keyword", "text"):
+        return (c, _no_errors()) if isinstance(src, T.StringType) else None
+    if t in ("integer", "long"):
+        lo, hi = INT_RANGE[t]
+        if isinstance(src, (T.ByteType, T.ShortType, T.IntegerType)) or (t == "long" and isinstance(src, T.LongType)):
+            return c.cast(t if t == "long" else "int"), _no_errors()
+        if isinstance(src, (T.LongType, T.DecimalType, T.DoubleType, T.FloatType)):
+            d = c.cast("double") if not isinstance(src, (T.LongType, T.DecimalType)) else c.cast("decimal(38,6)")
+            whole = d == F.floor(d)
+            in_range = (d >= F.lit(lo)) & (d <= F.lit(hi))
+            ok = whole & in_range
+            reason = F.when(~whole, F.lit("fractional value for an integral field")).otherwise(F.lit(f"out of range for {t}"))
+            return F.when(ok, c.cast("int" if t == "integer" else "long")), _err(present & ~ok, path, reason)
+        return None
+    if t in ("float", "double"):
+        if isinstance(src, T.NumericType):
+            v = c.cast("double")
+            if t == "float":
+                ok = F.abs(v) <= F.lit(FLOAT_MAX)
+                return F.when(ok, v.cast("float")), _err(present & ~ok, path, "expected a number for float")
+            return v, _no_errors()
+        return None
+    if t == "boolean":
+        return (c, _no_errors()) if isinstance(src, T.BooleanType) else None
+    if t == "date":
+        if isinstance(src, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+            return F.date_trunc("millisecond", c.cast("timestamp")).cast("timestamp_ntz"), _no_errors()
+        if isinstance(src, T.StringType):
+            v = F.date_trunc("millisecond", parse_date(c, f.date_formats())).cast("timestamp_ntz")
+            return v, _err(present & v.isNull(), path, "date does not match format " + (f.format or "default"))
+        return None
+    if t == "ip" and isinstance(src, T.StringType):
+        ok = ip_key(c).isNotNull()
+        return F.when(ok, F.trim(c)), _err(present & ~ok, path, "not an IP address")
+    return None
 
 
 def conform_frame(df: DataFrame, collection: Collection, id_expr: Column | None = None,
                   keep: list[str] | None = None, keep_source: bool = False) -> DataFrame:
-    """C1 on an already typed DataFrame: columns become one VARIANT object per row, then the same rules apply."""
-    return conform_variant(df, collection, F.to_variant_object(F.struct(*[F.col(c) for c in df.columns])),
-                           id_expr, keep, keep_source)
+    """C1 on an already typed DataFrame. Columns whose Spark type converts directly (numbers, strings, booleans,
+    timestamps) are cast with the same checks as JSON values, without building a VARIANT; anything else (objects,
+    arrays, strings into numbers) goes through the VARIANT path. A null column value counts as an explicit null."""
+    src = {f.name: f.dataType for f in df.schema.fields}
+    plan = {}
+    for name, f in collection.fields.items():
+        if name not in src:
+            plan[name] = (F.lit(None).cast(f.spark_type()), _no_errors())
+            continue
+        r = _typed_scalar(F.col(name), src[name], f, name)
+        if r is None or any(_typed_scalar(F.col(name), src[name], sf, f"{name}.{sub}") is None
+                            for sub, sf in (f.fields or {}).items()):
+            plan = None
+            break
+        plan[name] = r
+    extra = [c for c in df.columns if c not in collection.fields]
+    if plan is None or keep_source:
+        cols = [c for c in df.columns if c not in (ID_COL, SOURCE_COL, ERRORS_COL)]
+        return conform_variant(df, collection, F.to_variant_object(F.struct(*[F.col(c) for c in cols])),
+                               id_expr, keep, keep_source)
+    out = [*(keep or [])]
+    if id_expr is not None:
+        out.append(id_expr.cast("string").alias(ID_COL))
+    errs = []
+    for name, f in collection.fields.items():
+        val, err = plan[name]
+        nv = _null_value(f)
+        if nv is not None and name in src:
+            val = F.when(F.col(name).isNull(), nv).otherwise(val)
+        out.append(val.cast(f.spark_type()).alias(name))
+        errs.append(err)
+        for sub, sf in (f.fields or {}).items():
+            sval, serr = _typed_scalar(F.col(name), src[name], sf, f"{name}.{sub}")
+            out.append(sval.cast(sf.spark_type()).alias(f"{name}__{sub}"))
+            errs.append(serr)
+    if collection.dynamic == "strict":
+        undeclared = [c for c in extra if c not in (ID_COL, SOURCE_COL, ERRORS_COL) and c not in (keep or [])]
+        if undeclared:
+            names_present = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in undeclared]))
+            errs.append(_err(F.size(names_present) > 0, "_root",
+                             F.concat(F.lit("strict mapping rejects undeclared field(s): "), F.array_join(names_present, ","))))
+    out.append(_concat_errors(errs).alias(ERRORS_COL))
+    return df.select(*out)
 
 
 def runtime_field(path: str, spark_type: str, source_col: str = SOURCE_COL) -> Column:
@@ -294,11 +390,12 @@ def observe_counts(conformed: DataFrame, name: str = "bulk") -> tuple[DataFrame,
     return observed, obs
 
 
-def generated_id(version: int, cols: list[str]) -> Column:
-    """Deterministic id for documents without one: hash of the target version, the row's position in its
-    input partition (stable under task retry on a file scan; taken before any shuffle) and its content."""
+def generated_id(version: int, cols: list[str], ordinal: Column | None = None) -> Column:
+    """Deterministic id for documents without one: hash of the target version, the row's input position
+    (``ordinal``, taken on the file scan before any shuffle, so stable under task retry) and its content."""
     salt = hashlib.sha1(str(version).encode()).hexdigest()[:8]
-    return F.substring(F.sha2(F.concat_ws("\u0001", F.lit(salt), F.monotonically_increasing_id().cast("string"),
+    pos = (ordinal if ordinal is not None else F.monotonically_increasing_id()).cast("string")
+    return F.substring(F.sha2(F.concat_ws("\u0001", F.lit(salt), pos,
                                           F.to_json(F.struct(*[F.col(c) for c in cols]))), 256), 1, 32)
 
 
@@ -310,21 +407,28 @@ def observed_paths(df: DataFrame, doc: Column, depth: int = 2) -> DataFrame:
     """(path, kind, n_docs) for every key seen in the documents, down to ``depth`` object levels.
     Keys inside arrays of objects are counted per element. One explode per level, then one partial-aggregated
     group-by; the result size is bounded by the number of distinct (path, kind) pairs, not by the data."""
-    level = df.select(F.explode(F.try_variant_get(doc, "$", "map<string,variant>")).alias("path", "val"))
+    df = ensure_parallelism(df)
+
+    def with_kind(frame: DataFrame) -> DataFrame:
+        return frame.select("*", F.schema_of_variant(F.col("val")).alias("__s")) \
+            .select("*", kind_of_schema(F.col("__s")).alias("kind")).drop("__s")
+
+    level = with_kind(df.select(F.explode(F.try_variant_get(doc, "$", "map<string,variant>")).alias("path", "val")))
     levels = [level]
     for _ in range(depth - 1):
-        objs = level.select("path", F.when(variant_kind(F.col("val")) == "array",
-                                           F.try_variant_get(F.col("val"), "$", "array<variant>"))
-                            .otherwise(F.array(F.col("val"))).alias("elems"))
-        objs = objs.select("path", F.explode("elems").alias("val")).filter(variant_kind(F.col("val")) == "object")
+        objs = level.filter(F.col("kind").isin("object", "array")).select(
+            "path", F.when(F.col("kind") == "array", F.try_variant_get(F.col("val"), "$", "array<variant>"))
+            .otherwise(F.array(F.col("val"))).alias("elems"))
+        objs = objs.select("path", F.explode("elems").alias("val"))
         level = objs.select(F.col("path").alias("parent"),
                             F.explode(F.try_variant_get(F.col("val"), "$", "map<string,variant>")).alias("k", "val")) \
             .select(F.concat_ws(".", "parent", "k").alias("path"), "val")
+        level = with_kind(level)
         levels.append(level)
-    allp = levels[0]
+    allp = levels[0].select("path", "kind")
     for lv in levels[1:]:
-        allp = allp.unionByName(lv)
-    return allp.groupBy("path", variant_kind(F.col("val")).alias("kind")).agg(F.count(F.lit(1)).alias("n_docs"))
+        allp = allp.unionByName(lv.select("path", "kind"))
+    return allp.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 # The field type given to an undeclared field of each JSON kind when no template matches.

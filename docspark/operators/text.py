@@ -25,7 +25,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.sizing import collect_bounded, maybe_broadcast
+from ..plans.sizing import collect_bounded, ensure_parallelism, maybe_broadcast
 from ..schema import ID_COL, SCORE_COL
 
 # Fixed value: token separator pattern (runs of anything that is not a letter or a digit).
@@ -151,6 +151,8 @@ def analyze(text: Column, analyzer: Analyzer = Analyzer()) -> Column:
         raise ValueError(f"user dictionary has {len(dictionary)} rules; use analyze_with_dictionary_table()")
     src = F.lower(text) if analyzer.lowercase else text
     raw = F.filter(F.split(F.coalesce(src, F.lit("")), analyzer.pattern), lambda x: x != "")
+    if not dictionary and not analyzer.stoptags:
+        return raw
     toks = F.flatten(F.transform(raw, lambda t: _segment(t, dictionary, analyzer.decompound)))
     if analyzer.stoptags:
         stop = F.array(*[F.lit(s) for s in analyzer.stoptags])
@@ -175,7 +177,7 @@ def tokens(df: DataFrame, text_col: str, id_col: str = ID_COL, analyzer: Analyze
     arr = analyze(F.col(text_col), analyzer)
     if search_time:
         arr = expand_synonyms(arr, analyzer)
-    return df.select(F.col(id_col), F.posexplode(arr).alias("pos", "token")) \
+    return ensure_parallelism(df).select(F.col(id_col), F.posexplode(arr).alias("pos", "token")) \
         .select(id_col, F.col("pos").cast("long").alias("pos"), "token")
 
 
@@ -195,32 +197,44 @@ def bm25(df: DataFrame, text_col: str, query: str | list[str], id_col: str = ID_
          k1: float = BM25_K1, b: float = BM25_B, keep: list[str] | None = None) -> DataFrame:
     """P4 + T8: documents with at least one query token (OR semantics) and their BM25 ``_score``.
 
-    idf = ln(1 + (N - df + 0.5) / (df + 0.5)); tf and document length count analysed tokens."""
+    idf = ln(1 + (N - df + 0.5) / (df + 0.5)); tf and document length count analysed tokens.
+
+    One scan of the corpus: each document is tokenised once; the token stream is exploded and cut to the query
+    tokens (a codegen'd ``IN`` filter), giving (id, token, tf, dl) for matching pairs only. Corpus statistics
+    (N, total length) are observed on that same scan while the matching pairs are written to the checkpoint
+    folder; scoring then reads only those pairs."""
+    from pyspark.sql import Observation
+    from ..plans.sizing import scratch_path
     spark = df.sparkSession
     q = query if isinstance(query, list) else query_tokens(spark, query, search_analyzer or index_analyzer)
     q = list(dict.fromkeys(q))
     keep = keep or []
-    docs = df.select(F.col(id_col), *keep, analyze(F.col(text_col), index_analyzer).alias("__toks"))
+    docs = ensure_parallelism(df).select(F.col(id_col), *keep, analyze(F.col(text_col), index_analyzer).alias("__toks"))
     if not q:
         return docs.limit(0).select(id_col, *keep, F.lit(0.0).alias(SCORE_COL))
-    def count_of(t: str) -> Column:
-        return F.size(F.filter(F.col("__toks"), lambda x: x == F.lit(t)))
-
-    tf = [count_of(t) for t in q]
-    stats = docs.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("__toks")).alias("avgdl"),
-                     *[F.count_if(c > 0).alias(f"df{i}") for i, c in enumerate(tf)]).first()
-    n, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
+    obs = Observation("bm25_stats")
+    docs = docs.observe(obs, F.count(F.lit(1)).alias("n"), F.sum(F.size("__toks")).alias("total_len"))
+    pairs = (docs.select(id_col, *keep, F.size("__toks").alias("dl"), F.explode("__toks").alias("token"))
+             .filter(F.col("token").isin(q))
+             .groupBy(id_col, "token")
+             .agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"), *[F.first(k).alias(k) for k in keep]))
+    path = scratch_path(spark, "bm25")
+    pairs.write.parquet(path)
+    st = obs.get
+    n, total = int(st["n"] or 0), int(st["total_len"] or 0)
+    t = spark.read.parquet(path)
     if n == 0:
-        return docs.limit(0).select(id_col, *keep, F.lit(0.0).alias(SCORE_COL))
+        return t.limit(0).select(id_col, *keep, F.lit(0.0).alias(SCORE_COL))
+    avgdl = total / n if total else 1.0
     import math
-    idf = [math.log(1.0 + (n - stats[f"df{i}"] + 0.5) / (stats[f"df{i}"] + 0.5)) for i in range(len(q))]
-    dl = F.size("__toks").cast("double")
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl / F.lit(avgdl if avgdl > 0 else 1.0))
-    scored = docs.select(F.col(id_col), *keep, *[c.alias(f"__tf{i}") for i, c in enumerate(tf)], norm.alias("__norm"))
-    terms = [F.lit(idf[i]) * F.col(f"__tf{i}") * F.lit(k1 + 1.0) / (F.col(f"__tf{i}") + F.col("__norm"))
-             for i in range(len(q))]
-    any_hit = reduce(lambda a, c: a | c, [F.col(f"__tf{i}") > 0 for i in range(len(q))])
-    return scored.filter(any_hit).select(id_col, *keep, reduce(lambda a, c: a + c, terms).alias(SCORE_COL))
+    dfs = {r["token"]: int(r["df"]) for r in
+           collect_bounded(t.groupBy("token").agg(F.count(F.lit(1)).alias("df")), len(q), "token frequencies")}
+    idf = F.create_map(*[x for tok, d in dfs.items()
+                         for x in (F.lit(tok), F.lit(math.log(1.0 + (n - d + 0.5) / (d + 0.5))))])
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl").cast("double") / F.lit(avgdl))
+    part = F.element_at(idf, F.col("token")) * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
+    return t.groupBy(id_col).agg(*[F.first(k).alias(k) for k in keep], F.sum(part).alias(SCORE_COL)) \
+        .select(id_col, *keep, SCORE_COL)
 
 
 # ----------------------------------------------------------------------------------------------------------------

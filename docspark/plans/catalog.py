@@ -471,14 +471,14 @@ SELECT CAST(2 * count(*) AS BIGINT) AS n_rows, CAST(2 * count(*) AS BIGINT) AS n
 def autoid_upsert(spark, sf):
     """S4+S5: documents without ids (each supplier twice, identical content) all kept under distinct ids."""
     sup = read(spark, sf, "supplier")
-    docs = sup.unionByName(sup).select(F.to_json(F.struct(
+    docs = sup.unionByName(sup).select(F.monotonically_increasing_id().alias("_ord"), F.to_json(F.struct(
         F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_nationkey").alias("c_nationkey"),
         F.col("s_acctbal").alias("c_acctbal"))).alias("doc"))
-    conformed = C.conform_json(docs, CUSTOMER, "doc", keep_source=False)
+    conformed = C.conform_json(docs, CUSTOMER, "doc", keep=["_ord"], keep_source=False)
     ok, _ = C.split_valid(conformed)
-    ok = ok.withColumn(ID_COL, C.generated_id(CUSTOMER.version, [c for c in ok.columns]))
+    ok = ok.withColumn(ID_COL, C.generated_id(CUSTOMER.version, [c for c in ok.columns if c != "_ord"], F.col("_ord")))
     empty = spark.createDataFrame([], CUSTOMER.struct_type())
-    merged = W.upsert(empty, ok.withColumn("_ord", F.monotonically_increasing_id()), ID_COL, "_ord")
+    merged = W.upsert(empty, ok, ID_COL, "_ord")
     return merged.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(ID_COL).alias("n_distinct_ids"),
                       F.count("c_custkey").alias("n_accepted"))
 

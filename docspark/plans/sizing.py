@@ -26,3 +26,22 @@ def collect_bounded(df: DataFrame, max_rows: int, what: str = "result") -> list:
     if len(rows) > max_rows:
         raise ValueError(f"{what} has more than {max_rows} rows; refusing to collect it to the driver")
     return rows
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread CPU-heavy per-row work (parsing, tokenising) over the cluster when the input arrives in fewer
+    partitions than there are task slots (e.g. one large unsplittable file). Large inputs already have many
+    partitions and are returned unchanged, so this never adds a shuffle at scale."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+def scratch_path(spark, name: str) -> str:
+    """A fresh folder under the session's checkpoint directory (the shared folder on a cluster) for an
+    intermediate result that cuts lineage."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/docspark-{name}-{uuid.uuid4().hex[:12]}"

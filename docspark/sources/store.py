@@ -151,11 +151,11 @@ class DocStore:
         if raw_col is not None:
             conformed = C.conform_json(docs, coll, raw_col, id_expr, keep=keep, keep_source=SOURCE_COL in base.columns)
         else:
-            conformed = C.conform_frame(docs.drop(order_col), coll, id_expr, keep=None)
-            conformed = conformed.withColumn(order_col, F.monotonically_increasing_id())
+            conformed = C.conform_frame(docs, coll, id_expr, keep=keep)
         if id_expr is None:
-            conformed = conformed.withColumn(ID_COL, C.generated_id(coll.version, [c for c in conformed.columns
-                                                                                    if c not in (ERRORS_COL, SOURCE_COL)]))
+            conformed = conformed.withColumn(ID_COL, C.generated_id(
+                coll.version, [c for c in conformed.columns if c not in (ERRORS_COL, SOURCE_COL, order_col)],
+                F.col(order_col)))
         observed, obs = C.observe_counts(conformed, f"bulk_{name}")
         ok, bad = C.split_valid(observed)
         new_content = W.upsert(base, ok, ID_COL, order_col)
