@@ -12,6 +12,7 @@ Everything is a per-row projection: no shuffle, fully inside whole-stage codegen
 from __future__ import annotations
 
 import hashlib
+import uuid
 from typing import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
@@ -382,7 +383,7 @@ def split_valid(conformed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def observe_counts(conformed: DataFrame, name: str = "bulk") -> tuple[DataFrame, Observation]:
     """Attach total/succeeded/failed counters, filled by whatever action runs next (no extra pass)."""
-    obs = Observation(name)
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
     bad = F.size(F.col(ERRORS_COL)) > 0
     observed = conformed.observe(obs, F.count(F.lit(1)).alias("total"),
                                  F.sum(F.when(bad, 0).otherwise(1)).alias("succeeded"),

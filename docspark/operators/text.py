@@ -20,6 +20,7 @@ tokens' row groups.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -212,7 +213,7 @@ def bm25(df: DataFrame, text_col: str, query: str | list[str], id_col: str = ID_
     docs = ensure_parallelism(df).select(F.col(id_col), *keep, analyze(F.col(text_col), index_analyzer).alias("__toks"))
     if not q:
         return docs.limit(0).select(id_col, *keep, F.lit(0.0).alias(SCORE_COL))
-    obs = Observation("bm25_stats")
+    obs = Observation(f"bm25_{uuid.uuid4().hex[:12]}")
     docs = docs.observe(obs, F.count(F.lit(1)).alias("n"), F.sum(F.size("__toks")).alias("total_len"))
     pairs = (docs.select(id_col, *keep, F.size("__toks").alias("dl"), F.explode("__toks").alias("token"))
              .filter(F.col("token").isin(q))
@@ -220,11 +221,12 @@ def bm25(df: DataFrame, text_col: str, query: str | list[str], id_col: str = ID_
              .agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"), *[F.first(k).alias(k) for k in keep]))
     path = scratch_path(spark, "bm25")
     pairs.write.parquet(path)
+    t = spark.read.parquet(path)
+    if t.limit(1).count() == 0:
+        # nothing matched; the statistics are not needed (and an empty branch may have been pruned with them)
+        return t.select(id_col, *keep, F.lit(0.0).alias(SCORE_COL))
     st = obs.get
     n, total = int(st["n"] or 0), int(st["total_len"] or 0)
-    t = spark.read.parquet(path)
-    if n == 0:
-        return t.limit(0).select(id_col, *keep, F.lit(0.0).alias(SCORE_COL))
     avgdl = total / n if total else 1.0
     import math
     dfs = {r["token"]: int(r["df"]) for r in

@@ -7,7 +7,7 @@ replaces the view in one catalog call. Readers that resolved the old table keep
 One writer per collection at a time is assumed.
 
 Tables are written with ``saveAsTable`` into the session's warehouse (on a cluster: the shared warehouse the
-platform configures). Counts for bulk reports are filled by ``DataFrame.observe`` on the write itself.
+platform configures). A bulk batch is conformed once into the checkpoint folder; its counts and the upsert read it.
 """
 
 from __future__ import annotations
@@ -79,6 +79,7 @@ class DocStore:
 
     def close_snapshot(self, snap: Snapshot) -> None:
         """Snapshots hold no server resource; old tables are removed by :meth:`drop_unused`."""
+        return None
 
     # ----- writing tables ----------------------------------------------------------------------------------------
     def _shards(self, coll: Collection) -> int:
@@ -156,23 +157,26 @@ class DocStore:
             conformed = conformed.withColumn(ID_COL, C.generated_id(
                 coll.version, [c for c in conformed.columns if c not in (ERRORS_COL, SOURCE_COL, order_col)],
                 F.col(order_col)))
-        observed, obs = C.observe_counts(conformed, f"bulk_{name}")
-        ok, bad = C.split_valid(observed)
+        # The conformed batch is written once to the checkpoint folder: counts come from it (one small column),
+        # the upsert reads it, and the lineage back to the raw input is cut (a lost executor does not re-parse).
+        from ..plans.sizing import scratch_path
+        path = scratch_path(self.spark, f"bulk-{name}")
+        conformed.write.parquet(path)
+        staged = self.spark.read.parquet(path)
+        cnt = staged.agg(F.count(F.lit(1)).alias("total"),
+                         F.count_if(F.size(ERRORS_COL) > 0).alias("failed")).first()
+        total, failed = int(cnt["total"]), int(cnt["failed"] or 0)
+        ok, bad = C.split_valid(staged)
+        res = W.BulkResult(total, total - failed, failed, bad)
+        if throw_on_failure and failed:
+            raise BulkPartialFailureError(f"{failed} of {total} documents failed", res)
         new_content = W.upsert(base, ok, ID_COL, order_col)
-        phys = self._next_physical(coll) if coll.use_alias else None
         if coll.use_alias:
+            phys = self._next_physical(coll)
             self._write(new_content, phys, coll)
-        else:
-            new_content = new_content.checkpoint(eager=True)
-        m = obs.get
-        res = W.BulkResult(int(m["total"]), int(m["succeeded"] or 0), int(m["failed"] or 0), bad)
-        if throw_on_failure and res.failed:
-            if phys:
-                self.drop(phys)
-            raise BulkPartialFailureError(f"{res.failed} of {res.total} documents failed", res)
-        if coll.use_alias:
             self._point(coll, phys)
         else:
+            new_content = new_content.checkpoint(eager=True)
             new_content.write.mode("overwrite").saveAsTable(self._q(coll.physical_name))
         return res
 
@@ -224,13 +228,12 @@ class DocStore:
         if SOURCE_COL in source.columns:
             doc = F.coalesce(F.col(SOURCE_COL), doc)
         conformed = C.conform_variant(source, new, doc, F.col(ID_COL), keep_source=SOURCE_COL in source.columns)
-        observed, obs = C.observe_counts(conformed, f"migrate_{new.name}")
-        ok, _ = C.split_valid(observed)
+        ok, _ = C.split_valid(conformed)
         try:
             self._write(ok, target, new)
-            m = obs.get
-            if int(m["failed"] or 0) > 0 or int(m["succeeded"] or 0) != n_src:
-                raise MigrationError(f"copy to {target} rejected {m['failed']} of {n_src} documents")
+            written = self.spark.table(self._q(target)).count()
+            if written != n_src:
+                raise MigrationError(f"copy to {target} accepted {written} of {n_src} documents")
         except Exception as e:
             self.drop(target)
             if isinstance(e, MigrationError):
@@ -239,7 +242,23 @@ class DocStore:
         self._point(new, target)
         if delete_old:
             self.drop(src)
-        return MigrateResult(src, target, int(obs.get["succeeded"]))
+        return MigrateResult(src, target, written)
+
+    def generations(self, name: str) -> list[str]:
+        """Physical tables of a logical name (every version and write generation), oldest first."""
+        rx = re.compile(rf"^{re.escape(name)}_v\d+(__g\d+)?$")
+        db = self.database
+        tables = [t.name for t in self.spark.catalog.listTables(db) if rx.match(t.name) and not t.tableType == "VIEW"]
+        key = lambda t: (int(t.split("_v")[-1].split("__g")[0]), int(t.split("__g")[1]) if "__g" in t else 1)
+        return sorted(tables, key=key)
+
+    def drop_unused(self, name: str, keep: tuple[str, ...] = ()) -> list[str]:
+        """Drop every physical table of ``name`` except the current one and ``keep`` (e.g. open snapshots)."""
+        cur = self.current(name)
+        gone = [t for t in self.generations(name) if t != cur and t not in keep]
+        for t in gone:
+            self.drop(t)
+        return gone
 
     def schema_diff(self, coll: Collection, actual: Collection | None):
         return diff_collections(coll, actual)
