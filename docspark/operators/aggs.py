@@ -427,6 +427,38 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, partitions: int | No
     return lo + (hi - lo) * frac
 
 
+def grouped_exact_median(df: DataFrame, key: str | Column, value: str | Column, key_name: str = "key",
+                         partitions: int | None = None) -> DataFrame:
+    """(key, median) for every key, exact (mean of the two middle values for even counts), without holding any
+    group in one task: values are counted per (key, value) (partial aggregation), range-partitioned on
+    (key, value) so a hot key spreads over many partitions, and checkpointed. Per (key, partition) counts (at most
+    one row per partition a key spans) give each slice its starting rank; a running sum inside each slice then
+    finds the rows holding the middle ranks."""
+    from ..session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    vals = df.select(_c(key).alias("k"), _c(value).cast("double").alias("x")).filter(F.col("x").isNotNull() & F.col("k").isNotNull())
+    vc = vals.groupBy("k", "x").agg(F.count(F.lit(1)).alias("c"))
+    ranged = vc.repartitionByRange(n_parts, "k", "x").withColumn("pid", F.spark_partition_id()).checkpoint(eager=True)
+    slices = ranged.groupBy("k", "pid").agg(F.sum("c").alias("n"))
+    wk = Window.partitionBy("k").orderBy("pid")
+    slices = slices.select("k", "pid", (F.sum("n").over(wk.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("start"),
+                           F.sum("n").over(Window.partitionBy("k")).alias("total"))
+    joined = ranged.join(slices, ["k", "pid"])
+    ws = Window.partitionBy("k", "pid").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    ends = joined.withColumn("end", F.col("start") + F.sum("c").over(ws))
+    lo = F.floor((F.col("total") - 1) / 2) + 1
+    hi = F.floor(F.col("total") / 2) + 1
+
+    def covers(r):
+        return (F.col("end") - F.col("c") < r) & (F.col("end") >= r)
+
+    picked = ends.filter(covers(lo) | covers(hi))
+    return picked.groupBy(F.col("k").alias(key_name)).agg(
+        ((F.max(F.when(covers(lo), F.col("x"))) + F.max(F.when(covers(hi), F.col("x")))) / 2).alias("median"))
+
+
 def median_absolute_deviation(df: DataFrame, spec: MedianAbsoluteDeviation) -> DataFrame:
     spark = df.sparkSession
     if spec.approx:

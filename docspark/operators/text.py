@@ -123,15 +123,8 @@ def _tok(t: Column, tag: Column | str) -> Column:
     return F.struct(t.alias("token"), (F.lit(tag) if isinstance(tag, str) else tag).alias("tag"))
 
 
-def _segment(t: Column, dictionary: dict[str, list[str]], mode: str) -> Column:
-    """array<struct<token,tag>> for one raw token: longest dictionary prefix split off, per decompound mode."""
-    if not dictionary:
-        return F.array(_tok(t, _tag(t)))
-    m = F.create_map(*[x for w, parts in dictionary.items() for x in (F.lit(w), F.array(*[F.lit(p) for p in parts]).cast("array<string>"))])
-    lengths = sorted({len(w) for w in dictionary}, reverse=True)
-    word = F.coalesce(*[F.when((F.length(t) >= L) & F.map_contains_key(m, F.substring(t, 1, L)), F.substring(t, 1, L))
-                        for L in lengths])
-    parts = F.element_at(m, word)
+def _emit(t: Column, word: Column, parts: Column, mode: str) -> Column:
+    """array<struct<token,tag>> for one raw token given its longest dictionary prefix ``word`` (null: none)."""
     whole = F.array(_tok(word, DICT_TAG))
     part_toks = F.transform(parts, lambda p: _tok(p, DICT_TAG))
     if mode == "none":
@@ -145,13 +138,58 @@ def _segment(t: Column, dictionary: dict[str, list[str]], mode: str) -> Column:
     return F.when(word.isNull(), F.array(_tok(t, _tag(t)))).otherwise(F.concat(emitted, rest))
 
 
+def _segment(t: Column, dictionary: dict[str, list[str]], mode: str) -> Column:
+    """Longest dictionary prefix of a raw token looked up in a map literal (dictionary under the size bound)."""
+    if not dictionary:
+        return F.array(_tok(t, _tag(t)))
+    m = F.create_map(*[x for w, parts in dictionary.items() for x in (F.lit(w), F.array(*[F.lit(p) for p in parts]).cast("array<string>"))])
+    lengths = sorted({len(w) for w in dictionary}, reverse=True)
+    word = F.coalesce(*[F.when((F.length(t) >= L) & F.map_contains_key(m, F.substring(t, 1, L)), F.substring(t, 1, L))
+                        for L in lengths])
+    return _emit(t, word, F.element_at(m, word), mode)
+
+
+def _raw_tokens(text: Column, analyzer: "Analyzer") -> Column:
+    src = F.lower(text) if analyzer.lowercase else text
+    return F.filter(F.split(F.coalesce(src, F.lit("")), analyzer.pattern), lambda x: x != "")
+
+
+def tokens_with_dictionary_table(df: DataFrame, text_col: str, id_col: str, analyzer: "Analyzer",
+                                 search_time: bool = False) -> DataFrame:
+    """T1-T5 for a user dictionary too large for a map literal: candidate prefixes (one per distinct dictionary
+    word length) are equi-joined to the dictionary table (broadcast when its counted size allows), the longest match
+    per token is kept, and positions are renumbered within each document."""
+    spark = df.sparkSession
+    dictionary = analyzer.dictionary()
+    lengths = sorted({len(w) for w in dictionary})
+    rules = spark.createDataFrame([(w, p, len(w)) for w, p in dictionary.items()], "word string, parts array<string>, wlen int")
+    raw = ensure_parallelism(df).select(F.col(id_col), F.posexplode(_raw_tokens(F.col(text_col), analyzer)).alias("rpos", "t"))
+    cand = raw.select(id_col, "rpos", "t", F.explode(F.filter(F.array(*[F.lit(L) for L in lengths]),
+                                                             lambda L: L <= F.length(F.col("t")))).alias("L"))
+    cand = cand.select(id_col, "rpos", F.expr("substring(t, 1, L)").alias("word"))
+    best = cand.join(maybe_broadcast(rules), "word").groupBy(id_col, "rpos") \
+        .agg(F.max_by(F.struct("word", "parts"), F.col("wlen")).alias("m"))
+    seg = raw.join(best, [id_col, "rpos"], "left")
+    emitted = _emit(F.col("t"), F.col("m.word"), F.col("m.parts"), analyzer.decompound)
+    if analyzer.stoptags:
+        stop = F.array(*[F.lit(x) for x in analyzer.stoptags])
+        emitted = F.filter(emitted, lambda z: ~F.array_contains(stop, z["tag"]))
+    toks = F.transform(emitted, lambda z: z["token"])
+    if search_time:
+        toks = expand_synonyms(toks, analyzer)
+    out = seg.select(id_col, "rpos", F.posexplode(toks).alias("sub", "token"))
+    from pyspark.sql import Window
+    w = Window.partitionBy(id_col).orderBy("rpos", "sub")
+    return out.select(id_col, (F.row_number().over(w) - 1).cast("long").alias("pos"), "token")
+
+
 def analyze(text: Column, analyzer: Analyzer = Analyzer()) -> Column:
     """T1-T5 as one expression: ``array<string>`` of tokens in order (position = array index)."""
     dictionary = analyzer.dictionary()
     if len(dictionary) > MAP_LITERAL_MAX:
-        raise ValueError(f"user dictionary has {len(dictionary)} rules; use analyze_with_dictionary_table()")
-    src = F.lower(text) if analyzer.lowercase else text
-    raw = F.filter(F.split(F.coalesce(src, F.lit("")), analyzer.pattern), lambda x: x != "")
+        raise ValueError(f"user dictionary has {len(dictionary)} rules (over {MAP_LITERAL_MAX}); "
+                         "tokens() and bm25() switch to tokens_with_dictionary_table() for it")
+    raw = _raw_tokens(text, analyzer)
     if not dictionary and not analyzer.stoptags:
         return raw
     toks = F.flatten(F.transform(raw, lambda t: _segment(t, dictionary, analyzer.decompound)))
@@ -175,6 +213,8 @@ def expand_synonyms(tokens: Column, analyzer: Analyzer) -> Column:
 def tokens(df: DataFrame, text_col: str, id_col: str = ID_COL, analyzer: Analyzer = Analyzer(),
            search_time: bool = False) -> DataFrame:
     """(id, pos, token) rows; ``search_time=True`` applies the synonym expansion (query side)."""
+    if len(analyzer.dictionary()) > MAP_LITERAL_MAX:
+        return tokens_with_dictionary_table(df, text_col, id_col, analyzer, search_time)
     arr = analyze(F.col(text_col), analyzer)
     if search_time:
         arr = expand_synonyms(arr, analyzer)
@@ -184,6 +224,12 @@ def tokens(df: DataFrame, text_col: str, id_col: str = ID_COL, analyzer: Analyze
 
 def query_tokens(spark, query: str, analyzer: Analyzer = Analyzer(), max_tokens: int = 1024) -> list[str]:
     """Analyse one query string on Spark (same code path as the documents) and return its distinct tokens."""
+    if len(analyzer.dictionary()) > MAP_LITERAL_MAX:
+        q = spark.createDataFrame([("q", query)], "qid string, text string")
+        one = tokens_with_dictionary_table(q, "text", "qid", analyzer, search_time=True).orderBy("pos") \
+            .select(F.col("token").alias("t"))
+        seen = [r["t"] for r in collect_bounded(one, max_tokens, "query tokens")]
+        return list(dict.fromkeys(seen))
     one = spark.range(1).select(expand_synonyms(analyze(F.lit(query), analyzer), analyzer).alias("t"))
     one = one.select(F.explode(F.array_distinct("t")).alias("t"))
     return [r["t"] for r in collect_bounded(one, max_tokens, "query tokens")]
@@ -210,6 +256,8 @@ def bm25(df: DataFrame, text_col: str, query: str | list[str], id_col: str = ID_
     q = query if isinstance(query, list) else query_tokens(spark, query, search_analyzer or index_analyzer)
     q = list(dict.fromkeys(q))
     keep = keep or []
+    if len(index_analyzer.dictionary()) > MAP_LITERAL_MAX:
+        return _bm25_from_token_rows(df, text_col, q, id_col, index_analyzer, k1, b, keep)
     docs = ensure_parallelism(df).select(F.col(id_col), *keep, analyze(F.col(text_col), index_analyzer).alias("__toks"))
     if not q:
         return docs.limit(0).select(id_col, *keep, F.lit(0.0).alias(SCORE_COL))
@@ -239,6 +287,29 @@ def bm25(df: DataFrame, text_col: str, query: str | list[str], id_col: str = ID_
         .select(id_col, *keep, SCORE_COL)
 
 
+def _bm25_from_token_rows(df: DataFrame, text_col: str, q: list[str], id_col: str, analyzer: Analyzer,
+                          k1: float, b: float, keep: list[str]) -> DataFrame:
+    """BM25 when analysis runs as joins (large dictionary): token rows → lengths and query-token counts."""
+    import math
+    toks = tokens(df, text_col, id_col, analyzer)
+    lengths = toks.groupBy(id_col).agg(F.count(F.lit(1)).alias("dl"))
+    n = df.count()
+    total = lengths.agg(F.sum("dl")).first()[0] or 0
+    avgdl = total / n if n else 1.0
+    pairs = toks.filter(F.col("token").isin(q)).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
+    dfs = {r["token"]: int(r["df"]) for r in
+           collect_bounded(pairs.groupBy("token").agg(F.count(F.lit(1)).alias("df")), max(len(q), 1), "token frequencies")}
+    if not dfs:
+        return df.limit(0).select(F.col(id_col), *keep, F.lit(0.0).alias(SCORE_COL))
+    idf = F.create_map(*[x for tok, d in dfs.items() for x in (F.lit(tok), F.lit(math.log(1.0 + (n - d + 0.5) / (d + 0.5))))])
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl").cast("double") / F.lit(avgdl))
+    part = F.element_at(idf, F.col("token")) * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
+    scored = pairs.join(lengths, id_col).groupBy(id_col).agg(F.sum(part).alias(SCORE_COL))
+    if keep:
+        scored = scored.join(df.select(id_col, *keep), id_col)
+    return scored.select(id_col, *keep, SCORE_COL)
+
+
 # ----------------------------------------------------------------------------------------------------------------
 # Persisted token index (T7) and matching against it
 # ----------------------------------------------------------------------------------------------------------------

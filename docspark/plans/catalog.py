@@ -161,8 +161,12 @@ def _line_key(spark, sf, mode: str, where=None) -> DataFrame:
     li = read(spark, sf, "lineitem")
     if where is not None:
         li = li.filter(where())
-    agg = {"min": F.min, "max": F.max, "sum": F.sum, "avg": F.avg, "median": F.median}[mode]
-    keys = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(agg("l_extendedprice").alias("line_key"))
+    if mode == "median":
+        keys = A.grouped_exact_median(li, "l_orderkey", "l_extendedprice", "o_orderkey") \
+            .withColumnRenamed("median", "line_key")
+    else:
+        agg = {"min": F.min, "max": F.max, "sum": F.sum, "avg": F.avg}[mode]
+        keys = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(agg("l_extendedprice").alias("line_key"))
     return orders(spark, sf).select(ID_COL, "o_orderkey").join(keys, "o_orderkey", "left")
 
 

@@ -63,3 +63,15 @@ def test_bm25_matches_formula_and_index(spark, tmp_path):
     via_index = {r["_id"]: r["_score"] for r in X.match_index(spark, str(tmp_path / "idx"), "the cat").collect()}
     assert set(via_index) == set(want) and all(abs(via_index[k] - want[k]) < 1e-9 for k in want)
     assert lens
+
+
+def test_large_dictionary_uses_join_path(spark, monkeypatch):
+    rules = ("노트북", "삼성전자 삼성 전자", "ab")
+    text = "삼성전자 노트북을 ABC 123"
+    small = toks(spark, text, X.Analyzer(user_dictionary=rules, stoptags=("SN",)))
+    monkeypatch.setattr(X, "MAP_LITERAL_MAX", 1)
+    big = toks(spark, text, X.Analyzer(user_dictionary=rules, stoptags=("SN",)))
+    assert big == small == ["삼성전자", "삼성", "전자", "노트북", "을", "ab", "c"]
+    docs = spark.createDataFrame([("n1", "삼성 노트북 구매"), ("n2", "애플 아이폰 리뷰")], "_id string, title string")
+    hits = X.bm25(docs, "title", "노트북을", index_analyzer=X.Analyzer(user_dictionary=rules)).collect()
+    assert [h["_id"] for h in hits] == ["n1"]
