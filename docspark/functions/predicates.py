@@ -66,22 +66,26 @@ def exists(field: str | Column, multi: bool = False) -> Column:
     return (F.size(F.filter(c, lambda x: x.isNotNull())) > 0) if multi else c.isNotNull()
 
 
-def _true_if_null(p: Column) -> Column:
-    return F.coalesce(p, F.lit(False))
+def negate(p: Column) -> Column:
+    """NOT with unknown counted as no match: ``~p OR p IS NULL`` (still pushable to the scan, unlike coalesce)."""
+    return ~p | p.isNull()
 
 
 def bool_(must: Iterable[Column] = (), filter: Iterable[Column] = (), should: Iterable[Column] = (),
           must_not: Iterable[Column] = (), minimum_should_match: int | None = None) -> Column:
     """P5: ``must`` and ``filter`` are AND-ed, ``should`` needs ``minimum_should_match`` hits (default 1 when
-    there is no must/filter clause, else 0), ``must_not`` excludes (an unknown predicate value counts as no match)."""
+    there is no must/filter clause, else 0), ``must_not`` excludes (an unknown predicate value counts as no match).
+    Plain AND/OR/NOT-or-null forms are kept so Catalyst can push the clauses into the scan."""
     must, filter, should, must_not = list(must), list(filter), list(should), list(must_not)
-    parts = [_true_if_null(p) for p in must + filter]
+    parts = must + filter
     if should:
         msm = minimum_should_match if minimum_should_match is not None else (0 if parts else 1)
-        if msm > 0:
-            hits = reduce(lambda a, b: a + b, [F.when(_true_if_null(p), 1).otherwise(0) for p in should])
+        if msm == 1:
+            parts.append(reduce(lambda a, b: a | b, should))
+        elif msm > 1:
+            hits = reduce(lambda a, b: a + b, [F.when(p, 1).otherwise(0) for p in should])
             parts.append(hits >= F.lit(msm))
-    parts += [~_true_if_null(p) for p in must_not]
+    parts += [negate(p) for p in must_not]
     return reduce(lambda a, b: a & b, parts) if parts else F.lit(True)
 
 

@@ -151,5 +151,24 @@ def keyset_after(specs: Sequence[SortSpec], names: Sequence[str], values: Sequen
     return _at_or_after(F.col(names[0]), values[0], specs[0]) & after
 
 
+def keyset_branches(specs: Sequence[SortSpec], names: Sequence[str], values: Sequence[Any]) -> list[Column]:
+    """The keyset predicate as disjoint branches that each push down to the scan. With nulls last and a non-null
+    first cursor value, rows after the cursor are (a) non-null first keys at or beyond the value — a plain range
+    bound — and (b) every row whose first key is null. Written as one predicate, the shared ``IS NULL`` would be
+    factored into a top-level OR and nothing would be pushed."""
+    first, v = specs[0], values[0]
+    after = keyset_after(specs, names, values)
+    if v is None or first.nulls_first:
+        return [after]
+    c = F.col(names[0])
+    bound = (c <= F.lit(v)) if first.descending else (c >= F.lit(v))
+    nonnull_after = reduce(lambda a, b: a | b, [
+        reduce(lambda a, b: a & b, [F.col(names[j]).eqNullSafe(F.lit(values[j])) for j in range(i)]
+               + [_strictly_after(F.col(names[i]), values[i], specs[i]) if i else
+                  ((c < F.lit(v)) if first.descending else (c > F.lit(v)))])
+        for i in range(len(specs))])
+    return [bound & nonnull_after, c.isNull()]
+
+
 def score_desc() -> SortSpec:
     return SortSpec(SCORE_COL, "desc")

@@ -480,7 +480,7 @@ def median_absolute_deviation(df: DataFrame, spec: MedianAbsoluteDeviation) -> D
 
 def aggregate(df: DataFrame, aggs: Mapping[str, Any], query: Column | None = None) -> dict[str, DataFrame]:
     """G16 + G17: named aggregations over the documents matching ``query``."""
-    base = df if query is None else df.filter(F.coalesce(query, F.lit(False)))
+    base = df if query is None else df.filter(query)
     metric_specs = {k: s for k, s in aggs.items() if isinstance(s, (Metric, Stats))}
     bucket_specs = {k: s for k, s in aggs.items() if k not in metric_specs}
     if len(bucket_specs) + (1 if metric_specs else 0) > 1:

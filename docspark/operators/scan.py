@@ -61,7 +61,7 @@ def scan_batches(df: DataFrame, query: Column | None = None, sort: Sequence | No
     """Every matching document with ``row_index`` and ``batch_id`` (batches of ``batch_size`` in order)."""
     if batch_size <= 0:
         raise ValueError("batch_size must be > 0")
-    base = df if query is None else df.filter(F.coalesce(query, F.lit(False)))
+    base = df if query is None else df.filter(query)
     idx = global_index(base, sort, id_col, "row_index", partitions)
     return idx.withColumn("batch_id", F.floor(F.col("row_index") / F.lit(batch_size)).cast("long"))
 

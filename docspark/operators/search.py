@@ -13,7 +13,7 @@ from typing import Any, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from ..functions.sorting import (SortSpec, key_column, key_name, keyset_after, order_column, parse_sort,
+from ..functions.sorting import (SortSpec, key_column, key_name, keyset_branches, order_column, parse_sort,
                                  with_tiebreak)
 from ..schema import ID_COL, SCORE_COL
 
@@ -54,11 +54,13 @@ def search(df: DataFrame, query: Column | None = None, sort: Sequence | None = N
     """P1-P6 (``query`` is any boolean Column; None = match_all), O1-O9 on one collection frame."""
     if size < 0 or from_ < 0:
         raise ValueError("size and from must be >= 0")
-    filtered = df if query is None else df.filter(F.coalesce(query, F.lit(False)))
+    filtered = df if query is None else df.filter(query)
     keyed, specs = sort_keys(filtered, sort, id_col)
     names = [key_name(i) for i in range(len(specs))]
     if after is not None:
-        keyed = keyed.filter(keyset_after(specs, names, list(after)))
+        branches = keyset_branches(specs, names, list(after))
+        parts = [keyed.filter(b) for b in branches]
+        keyed = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     ordered = keyed.orderBy(*[order_column(n, s) for n, s in zip(names, specs)])
     if from_:
         ordered = ordered.offset(from_)

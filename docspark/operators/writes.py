@@ -107,7 +107,7 @@ def delete_ids(base: DataFrame, ids: DataFrame, id_col: str = ID_COL,
 
 def delete_where(base: DataFrame, predicate: Column) -> DataFrame:
     """Remove documents matching a predicate (unknown counts as no match)."""
-    return base.filter(~F.coalesce(predicate, F.lit(False)))
+    return base.filter(~predicate | predicate.isNull())
 
 
 def get_many(base: DataFrame, ids: DataFrame, id_col: str = ID_COL,
