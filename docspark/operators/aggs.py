@@ -243,9 +243,8 @@ FIXED_UNITS_MS = {"ms": 1, "s": 1000, "m": 60_000, "h": 3_600_000, "d": 86_400_0
 CALENDAR_UNITS = {"minute": "minute", "1m": "minute", "hour": "hour", "1h": "hour", "day": "day", "1d": "day",
                   "week": "week", "1w": "week", "month": "month", "1M": "month", "quarter": "quarter",
                   "1q": "quarter", "year": "year", "1y": "year"}
-CALENDAR_STEP = {"minute": "INTERVAL 1 MINUTE", "hour": "INTERVAL 1 HOUR", "day": "INTERVAL 1 DAY",
-                 "week": "INTERVAL 7 DAYS", "month": "INTERVAL 1 MONTH", "quarter": "INTERVAL 3 MONTHS",
-                 "year": "INTERVAL 1 YEAR"}
+# Lengths of the fixed-length calendar units in milliseconds.
+CALENDAR_MS = {"minute": 60_000, "hour": 3_600_000, "day": 86_400_000, "week": 7 * 86_400_000}
 
 
 def _fixed_ms(s: str) -> int:
@@ -260,19 +259,32 @@ def date_histogram(df: DataFrame, spec: DateHistogram) -> DataFrame:
     if spec.calendar_interval:
         unit = CALENDAR_UNITS[spec.calendar_interval]
         bucket = F.date_trunc(unit, ts)
-        step = F.expr(CALENDAR_STEP[unit])
     else:
         ms = _fixed_ms(spec.fixed_interval)
         bucket = F.timestamp_millis(F.floor(F.unix_millis(ts) / ms) * ms)
-        step = F.expr(f"INTERVAL {ms // 1000} SECONDS") if ms % 1000 == 0 else None
     counts = df.select(bucket.alias("b")).filter(F.col("b").isNotNull()).groupBy("b") \
         .agg(F.count(F.lit(1)).alias("doc_count"))
-    if spec.min_doc_count == 0 and step is not None:
-        # Gap filling: the bucket sequence between the first and last bucket is the result itself, so it is
-        # generated from the two bounds (one row) and joined to the counts.
-        bounds = counts.agg(F.min("b").alias("lo"), F.max("b").alias("hi"))
-        seq = bounds.select(F.explode(F.sequence("lo", "hi", step)).alias("b"))
-        out = seq.join(counts, "b", "left").select("b", F.coalesce("doc_count", F.lit(0)).cast("long").alias("doc_count"))
+    if spec.min_doc_count == 0:
+        # Gap filling: the first and last bucket (one row, as epoch millis) fix the bucket sequence, which is
+        # generated by spark.range across partitions (never expanded inside one row) and left-joined to the counts.
+        spark = df.sparkSession
+        bounds = counts.agg(F.unix_millis(F.min("b")).alias("lo"), F.unix_millis(F.max("b")).alias("hi"),
+                            F.year(F.min("b")).alias("ly"), F.month(F.min("b")).alias("lm"),
+                            F.year(F.max("b")).alias("hy"), F.month(F.max("b")).alias("hm")).first()
+        if bounds["lo"] is None:
+            out = counts.select("b", F.col("doc_count").cast("long"))
+        else:
+            lo, hi = int(bounds["lo"]), int(bounds["hi"])
+            months = {"month": 1, "quarter": 3, "year": 12}.get(unit) if spec.calendar_interval else None
+            if months:
+                n = ((bounds["hy"] - bounds["ly"]) * 12 + (bounds["hm"] - bounds["lm"])) // months
+                seq = spark.range(0, n + 1).select(
+                    F.add_months(F.timestamp_millis(F.lit(lo)), (F.col("id") * months).cast("int")).cast("timestamp").alias("b"))
+            else:
+                step_ms = CALENDAR_MS[unit] if spec.calendar_interval else ms
+                seq = spark.range(0, (hi - lo) // step_ms + 1).select(
+                    F.timestamp_millis(F.lit(lo) + F.col("id") * F.lit(step_ms)).alias("b"))
+            out = seq.join(counts, "b", "left").select("b", F.coalesce("doc_count", F.lit(0)).cast("long").alias("doc_count"))
     else:
         out = counts.filter(F.col("doc_count") >= max(spec.min_doc_count, 1))
     return out.select(to_epoch_millis(F.col("b")).alias("key"), iso_string(F.col("b")).alias("key_as_string"),

@@ -34,6 +34,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     partitions and are returned unchanged, so this never adds a shuffle at scale."""
     sc = df.sparkSession.sparkContext
     want = min_partitions or sc.defaultParallelism
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    if "Exchange" in plan or "Union" in plan:
+        return df                      # already redistributed (and counting partitions here could run the shuffle)
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
