@@ -67,23 +67,31 @@ def object_keys(v: Column) -> Column:
     return F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
 
 
+# Errors are kept as a list of items while expressions are built: a scalar item is a struct-or-null (one possible
+# error), an array item is an array of error structs (from nested arrays). _combine turns the list into one array
+# column with a single array_compact per row, instead of allocating and concatenating an array per field.
+Err = tuple  # (Column, is_array: bool)
+
+
 def _err(cond: Column, field: str, reason: str | Column) -> Column:
     r = F.lit(reason) if isinstance(reason, str) else reason
-    return F.when(cond, F.array(F.struct(F.lit(field).alias("field"), r.alias("reason")))) \
-        .otherwise(F.array().cast(ERROR_TYPE))
+    return F.when(cond, F.struct(F.lit(field).alias("field"), r.alias("reason")))
 
 
 def _no_errors() -> Column:
     return F.array().cast(ERROR_TYPE)
 
 
-def _concat_errors(parts: list[Column]) -> Column:
-    parts = [p for p in parts if p is not None]
-    if not parts:
-        return _no_errors()
-    if len(parts) == 1:
-        return parts[0]
-    return F.concat(*parts)
+def _combine(items: list) -> Column:
+    scalars = [c for c, is_arr in items if not is_arr]
+    arrays = [F.coalesce(c, _no_errors()) for c, is_arr in items if is_arr]
+    base = F.array_compact(F.array(*scalars)).cast(ERROR_TYPE) if scalars else _no_errors()
+    return F.concat(base, *arrays) if arrays else base
+
+
+def _when_items(cond: Column, items: list) -> list:
+    """Keep ``items`` only where ``cond`` holds."""
+    return [(F.when(cond, c).otherwise(_no_errors()) if is_arr else F.when(cond, c), is_arr) for c, is_arr in items]
 
 
 # ----------------------------------------------------------------------------------------------------------------
@@ -91,7 +99,7 @@ def _concat_errors(parts: list[Column]) -> Column:
 # ----------------------------------------------------------------------------------------------------------------
 
 def _scalar(x: Column, kind: Column, f: Field, path: str) -> tuple[Column, Column]:
-    """Typed value and error array for one scalar of declared field ``f``; ``x`` is present and not JSON null."""
+    """Typed value and error (struct or null) for one scalar of declared field ``f``; ``x`` is present."""
     t = f.type
     numeric = kind.isin("long", "double")
     if t in ("keyword", "text"):
@@ -99,16 +107,20 @@ def _scalar(x: Column, kind: Column, f: Field, path: str) -> tuple[Column, Colum
         return F.when(ok, F.try_variant_get(x, "$", "string")), _err(~ok, path, "expected a string")
     if t in ("integer", "long"):
         lo, hi = INT_RANGE[t]
-        src = F.when(numeric, F.try_variant_get(x, "$", "decimal(38,6)"))
+        # JSON integers are read as bigint directly; only fractional-looking numbers need the whole-number test
+        as_long = F.when(kind == "long", F.try_variant_get(x, "$", "bigint"))
+        dbl = F.when(kind == "double", F.try_variant_get(x, "$", "double"))
         if f.coerce:
-            src = F.coalesce(src, F.when(kind == "string", F.try_variant_get(x, "$", "string").try_cast("decimal(38,6)")))
-        whole = src == F.floor(src)
-        in_range = (src >= F.lit(lo)) & (src <= F.lit(hi))
-        ok = src.isNotNull() & whole & in_range
-        reason = (F.when(src.isNull(), F.lit(f"expected {'a number' if not f.coerce else 'a number or numeric string'}"))
+            dbl = F.coalesce(dbl, F.when(kind == "string", F.try_variant_get(x, "$", "string").try_cast("double")))
+        whole = dbl == F.floor(dbl)
+        d_range = (dbl >= F.lit(float(lo))) & (dbl <= F.lit(float(hi)))
+        l_range = F.lit(True) if t == "long" else as_long.between(lo, hi)
+        val = F.coalesce(F.when(l_range, as_long), F.when(whole & d_range, dbl.cast("long")))
+        reason = (F.when(kind == "long", F.lit(f"out of range for {t}"))
+                  .when(dbl.isNull(), F.lit(f"expected {'a number' if not f.coerce else 'a number or numeric string'}"))
                   .when(~whole, F.lit("fractional value for an integral field"))
                   .otherwise(F.lit(f"out of range for {t}")))
-        return F.when(ok, src.cast("int" if t == "integer" else "long")), _err(~ok, path, reason)
+        return val.cast("int" if t == "integer" else "long"), _err(val.isNull(), path, reason)
     if t in ("float", "double"):
         src = F.when(numeric, F.try_variant_get(x, "$", "double"))
         if f.coerce:
@@ -160,16 +172,16 @@ def _null_value(f: Field) -> Column | None:
 # Fields and objects
 # ----------------------------------------------------------------------------------------------------------------
 
-def conform_value(x: Column, f: Field, path: str, dynamic, kind: Column | None = None) -> tuple[Column, Column]:
-    """Value of field ``f`` from variant ``x`` (already the field's own value) plus its errors. ``kind`` may be
-    passed in when it was computed by an earlier projection."""
+def conform_value(x: Column, f: Field, path: str, dynamic, kind: Column | None = None) -> tuple[Column, list]:
+    """Value of field ``f`` from variant ``x`` (already the field's own value) plus its error items. ``kind`` may
+    be passed in when it was computed by an earlier projection."""
     kind = variant_kind(x) if kind is None else kind
     present = kind.isNotNull() & (kind != "null")
     if f.type == "object":
-        value, errs = conform_object(x, f.properties, path + ".", f.dynamic if f.dynamic is not None else dynamic)
+        value, items = conform_object(x, f.properties, path + ".", f.dynamic if f.dynamic is not None else dynamic)
         is_obj = kind == "object"
         return (F.when(is_obj, value),
-                F.when(is_obj, errs).otherwise(_err(present, path, "expected an object")))
+                _when_items(is_obj, items) + [(_err(present & ~is_obj, path, "expected an object"), False)])
     if f.type == "nested":
         elems = F.when(kind == "array", F.try_variant_get(x, "$", "array<variant>")) \
             .when(kind == "object", F.array(x))
@@ -179,45 +191,45 @@ def conform_value(x: Column, f: Field, path: str, dynamic, kind: Column | None =
             return F.when(variant_kind(e) == "object", conform_object(e, f.properties, path + ".", d)[0])
 
         def elem_errors(e):
-            v, errs = conform_object(e, f.properties, path + ".", d)
-            return F.when(variant_kind(e) == "object", errs).otherwise(_err(F.lit(True), path, "expected an object"))
+            _, items = conform_object(e, f.properties, path + ".", d)
+            is_obj = variant_kind(e) == "object"
+            return _combine(_when_items(is_obj, items) + [(_err(~is_obj, path, "expected an object"), False)])
 
         value = F.transform(elems, elem_value)
         errs = F.flatten(F.transform(elems, elem_errors))
         bad_kind = present & ~kind.isin("array", "object")
-        return value, F.when(bad_kind, _err(F.lit(True), path, "expected an array of objects")) \
-            .otherwise(F.coalesce(errs, _no_errors()))
+        return value, [(errs, True), (_err(bad_kind, path, "expected an array of objects"), False)]
     if f.multi:
         elems = F.when(kind == "array", F.try_variant_get(x, "$", "array<variant>")) \
             .when(present, F.array(x))
         value = F.transform(elems, lambda e: _scalar(e, variant_kind(e), f, path)[0])
-        errs = F.flatten(F.transform(elems, lambda e: F.when(variant_kind(e).isin("null"), _no_errors())
-                                     .otherwise(_scalar(e, variant_kind(e), f, path)[1])))
-        return value, F.coalesce(errs, _no_errors())
-    is_array = kind.isin("array", "object") if f.type != "geo_point" else kind.isin("array_of_arrays")
-    value, errs = _scalar(x, kind, f, path)
+        errs = F.array_compact(F.transform(elems, lambda e: F.when(variant_kind(e) != "null",
+                                                                   _scalar(e, variant_kind(e), f, path)[1])))
+        return value, [(errs, True)]
+    is_array = kind.isin("array", "object") if f.type != "geo_point" else F.lit(False)
+    value, err = _scalar(x, kind, f, path)
     nv = _null_value(f)
     value = F.when(present & ~is_array, value)
     if nv is not None:
         value = F.when(kind == "null", nv).otherwise(value)
-    errs = F.when(is_array, _err(F.lit(True), path, "expected a single value")) \
-        .when(present, errs).otherwise(_no_errors())
-    return value, errs
+    err = F.when(is_array, F.struct(F.lit(path).alias("field"), F.lit("expected a single value").alias("reason"))) \
+        .when(present, err)
+    return value, [(err, False)]
 
 
-def conform_object(v: Column, props: Mapping[str, Field], prefix: str, dynamic) -> tuple[Column, Column]:
-    """Struct of the declared properties read from object variant ``v`` plus the concatenated errors."""
-    values, errors = [], []
+def conform_object(v: Column, props: Mapping[str, Field], prefix: str, dynamic) -> tuple[Column, list]:
+    """Struct of the declared properties read from object variant ``v`` plus the error items."""
+    values, items = [], []
     for name, f in props.items():
-        val, err = conform_value(child(v, name), f, prefix + name, dynamic)
+        val, errs = conform_value(child(v, name), f, prefix + name, dynamic)
         values.append(val.cast(f.spark_type()).alias(name))
-        errors.append(err)
+        items += errs
     if dynamic == "strict":
         extra = F.array_except(F.coalesce(object_keys(v), F.array().cast("array<string>")),
                                F.array(*[F.lit(k) for k in props]))
-        errors.append(_err(F.size(extra) > 0, prefix.rstrip(".") or "_root",
-                           F.concat(F.lit("strict mapping rejects undeclared field(s): "), F.array_join(extra, ","))))
-    return F.struct(*values), _concat_errors(errors)
+        items.append((_err(F.size(extra) > 0, prefix.rstrip(".") or "_root",
+                           F.concat(F.lit("strict mapping rejects undeclared field(s): "), F.array_join(extra, ","))), False))
+    return F.struct(*values), items
 
 
 def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr: Column | None = None,
@@ -240,24 +252,24 @@ def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr:
                         for i in range(len(names))])
     d = d.select("*", *[kind_of_schema(F.col(f"__s{i}")).alias(f"__k{i}") for i in range(len(names))])
     v = F.col("__doc")
-    cols, errs = [], []
+    cols, items = [], []
     not_object = ~F.coalesce(F.col("__isobj"), F.lit(False))
     for i, (name, f) in enumerate(collection.fields.items()):
         x, k = F.col(f"__v{i}"), F.col(f"__k{i}")
-        val, err = conform_value(x, f, name, collection.dynamic, k)
+        val, errs = conform_value(x, f, name, collection.dynamic, k)
         cols.append(val.cast(f.spark_type()).alias(name))
-        errs.append(err)
+        items += errs
         for sub, sf in (f.fields or {}).items():
-            sval, serr = conform_value(x, sf, f"{name}.{sub}", collection.dynamic, k)
+            sval, serrs = conform_value(x, sf, f"{name}.{sub}", collection.dynamic, k)
             cols.append(sval.cast(sf.spark_type()).alias(f"{name}__{sub}"))
-            errs.append(serr)
+            items += serrs
     if collection.dynamic == "strict":
         extra = F.array_except(F.coalesce(object_keys(v), F.array().cast("array<string>")),
                                F.array(*[F.lit(k) for k in collection.fields]))
-        errs.append(_err(F.size(extra) > 0, "_root",
-                         F.concat(F.lit("strict mapping rejects undeclared field(s): "), F.array_join(extra, ","))))
-    all_errs = F.when(not_object, _err(F.lit(True), "_root", "document is not a JSON object")) \
-        .otherwise(_concat_errors(errs))
+        items.append((_err(F.size(extra) > 0, "_root",
+                           F.concat(F.lit("strict mapping rejects undeclared field(s): "), F.array_join(extra, ","))), False))
+    root_err = F.array(F.struct(F.lit("_root").alias("field"), F.lit("document is not a JSON object").alias("reason")))
+    all_errs = F.when(not_object, root_err.cast(ERROR_TYPE)).otherwise(_combine(items))
     out = [*(keep or [])]
     if id_expr is not None:
         out.append(F.col("__id").cast("string").alias(ID_COL))
@@ -283,11 +295,11 @@ def _typed_scalar(c: Column, src: T.DataType, f: Field, path: str) -> tuple[Colu
     if f.multi or t in ("object", "nested", "geo_point"):
         return None
     if t in ("keyword", "text"):
-        return (c, _no_errors()) if isinstance(src, T.StringType) else None
+        return (c, None) if isinstance(src, T.StringType) else None
     if t in ("integer", "long"):
         lo, hi = INT_RANGE[t]
         if isinstance(src, (T.ByteType, T.ShortType, T.IntegerType)) or (t == "long" and isinstance(src, T.LongType)):
-            return c.cast(t if t == "long" else "int"), _no_errors()
+            return c.cast(t if t == "long" else "int"), None
         if isinstance(src, (T.LongType, T.DecimalType, T.DoubleType, T.FloatType)):
             d = c.cast("double") if not isinstance(src, (T.LongType, T.DecimalType)) else c.cast("decimal(38,6)")
             whole = d == F.floor(d)
@@ -302,13 +314,13 @@ def _typed_scalar(c: Column, src: T.DataType, f: Field, path: str) -> tuple[Colu
             if t == "float":
                 ok = F.abs(v) <= F.lit(FLOAT_MAX)
                 return F.when(ok, v.cast("float")), _err(present & ~ok, path, "expected a number for float")
-            return v, _no_errors()
+            return v, None
         return None
     if t == "boolean":
-        return (c, _no_errors()) if isinstance(src, T.BooleanType) else None
+        return (c, None) if isinstance(src, T.BooleanType) else None
     if t == "date":
         if isinstance(src, (T.TimestampNTZType, T.TimestampType, T.DateType)):
-            return F.date_trunc("millisecond", c.cast("timestamp")).cast("timestamp_ntz"), _no_errors()
+            return F.date_trunc("millisecond", c.cast("timestamp")).cast("timestamp_ntz"), None
         if isinstance(src, T.StringType):
             v = F.date_trunc("millisecond", parse_date(c, f.date_formats())).cast("timestamp_ntz")
             return v, _err(present & v.isNull(), path, "date does not match format " + (f.format or "default"))
@@ -328,7 +340,7 @@ def conform_frame(df: DataFrame, collection: Collection, id_expr: Column | None
     plan = {}
     for name, f in collection.fields.items():
         if name not in src:
-            plan[name] = (F.lit(None).cast(f.spark_type()), _no_errors())
+            plan[name] = (F.lit(None).cast(f.spark_type()), None)
             continue
         r = _typed_scalar(F.col(name), src[name], f, name)
         if r is None or any(_typed_scalar(F.col(name), src[name], sf, f"{name}.{sub}") is None
@@ -362,7 +374,7 @@ def conform_frame(df: DataFrame, collection: Collection, id_expr: Column | None
             names_present = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in undeclared]))
             errs.append(_err(F.size(names_present) > 0, "_root",
                              F.concat(F.lit("strict mapping rejects undeclared field(s): "), F.array_join(names_present, ","))))
-    out.append(_concat_errors(errs).alias(ERRORS_COL))
+    out.append(_combine([(e, False) for e in errs if e is not None]).alias(ERRORS_COL))
     return df.select(*out)
 
 
