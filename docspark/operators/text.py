@@ -350,3 +350,38 @@ def match_index(spark, path: str, query: str, id_col: str = ID_COL, analyzer: An
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl))
     part = idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
     return hits.groupBy(id_col).agg(F.sum(part).alias(SCORE_COL))
+
+
+# ----------------------------------------------------------------------------------------------------------------
+# Field-level analysers and text search (T7 + P4 + P5 + O5)
+# ----------------------------------------------------------------------------------------------------------------
+
+def field_analyzers(collection, field: str) -> tuple[Analyzer, Analyzer]:
+    """(index, search) analysers of a declared text field, resolved by name from ``settings['analysis']``
+    (name → :class:`Analyzer`); unnamed means the standard chain; no search analyser means the index one."""
+    f = collection.field_at(field)
+    if f is None or f.type != "text":
+        raise ValueError(f"{field!r} is not a declared text field")
+    registry = dict(collection.settings.get("analysis", {})) if collection.settings else {}
+
+    def resolve(name):
+        if name is None:
+            return None
+        if name not in registry:
+            raise ValueError(f"analyzer {name!r} is not defined in the collection's analysis settings")
+        return registry[name]
+
+    index = resolve(f.analyzer) or Analyzer()
+    return index, resolve(f.search_analyzer) or index
+
+
+def match_search(df: DataFrame, collection, field: str, query: str, filter: Column | None = None,
+                 sort=None, size: int = 10, from_: int = 0, id_col: str = ID_COL):
+    """``bool(must=match(field, query), filter=...)``: BM25 over the whole collection (statistics are not
+    affected by the filter), hits restricted by ``filter``, sorted by ``_score`` descending unless ``sort`` says
+    otherwise, then paged like any search. Returns a :class:`~docspark.operators.search.SearchResult`."""
+    from .search import search
+    index, search_an = field_analyzers(collection, field)
+    scores = bm25(df, field, query, id_col, index, search_an)
+    hits = df.join(maybe_broadcast(scores, 1_000_000), id_col)
+    return search(hits, filter, sort or [(SCORE_COL, "desc")], size, from_, id_col=id_col)

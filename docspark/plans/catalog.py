@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import predicates as P
 from ..operators import aggs as A
@@ -945,11 +945,14 @@ FROM sc ORDER BY rank LIMIT 20
 """))
 def match_bool_top(spark, sf):
     """P5 + O5: bool(must=match, filter=lang) sorted by score; statistics over the whole collection."""
-    docs = read(spark, sf, "documents")
-    scored = X.bm25(docs, "text", MATCH_QUERY, "doc_id", keep=["lang"]).filter(P.term("lang", "en"))
-    scored = scored.withColumn("score", F.round("_score", 6))
-    res = Q.search(scored, None, sort=[("score", "desc")], size=20, id_col="doc_id")
-    return Q.with_rank(res.page, res.specs).select("rank", "doc_id", "score")
+    docs = read(spark, sf, "documents").select("doc_id", "text", "lang")
+    coll = Collection("documents", {"doc_id": Field("long"), "text": Field("text"), "lang": Field("keyword")})
+    res = X.match_search(docs, coll, "text", MATCH_QUERY, filter=P.term("lang", "en"), size=20, id_col="doc_id")
+    page = res.page.withColumn("score", F.round("_score", 6))
+    # rank by the rounded score (ties then by id), the same key the oracle orders by
+    w = Window.orderBy(F.desc("score"), F.asc("doc_id"))      # over the 20-row page only
+    return page.select("doc_id", "score").withColumn("rank", F.row_number().over(w).cast("long")) \
+        .select("rank", "doc_id", "score")
 
 
 # ----------------------------------------------------------------------------------------------------------------

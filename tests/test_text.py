@@ -75,3 +75,18 @@ def test_large_dictionary_uses_join_path(spark, monkeypatch):
     docs = spark.createDataFrame([("n1", "삼성 노트북 구매"), ("n2", "애플 아이폰 리뷰")], "_id string, title string")
     hits = X.bm25(docs, "title", "노트북을", index_analyzer=X.Analyzer(user_dictionary=rules)).collect()
     assert [h["_id"] for h in hits] == ["n1"]
+
+
+def test_match_search_with_field_analysers(spark):
+    from docspark.functions import predicates as P
+    from docspark.schema import Collection, Field
+    presets = X.korean_analysis(synonyms=["노트북, 랩탑"], user_dictionary_rules=["노트북"])
+    coll = Collection("nori_article", {
+        "id": Field("keyword"),
+        "title": Field("text", analyzer="korean", search_analyzer="korean_search"),
+        "lang": Field("keyword")},
+        settings={"analysis": {"korean": presets["index"], "korean_search": presets["search"]}})
+    docs = spark.createDataFrame([("a", "노트북을 샀다", "ko"), ("b", "노트북 노트북 추천", "ko"), ("c", "랩탑 리뷰", "en"),
+                                  ("d", "휴대폰", "ko")], "_id string, title string, lang string")
+    res = X.match_search(docs, coll, "title", "랩탑", filter=P.term("lang", "ko"))
+    assert [r["_id"] for r in res.hits().collect()] == ["b", "a"] and res.total() == 2
