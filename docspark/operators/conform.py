@@ -172,13 +172,15 @@ def _null_value(f: Field) -> Column | None:
 # Fields and objects
 # ----------------------------------------------------------------------------------------------------------------
 
-def conform_value(x: Column, f: Field, path: str, dynamic, kind: Column | None = None) -> tuple[Column, list]:
+def conform_value(x: Column, f: Field, path: str, dynamic, kind: Column | None = None,
+                  pre: dict | None = None) -> tuple[Column, list]:
     """Value of field ``f`` from variant ``x`` (already the field's own value) plus its error items. ``kind`` may
-    be passed in when it was computed by an earlier projection."""
+    be passed in when it was computed by an earlier projection; ``pre`` maps dotted paths of object descendants to
+    their precomputed (value, kind) columns."""
     kind = variant_kind(x) if kind is None else kind
     present = kind.isNotNull() & (kind != "null")
     if f.type == "object":
-        value, items = conform_object(x, f.properties, path + ".", f.dynamic if f.dynamic is not None else dynamic)
+        value, items = conform_object(x, f.properties, path + ".", f.dynamic if f.dynamic is not None else dynamic, pre)
         is_obj = kind == "object"
         return (F.when(is_obj, value),
                 _when_items(is_obj, items) + [(_err(present & ~is_obj, path, "expected an object"), False)])
@@ -217,11 +219,16 @@ def conform_value(x: Column, f: Field, path: str, dynamic, kind: Column | None =
     return value, [(err, False)]
 
 
-def conform_object(v: Column, props: Mapping[str, Field], prefix: str, dynamic) -> tuple[Column, list]:
+def conform_object(v: Column, props: Mapping[str, Field], prefix: str, dynamic,
+                   pre: dict | None = None) -> tuple[Column, list]:
     """Struct of the declared properties read from object variant ``v`` plus the error items."""
     values, items = [], []
     for name, f in props.items():
-        val, errs = conform_value(child(v, name), f, prefix + name, dynamic)
+        if pre and (prefix + name) in pre:
+            cx, ck = pre[prefix + name]
+            val, errs = conform_value(cx, f, prefix + name, dynamic, ck, pre)
+        else:
+            val, errs = conform_value(child(v, name), f, prefix + name, dynamic)
         values.append(val.cast(f.spark_type()).alias(name))
         items += errs
     if dynamic == "strict":
@@ -248,19 +255,34 @@ def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr:
     d = d.select("*", *[child(F.col("__doc"), n).alias(f"__v{i}") for i, n in enumerate(names)],
                  *([] if is_object is not None else
                    [(F.col("__doc").isNotNull() & F.schema_of_variant(F.col("__doc")).startswith("OBJECT")).alias("__isobj")]))
-    d = d.select("*", *[F.when(F.col(f"__v{i}").isNotNull(), F.schema_of_variant(F.col(f"__v{i}"))).alias(f"__s{i}")
-                        for i in range(len(names))])
-    d = d.select("*", *[kind_of_schema(F.col(f"__s{i}")).alias(f"__k{i}") for i in range(len(names))])
+    # descendants of object fields (not inside arrays) are extracted level by level as columns too
+    pre_cols: dict[str, str] = {}
+    level = [(n, f"__v{i}", collection.fields[n]) for i, n in enumerate(names) if collection.fields[n].type == "object"]
+    while level:
+        nxt, exprs = [], []
+        for path, col, f in level:
+            for cname, cf in f.properties.items():
+                cpath, ccol = f"{path}.{cname}", f"__p{len(pre_cols)}"
+                pre_cols[cpath] = ccol
+                exprs.append(child(F.col(col), cname).alias(ccol))
+                if cf.type == "object":
+                    nxt.append((cpath, ccol, cf))
+        d = d.select("*", *exprs)
+        level = nxt
+    value_cols = [f"__v{i}" for i in range(len(names))] + list(pre_cols.values())
+    d = d.select("*", *[F.when(F.col(c).isNotNull(), F.schema_of_variant(F.col(c))).alias(f"{c}_s") for c in value_cols])
+    d = d.select("*", *[kind_of_schema(F.col(f"{c}_s")).alias(f"{c}_k") for c in value_cols])
+    pre = {p: (F.col(c), F.col(f"{c}_k")) for p, c in pre_cols.items()}
     v = F.col("__doc")
     cols, items = [], []
     not_object = ~F.coalesce(F.col("__isobj"), F.lit(False))
     for i, (name, f) in enumerate(collection.fields.items()):
-        x, k = F.col(f"__v{i}"), F.col(f"__k{i}")
-        val, errs = conform_value(x, f, name, collection.dynamic, k)
+        x, k = F.col(f"__v{i}"), F.col(f"__v{i}_k")
+        val, errs = conform_value(x, f, name, collection.dynamic, k, pre)
         cols.append(val.cast(f.spark_type()).alias(name))
         items += errs
         for sub, sf in (f.fields or {}).items():
-            sval, serrs = conform_value(x, sf, f"{name}.{sub}", collection.dynamic, k)
+            sval, serrs = conform_value(x, sf, f"{name}.{sub}", collection.dynamic, k, pre)
             cols.append(sval.cast(sf.spark_type()).alias(f"{name}__{sub}"))
             items += serrs
     if collection.dynamic == "strict":
