@@ -439,18 +439,46 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, partitions: int | No
     return lo + (hi - lo) * frac
 
 
+# Groups up to this many values take Spark's exact per-group median directly (its buffer is bounded by the group);
+# larger groups go through the distributed rank selection.
+MEDIAN_GROUP_BOUND = 1_000_000
+
+
 def grouped_exact_median(df: DataFrame, key: str | Column, value: str | Column, key_name: str = "key",
-                         partitions: int | None = None) -> DataFrame:
-    """(key, median) for every key, exact (mean of the two middle values for even counts), without holding any
-    group in one task: values are counted per (key, value) (partial aggregation), range-partitioned on
-    (key, value) so a hot key spreads over many partitions, and checkpointed. Per (key, partition) counts (at most
-    one row per partition a key spans) give each slice its starting rank; a running sum inside each slice then
-    finds the rows holding the middle ranks."""
+                         partitions: int | None = None, group_bound: int | None = None) -> DataFrame:
+    """(key, median) for every key, exact (mean of the two middle values for even counts).
+
+    Group sizes are counted first (partial aggregation). Keys with at most ``group_bound`` values use the built-in
+    per-group ``median``, whose buffer is bounded by that size. Hot keys (found by the bounded size check) go
+    through :func:`_distributed_group_median`, which never holds one group in one task."""
+    bound = group_bound or MEDIAN_GROUP_BOUND
+    vals = df.select(_c(key).alias("k"), _c(value).cast("double").alias("x")).filter(F.col("x").isNotNull() & F.col("k").isNotNull())
+    hot = vals.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bound).select("k")
+    from ..plans.sizing import at_most
+    from ..functions.sorting import reduce_array
+
+    def bounded(frame: DataFrame) -> DataFrame:
+        # each group holds at most ``bound`` values: sort them and take the middle
+        return frame.groupBy(F.col("k").alias(key_name)).agg(F.collect_list("x").alias("__xs")) \
+            .select(key_name, reduce_array(F.col("__xs"), "median").alias("median"))
+
+    if at_most(hot, 0):
+        return bounded(vals)
+    hot_side = F.broadcast(hot) if at_most(hot, 1_000_000) else hot
+    small = bounded(vals.join(hot_side, "k", "left_anti"))
+    big = _distributed_group_median(vals.join(hot_side, "k", "left_semi"), key_name, partitions)
+    return small.unionByName(big)
+
+
+def _distributed_group_median(vals: DataFrame, key_name: str, partitions: int | None = None) -> DataFrame:
+    """Exact per-key median by rank selection: values are counted per (key, value) (partial aggregation),
+    range-partitioned on (key, value) so a hot key spreads over many partitions, and checkpointed. Per
+    (key, partition) counts (at most one row per partition a key spans) give each slice its starting rank; a
+    running sum inside each slice then finds the rows holding the middle ranks."""
     from ..session import ensure_checkpoint_dir
-    spark = df.sparkSession
+    spark = vals.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = df.select(_c(key).alias("k"), _c(value).cast("double").alias("x")).filter(F.col("x").isNotNull() & F.col("k").isNotNull())
     vc = vals.groupBy("k", "x").agg(F.count(F.lit(1)).alias("c"))
     ranged = vc.repartitionByRange(n_parts, "k", "x").withColumn("pid", F.spark_partition_id()).checkpoint(eager=True)
     slices = ranged.groupBy("k", "pid").agg(F.sum("c").alias("n"))

@@ -91,6 +91,7 @@ def test_top_hits_and_significant_terms(spark, nums):
 def test_grouped_exact_median_with_hot_key(spark):
     rows = [("hot", float(i % 97)) for i in range(3000)] + [("a", 1.0), ("a", 4.0), ("b", 2.0), ("c", None)]
     df = spark.createDataFrame(rows, "k string, x double")
-    got = {r["key"]: r["median"] for r in A.grouped_exact_median(df, "k", "x").collect()}
     want = {r["k"]: r["m"] for r in df.groupBy("k").agg(F.median("x").alias("m")).collect() if r["m"] is not None}
-    assert got == want
+    for bound in (None, 100, 1):       # all small / one hot key / every key hot
+        got = {r["key"]: r["median"] for r in A.grouped_exact_median(df, "k", "x", group_bound=bound).collect()}
+        assert got == want
