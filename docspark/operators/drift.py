@@ -108,30 +108,33 @@ def _typed_null(dt: T.DataType) -> Column:
     return F.lit(None).cast(dt)
 
 
+def reshape(c: Column, src: T.DataType, dst: T.DataType) -> Column:
+    """Bring a value of type ``src`` to type ``dst`` when ``dst`` only adds fields: structs are rebuilt field by
+    field (new fields as typed nulls, a null struct stays null), arrays are reshaped element-wise with
+    ``transform``, anything else is cast."""
+    if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
+        have = {f.name: f.dataType for f in src.fields}
+        fields = [(reshape(c.getField(f.name), have[f.name], f.dataType) if f.name in have else _typed_null(f.dataType))
+                  .alias(f.name) for f in dst.fields]
+        return F.when(c.isNull(), _typed_null(dst)).otherwise(F.struct(*fields))
+    if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType):
+        if src.elementType == dst.elementType:
+            return c
+        return F.transform(c, lambda e: reshape(e, src.elementType, dst.elementType))
+    return c if src == dst else c.cast(dst)
+
+
 def evolve_additive(df: DataFrame, old: Collection, new: Collection) -> DataFrame:
-    """Add the fields ``new`` declares beyond ``old`` (nested ones with ``withField``), refusing when any
-    existing field changed. The result has the new table schema; existing values are untouched."""
+    """Add the fields ``new`` declares beyond ``old`` (also inside objects and nested arrays), refusing when
+    any existing field changed. The result has the new table schema; existing values are untouched. A projection,
+    not DDL, so it works on any table format."""
     d = diff_collections(new, old)
     if d.is_breaking:
         raise BreakingChangeError("breaking mapping change: " + ", ".join(c["field"] for c in d.changed_fields),
                                   [c["field"] for c in d.changed_fields])
-    out = df
     target = new.struct_type()
-    for path in d.added_fields:
-        parts = path.split(".")
-        f = new.field_at(path)
-        if len(parts) == 1:
-            out = out.withColumn(path, _typed_null(f.spark_type()))
-            for sub, sf in (f.fields or {}).items():
-                out = out.withColumn(f"{path}__{sub}", _typed_null(sf.spark_type()))
-        else:
-            parent_path = ".".join(parts[:-1])
-            parent = new.field_at(parent_path)
-            top = parts[0]
-            if parent.type == "nested" or any(new.field_at(".".join(parts[:i])).type == "nested"
-                                               for i in range(1, len(parts))):
-                out = out.withColumn(top, F.col(top).cast(target[top].dataType))
-            else:
-                out = out.withColumn(top, F.col(top).withField(".".join(parts[1:]), _typed_null(f.spark_type())))
-    return out.select(*[F.col(c).cast(target[c].dataType).alias(c) if c in target.fieldNames() else F.col(c)
-                        for c in out.columns])
+    have = {f.name: f.dataType for f in df.schema.fields}
+    cols = [reshape(F.col(f.name), have[f.name], f.dataType).alias(f.name) if f.name in have
+            else _typed_null(f.dataType).alias(f.name) for f in target.fields if f.name in have or f.name != "_id"]
+    extra = [F.col(c) for c in df.columns if c not in target.fieldNames()]
+    return df.select(*cols, *extra)

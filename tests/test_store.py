@@ -84,3 +84,27 @@ def test_migrate_requires_alias(store):
     store.create(IM_SIMPLE)
     with pytest.raises(MigrationError):
         store.migrate(IM_SIMPLE, Collection("im_simple", {"id": Field("keyword")}, version=2, use_alias=False))
+
+
+def test_additive_evolution_inside_nested_arrays(spark):
+    old = Collection("n", {"lines": Field("nested", properties={"q": Field("integer")})})
+    new = Collection("n", {"lines": Field("nested", properties={"q": Field("integer"), "note": Field("keyword"),
+                                                                "who": Field("object", properties={"id": Field("keyword")})})})
+    df = spark.createDataFrame([("1", [(1,), (2,)]), ("2", None)], "_id string, lines array<struct<q:int>>")
+    out = {r["_id"]: r for r in evolve_additive(df, old, new).collect()}
+    assert [(e["q"], e["note"], e["who"]) for e in out["1"]["lines"]] == [(1, None, None), (2, None, None)]
+    assert out["2"]["lines"] is None
+
+
+def test_partial_update_respects_present_keys(spark):
+    from docspark.operators.writes import partial_update
+    base = spark.createDataFrame([("a", 1, "x", ("s1", 5)), ("b", 2, "y", None)],
+                                 "_id string, n int, t string, seller struct<id:string,rating:int>")
+    changes = spark.createDataFrame([("a", None, "X", ("s9",), ["t", "seller"]), ("b", 20, None, ("s2",), ["n", "seller"]),
+                                     ("zz", 1, "q", None, ["n"])],
+                                    "_id string, n int, t string, seller struct<id:string>, _present array<string>")
+    new, unmatched = partial_update(base, changes, order_col=None)
+    rows = {r["_id"]: r for r in new.collect()}
+    assert (rows["a"]["n"], rows["a"]["t"], rows["a"]["seller"]["id"], rows["a"]["seller"]["rating"]) == (1, "X", "s9", 5)
+    assert (rows["b"]["n"], rows["b"]["t"], rows["b"]["seller"]["id"], rows["b"]["seller"]["rating"]) == (20, "y", "s2", None)
+    assert [r["_id"] for r in unmatched.collect()] == ["zz"]
