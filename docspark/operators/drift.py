@@ -17,7 +17,7 @@ from typing import Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..errors import BreakingChangeError
-from ..schema import Collection, Field, flatten_paths
+from ..schema import Collection, flatten_paths
 from .conform import observed_paths
 
 

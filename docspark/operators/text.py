@@ -21,8 +21,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from dataclasses import dataclass, field, replace
-from functools import reduce
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 

@@ -85,7 +85,6 @@ def customers(spark, sf) -> DataFrame:
     return with_id(read(spark, sf, "customer"), "c_custkey")
 
 
-ID_SQL = "CAST({k} AS VARCHAR) AS _id"
 
 
 # ----------------------------------------------------------------------------------------------------------------
