@@ -241,9 +241,10 @@ def conform_object(v: Column, props: Mapping[str, Field], prefix: str, dynamic,
 
 def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr: Column | None = None,
                     keep: list[str] | None = None, keep_source: bool = True,
-                    is_object: Column | None = None) -> DataFrame:
+                    is_object: Column | None = None, id_field: str | None = None) -> DataFrame:
     """C1-C11 on a VARIANT document column. Output: ``_id``, declared fields, multi-field columns ``f__sub``,
-    optionally ``_source`` (the whole document, C5/C7) and ``_errors``; ``keep`` columns are passed through."""
+    optionally ``_source`` (the whole document, C5/C7) and ``_errors``; ``keep`` columns are passed through.
+    The id (U1) is ``id_expr`` over the input columns, or the text of the document's top-level ``id_field``."""
     if collection.dynamic not in DYNAMIC_MODES:
         raise ValueError(collection.dynamic)
     # Stage 1 extracts each top-level value and its JSON kind once; stage 2 converts. Two small projections keep
@@ -295,6 +296,8 @@ def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr:
     out = [*(keep or [])]
     if id_expr is not None:
         out.append(F.col("__id").cast("string").alias(ID_COL))
+    elif id_field is not None:
+        out.append(F.try_variant_get(F.col("__doc"), _path(id_field), "string").alias(ID_COL))
     out += cols
     if keep_source:
         out.append(v.alias(SOURCE_COL))
@@ -303,11 +306,11 @@ def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr:
 
 
 def conform_json(df: DataFrame, collection: Collection, raw_col: str = "doc", id_expr: Column | None = None,
-                 keep: list[str] | None = None, keep_source: bool = True) -> DataFrame:
+                 keep: list[str] | None = None, keep_source: bool = True, id_field: str | None = None) -> DataFrame:
     """S2 + C1: JSON text documents → typed rows. Unparseable text is an error row, not a failed job."""
     parsed = F.try_parse_json(F.col(raw_col))
     looks_like_object = F.ltrim(F.col(raw_col)).startswith("{") & parsed.isNotNull()
-    return conform_variant(df, collection, parsed, id_expr, keep, keep_source, looks_like_object)
+    return conform_variant(df, collection, parsed, id_expr, keep, keep_source, looks_like_object, id_field)
 
 
 def _typed_scalar(c: Column, src: T.DataType, f: Field, path: str) -> tuple[Column, Column] | None:

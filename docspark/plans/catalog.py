@@ -608,8 +608,7 @@ FROM orders
 def conform_orders(spark, sf):
     """S2 + C1 + C10: orders as JSON text → typed rows, with the ``raw`` multi-field."""
     docs = read(spark, sf, "orders").select(F.to_json(F.struct("*")).alias("doc"))
-    conformed = C.conform_json(docs, ORDERS, "doc", F.try_variant_get(F.try_parse_json("doc"), "$.o_orderkey", "string"),
-                               keep_source=False)
+    conformed = C.conform_json(docs, ORDERS, "doc", keep_source=False, id_field="o_orderkey")
     return conformed.select(ID_COL, "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                             "o_orderpriority", "o_orderpriority__raw", F.size(ERRORS_COL).alias("n_errors"))
 
@@ -649,7 +648,7 @@ def conform_runtime(spark, sf):
     """Only the key is declared; the price stays in the kept source and is read as a runtime field."""
     docs = read(spark, sf, "orders").select(F.to_json(F.struct("*")).alias("doc"))
     coll = Collection("orders_rt", {"o_orderkey": Field("long")}, dynamic="runtime")
-    conformed = C.conform_json(docs, coll, "doc", F.try_variant_get(F.try_parse_json("doc"), "$.o_orderkey", "string"))
+    conformed = C.conform_json(docs, coll, "doc", id_field="o_orderkey")
     price = C.runtime_field("o_totalprice", "double")
     return conformed.filter(price > 300000).select(ID_COL, price.alias("o_totalprice"))
 

@@ -140,7 +140,8 @@ class DocStore:
 
     # ----- document writes ---------------------------------------------------------------------------------------
     def bulk_index(self, coll: Collection, docs: DataFrame, raw_col: str | None = "doc", id_expr: Column | None = None,
-                   order_col: str | None = None, throw_on_failure: bool = False) -> W.BulkResult:
+                   order_col: str | None = None, throw_on_failure: bool = False,
+                   id_field: str | None = None) -> W.BulkResult:
         """Conform JSON (``raw_col``) or typed documents, upsert the accepted ones (last duplicate id wins),
         publish, and report counts. With ``throw_on_failure`` nothing is published when any document failed."""
         name = coll.logical_name
@@ -150,10 +151,15 @@ class DocStore:
             order_col = W.ORDER_COL
         keep = [order_col]
         if raw_col is not None:
-            conformed = C.conform_json(docs, coll, raw_col, id_expr, keep=keep, keep_source=SOURCE_COL in base.columns)
+            conformed = C.conform_json(docs, coll, raw_col, id_expr, keep=keep, keep_source=SOURCE_COL in base.columns,
+                                       id_field=id_field)
         else:
             conformed = C.conform_frame(docs, coll, id_expr, keep=keep)
-        if id_expr is None:
+        if id_expr is None and id_field is not None:
+            conformed = conformed.withColumn(ID_COL, F.coalesce(F.col(ID_COL), C.generated_id(
+                coll.version, [c for c in conformed.columns if c not in (ERRORS_COL, SOURCE_COL, order_col, ID_COL)],
+                F.col(order_col))))
+        elif id_expr is None:
             conformed = conformed.withColumn(ID_COL, C.generated_id(
                 coll.version, [c for c in conformed.columns if c not in (ERRORS_COL, SOURCE_COL, order_col)],
                 F.col(order_col)))
