@@ -972,3 +972,100 @@ def search_template(spark, sf):
             "AND o_totalprice >= :min_price ORDER BY o_totalprice DESC, o_orderkey LIMIT :size OFFSET :from")
     return reg.search(spark, "orders_by_priority", {"priority": "2-HIGH", "min_price": 200000},
                       size=25, from_=10, frames={"orders": read(spark, sf, "orders")})
+
+
+# ----------------------------------------------------------------------------------------------------------------
+# More paths: keyset with nulls, bool clauses, stoptags, token index, multi-valued counts, unmatched deletes
+# ----------------------------------------------------------------------------------------------------------------
+
+@register("cursor_nulls_mixed", """
+WITH d AS (SELECT CAST(o_orderkey AS VARCHAR) AS _id,
+                  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS prio, o_totalprice
+           FROM orders)
+SELECT row_number() OVER (ORDER BY prio DESC NULLS LAST, o_totalprice ASC, _id) AS rank, _id, prio, o_totalprice
+FROM d ORDER BY prio DESC NULLS LAST, o_totalprice ASC, _id LIMIT 100 OFFSET 200
+""")
+def cursor_nulls_mixed(spark, sf):
+    """O9 with a nullable first key (nulls last) in descending order: the third cursor page of 100."""
+    df = orders(spark, sf).select(ID_COL, F.when(F.col("o_orderstatus") == "P", F.lit(None))
+                                  .otherwise(F.col("o_orderpriority")).alias("prio"), "o_totalprice")
+    sort = [("prio", "desc"), ("o_totalprice", "asc")]
+    cursor = None
+    for _ in range(2):
+        cursor = Q.search(df, None, sort=sort, size=100, after=cursor).next_cursor()
+    res = Q.search(df, None, sort=sort, size=100, after=cursor)
+    return Q.with_rank(res.page, res.specs, offset=200).select("rank", ID_COL, "prio", "o_totalprice")
+
+
+@register("search_bool_clauses", """
+SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_orderstatus, o_orderpriority, o_totalprice FROM orders
+WHERE o_totalprice >= 50000
+  AND (o_orderpriority = '1-URGENT' OR o_orderpriority = '2-HIGH' OR o_totalprice > 400000)
+  AND NOT coalesce(o_orderstatus = 'F', false)
+""")
+def search_bool_clauses(spark, sf):
+    """P5: filter + should (one must match) + must_not; every matching document."""
+    q = P.bool_(filter=[P.range_("o_totalprice", gte=50000)],
+                should=[P.term("o_orderpriority", "1-URGENT"), P.term("o_orderpriority", "2-HIGH"),
+                        P.range_("o_totalprice", gt=400000)],
+                minimum_should_match=1, must_not=[P.term("o_orderstatus", "F")])
+    return Q.search(orders(spark, sf), q).filtered.select(ID_COL, "o_orderstatus", "o_orderpriority", "o_totalprice")
+
+
+@register("tokens_stoptags", rf"""
+WITH t AS (SELECT doc_id, list_filter({_TOKENS_SQL}, lambda x: NOT regexp_full_match(x, '\p{{N}}+')) AS toks FROM documents)
+SELECT doc_id, CAST(i - 1 AS BIGINT) AS pos, toks[i] AS token
+FROM t, LATERAL (SELECT unnest(generate_series(1, len(toks))) AS i)
+""")
+def tokens_stoptags(spark, sf):
+    """T5: tokens tagged as numbers (SN) removed by the part-of-speech filter."""
+    return X.tokens(read(spark, sf, "documents"), "text", "doc_id", X.Analyzer(stoptags=("SN",)))
+
+
+@register("match_token_index", _bm25_sql(top="SELECT doc_id, round(score, 6) AS score FROM sc"))
+def match_token_index(spark, sf):
+    """T7 + T8 through a persisted token index (terms sorted by token, lengths) in the checkpoint folder."""
+    from .sizing import scratch_path
+    docs = read(spark, sf, "documents")
+    path = scratch_path(spark, "token-index")
+    X.build_token_index(docs, "text", path, id_col="doc_id")
+    return X.match_index(spark, path, MATCH_QUERY, id_col="doc_id").select("doc_id", F.round("_score", 6).alias("score"))
+
+
+@register("agg_value_count_multi", rf"""
+SELECT CAST(sum(len({_TOKENS_SQL})) AS BIGINT) AS n_tokens,
+       CAST(count(*) AS BIGINT) AS n_docs,
+       count(DISTINCT lang) AS n_langs
+FROM documents
+""")
+def agg_value_count_multi(spark, sf):
+    """G12 on a multi-valued field (every array element counts) fused with other metrics."""
+    docs = read(spark, sf, "documents").select("doc_id", "lang", X.analyze(F.col("text")).alias("words"))
+    return A.metrics(docs, {"n_tokens": A.ValueCount("words", multi=True), "n_docs": A.ValueCount("doc_id"),
+                            "n_langs": A.Cardinality("lang", exact=True)})
+
+
+@register("delete_ids_unmatched", """
+SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS _id FROM orders
+WHERE o_orderstatus = 'F' AND o_custkey IS NOT NULL
+  AND CAST(o_custkey AS VARCHAR) NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer)
+""")
+def delete_ids_unmatched(spark, sf):
+    """The requested ids that matched no stored document are reported."""
+    ids = read(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").cast("string").alias(ID_COL))
+    _, unmatched = W.delete_ids(customers(spark, sf), ids)
+    return unmatched
+
+
+@register("agg_top_hits_all", """
+SELECT '_all' AS bucket, count(*) OVER () AS total,
+       row_number() OVER (ORDER BY l_extendedprice DESC, _id) AS hit_rank, _id, l_extendedprice
+FROM (SELECT *, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
+                 || '-' || CAST(l_suppkey AS VARCHAR) AS _id FROM lineitem)
+QUALIFY hit_rank <= 5
+""")
+def agg_top_hits_all(spark, sf):
+    """G14 without buckets: the five most expensive line items and the total."""
+    li = with_id(read(spark, sf, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    out = A.top_hits(li, A.TopHits(None, [("l_extendedprice", "desc")], size=5, source=[ID_COL, "l_extendedprice"]))
+    return out.select("bucket", "total", F.col("hit_rank").cast("long").alias("hit_rank"), ID_COL, "l_extendedprice")
