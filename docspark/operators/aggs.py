@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from ..functions.dates import iso_string, to_epoch_millis
 from ..functions.ip import cidr_bounds, ip_key, key_bytes, key_to_string
 from ..functions.sorting import key_column, order_column, parse_sort, with_tiebreak
+from ..plans.sizing import partitions_for
 from ..schema import ID_COL
 
 
@@ -409,7 +410,7 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, partitions: int | No
     ensure_checkpoint_dir(spark)
     vals = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
     vc = vals.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = partitions or partitions_for(vals)
     ordered = vc.repartitionByRange(n_parts, "x").sortWithinPartitions("x").withColumn("pid", F.spark_partition_id())
     ordered = ordered.checkpoint(eager=True)
     totals = ordered.groupBy("pid").agg(F.sum("c").alias("n")).collect()
@@ -478,7 +479,7 @@ def _distributed_group_median(vals: DataFrame, key_name: str, partitions: int |
     from ..session import ensure_checkpoint_dir
     spark = vals.sparkSession
     ensure_checkpoint_dir(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = partitions or partitions_for(vals)
     vc = vals.groupBy("k", "x").agg(F.count(F.lit(1)).alias("c"))
     ranged = vc.repartitionByRange(n_parts, "k", "x").withColumn("pid", F.spark_partition_id()).checkpoint(eager=True)
     slices = ranged.groupBy("k", "pid").agg(F.sum("c").alias("n"))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.sorting import key_column, key_name, order_column, parse_sort, with_tiebreak
 from ..schema import ID_COL
+from ..plans.sizing import partitions_for
 from ..session import ensure_checkpoint_dir
 
 DEFAULT_BATCH_SIZE = 1000
@@ -36,7 +37,7 @@ def global_index(df: DataFrame, sort: Sequence | None = None, id_col: str = ID_C
     specs = with_tiebreak(parse_sort(sort), id_col)
     names = [key_name(i) for i in range(len(specs))]
     keyed = df.select("*", *[key_column(s).alias(n) for n, s in zip(names, specs)])
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or partitions_for(keyed)
     orders = [order_column(nm, s) for nm, s in zip(names, specs)]
     ordered = keyed.repartitionByRange(n, *orders).sortWithinPartitions(*orders)
     ordered = ordered.checkpoint(eager=True)

@@ -25,7 +25,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.sizing import collect_bounded, ensure_parallelism, maybe_broadcast
+from ..plans.sizing import collect_bounded, ensure_parallelism, maybe_broadcast, partitions_for
 from ..schema import ID_COL, SCORE_COL
 
 # Fixed value: token separator pattern (runs of anything that is not a letter or a digit).
@@ -327,8 +327,8 @@ def build_token_index(df: DataFrame, text_col: str, path: str, id_col: str = ID_
     """Write ``{path}/terms`` range-partitioned and sorted by token (row-group statistics then prune a match
     query to the files and row groups holding its tokens) and ``{path}/lengths`` (id, dl)."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     terms = token_table(df, text_col, id_col, analyzer)
+    n = partitions or partitions_for(df)
     terms.repartitionByRange(n, "token").sortWithinPartitions("token", id_col) \
         .write.mode("overwrite").parquet(f"{path}/terms")
     doc_lengths(df, text_col, id_col, analyzer).write.mode("overwrite").parquet(f"{path}/lengths")

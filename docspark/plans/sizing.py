@@ -48,3 +48,21 @@ def scratch_path(spark, name: str) -> str:
     import uuid
     from ..session import ensure_checkpoint_dir
     return ensure_checkpoint_dir(spark).rstrip("/") + f"/docspark-{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Target bytes per partition for the partition counts this library chooses itself (range partitions for ordered
+# scans and quantiles, buckets of stored collections).
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 200_000
+
+
+def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Partition count for ``df``: its optimizer size estimate (file sizes of the scanned columns, no job is run)
+    divided by ``target_bytes``, never below ``spark.sql.shuffle.partitions``."""
+    spark = df.sparkSession
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return floor
+    return int(min(MAX_PARTITIONS, max(floor, -(-size // target_bytes))))

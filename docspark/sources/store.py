@@ -21,6 +21,7 @@ from ..errors import BulkPartialFailureError, CollectionNotFoundError, Migration
 from ..operators import conform as C
 from ..operators import writes as W
 from ..operators.drift import diff_collections, evolve_additive
+from ..plans.sizing import partitions_for
 from ..schema import ERRORS_COL, ID_COL, SOURCE_COL, Collection
 
 PROP_PHYSICAL = "docspark.physical"
@@ -82,8 +83,11 @@ class DocStore:
         return None
 
     # ----- writing tables ----------------------------------------------------------------------------------------
-    def _shards(self, coll: Collection) -> int:
-        return coll.num_shards or self.default_shards or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+    def _shards(self, coll: Collection, df: DataFrame | None = None) -> int:
+        """Bucket count: declared ``num_shards``, else the store default, else sized from the data (~256 MB each)."""
+        if coll.num_shards or self.default_shards:
+            return coll.num_shards or self.default_shards
+        return partitions_for(df) if df is not None else int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def _next_physical(self, coll: Collection) -> str:
         base = coll.physical_name
@@ -95,7 +99,7 @@ class DocStore:
         return f"{base}__g{g}"
 
     def _write(self, df: DataFrame, table: str, coll: Collection) -> None:
-        n = self._shards(coll)
+        n = self._shards(coll, df)
         df.repartition(n, ID_COL).write.bucketBy(n, ID_COL).mode("errorifexists").saveAsTable(self._q(table))
 
     def _point(self, coll: Collection, physical: str) -> None:
