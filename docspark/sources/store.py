@@ -26,6 +26,7 @@ from ..schema import ERRORS_COL, ID_COL, SOURCE_COL, Collection
 
 PROP_PHYSICAL = "docspark.physical"
 PROP_VERSION = "docspark.version"
+PROP_BUCKETS = "docspark.buckets"
 
 
 @dataclass
@@ -98,16 +99,34 @@ class DocStore:
             g += 1
         return f"{base}__g{g}"
 
-    def _write(self, df: DataFrame, table: str, coll: Collection) -> None:
-        n = self._shards(coll, df)
-        df.repartition(n, ID_COL).write.bucketBy(n, ID_COL).mode("errorifexists").saveAsTable(self._q(table))
+    def _write(self, df: DataFrame, table: str, coll: Collection, buckets: int | None = None) -> int:
+        """Write ``df`` as a table bucketed by ``_id``; returns the bucket count.
+
+        With ``buckets`` given (a new generation of an existing collection) the content comes from the previous
+        generation's bucketed scan joined to a change set, so its rows already arrive grouped by bucket: it is
+        written without another shuffle, keeping the same bucket count. A first write (create, migrate) shuffles
+        once by ``_id`` so each bucket is one file."""
+        writer = None
+        if buckets:
+            n = buckets
+            writer = df.write
+        else:
+            n = self._shards(coll, df)
+            writer = df.repartition(n, ID_COL).write
+        writer.bucketBy(n, ID_COL).mode("errorifexists").saveAsTable(self._q(table))
+        return n
+
+    def _buckets(self, name: str) -> int | None:
+        v = self._props(name).get(PROP_BUCKETS) if self.exists(name) else None
+        return int(v) if v else None
 
-    def _point(self, coll: Collection, physical: str) -> None:
+    def _point(self, coll: Collection, physical: str, buckets: int | None = None) -> None:
         if not coll.use_alias:
             return
+        extra = f", '{PROP_BUCKETS}'='{buckets}'" if buckets else ""
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self._q(coll.logical_name)} TBLPROPERTIES "
-            f"('{PROP_PHYSICAL}'='{physical}', '{PROP_VERSION}'='{coll.version}') "
+            f"('{PROP_PHYSICAL}'='{physical}', '{PROP_VERSION}'='{coll.version}'{extra}) "
             f"AS SELECT * FROM {self._q(physical)}")
 
     def drop(self, table: str) -> None:
@@ -125,9 +144,10 @@ class DocStore:
             if cur.split("__g")[0] != phys:
                 raise MigrationError(f"{coll.logical_name} points at {cur}; migrate to change versions")
             return cur
+        n = None
         if not self.exists(phys):
-            self._write(df if df is not None else self.empty(coll), phys, coll)
-        self._point(coll, phys)
+            n = self._write(df if df is not None else self.empty(coll), phys, coll)
+        self._point(coll, phys, n)
         return phys
 
     def _replace(self, coll: Collection, new_content: DataFrame) -> str:
@@ -138,8 +158,8 @@ class DocStore:
             saved.write.mode("overwrite").saveAsTable(self._q(coll.physical_name))
             return coll.physical_name
         phys = self._next_physical(coll)
-        self._write(new_content, phys, coll)
-        self._point(coll, phys)
+        n = self._write(new_content, phys, coll, buckets=self._buckets(coll.logical_name))
+        self._point(coll, phys, n)
         return phys
 
     # ----- document writes ---------------------------------------------------------------------------------------
@@ -183,8 +203,8 @@ class DocStore:
         new_content = W.upsert(base, ok, ID_COL, order_col)
         if coll.use_alias:
             phys = self._next_physical(coll)
-            self._write(new_content, phys, coll)
-            self._point(coll, phys)
+            n = self._write(new_content, phys, coll, buckets=self._buckets(name))
+            self._point(coll, phys, n)
         else:
             new_content = new_content.checkpoint(eager=True)
             new_content.write.mode("overwrite").saveAsTable(self._q(coll.physical_name))
@@ -240,7 +260,7 @@ class DocStore:
         conformed = C.conform_variant(source, new, doc, F.col(ID_COL), keep_source=SOURCE_COL in source.columns)
         ok, _ = C.split_valid(conformed)
         try:
-            self._write(ok, target, new)
+            n = self._write(ok, target, new)
             written = self.spark.table(self._q(target)).count()
             if written != n_src:
                 raise MigrationError(f"copy to {target} accepted {written} of {n_src} documents")
@@ -249,7 +269,7 @@ class DocStore:
             if isinstance(e, MigrationError):
                 raise
             raise MigrationError(f"copy to {target} failed: {e}") from e
-        self._point(new, target)
+        self._point(new, target, n)
         if delete_old:
             self.drop(src)
         return MigrateResult(src, target, written)
