@@ -360,7 +360,9 @@ def date_range_agg(df: DataFrame, spec: DateRange) -> DataFrame:
 
 
 def ip_range_agg(df: DataFrame, spec: IpRange) -> DataFrame:
-    k = ip_key(F.col(spec.field))
+    # the 16-byte key is computed once per row in a projection; every range's condition reads that column
+    df = df.select(ip_key(F.col(spec.field)).alias("__ipk"))
+    k = F.col("__ipk")
     rows, conds = [], []
     for r in spec.ranges:
         if "mask" in r:

@@ -162,6 +162,26 @@ def _scalar(x: Column, kind: Column, f: Field, path: str) -> tuple[Column, Colum
     raise ValueError(t)
 
 
+def _reason(x: Column, kind: Column, f: Field) -> Column:
+    """Why a present scalar value did not convert (evaluated only for rejected values)."""
+    t = f.type
+    single = F.lit("expected a single value")
+    shape = kind.isin("array", "object") if t != "geo_point" else F.lit(False)
+    if t in ("integer", "long"):
+        dbl = F.try_variant_get(x, "$", "double")
+        why = (F.when(kind == "long", F.lit(f"out of range for {t}"))
+               .when((kind == "double") & (dbl != F.floor(dbl)), F.lit("fractional value for an integral field"))
+               .when(kind == "double", F.lit(f"out of range for {t}"))
+               .otherwise(F.lit("expected a number" if not f.coerce else "expected a number or numeric string")))
+    else:
+        msg = {"keyword": "expected a string", "text": "expected a string", "float": "expected a number for float",
+               "double": "expected a number for double", "boolean": "expected a boolean", "ip": "not an IP address",
+               "date": "date does not match format " + (f.format or "default"),
+               "geo_point": "expected a geo point with lat in [-90,90] and lon in [-180,180]"}[t]
+        why = F.lit(msg)
+    return F.when(shape, single).otherwise(why)
+
+
 def _null_value(f: Field) -> Column | None:
     if f.null_value is None:
         return None
@@ -188,17 +208,39 @@ def conform_value(x: Column, f: Field, path: str, dynamic, kind: Column | None =
         elems = F.when(kind == "array", F.try_variant_get(x, "$", "array<variant>")) \
             .when(kind == "object", F.array(x))
         d = f.dynamic if f.dynamic is not None else dynamic
-
-        def elem_value(e):
-            return F.when(variant_kind(e) == "object", conform_object(e, f.properties, path + ".", d)[0])
-
-        def elem_errors(e):
-            _, items = conform_object(e, f.properties, path + ".", d)
-            is_obj = variant_kind(e) == "object"
+        props = list(f.properties)
+
+        # Inside lambdas Spark does not share common subexpressions, so each element's children and their JSON
+        # kinds are extracted once by a first transform (schema strings), then kinds by a second, and the
+        # conversions below only read struct fields.
+        def extract(e):
+            parts = [e.alias("v"), F.when(e.isNotNull(), F.schema_of_variant(e)).alias("s")]
+            for j, n in enumerate(props):
+                c = child(e, n)
+                parts += [c.alias(f"c{j}"), F.when(c.isNotNull(), F.schema_of_variant(c)).alias(f"s{j}")]
+            return F.struct(*parts)
+
+        def kinds(z):
+            parts = [z["v"].alias("v"), kind_of_schema(z["s"]).alias("k")]
+            for j in range(len(props)):
+                parts += [z[f"c{j}"].alias(f"c{j}"), kind_of_schema(z[f"s{j}"]).alias(f"k{j}")]
+            return F.struct(*parts)
+
+        staged = F.transform(F.transform(elems, extract), kinds)
+
+        def pre_of(z):
+            return {f"{path}.{n}": (z[f"c{j}"], z[f"k{j}"]) for j, n in enumerate(props)}
+
+        def elem_value(z):
+            return F.when(z["k"] == "object", conform_object(z["v"], f.properties, path + ".", d, pre_of(z))[0])
+
+        def elem_errors(z):
+            _, items = conform_object(z["v"], f.properties, path + ".", d, pre_of(z))
+            is_obj = z["k"] == "object"
             return _combine(_when_items(is_obj, items) + [(_err(~is_obj, path, "expected an object"), False)])
 
-        value = F.transform(elems, elem_value)
-        errs = F.flatten(F.transform(elems, elem_errors))
+        value = F.transform(staged, elem_value)
+        errs = F.flatten(F.transform(staged, elem_errors))
         bad_kind = present & ~kind.isin("array", "object")
         return value, [(errs, True), (_err(bad_kind, path, "expected an array of objects"), False)]
     if f.multi:
@@ -277,15 +319,27 @@ def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr:
     v = F.col("__doc")
     cols, items = [], []
     not_object = ~F.coalesce(F.col("__isobj"), F.lit(False))
+    # Scalar values are converted in their own projection; their errors are then just "present but not
+    # converted" on the next one, so no conversion expression is generated twice.
+    scalar_vals, scalar_errs = [], []
     for i, (name, f) in enumerate(collection.fields.items()):
         x, k = F.col(f"__v{i}"), F.col(f"__v{i}_k")
-        val, errs = conform_value(x, f, name, collection.dynamic, k, pre)
-        cols.append(val.cast(f.spark_type()).alias(name))
-        items += errs
-        for sub, sf in (f.fields or {}).items():
-            sval, serrs = conform_value(x, sf, f"{name}.{sub}", collection.dynamic, k, pre)
-            cols.append(sval.cast(sf.spark_type()).alias(f"{name}__{sub}"))
-            items += serrs
+        present = k.isNotNull() & (k != "null")
+        targets = [(name, name, f)] + [(f"{name}__{sub}", f"{name}.{sub}", sf) for sub, sf in (f.fields or {}).items()]
+        for out_name, path, ff in targets:
+            if ff.type in ("object", "nested") or ff.multi:
+                val, errs = conform_value(x, ff, path, collection.dynamic, k, pre)
+                cols.append(val.cast(ff.spark_type()).alias(out_name))
+                items += errs
+            else:
+                val, _ = conform_value(x, ff, path, collection.dynamic, k, pre)
+                tmp = f"__c{len(scalar_vals)}"
+                scalar_vals.append(val.cast(ff.spark_type()).alias(tmp))
+                cols.append(F.col(tmp).alias(out_name))
+                scalar_errs.append((_err(present & F.col(tmp).isNull(), path, _reason(x, k, ff)), False))
+    items = scalar_errs + items
+    if scalar_vals:
+        d = d.select("*", *scalar_vals)
     if collection.dynamic == "strict":
         extra = F.array_except(F.coalesce(object_keys(v), F.array().cast("array<string>")),
                                F.array(*[F.lit(k) for k in collection.fields]))
@@ -293,6 +347,11 @@ def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr:
                            F.concat(F.lit("strict mapping rejects undeclared field(s): "), F.array_join(extra, ","))), False))
     root_err = F.array(F.struct(F.lit("_root").alias("field"), F.lit("document is not a JSON object").alias("reason")))
     all_errs = F.when(not_object, root_err.cast(ERROR_TYPE)).otherwise(_combine(items))
+    # Optimizer barrier: a filter on _errors (split_valid) would otherwise be pushed below these staged
+    # projections with every column alias substituted, re-expanding the per-field kind expressions many times
+    # over. spark_partition_id() is non-deterministic for Catalyst (so filters stay above this projection) but
+    # always >= 0, so the value is unchanged.
+    all_errs = F.when(F.spark_partition_id() >= 0, all_errs)
     out = [*(keep or [])]
     if id_expr is not None:
         out.append(F.col("__id").cast("string").alias(ID_COL))
