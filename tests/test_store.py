@@ -108,3 +108,12 @@ def test_partial_update_respects_present_keys(spark):
     assert (rows["a"]["n"], rows["a"]["t"], rows["a"]["seller"]["id"], rows["a"]["seller"]["rating"]) == (1, "X", "s9", 5)
     assert (rows["b"]["n"], rows["b"]["t"], rows["b"]["seller"]["id"], rows["b"]["seller"]["rating"]) == (20, "y", "s2", None)
     assert [r["_id"] for r in unmatched.collect()] == ["zz"]
+
+
+def test_writes_on_plain_table(spark, store, docs):
+    store.create(IM_SIMPLE)
+    res = store.bulk_index(IM_SIMPLE, docs([{"id": "a"}, {"id": "b"}]), id_field="id")
+    assert res.succeeded == 2 and sorted(r["_id"] for r in store.read("im_simple").collect()) == ["a", "b"]
+    store.delete(IM_SIMPLE, spark.createDataFrame([("a",)], "_id string"))
+    assert [r["_id"] for r in store.read("im_simple").collect()] == ["b"]
+    assert store.current("im_simple") == "im_simple"
