@@ -74,3 +74,31 @@ def for_each_batch(batches: DataFrame, fn: Callable, schema: str) -> DataFrame:
         return fn(pdf.sort_values("row_index", kind="stable"))
 
     return batches.groupBy("batch_id").applyInPandas(run, schema=schema)
+
+
+def iter_batches(df: DataFrame, query: Column | None = None, sort: Sequence | None = None,
+                 batch_size: int = DEFAULT_BATCH_SIZE, id_col: str = ID_COL, partitions: int | None = None):
+    """S15 for a driver-side consumer: yields lists of at most ``batch_size`` rows in scan order.
+
+    The matching documents are range-partitioned, sorted within partitions and checkpointed once; then
+    ``toLocalIterator`` streams the partitions to the driver one at a time in partition order, so the driver holds
+    at most one partition (sized by ``partitions_for``) plus one batch, never the collection."""
+    if batch_size <= 0:
+        raise ValueError("batch_size must be > 0")
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    base = df if query is None else df.filter(query)
+    specs = with_tiebreak(parse_sort(sort), id_col)
+    names = [key_name(i) for i in range(len(specs))]
+    keyed = base.select("*", *[key_column(s).alias(n) for n, s in zip(names, specs)])
+    orders = [order_column(nm, s) for nm, s in zip(names, specs)]
+    n = partitions or partitions_for(keyed)
+    ordered = keyed.repartitionByRange(n, *orders).sortWithinPartitions(*orders).checkpoint(eager=True).drop(*names)
+    batch = []
+    for row in ordered.toLocalIterator():
+        batch.append(row)
+        if len(batch) == batch_size:
+            yield batch
+            batch = []
+    if batch:
+        yield batch
