@@ -15,7 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Any, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
 
 from ..functions.dates import iso_string, to_epoch_millis
 from ..functions.ip import cidr_bounds, ip_key, key_bytes, key_to_string
@@ -218,7 +218,18 @@ def terms(df: DataFrame, spec: Terms) -> DataFrame:
     g = base.groupBy("key").agg(F.count(F.lit(1)).alias("doc_count"), *extra)
     if spec.min_doc_count > 1:
         g = g.filter(F.col("doc_count") >= spec.min_doc_count)
-    return g.orderBy(F.desc("doc_count"), F.asc("key")).limit(spec.size)
+    out = g.orderBy(F.desc("doc_count"), F.asc("key")).limit(spec.size)
+    # date keys are epoch milliseconds and boolean keys 1/0, each with its text form in key_as_string
+    kt = out.schema["key"].dataType
+    if isinstance(kt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        extra = [c for c in out.columns if c not in ("key", "doc_count")]
+        return out.select(to_epoch_millis(F.col("key")).alias("key"), iso_string(F.col("key")).alias("key_as_string"),
+                          "doc_count", *extra)
+    if isinstance(kt, T.BooleanType):
+        extra = [c for c in out.columns if c not in ("key", "doc_count")]
+        return out.select(F.col("key").cast("int").alias("key"),
+                          F.when(F.col("key"), "true").otherwise("false").alias("key_as_string"), "doc_count", *extra)
+    return out
 
 
 def significant_terms(df: DataFrame, spec: SignificantTerms) -> DataFrame:

@@ -95,3 +95,12 @@ def test_grouped_exact_median_with_hot_key(spark):
     for bound in (None, 100, 1):       # all small / one hot key / every key hot
         got = {r["key"]: r["median"] for r in A.grouped_exact_median(df, "k", "x", group_bound=bound).collect()}
         assert got == want
+
+
+def test_terms_key_as_string_for_dates_and_booleans(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1), True), (dt.datetime(2024, 1, 1), False),
+                                (dt.datetime(2024, 1, 2), True)], "d timestamp_ntz, b boolean")
+    dates = [(r["key"], r["key_as_string"], r["doc_count"]) for r in A.terms(df, A.Terms("d")).collect()]
+    assert dates == [(1704067200000, "2024-01-01T00:00:00.000Z", 2), (1704153600000, "2024-01-02T00:00:00.000Z", 1)]
+    bools = [(r["key"], r["key_as_string"], r["doc_count"]) for r in A.terms(df, A.Terms("b")).collect()]
+    assert bools == [(1, "true", 2), (0, "false", 1)]
