@@ -20,8 +20,10 @@ ORDER_COL = "_ord"
 PRESENT_COL = "_present"
 
 
-def _side(df: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(df) if at_most(df, max_rows) else df
+def _side(df: DataFrame, max_rows: int, bound: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``df`` when a bounded count proves it small. ``bound`` is a cheaper frame with at least as many rows
+    (e.g. the raw change rows for their distinct ids), counted instead of computing ``df`` twice."""
+    return F.broadcast(df) if at_most(bound if bound is not None else df, max_rows) else df
 
 
 def with_input_order(changes: DataFrame, order_col: str = ORDER_COL) -> DataFrame:
@@ -45,7 +47,7 @@ def upsert(base: DataFrame, changes: DataFrame, id_col: str = ID_COL, order_col:
            broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Create-or-replace by id; the last duplicate in the change set wins."""
     ch = last_per_id(changes.drop(ERRORS_COL) if ERRORS_COL in changes.columns else changes, id_col, order_col)
-    kept = base.join(_side(ch.select(id_col), broadcast_max_rows), id_col, "left_anti")
+    kept = base.join(_side(ch.select(id_col), broadcast_max_rows, changes.select(id_col)), id_col, "left_anti")
     return kept.unionByName(ch.select(*[c for c in base.columns if c in ch.columns]), allowMissingColumns=True) \
         .select(*base.columns)
 
@@ -77,7 +79,7 @@ def partial_update(base: DataFrame, changes: DataFrame, id_col: str = ID_COL, or
     right = ch.select(F.col(id_col), *[F.col(c).alias(f"__new_{c}") for c in upd],
                       *([F.col(PRESENT_COL).alias("__present")] if has_present else []),
                       F.lit(True).alias("__matched"))
-    joined = base.join(_side(right, broadcast_max_rows), id_col, "left")
+    joined = base.join(_side(right, broadcast_max_rows, changes.select(id_col)), id_col, "left")
     types = {f.name: f.dataType for f in base.schema.fields}
     ntypes = {f.name: f.dataType for f in ch.schema.fields}
     out = []
@@ -90,7 +92,8 @@ def partial_update(base: DataFrame, changes: DataFrame, id_col: str = ID_COL, or
             out.append(F.when(applies, merged).otherwise(F.col(c)).cast(types[c]).alias(c))
         else:
             out.append(F.col(c))
-    matched_ids = base.join(_side(ch.select(id_col), broadcast_max_rows), id_col, "left_semi").select(id_col)
+    matched_ids = base.join(_side(ch.select(id_col), broadcast_max_rows, changes.select(id_col)), id_col,
+                            "left_semi").select(id_col)
     unmatched = ch.select(id_col).join(matched_ids, id_col, "left_anti")
     return joined.select(*out), unmatched
 
@@ -99,7 +102,7 @@ def delete_ids(base: DataFrame, ids: DataFrame, id_col: str = ID_COL,
                broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, DataFrame]:
     """Remove documents by id; returns (remaining, ids that matched nothing)."""
     req = ids.select(F.col(id_col).cast("string").alias(id_col)).distinct()
-    side = _side(req, broadcast_max_rows)
+    side = _side(req, broadcast_max_rows, ids.select(id_col))
     remaining = base.join(side, id_col, "left_anti")
     matched = base.join(side, id_col, "left_semi").select(id_col)
     return remaining, req.join(matched, id_col, "left_anti")
@@ -116,7 +119,8 @@ def get_many(base: DataFrame, ids: DataFrame, id_col: str = ID_COL,
     The stored side is first cut to the requested ids (semi join with the broadcast id set), so the final join is
     between two id-sized frames."""
     req = ids.select(F.col(id_col).cast("string").alias(id_col)).distinct()
-    found = base.join(_side(req, broadcast_max_rows), id_col, "left_semi").withColumn("__found", F.lit(True))
+    found = base.join(_side(req, broadcast_max_rows, ids.select(id_col)), id_col, "left_semi") \
+        .withColumn("__found", F.lit(True))
     return req.join(found, id_col, "left").withColumn("found", F.coalesce("__found", F.lit(False))).drop("__found")
 
 
