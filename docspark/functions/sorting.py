@@ -122,19 +122,30 @@ def order_column(name: str, spec: SortSpec) -> Column:
     return c.asc_nulls_first() if spec.nulls_first else c.asc_nulls_last()
 
 
+def cursor_value(v: Any) -> Any:
+    """A cursor value as a literal. Naive datetimes (what a TIMESTAMP_NTZ key collects to) are rebuilt from their
+    ISO text so the wall-clock value is exact whatever the Python process's time zone."""
+    import datetime as _dt
+    if isinstance(v, _dt.datetime) and v.tzinfo is None:
+        return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
+    return v
+
+
 def _strictly_after(c: Column, v: Any, spec: SortSpec) -> Column:
     """Rows whose key comes strictly after ``v`` in this clause's order."""
     if v is None:
         # nulls last: nothing is after null. nulls first: every non-null is after null.
         return c.isNotNull() if spec.nulls_first else F.lit(False)
-    beyond = (c < F.lit(v)) if spec.descending else (c > F.lit(v))
+    lv = F.lit(cursor_value(v))
+    beyond = (c < lv) if spec.descending else (c > lv)
     return beyond if spec.nulls_first else (beyond | c.isNull())
 
 
 def _at_or_after(c: Column, v: Any, spec: SortSpec) -> Column:
     if v is None:
         return F.lit(True) if spec.nulls_first else c.isNull()
-    bound = (c <= F.lit(v)) if spec.descending else (c >= F.lit(v))
+    lv = F.lit(cursor_value(v))
+    bound = (c <= lv) if spec.descending else (c >= lv)
     return bound if spec.nulls_first else (bound | c.isNull())
 
 
@@ -145,7 +156,7 @@ def keyset_after(specs: Sequence[SortSpec], names: Sequence[str], values: Sequen
         raise ValueError(f"cursor has {len(values)} values, sort has {len(specs)} clauses")
     disjuncts = []
     for i, (spec, name, v) in enumerate(zip(specs, names, values)):
-        eqs = [F.col(names[j]).eqNullSafe(F.lit(values[j])) for j in range(i)]
+        eqs = [F.col(names[j]).eqNullSafe(F.lit(cursor_value(values[j]))) for j in range(i)]
         disjuncts.append(reduce(lambda a, b: a & b, eqs + [_strictly_after(F.col(name), v, spec)]))
     after = reduce(lambda a, b: a | b, disjuncts)
     return _at_or_after(F.col(names[0]), values[0], specs[0]) & after
@@ -161,11 +172,12 @@ def keyset_branches(specs: Sequence[SortSpec], names: Sequence[str], values: Seq
     if v is None or first.nulls_first:
         return [after]
     c = F.col(names[0])
-    bound = (c <= F.lit(v)) if first.descending else (c >= F.lit(v))
+    lv = F.lit(cursor_value(v))
+    bound = (c <= lv) if first.descending else (c >= lv)
     nonnull_after = reduce(lambda a, b: a | b, [
-        reduce(lambda a, b: a & b, [F.col(names[j]).eqNullSafe(F.lit(values[j])) for j in range(i)]
+        reduce(lambda a, b: a & b, [F.col(names[j]).eqNullSafe(F.lit(cursor_value(values[j]))) for j in range(i)]
                + [_strictly_after(F.col(names[i]), values[i], specs[i]) if i else
-                  ((c < F.lit(v)) if first.descending else (c > F.lit(v)))])
+                  ((c < lv) if first.descending else (c > lv))])
         for i in range(len(specs))])
     return [bound & nonnull_after, c.isNull()]
 

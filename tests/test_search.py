@@ -68,3 +68,12 @@ def test_sort_modes_on_arrays(spark):
     assert got["3"] == (None,) * 5 and got["4"] == (None,) * 5
     res = Q.search(df, None, sort=[{"v": {"order": "desc", "mode": "sum", "missing": 0.0}}], size=10)
     assert [r["_id"] for r in res.hits().collect()] == ["2", "1", "3", "4"]
+
+
+def test_cursor_over_timestamp_ntz_keys(spark):
+    import datetime as dt
+    rows = [(f"t{i}", dt.datetime(2024, 1, 1, 10) + dt.timedelta(minutes=7 * (i % 5))) for i in range(12)]
+    df = spark.createDataFrame(rows, "_id string, ts timestamp_ntz")
+    got = [r["_id"] for p in Q.pages(df, [("ts", "desc")], 5) for r in p.hits().collect()]
+    want = [r[0] for r in sorted(rows, key=lambda r: (-r[1].timestamp(), r[0]))]
+    assert got == want
