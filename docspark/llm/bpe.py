@@ -21,7 +21,10 @@ import codecs
 import hashlib
 import heapq
 import json
-from collections.abc import Iterable, Iterator
+import sys
+from array import array
+from collections.abc import Callable, Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import ids_texts, table
 
 WINDOW = 512                 # bytes of a long pre-token merged at a time, besides the lookahead
-MEMO = 400_000               # pre-tokens remembered per worker and generation (two generations are kept)
+MEMO = 300_000               # pre-tokens remembered per worker and generation (two generations are kept)
 SLICE = 1 << 16              # characters given to the splitting pattern at a time
 
 
@@ -93,7 +96,7 @@ class MergeTables:
         merges = self.merges
         if len(ids) <= 128:
             rank, made, none = self.rank.get, self.made, len(self.made)
-            ranks = [rank(p, none) for p in zip(ids, ids[1:], strict=False)]
+            ranks = [*map(rank, zip(ids, ids[1:]), repeat(none))]  # noqa: B905
             while ranks and (m := min(ranks)) < none:
                 i = ranks.index(m)
                 ids[i] = made[m]
@@ -123,33 +126,43 @@ class MergeTables:
         return [x for x in ids if x >= 0]
 
 
-class Memo:
-    """Bounded memo in two generations: when the young one is full it becomes the old one."""
+def _packed(ids: list[int]) -> bytes:
+    a = array("I", ids)
+    if sys.byteorder != "little":
+        a.byteswap()
+    return a.tobytes()
 
-    def __init__(self, size: int = MEMO):
-        self.size, self.young, self.old = size, {}, {}
 
-    def missing(self, keys: Iterable) -> list:
-        """The keys that must be computed; known old ones move to the young generation."""
-        if len(self.young) >= self.size:
-            self.old, self.young = self.young, {}
-        young, old, out = self.young, self.old, []
-        for k in set(keys).difference(young):
-            v = old.get(k)
-            if v is None:
-                out.append(k)
-            else:
-                young[k] = v
-        return out
+class Memo(dict):
+    """Bounded memo of a function, in two generations: when the young one is full it becomes the old one."""
+
+    def __init__(self, compute: Callable, size: int = MEMO):
+        super().__init__()
+        self.compute, self.size, self.old = compute, size, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(key) <= 64:
+            self[key] = value
+        return value
+
+    def trim(self) -> None:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
 
 
 class Encoder:
     """Text → packed little-endian unsigned 32-bit ids."""
 
-    PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+    PATTERN = regex.compile(r"'(?:[stmd]|re|ve|ll)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s++")
+    LOOSE = regex.compile(r"\s ")
 
     def __init__(self, tables: MergeTables, window: int = WINDOW):
-        self.t, self.window, self.memo = tables, window, Memo()
+        self.t, self.window = tables, window
+        self.tokens, self.words = Memo(self._pretoken), Memo(self._word)
         self.special = (regex.compile("(" + "|".join(regex.escape(s) for s in sorted(tables.special, key=len,
                         reverse=True)) + ")") if tables.special else None)
 
@@ -176,27 +189,28 @@ class Encoder:
     def _pretoken(self, s: str) -> bytes:
         raw = s.encode()
         if len(raw) <= self.window:
-            ids = self.t.merge([self.t.byte_id[b] for b in raw])
+            ids = self.t.merge([*map(self.t.byte_id.__getitem__, raw)])
         else:
             step = self.window
             ids = list(self.stream(raw[i:i + step] for i in range(0, len(raw), step)))
-        return np.array(ids, "<u4").tobytes()
+        return _packed(ids)
+
+    def _word(self, s: str) -> bytes:
+        """Ids of a space and ``s``."""
+        return b"".join(map(self.tokens.__getitem__, self.PATTERN.findall(" " + s)))
 
     def _plain(self, text: str) -> Iterator[bytes]:
-        memo = self.memo
+        """A space after a non-space always starts a pre-token, so a text whose spaces are all such splits at its
+        spaces into parts that encode alone; other texts go through the pattern."""
         for piece in slices(text):
-            tokens = self.PATTERN.findall(piece)
-            long = []
-            for s in memo.missing(tokens):
-                if len(s) <= 64:
-                    memo.young[s] = self._pretoken(s)
-                else:
-                    long.append(s)
-            if not long:
-                yield b"".join(map(memo.young.__getitem__, tokens))
-            else:
-                far = {s: self._pretoken(s) for s in long}
-                yield b"".join([far[s] if s in far else memo.young[s] for s in tokens])
+            self.words.trim()
+            self.tokens.trim()
+            if self.LOOSE.search(piece):
+                yield b"".join(map(self.tokens.__getitem__, self.PATTERN.findall(piece)))
+                continue
+            first, *rest = piece.split(" ")
+            yield b"".join(map(self.tokens.__getitem__, self.PATTERN.findall(first)))
+            yield b"".join(map(self.words.__getitem__, rest))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -206,7 +220,7 @@ class Encoder:
         out = []
         for part in self.special.split(text):
             if part in self.t.special:
-                out.append(np.array([self.t.special[part]], "<u4").tobytes())
+                out.append(_packed([self.t.special[part]]))
             elif part:
                 out.extend(self._plain(part))
         return b"".join(out)
