@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe
+from . import bpe, mixing, quality, toxicity
 
 QUERIES = {
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op4_quality": quality.op4_quality,
+    "op6_mixing": mixing.op6_mixing,
     "op7_bpe": bpe.op7_bpe,
 }
-ORACLE = {}
+ORACLE = {"op6_mixing": mixing.OP6_SQL}
