@@ -125,18 +125,26 @@ class Voters:
 def label_model(votes: np.ndarray, marked: np.ndarray, trust: float = 0.98, rounds: int = 50) -> np.ndarray:
     """Posterior probability of label 1 for each row of votes. The given labels (``marked``: 0 or 1) are one more
     voter, of a known accuracy ``trust``. Each round estimates the class-conditional firing rates, the prior and the
-    residual covariance of the votes, then the posteriors under them."""
+    correlations of the votes within a class, then the posteriors under them."""
     p = np.where(marked == 1, trust, 1 - trust)
     said = np.log(p / (1 - p))
+    fired = votes.sum(1)
+    many = np.maximum(fired - 1, 1)
     for _ in range(rounds):
         prior = np.clip(p.mean(), 1e-4, 1 - 1e-4)
         one = (p @ votes + 0.5) / (p.sum() + 1)
         zero = ((1 - p) @ votes + 0.5) / ((1 - p).sum() + 1)
         r1, r0 = votes - one, votes - zero
         cov = (r1.T @ (r1 * p[:, None]) + r0.T @ (r0 * (1 - p)[:, None])) / len(votes)
-        cov += 1e-3 * np.eye(len(cov))
-        weight = np.linalg.solve(cov, one - zero)
-        z = (votes - (one + zero) / 2) @ weight + np.log(prior / (1 - prior)) + said
+        sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+        corr = np.clip(cov / np.outer(sd, sd), 0, 1)
+        np.fill_diagonal(corr, 0)
+        shared = ((votes @ corr) * votes).sum(1) / np.maximum(fired, 1)       # mean over fired voters of Σ others
+        evidence = (votes @ np.log(one / zero)) / (1 + np.minimum(shared, many))
+        silent = fired == 0
+        evidence[silent] = np.log(((p[silent].sum() + 0.5) / (p.sum() + 1))
+                                  / (((1 - p[silent]).sum() + 0.5) / ((1 - p).sum() + 1)))
+        z = evidence + np.log(prior / (1 - prior)) + said
         new = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         done = np.abs(new - p).max() < 1e-6
         p = new
