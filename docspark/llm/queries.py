@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, quality, toxicity
+from . import bpe, minhash, mixing, quality, substring, toxicity
 
 QUERIES = {
+    "op1_substring": substring.op1_substring,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_quality": quality.op4_quality,
+    "op5_minhash": minhash.op5_minhash,
     "op6_mixing": mixing.op6_mixing,
     "op7_bpe": bpe.op7_bpe,
 }
