@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, minhash, mixing, quality, substring, toxicity
+from . import arrow_files, bpe, minhash, mixing, quality, substring, toxicity, urls
 
 QUERIES = {
     "op1_substring": substring.op1_substring,
+    "op2_urls": urls.op2_urls,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_quality": quality.op4_quality,
     "op5_minhash": minhash.op5_minhash,
     "op6_mixing": mixing.op6_mixing,
     "op7_bpe": bpe.op7_bpe,
+    "op8_arrow_files": arrow_files.op8_arrow_files,
 }
-ORACLE = {"op6_mixing": mixing.OP6_SQL}
+ORACLE = {"op2_urls": urls.OP2_SQL, "op6_mixing": mixing.OP6_SQL}
