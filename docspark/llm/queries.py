@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import arrow_files, bpe, embeddings, minhash, mixing, quality, substring, toxicity, urls
+from . import arrow_files, bpe, embeddings, minhash, mixing, quality, search, substring, toxicity, urls
 
 QUERIES = {
     "op1_substring": substring.op1_substring,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_mixing": mixing.op6_mixing,
     "op7_bpe": bpe.op7_bpe,
     "op8_arrow_files": arrow_files.op8_arrow_files,
+    "op9_search": search.op9_search,
     "op10_embeddings": embeddings.op10_embeddings,
 }
 ORACLE = {"op2_urls": urls.OP2_SQL, "op6_mixing": mixing.OP6_SQL}
