@@ -31,7 +31,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from . import kernel as K
 from .common import ids_texts, parts_for, table
@@ -229,14 +229,14 @@ def repeated_minimisers(blocks: DataFrame, buckets: int, span: int) -> DataFrame
 
 
 def segments(blocks: DataFrame, repeated: DataFrame, shards: int, span: int) -> DataFrame:
-    """(shard, block, text, ids, places): the distinct segments of each block with their occurrences in it."""
+    """(shard, block, text, ids, rows, places): the distinct segments of each block with their occurrences in it."""
     def cut_out(docs: pa.Table, again: pa.Table) -> pa.Table:
         m, hot = _joined(again.column("m"), np.uint64), _joined(again.column("hot"), bool)
         m, first = np.unique(m, return_index=True)
         hot = hot[first]
-        seen: dict[tuple[int, bytes], tuple[list, list]] = defaultdict(lambda: ([], []))
-        docs = docs.combine_chunks()
+        seen: dict[tuple[int, bytes], tuple[list, list, list]] = defaultdict(lambda: ([], [], []))
         text, ids = docs.column("text").combine_chunks(), _ids(docs.column("doc_id").combine_chunks())
+        names = docs.column("row").to_numpy()
         for lo, _, w, row, least, starts in _chunks(text, span) if len(m) else ():
             place = np.minimum(np.searchsorted(m, least), len(m) - 1)
             a, z = _runs(row, least, starts & (m[place] == least))
@@ -249,28 +249,28 @@ def segments(blocks: DataFrame, repeated: DataFrame, shards: int, span: int) ->
                 a, z, key = (np.concatenate(p) for p in ((a[~dealt], one), (z[~dealt], one + 1), (key[~dealt], own[one])))
             raw = w.buf.tobytes()
             where = (key % np.uint64(shards)).tolist()
-            doc, base = ids[lo + row[a]].tolist(), (a - w.first[row[a]]).tolist()
-            for s, i, j, d, p in zip(where, w.starts[a].tolist(), w.ends[z + span - 2].tolist(), doc, base, strict=True):
-                x = seen[s, raw[i:j]]
-                x[0].append(d)
-                x[1].append(p)
+            doc, name, base = ids[lo + row[a]].tolist(), names[lo + row[a]].tolist(), (a - w.first[row[a]]).tolist()
+            for s, i, j, *found in zip(where, w.starts[a].tolist(), w.ends[z + span - 2].tolist(), doc, name, base,
+                                       strict=True):
+                for kept, value in zip(seen[s, raw[i:j]], found, strict=True):
+                    kept.append(value)
         block = docs.column("block")[0].as_py() if len(docs) else 0
         return pa.table({"shard": pa.array([k[0] for k in seen], pa.int64()),
                          "block": pa.array([block] * len(seen), pa.int64()),
                          "text": pa.array([k[1] for k in seen], pa.binary()),
-                         "ids": pa.array([np.array(v[0], np.int64).tobytes() for v in seen.values()], pa.binary()),
-                         "places": pa.array([np.array(v[1], np.int64).tobytes() for v in seen.values()], pa.binary())})
+                         **{name: pa.array([np.array(v[k], np.int64).tobytes() for v in seen.values()], pa.binary())
+                            for k, name in enumerate(("ids", "rows", "places"))}})
 
     return blocks.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
-        cut_out, "shard long, block long, text binary, ids binary, places binary")
+        cut_out, "shard long, block long, text binary, ids binary, rows binary, places binary")
 
 
 def removed_windows(found: DataFrame, span: int) -> DataFrame:
-    """(block, ids, places, n): runs of ``n`` removed windows that start at word ``places`` of the documents."""
+    """(block, rows, places, n): runs of ``n`` removed windows that start at word ``places`` of the rows."""
     def shard(t: pa.Table) -> pa.Table:
         texts = t.column("text").to_pylist()
         ids = [np.frombuffer(x.as_buffer(), np.int64) for x in t.column("ids")]
-        places = [np.frombuffer(x.as_buffer(), np.int64) for x in t.column("places")]
+        rows, places = ([np.frombuffer(x.as_buffer(), np.int64) for x in t.column(c)] for c in ("rows", "places"))
         least: dict[bytes, int] = {}
         for s, d in zip(texts, ids, strict=True):
             lo = int(d.min())
@@ -283,7 +283,7 @@ def removed_windows(found: DataFrame, span: int) -> DataFrame:
         automaton.close()
         low = {s: np.array([d for n, d in automaton.stream(words[s], span)][span - 1:]) for s in least}
         out: dict[int, list] = defaultdict(list)
-        for s, block, doc, place in zip(texts, t.column("block").to_pylist(), ids, places, strict=True):
+        for s, block, doc, row, place in zip(texts, t.column("block").to_pylist(), ids, rows, places, strict=True):
             gone = doc[:, None] > low[s]
             if not gone.any():
                 continue
@@ -292,22 +292,22 @@ def removed_windows(found: DataFrame, span: int) -> DataFrame:
             edge = np.diff(pad, axis=1)
             i, a = np.nonzero(edge == 1)
             z = np.nonzero(edge == -1)[1]
-            out[block].append((doc[i], place[i] + a, z - a))
+            out[block].append((row[i], place[i] + a, z - a))
         cat = [(b, *(np.concatenate(x) for x in zip(*v, strict=True))) for b, v in out.items()]
         return pa.table({"block": pa.array([c[0] for c in cat], pa.int64()), **{
             name: pa.array([c[k].astype(np.int64).tobytes() for c in cat], pa.binary())
-            for k, name in enumerate(("ids", "places", "n"), start=1)}})
+            for k, name in enumerate(("rows", "places", "n"), start=1)}})
 
-    return found.groupBy("shard").applyInArrow(shard, "block long, ids binary, places binary, n binary")
+    return found.groupBy("shard").applyInArrow(shard, "block long, rows binary, places binary, n binary")
 
 
 def _kept_words(docs: pa.Table, gone: pa.Table, span: int):
     """(row, words, mask of kept words) of a block's documents."""
-    d, p, n = (_joined(gone.column(c), np.int64) for c in ("ids", "places", "n"))
+    d, p, n = (_joined(gone.column(c), np.int64) for c in ("rows", "places", "n"))
     order = np.argsort(d, kind="stable")
     d, p, n = d[order], p[order], n[order]
-    ids = _ids(docs.column("doc_id").combine_chunks())
-    a, z = np.searchsorted(d, ids, "left"), np.searchsorted(d, ids, "right")
+    names = docs.column("row").to_numpy()
+    a, z = np.searchsorted(d, names, "left"), np.searchsorted(d, names, "right")
     for i, text in enumerate(docs.column("text")):
         words = (text.as_py() or "").encode().split()
         mask = None
@@ -320,7 +320,9 @@ def _kept_words(docs: pa.Table, gone: pa.Table, span: int):
 
 
 def _blocks(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The documents dealt to blocks by id; ``row`` tells rows that share an id but not the text apart."""
     n = parts_for(docs, BLOCK_MB)
+    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
     block = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(n))
     return docs.withColumn("block", block).repartition(n, "block"), n
 
@@ -361,9 +363,9 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", te
                 texts[i] = b" ".join([w for w, m in zip(words, mask.tolist(), strict=True) if m]).decode()
         return pa.table({"rest": docs.column("rest"), "text": pa.array(texts, pa.string())})
 
-    rest = row.schema["rest"].dataType.simpleString()
-    out = blocks.groupBy("block").cogroup(_removal(blocks.select("doc_id", "text", "block"), n, span)
-                                          .groupBy("block")).applyInArrow(run, f"rest {rest}, text string")
+    schema = T.StructType([row.schema["rest"], T.StructField("text", T.StringType())])
+    out = blocks.groupBy("block").cogroup(_removal(blocks.select("doc_id", "text", "row", "block"), n, span)
+                                          .groupBy("block")).applyInArrow(run, schema)
     return out.select(*[F.col("text").cast(kind).alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c)
                         for c in docs.columns])
 
