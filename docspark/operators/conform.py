@@ -11,8 +11,10 @@ Everything is a per-row projection: no shuffle, fully inside whole-stage codegen
 
 from __future__ import annotations
 
-import hashlib
+import json
+import re
 import uuid
+from dataclasses import replace
 from typing import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
@@ -487,12 +489,12 @@ def observe_counts(conformed: DataFrame, name: str = "bulk") -> tuple[DataFrame,
     return observed, obs
 
 
-def generated_id(version: int, cols: list[str], ordinal: Column | None = None) -> Column:
-    """Deterministic id for documents without one: hash of the target version, the row's input position
-    (``ordinal``, taken on the file scan before any shuffle, so stable under task retry) and its content."""
-    salt = hashlib.sha1(str(version).encode()).hexdigest()[:8]
+def generated_id(salt: str | int, cols: list[str], ordinal: Column | None = None) -> Column:
+    """Id for documents without one: hash of a salt that names the write, the row's input position (``ordinal``,
+    taken on the file scan before any shuffle, so stable under task retry) and its content. Writes with different
+    salts give equal documents different ids."""
     pos = (ordinal if ordinal is not None else F.monotonically_increasing_id()).cast("string")
-    return F.substring(F.sha2(F.concat_ws("\u0001", F.lit(salt), pos,
+    return F.substring(F.sha2(F.concat_ws("\u0001", F.lit(str(salt)), pos,
                                           F.to_json(F.struct(*[F.col(c) for c in cols]))), 256), 1, 32)
 
 
@@ -500,32 +502,45 @@ def generated_id(version: int, cols: list[str], ordinal: Column | None = None) -
 # Dynamic discovery
 # ----------------------------------------------------------------------------------------------------------------
 
-def observed_paths(df: DataFrame, doc: Column, depth: int = 2) -> DataFrame:
-    """(path, kind, n_docs) for every key seen in the documents, down to ``depth`` object levels.
-    Keys inside arrays of objects are counted per element. One explode per level, then one partial-aggregated
-    group-by; the result size is bounded by the number of distinct (path, kind) pairs, not by the data."""
+def observed_paths(df: DataFrame, doc: Column, depth: int | None = None, elements: bool = False) -> DataFrame:
+    """(path, kind, n_docs) for every key seen in the documents, down to ``depth`` object levels (all by default: the
+    levels are walked until one has no objects below it). Keys inside arrays of objects are counted per element. One
+    explode per level, then one partial-aggregated group-by; the result size is bounded by the number of distinct
+    (path, kind) pairs, not by the data. A dot inside a key is escaped as ``\\.``. With ``elements``, what arrays hold
+    is counted too, as the kind ``array<kind>``."""
     df = ensure_parallelism(df)
 
     def with_kind(frame: DataFrame) -> DataFrame:
         return frame.select("*", F.schema_of_variant(F.col("val")).alias("__s")) \
             .select("*", kind_of_schema(F.col("__s")).alias("kind")).drop("__s")
 
-    level = with_kind(df.select(F.explode(F.try_variant_get(doc, "$", "map<string,variant>")).alias("path", "val")))
-    levels = [level]
-    for _ in range(depth - 1):
-        objs = level.filter(F.col("kind").isin("object", "array")).select(
+    key = F.replace(F.col("k"), F.lit("."), F.lit("\\."))
+    level = with_kind(df.select(F.explode(F.try_variant_get(doc, "$", "map<string,variant>")).alias("k", "val"))
+                      .select(key.alias("path"), "val"))
+    counts = None
+    n = 1
+    while True:
+        found = level.select("path", "kind")
+        counts = found if counts is None else counts.unionByName(found)
+        nested = level.filter(F.col("kind").isin("object", "array"))
+        if elements:
+            inside = with_kind(nested.filter(F.col("kind") == "array").select(
+                "path", F.explode(F.try_variant_get(F.col("val"), "$", "array<variant>")).alias("val")))
+            counts = counts.unionByName(inside.select("path", F.concat(F.lit("array<"), "kind", F.lit(">")).alias("kind")))
+        if depth is not None and n >= depth:
+            break
+        objs = nested.select(
             "path", F.when(F.col("kind") == "array", F.try_variant_get(F.col("val"), "$", "array<variant>"))
             .otherwise(F.array(F.col("val"))).alias("elems"))
         objs = objs.select("path", F.explode("elems").alias("val"))
-        level = objs.select(F.col("path").alias("parent"),
+        below = objs.select(F.col("path").alias("parent"),
                             F.explode(F.try_variant_get(F.col("val"), "$", "map<string,variant>")).alias("k", "val")) \
-            .select(F.concat_ws(".", "parent", "k").alias("path"), "val")
-        level = with_kind(level)
-        levels.append(level)
-    allp = levels[0].select("path", "kind")
-    for lv in levels[1:]:
-        allp = allp.unionByName(lv.select("path", "kind"))
-    return allp.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n_docs"))
+            .select(F.concat_ws(".", "parent", key).alias("path"), "val")
+        if depth is None and not below.limit(1).count():
+            break
+        level = with_kind(below)
+        n += 1
+    return counts.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 # The field type given to an undeclared field of each JSON kind when no template matches.
@@ -543,38 +558,62 @@ def dynamic_field(kind: str, name: str, templates: tuple[DynamicTemplate, ...])
     return None
 
 
+# Which kind stands for a path that is seen with several, first to last.
+KIND_ORDER = ("object", "string", "double", "long", "boolean", "date", "array")
+
+
+def _leading(kinds) -> str | None:
+    known = [k for k in KIND_ORDER if k in kinds]
+    return known[0] if known else None
+
+
+def _discovered(name: str, path: str, by_path: dict[str, set], held: dict[str, set], below: dict[str, list],
+                templates: tuple[DynamicTemplate, ...]) -> Field | None:
+    """The field for an undeclared key, with what lies under it."""
+    kinds = by_path[path] - {"null"}
+    kind = _leading(kinds - {"array"} if "array" not in kinds else (kinds | held.get(path, set())) - {"array", "null"})
+    many = "array" in kinds
+    if kind is None:
+        return None
+    if kind == "object" or below.get(path):
+        props = {k: f for k, p in below.get(path, []) if (f := _discovered(k, p, by_path, held, below, templates))}
+        return Field("nested" if many else "object", properties=props) if props else None
+    f = dynamic_field(kind, name, templates)
+    if f is None or not many:
+        return f
+    return replace(f, multi=True, fields=None) if f.type not in ("object", "nested") else f
+
+
+def _added(fields: Mapping[str, Field], prefix: str, dynamic, by_path, held, below, templates) -> dict[str, Field]:
+    out = dict(fields)
+    for name, path in below.get(prefix, []):
+        if name not in out:
+            if dynamic is True and name != ID_COL:
+                f = _discovered(name, path, by_path, held, below, templates)
+                if f is not None:
+                    out[name] = f
+        elif out[name].properties:
+            own = out[name].dynamic if out[name].dynamic is not None else dynamic
+            out[name] = replace(out[name], properties=_added(out[name].properties, path, own, by_path, held, below,
+                                                             templates))
+    return out
+
+
 def widen(collection: Collection, paths: list[tuple[str, str]]) -> Collection:
-    """C4 + C9: add undeclared top-level fields seen in the data (``paths`` = collected (path, kind) pairs).
-    A path seen with several kinds keeps the first kind by a fixed precedence; nested object keys are typed under
-    an object field. Templates apply in list order."""
-    if collection.dynamic is not True:
-        return collection
-    precedence = ["string", "double", "long", "boolean", "date", "object", "array"]
-    by_path: dict[str, list[str]] = {}
+    """C4 + C9: add the undeclared fields seen in the data (``paths``: (path, kind) pairs of :func:`observed_paths`
+    with its ``elements``; arrays whose elements are not given are left out), at any depth, inside declared objects too unless the object's own
+    ``dynamic`` says otherwise. A path seen with several kinds takes the first of ``KIND_ORDER``; arrays of scalars
+    become multi-valued fields, arrays of objects nested ones. Templates apply in list order."""
+    by_path: dict[str, set] = {}
+    elements: dict[str, set] = {}
     for p, k in paths:
-        if k in (None, "null"):
-            continue
-        by_path.setdefault(p, []).append(k)
-    fields = dict(collection.fields)
+        if k is not None and k.startswith("array<"):
+            elements.setdefault(p, set()).add(k[6:-1])
+        elif k is not None:
+            by_path.setdefault(p, set()).add(k)
+    below: dict[str, list] = {}
     for p in sorted(by_path):
-        if "." in p or p in fields or p == ID_COL:
-            continue
-        kinds = sorted(set(by_path[p]), key=lambda k: precedence.index(k) if k in precedence else 99)
-        kind = kinds[0]
-        if kind == "object":
-            props = {}
-            for q in sorted(by_path):
-                if q.startswith(p + ".") and "." not in q[len(p) + 1:]:
-                    qk = sorted(set(by_path[q]), key=lambda k: precedence.index(k) if k in precedence else 99)[0]
-                    sub = dynamic_field(qk, q[len(p) + 1:], collection.dynamic_templates)
-                    if sub is not None:
-                        props[q[len(p) + 1:]] = sub
-            if props:
-                fields[p] = Field("object", properties=props)
-            continue
-        if kind == "array":
-            continue
-        f = dynamic_field(kind, p, collection.dynamic_templates)
-        if f is not None:
-            fields[p] = f
-    return collection.with_fields(fields)
+        parts = re.split(r"(?<!\\)\.", p)
+        below.setdefault(".".join(parts[:-1]), []).append((parts[-1].replace("\\.", "."), p))
+    return collection.with_fields(_added(collection.fields, "", collection.dynamic, by_path, elements, below,
+                                         collection.dynamic_templates))

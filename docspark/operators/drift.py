@@ -1,8 +1,8 @@
 """Schema difference, data drift and additive evolution.
 
-* :func:`diff_mappings` compares two declarations: added (dotted paths), changed (any option other than
-  ``properties`` differs; a changed parent is not descended into), removed (informational); breaking iff changed.
-  Options are compared in canonical (sorted) form, so key order never matters.
+* :func:`diff_mappings` compares two mappings by path: added, changed (an option of the path itself differs) and
+  removed (informational) paths, each reported at its topmost point; breaking iff something changed. Key order never
+  matters. :func:`diff_settings` compares the static settings (analysis, number of shards), which are breaking too.
 * :func:`drift_report` measures a dataset of JSON documents against a declaration: every (path, kind) seen in the
   data with its document count, joined to the declared paths → ``added`` / ``changed`` / ``removed`` / ``same``.
 * :func:`evolve_additive` adds declared-but-missing fields to stored rows as typed nulls (a projection, not DDL).
@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import json
+from collections import deque
 from dataclasses import dataclass, field
 from typing import Mapping
 
@@ -23,49 +24,70 @@ from .conform import observed_paths
 
 @dataclass
 class SchemaDiff:
+    """``changed_fields``: {field, before, after}; ``changed_settings``: {setting: (before, after)}."""
     added_fields: list[str] = field(default_factory=list)
     changed_fields: list[dict] = field(default_factory=list)
     removed_fields: list[str] = field(default_factory=list)
+    changed_settings: dict = field(default_factory=dict)
 
     @property
     def is_breaking(self) -> bool:
-        return bool(self.changed_fields)
+        return bool(self.changed_fields or self.changed_settings)
 
 
-def _canon(m: Mapping) -> str:
-    return json.dumps({k: v for k, v in m.items() if k != "properties"}, sort_keys=True, default=str)
+def options_by_path(mapping: Mapping[str, dict]) -> dict[str, str]:
+    """Every dotted path of a mapping → the canonical text of its own options (sub-properties left out)."""
+    todo = deque(mapping.items())
+    out: dict[str, str] = {}
+    while todo:
+        path, m = todo.popleft()
+        out[path] = json.dumps({k: v for k, v in m.items() if k != "properties"}, sort_keys=True, default=str)
+        todo.extend((f"{path}.{k}", v) for k, v in (m.get("properties") or {}).items())
+    return out
+
+
+def _topmost(paths: set[str], settled: set[str]) -> list[str]:
+    """The paths that have no ancestor among ``settled``."""
+    def ancestors(p: str):
+        parts = p.split(".")
+        return (".".join(parts[:i]) for i in range(1, len(parts)))
+    return sorted(p for p in paths if settled.isdisjoint(ancestors(p)))
+
+
+def _lookup(mapping: Mapping[str, dict], path: str) -> dict:
+    first, *rest = path.split(".")
+    m = mapping[first]
+    for part in rest:
+        m = m["properties"][part]
+    return m
 
 
 def diff_mappings(declared: Mapping[str, dict], actual: Mapping[str, dict] | None) -> SchemaDiff:
-    """C12 on two mapping dicts (``Collection.mapping()``); ``actual=None`` means the collection does not exist:
-    every top-level declared field is added and nothing is breaking."""
-    out = SchemaDiff()
-    if actual is None:
-        out.added_fields = list(declared)
-        return out
-    _walk("", declared, actual, out)
-    return out
+    """C12 on two mapping dicts. Both are flattened to path → options; added, changed and removed paths are set
+    differences, and what lies below a path that is already reported is not reported again. ``actual=None``: there
+    is no collection, so every top-level field is added."""
+    want, have = options_by_path(declared), options_by_path(actual or {})
+    changed = {p for p in want.keys() & have.keys() if want[p] != have[p]}
+    added, removed = want.keys() - have.keys(), have.keys() - want.keys()
+    settled = changed | added | removed
+    return SchemaDiff(_topmost(added, settled),
+                      [{"field": p, "before": _lookup(actual, p), "after": _lookup(declared, p)}
+                       for p in _topmost(changed, settled)],
+                      _topmost(removed, settled))
 
 
-def _walk(prefix: str, declared: Mapping, actual: Mapping, out: SchemaDiff) -> None:
-    for name, d in declared.items():
-        path = f"{prefix}{name}"
-        a = actual.get(name)
-        if a is None:
-            out.added_fields.append(path)
-            continue
-        if _canon(d) != _canon(a):
-            out.changed_fields.append({"field": path, "before": a, "after": d})
-            continue
-        if d.get("properties") is not None or a.get("properties") is not None:
-            _walk(path + ".", d.get("properties") or {}, a.get("properties") or {}, out)
-    for name in actual:
-        if name not in declared:
-            out.removed_fields.append(f"{prefix}{name}")
+def diff_settings(declared: Mapping, actual: Mapping) -> dict:
+    """Static settings that differ (a setting that is not declared is not compared)."""
+    text = lambda v: json.dumps(v, sort_keys=True, default=str)                      # noqa: E731
+    return {k: (actual.get(k), v) for k, v in declared.items() if text(actual.get(k)) != text(v)}
 
 
 def diff_collections(declared: Collection, actual: Collection | None) -> SchemaDiff:
-    return diff_mappings(declared.mapping(), None if actual is None else actual.mapping())
+    if actual is None:
+        return diff_mappings(declared.mapping(), None)
+    out = diff_mappings(declared.mapping(), actual.mapping())
+    out.changed_settings = diff_settings(declared.static_settings(), actual.static_settings())
+    return out
 
 
 # JSON kinds that conform to each declared type.
@@ -83,19 +105,19 @@ def declared_paths(collection: Collection) -> list[tuple[str, str, str]]:
             for p, f in flatten_paths(collection.fields)]
 
 
-def drift_report(df: DataFrame, doc: Column, collection: Collection, depth: int = 2) -> DataFrame:
+def drift_report(df: DataFrame, doc: Column, collection: Collection, depth: int | None = None) -> DataFrame:
     """Data drift: (path, observed_kind, declared_type, change, n_docs).
 
     ``added``: a path the declaration lacks; ``changed``: a declared path seen with a kind its type does not
     accept; ``same``: an accepted kind; ``removed``: declared but never seen (n_docs 0). JSON nulls are ignored.
-    Observed paths come from one explode per level and a partial-aggregated group-by; the declared side is a small
-    literal table, joined after the aggregation (so the join sees one row per distinct (path, kind))."""
+    Observed paths come from one explode per level and a partial-aggregated group-by, down to the deepest level the
+    documents have (or ``depth`` levels on both sides); the declared side is a literal table, joined after the
+    aggregation (so the join sees one row per distinct (path, kind))."""
     spark = df.sparkSession
     seen = observed_paths(df, doc, depth).filter(F.col("kind") != "null")
-    max_depth = depth
-    decl_rows = [(p, t, k) for p, t, k in declared_paths(collection) if p.count(".") < max_depth]
+    decl_rows = [(p, t, k) for p, t, k in declared_paths(collection) if depth is None or p.count(".") < depth]
     decl = spark.createDataFrame(decl_rows, "path string, declared_type string, accepted string")
-    j = seen.join(F.broadcast(decl), "path", "full_outer")
+    j = seen.join(decl, "path", "full_outer")
     change = (F.when(F.col("declared_type").isNull(), "added")
               .when(F.col("kind").isNull(), "removed")
               .when(F.array_contains(F.split("accepted", ","), F.col("kind")), "same")
@@ -104,6 +126,16 @@ def drift_report(df: DataFrame, doc: Column, collection: Collection, depth: int
                     F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs"))
 
 
+def _only_adds(src: T.DataType, dst: T.DataType) -> bool:
+    """Whether ``dst`` is ``src`` with at most more struct fields."""
+    if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
+        to = {f.name: f.dataType for f in dst.fields}
+        return all(f.name in to and _only_adds(f.dataType, to[f.name]) for f in src.fields)
+    if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType):
+        return _only_adds(src.elementType, dst.elementType)
+    return src == dst
+
+
 def _typed_null(dt: T.DataType) -> Column:
     return F.lit(None).cast(dt)
 
@@ -134,6 +166,9 @@ def evolve_additive(df: DataFrame, old: Collection, new: Collection) -> DataFram
                                   [c["field"] for c in d.changed_fields])
     target = new.struct_type()
     have = {f.name: f.dataType for f in df.schema.fields}
+    other = [f.name for f in target.fields if f.name in have and not _only_adds(have[f.name], f.dataType)]
+    if other:                                    # the rows are not what ``old`` says
+        raise BreakingChangeError("stored types differ from the declaration: " + ", ".join(other), other)
     cols = [reshape(F.col(f.name), have[f.name], f.dataType).alias(f.name) if f.name in have
             else _typed_null(f.dataType).alias(f.name) for f in target.fields if f.name in have or f.name != "_id"]
     extra = [F.col(c) for c in df.columns if c not in target.fieldNames()]

@@ -13,17 +13,23 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..plans.sizing import BROADCAST_MAX_ROWS, at_most
+from ..plans.sizing import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, at_most
 from ..schema import ERRORS_COL, ID_COL
 
+# Bytes assumed for a value in a broadcast row; document ids are keys of bounded length. Other types have no bound.
+WIDTH = {"string": 64, "long": 8, "integer": 8, "short": 8, "byte": 8, "boolean": 8, "double": 8, "float": 8, "date": 8,
+         "timestamp": 8, "timestamp_ntz": 8}
 ORDER_COL = "_ord"
 PRESENT_COL = "_present"
 
 
 def _side(df: DataFrame, max_rows: int, bound: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` when a bounded count proves it small. ``bound`` is a cheaper frame with at least as many rows
-    (e.g. the raw change rows for their distinct ids), counted instead of computing ``df`` twice."""
-    return F.broadcast(df) if at_most(bound if bound is not None else df, max_rows) else df
+    """Broadcast ``df`` when it is an id set (or narrow fixed-width rows) that a bounded count proves small. Sides with
+    columns of unbounded width are not hinted: the optimizer broadcasts them by their measured size, or shuffles.
+    ``bound`` is a cheaper frame with at least as many rows, counted instead of computing ``df`` twice."""
+    width = sum(WIDTH.get(f.dataType.typeName(), 0) or BROADCAST_MAX_BYTES for f in df.schema.fields)
+    rows = min(max_rows, BROADCAST_MAX_BYTES // max(width, 1))
+    return F.broadcast(df) if rows and at_most(bound if bound is not None else df, rows) else df
 
 
 def with_input_order(changes: DataFrame, order_col: str = ORDER_COL) -> DataFrame:
@@ -45,8 +51,14 @@ def last_per_id(changes: DataFrame, id_col: str = ID_COL, order_col: str | None
 
 def upsert(base: DataFrame, changes: DataFrame, id_col: str = ID_COL, order_col: str | None = ORDER_COL,
            broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Create-or-replace by id; the last duplicate in the change set wins."""
+    """Create-or-replace by id; the last duplicate in the change set wins. Columns that the base lacks and
+    null ids are refused."""
+    unknown = [c for c in changes.columns if c not in (*base.columns, id_col, order_col, ERRORS_COL)]
+    if unknown:
+        raise ValueError(f"the change set has columns that the collection lacks: {unknown}")
     ch = last_per_id(changes.drop(ERRORS_COL) if ERRORS_COL in changes.columns else changes, id_col, order_col)
+    ch = ch.withColumn(id_col, F.when(F.col(id_col).isNull(), F.raise_error(F.lit("a document to write has no id")))
+                       .otherwise(F.col(id_col)))
     kept = base.join(_side(ch.select(id_col), broadcast_max_rows, changes.select(id_col)), id_col, "left_anti")
     return kept.unionByName(ch.select(*[c for c in base.columns if c in ch.columns]), allowMissingColumns=True) \
         .select(*base.columns)
@@ -79,7 +91,7 @@ def partial_update(base: DataFrame, changes: DataFrame, id_col: str = ID_COL, or
     right = ch.select(F.col(id_col), *[F.col(c).alias(f"__new_{c}") for c in upd],
                       *([F.col(PRESENT_COL).alias("__present")] if has_present else []),
                       F.lit(True).alias("__matched"))
-    joined = base.join(_side(right, broadcast_max_rows, changes.select(id_col)), id_col, "left")
+    joined = base.join(right, id_col, "left")         # wide rows: broadcast or shuffled by the optimizer's sizes
     types = {f.name: f.dataType for f in base.schema.fields}
     ntypes = {f.name: f.dataType for f in ch.schema.fields}
     out = []

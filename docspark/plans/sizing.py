@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 # Default row bound for broadcasting a lookup side (ids, query tokens, dictionary rules, range tables).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 << 20
 
 
 def at_most(df: DataFrame, max_rows: int) -> bool:
@@ -53,7 +54,6 @@ def scratch_path(spark, name: str) -> str:
 # Target bytes per partition for the partition counts this library chooses itself (range partitions for ordered
 # scans and quantiles, buckets of stored collections).
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 200_000
 
 
 def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
@@ -65,4 +65,6 @@ def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) ->
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:
         return floor
-    return int(min(MAX_PARTITIONS, max(floor, -(-size // target_bytes))))
+    if size >= 1 << 60:                     # the optimizer does not know (rows made on the driver)
+        return floor
+    return int(max(floor, -(-size // target_bytes)))

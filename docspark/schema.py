@@ -111,6 +111,15 @@ class Field:
             out["properties"] = {k: f.mapping() for k, f in self.properties.items()}
         return out
 
+    @classmethod
+    def from_mapping(cls, m: Mapping[str, Any]) -> "Field":
+        """The field that :meth:`mapping` describes."""
+        keys = ("analyzer", "search_analyzer", "null_value", "format", "dynamic", "multi", "coerce")
+        return cls(m["type"], **{k: m[k] for k in keys if k in m},
+                   **({"fields": {k: cls.from_mapping(v) for k, v in m["fields"].items()}} if m.get("fields") else {}),
+                   **({"properties": {k: cls.from_mapping(v) for k, v in m["properties"].items()}}
+                      if m.get("properties") else {}))
+
     def date_formats(self) -> list[str]:
         return [f.strip() for f in (self.format or DEFAULT_DATE_FORMAT).split("||") if f.strip()]
 
@@ -120,6 +129,23 @@ def struct_of(props: Mapping[str, Field]) -> T.StructType:
                          for name, f in props.items()])
 
 
+def stored_mapping(schema: T.StructType) -> dict[str, dict]:
+    """The mapping that a stored table's schema was declared with, read from its fields' metadata. System columns
+    and the columns of multi-fields (which their parent's options describe) are left out."""
+    out: dict[str, dict] = {}
+    derived: set[str] = set()
+    for f in schema.fields:
+        if "docspark" not in (f.metadata or {}):
+            continue
+        m = json.loads(f.metadata["docspark"])
+        derived |= {f"{f.name}__{sub}" for sub in m.get("fields", {})}
+        inner = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
+        if m["type"] in ("object", "nested") and isinstance(inner, T.StructType):
+            m["properties"] = stored_mapping(inner)
+        out[f.name] = m
+    return {k: v for k, v in out.items() if k not in derived}
+
+
 @dataclass(frozen=True)
 class DynamicTemplate:
     """Rule for undeclared fields: first matching template (in list order) gives the mapping."""
@@ -186,8 +212,17 @@ class Collection:
         return Collection(self.name, fields, self.version, self.use_alias, self.dynamic, self.dynamic_templates,
                           self.num_shards, self.settings)
 
+    def static_settings(self) -> dict:
+        """The settings that stored tables depend on: the analysis chain and the number of shards (if declared)."""
+        return {k: v for k, v in (("analysis", self.settings.get("analysis")), ("num_shards", self.num_shards))
+                if v is not None}
+
+    def stored_type(self) -> T.StructType:
+        """Schema of the collection's tables: :meth:`struct_type` and the document as it was given."""
+        return T.StructType([*self.struct_type().fields, T.StructField(SOURCE_COL, T.VariantType())])
+
     def struct_type(self) -> T.StructType:
-        """Stored table schema: ``_id`` then declared fields, then multi-field columns ``name__sub``."""
+        """Conformed schema: ``_id`` then declared fields, then multi-field columns ``name__sub``."""
         base = struct_of(self.fields)
         extra = [T.StructField(f"{name}__{sub}", sf.spark_type(), True, {"docspark": json.dumps(sf.options())})
                  for name, f in self.fields.items() for sub, sf in (f.fields or {}).items()]

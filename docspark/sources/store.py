@@ -12,21 +12,25 @@ platform configures). A bulk batch is conformed once into the checkpoint folder;
 
 from __future__ import annotations
 
+import json
 import re
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..errors import BulkPartialFailureError, CollectionNotFoundError, MigrationError
+from ..errors import BreakingChangeError, BulkPartialFailureError, CollectionNotFoundError, MigrationError
 from ..operators import conform as C
 from ..operators import writes as W
-from ..operators.drift import diff_collections, evolve_additive
-from ..plans.sizing import partitions_for
-from ..schema import ERRORS_COL, ID_COL, SOURCE_COL, Collection
+from ..operators.drift import SchemaDiff, diff_mappings, diff_settings, evolve_additive
+from ..plans.sizing import partitions_for, scratch_path
+from ..schema import ERRORS_COL, ID_COL, SOURCE_COL, Collection, Field, flatten_paths, stored_mapping
 
 PROP_PHYSICAL = "docspark.physical"
 PROP_VERSION = "docspark.version"
 PROP_BUCKETS = "docspark.buckets"
+PROP_GENERATION = "docspark.generation"      # highest write generation ever used; numbers are not used again
+PROP_SETTINGS = "docspark.settings"
 
 
 @dataclass
@@ -79,10 +83,6 @@ class DocStore:
     def read_snapshot(self, snap: Snapshot) -> DataFrame:
         return self.spark.table(self._q(snap.physical))
 
-    def close_snapshot(self, snap: Snapshot) -> None:
-        """Snapshots hold no server resource; old tables are removed by :meth:`drop_unused`."""
-        return None
-
     # ----- writing tables ----------------------------------------------------------------------------------------
     def _shards(self, coll: Collection, df: DataFrame | None = None) -> int:
         """Bucket count: declared ``num_shards``, else the store default, else sized from the data (~256 MB each)."""
@@ -90,14 +90,21 @@ class DocStore:
             return coll.num_shards or self.default_shards
         return partitions_for(df) if df is not None else int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def _generation(self, coll: Collection) -> int:
+        """Highest generation number of this version that was ever written (0: none). The logical name remembers
+        it, so a number is not used again after its table was dropped and old snapshots never see new rows."""
+        used = [0]
+        if coll.use_alias and self.exists(coll.logical_name):
+            props = self._props(coll.logical_name)
+            if props.get(PROP_PHYSICAL, "").split("__g")[0] == coll.physical_name:
+                used.append(int(props.get(PROP_GENERATION, 1)))
+        tables = self.generations(coll.logical_name) if coll.use_alias else []
+        used += [int(t.split("__g")[1]) if "__g" in t else 1 for t in tables if t.split("__g")[0] == coll.physical_name]
+        return max(used)
+
     def _next_physical(self, coll: Collection) -> str:
-        base = coll.physical_name
-        if not self.exists(base):
-            return base
-        g = 2
-        while self.exists(f"{base}__g{g}"):
-            g += 1
-        return f"{base}__g{g}"
+        g = self._generation(coll) + 1
+        return coll.physical_name if g == 1 else f"{coll.physical_name}__g{g}"
 
     def _write(self, df: DataFrame, table: str, coll: Collection, buckets: int | None = None) -> int:
         """Write ``df`` as a table bucketed by ``_id``; returns the bucket count.
@@ -123,7 +130,10 @@ class DocStore:
     def _point(self, coll: Collection, physical: str, buckets: int | None = None) -> None:
         if not coll.use_alias:
             return
-        extra = f", '{PROP_BUCKETS}'='{buckets}'" if buckets else ""
+        settings = json.dumps(coll.static_settings(), sort_keys=True, default=str).replace("\\", "\\\\").replace("'", "\\'")
+        generation = max(self._generation(coll), int(physical.split("__g")[1]) if "__g" in physical else 1)
+        extra = f", '{PROP_GENERATION}'='{generation}', '{PROP_SETTINGS}'='{settings}'"
+        extra += f", '{PROP_BUCKETS}'='{buckets}'" if buckets else ""
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self._q(coll.logical_name)} TBLPROPERTIES "
             f"('{PROP_PHYSICAL}'='{physical}', '{PROP_VERSION}'='{coll.version}'{extra}) "
@@ -133,7 +143,7 @@ class DocStore:
         self.spark.sql(f"DROP TABLE IF EXISTS {self._q(table)}")
 
     def empty(self, coll: Collection) -> DataFrame:
-        return self.spark.createDataFrame([], coll.struct_type())
+        return self.spark.createDataFrame([], coll.stored_type())
 
     def create(self, coll: Collection, df: DataFrame | None = None) -> str:
         """Create the physical table (no-op when it exists) and point the logical name at it. Refuses when
@@ -146,16 +156,26 @@ class DocStore:
             return cur
         n = None
         if not self.exists(phys):
-            n = self._write(df if df is not None else self.empty(coll), phys, coll)
+            n = self._write(self._with_source(df, coll) if df is not None else self.empty(coll), phys, coll)
         self._point(coll, phys, n)
         return phys
 
+    def _with_source(self, df: DataFrame, coll: Collection) -> DataFrame:
+        """Conformed rows in the collection's stored schema; where there is no ``_source`` it is null (a rebuild then
+        reads the columns)."""
+        stored = coll.stored_type()
+        out = df if SOURCE_COL in df.columns else df.withColumn(SOURCE_COL, F.lit(None).cast("variant"))
+        known = {f.name: f for f in stored.fields}
+        return out.select(*[F.col(c).alias(c, metadata=known[c].metadata) if c in known else F.col(c) for c in out.columns])
+
     def _replace(self, coll: Collection, new_content: DataFrame) -> str:
         """Write the new content as the next physical table of this version and repoint the logical name."""
         if not coll.use_alias:
             # plain table: materialise first (the new content reads the table being replaced)
             saved = new_content.checkpoint(eager=True)
-            saved.write.mode("overwrite").saveAsTable(self._q(coll.physical_name))
+            n = self._shards(coll, saved)
+            saved.repartition(n, ID_COL).write.bucketBy(n, ID_COL).mode("overwrite").saveAsTable(
+                self._q(coll.physical_name))
             return coll.physical_name
         phys = self._next_physical(coll)
         n = self._write(new_content, phys, coll, buckets=self._buckets(coll.logical_name))
@@ -163,36 +183,66 @@ class DocStore:
         return phys
 
     # ----- document writes ---------------------------------------------------------------------------------------
+    def stored_mapping(self, name: str) -> dict:
+        """The mapping that the stored rows were written with (fields discovered by earlier writes included)."""
+        return stored_mapping(self.read(name).schema)
+
+    def _effective(self, coll: Collection) -> Collection:
+        """``coll`` with the undeclared fields that earlier writes discovered."""
+        if coll.dynamic is not True or not self.exists(coll.logical_name):
+            return coll
+
+        def merge(declared, stored: dict) -> dict:
+            out = dict(declared)
+            for k, m in stored.items():
+                if k not in out:
+                    out[k] = Field.from_mapping(m)
+                elif out[k].properties and m.get("properties"):
+                    out[k] = replace(out[k], properties=merge(out[k].properties, m["properties"]))
+            return out
+        return coll.with_fields(merge(coll.fields, self.stored_mapping(coll.logical_name)))
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` to the checkpoint folder once and go on from the files."""
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     def bulk_index(self, coll: Collection, docs: DataFrame, raw_col: str | None = "doc", id_expr: Column | None = None,
                    order_col: str | None = None, throw_on_failure: bool = False,
-                   id_field: str | None = None) -> W.BulkResult:
+                   id_field: str | None = None, batch: str | None = None) -> W.BulkResult:
         """Conform JSON (``raw_col``) or typed documents, upsert the accepted ones (last duplicate id wins),
-        publish, and report counts. With ``throw_on_failure`` nothing is published when any document failed."""
+        publish, and report counts. With ``throw_on_failure`` nothing is published when any document failed.
+
+        Every stored row keeps its document in ``_source``. Undeclared keys live there (``dynamic`` false or
+        ``runtime``), or become typed columns first (``dynamic`` true; per object where the object says so). A
+        document without an id gets a generated one, salted with ``batch`` (default: the generation being written),
+        so equal documents of different writes stay apart. ``order_col`` gives the order of the documents; without
+        it their position in a file scan counts, which a shuffle before this call would not keep."""
         name = coll.logical_name
-        base = self.read(name) if self.exists(name) else self.empty(coll)
+        asked, coll = coll, self._effective(coll)
         if order_col is None:
             docs = W.with_input_order(docs)
             order_col = W.ORDER_COL
-        keep = [order_col]
         if raw_col is not None:
-            conformed = C.conform_json(docs, coll, raw_col, id_expr, keep=keep, keep_source=SOURCE_COL in base.columns,
-                                       id_field=id_field)
+            parsed = docs.withColumn("__json", F.try_parse_json(F.col(raw_col)))
         else:
-            conformed = C.conform_frame(docs, coll, id_expr, keep=keep)
-        if id_expr is None and id_field is not None:
-            conformed = conformed.withColumn(ID_COL, F.coalesce(F.col(ID_COL), C.generated_id(
-                coll.version, [c for c in conformed.columns if c not in (ERRORS_COL, SOURCE_COL, order_col, ID_COL)],
-                F.col(order_col))))
-        elif id_expr is None:
-            conformed = conformed.withColumn(ID_COL, C.generated_id(
-                coll.version, [c for c in conformed.columns if c not in (ERRORS_COL, SOURCE_COL, order_col)],
-                F.col(order_col)))
+            fields = [c for c in docs.columns if c not in (ID_COL, SOURCE_COL, ERRORS_COL, order_col)]
+            parsed = docs.withColumn("__json", F.to_variant_object(F.struct(*[F.col(c) for c in fields])))
+        if asked.dynamic is True or any(f.dynamic is True for _, f in flatten_paths(coll.fields)):
+            seen = C.observed_paths(parsed, F.col("__json"), elements=True)
+            # one row per distinct (path, kind): the size of the mapping, not of the data
+            coll = C.widen(coll, [(r["path"], r["kind"]) for r in seen.select("path", "kind").collect()])
+        looks = (F.ltrim(F.col(raw_col)).startswith("{") & F.col("__json").isNotNull()) if raw_col is not None else None
+        conformed = C.conform_variant(parsed, coll, F.col("__json"), id_expr, [order_col], True, looks, id_field)
+        if id_expr is None and id_field is None:
+            conformed = conformed.withColumn(ID_COL, F.lit(None).cast("string"))
+        salt = batch or (self._next_physical(coll) if coll.use_alias else uuid.uuid4().hex)
+        own = [c for c in conformed.columns if c not in (ERRORS_COL, SOURCE_COL, order_col, ID_COL)]
+        conformed = conformed.withColumn(ID_COL, F.coalesce(F.col(ID_COL), C.generated_id(salt, own, F.col(order_col))))
         # The conformed batch is written once to the checkpoint folder: counts come from it (one small column),
         # the upsert reads it, and the lineage back to the raw input is cut (a lost executor does not re-parse).
-        from ..plans.sizing import scratch_path
-        path = scratch_path(self.spark, f"bulk-{name}")
-        conformed.write.parquet(path)
-        staged = self.spark.read.parquet(path)
+        staged = self._stage(conformed, f"bulk-{name}")
         cnt = staged.agg(F.count(F.lit(1)).alias("total"),
                          F.count_if(F.size(ERRORS_COL) > 0).alias("failed")).first()
         total, failed = int(cnt["total"]), int(cnt["failed"] or 0)
@@ -200,20 +250,37 @@ class DocStore:
         res = W.BulkResult(total, total - failed, failed, bad)
         if throw_on_failure and failed:
             raise BulkPartialFailureError(f"{failed} of {total} documents failed", res)
-        new_content = W.upsert(base, ok, ID_COL, order_col)
-        if coll.use_alias:
-            phys = self._next_physical(coll)
-            n = self._write(new_content, phys, coll, buckets=self._buckets(name))
-            self._point(coll, phys, n)
+        target = [f.name for f in coll.stored_type().fields]
+        if self.exists(name):
+            base = self.read(name)
+            base = evolve_additive(self._with_source(base, coll), Collection(
+                coll.name, {k: Field.from_mapping(m) for k, m in self.stored_mapping(name).items()} or coll.fields), coll)
         else:
-            new_content = new_content.checkpoint(eager=True)
-            new_content.write.mode("overwrite").saveAsTable(self._q(coll.physical_name))
+            base = self.empty(coll)
+        base = base.select(*target, *[c for c in base.columns if c not in target])
+        self._replace(coll, self._with_source(W.upsert(base, ok, ID_COL, order_col), coll))
         return res
 
-    def update(self, coll: Collection, changes: DataFrame) -> DataFrame:
-        """Returns the unmatched ids (collected by the caller if wanted)."""
-        new, unmatched = W.partial_update(self.read(coll.logical_name), changes, ID_COL, None)
-        self._replace(coll, new)
+    def update(self, coll: Collection, changes: DataFrame, order_col: str | None = None) -> DataFrame:
+        """Set fields of existing documents; of several changes to one id the last wins (by ``order_col``, else by
+        position in a file scan). Returns the ids that matched nothing. ``_source`` follows the changed fields."""
+        if order_col is None:
+            changes = W.with_input_order(changes)
+            order_col = W.ORDER_COL
+        base = self.read(coll.logical_name)
+        new, unmatched = W.partial_update(base, changes, ID_COL, order_col)
+        unmatched = unmatched.checkpoint(eager=True)             # before the tables it reads are replaced
+        named = [c for c in changes.columns if c in base.columns and c not in (ID_COL, SOURCE_COL)]
+        if SOURCE_COL in base.columns and named:
+            touched = changes.select(F.col(ID_COL).alias("__id")).distinct().withColumn("__touched", F.lit(True))
+            new = new.join(touched, F.col(ID_COL) == F.col("__id"), "left").drop("__id")
+            fresh = F.try_variant_get(F.to_variant_object(F.struct(*[F.col(c) for c in named])), "$", "map<string,variant>")
+            was = F.try_variant_get(F.col(SOURCE_COL), "$", "map<string,variant>")
+            names = F.array(*[F.lit(c) for c in named])
+            merged = F.to_variant_object(F.map_concat(F.map_filter(was, lambda k, _: ~F.array_contains(names, k)), fresh))
+            new = new.withColumn(SOURCE_COL, F.when(F.col("__touched") & F.col(SOURCE_COL).isNotNull(), merged)
+                                 .otherwise(F.col(SOURCE_COL))).drop("__touched")
+        self._replace(coll, self._with_source(new, coll))
         return unmatched
 
     def delete(self, coll: Collection, ids: DataFrame) -> DataFrame:
@@ -228,15 +295,34 @@ class DocStore:
         self._replace(coll, W.delete_where(self.read(coll.logical_name), predicate))
 
     # ----- evolution and rebuild ---------------------------------------------------------------------------------
-    def stored_collection_schema(self, name: str):
-        return self.read(name).schema
+    def stored_settings(self, name: str) -> dict:
+        return json.loads(self._props(name).get(PROP_SETTINGS, "{}")) if self.exists(name) else {}
 
-    def sync(self, old: Collection, new: Collection) -> str:
-        """Publish the additive evolution of the current content under the same version."""
+    def schema_diff(self, declared: Collection) -> SchemaDiff:
+        """The declaration against what is stored: the mapping in the table's field metadata and the static
+        settings in its properties."""
+        name = declared.logical_name
+        if not self.exists(name):
+            return diff_mappings(declared.mapping(), None)
+        out = diff_mappings(declared.mapping(), self.stored_mapping(name))
+        if declared.use_alias:
+            out.changed_settings = diff_settings(declared.static_settings(), self.stored_settings(name))
+        return out
+
+    def sync(self, *declared: Collection) -> str:
+        """Publish the additive evolution of the stored content under the same version; refuses when a stored
+        field or static setting changed. (Given several declarations, the last counts; what is stored is read.)"""
+        new = declared[-1]
         if not self.exists(new.logical_name):
             return self.create(new)
-        evolved = evolve_additive(self.read(new.logical_name), old, new)
-        return self._replace(new, evolved)
+        diff = self.schema_diff(new)
+        if diff.is_breaking:
+            names = [c["field"] for c in diff.changed_fields] + [f"settings.{k}" for k in diff.changed_settings]
+            raise BreakingChangeError("the stored collection differs in " + ", ".join(names), names)
+        if not diff.added_fields:
+            return self.current(new.logical_name)
+        stored = Collection(new.name, {k: Field.from_mapping(m) for k, m in self.stored_mapping(new.logical_name).items()})
+        return self._replace(new, self._with_source(evolve_additive(self.read(new.logical_name), stored, new), new))
 
     def migrate(self, old: Collection, new: Collection, delete_old: bool = False) -> MigrateResult:
         """Copy every document into ``new``'s version under its schema, verify the count, swap, optionally
@@ -248,17 +334,20 @@ class DocStore:
         src = self.current(new.logical_name)
         target = new.physical_name
         if src.split("__g")[0] == target:
-            raise MigrationError(f"{target} is already active")
+            raise MigrationError(f"version {new.version} of {new.logical_name} is the current one")
         if self.exists(target):
-            raise MigrationError(f"{target} already exists")
+            raise MigrationError(f"a table named {target} is in the way")
         source = self.spark.table(self._q(src))
         n_src = source.count()
-        cols = [c for c in source.columns if c not in (ID_COL, SOURCE_COL)]
-        doc = F.to_variant_object(F.struct(*[F.col(c) for c in cols]))
+        # The document as given where it is kept; else its top-level fields (not the columns of multi-fields), without
+        # the absent ones: a column that is null says nothing about the document.
+        cols = [c for c in (stored_mapping(source.schema) or source.columns) if c not in (ID_COL, SOURCE_COL)]
+        doc = F.try_parse_json(F.to_json(F.struct(*[F.col(c) for c in cols])))
         if SOURCE_COL in source.columns:
             doc = F.coalesce(F.col(SOURCE_COL), doc)
-        conformed = C.conform_variant(source, new, doc, F.col(ID_COL), keep_source=SOURCE_COL in source.columns)
+        conformed = C.conform_variant(source, new, doc, F.col(ID_COL), keep_source=True)
         ok, _ = C.split_valid(conformed)
+        ok = self._with_source(ok, new)
         try:
             n = self._write(ok, target, new)
             written = self.spark.table(self._q(target)).count()
@@ -289,6 +378,3 @@ class DocStore:
         for t in gone:
             self.drop(t)
         return gone
-
-    def schema_diff(self, coll: Collection, actual: Collection | None):
-        return diff_collections(coll, actual)
