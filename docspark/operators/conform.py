@@ -576,7 +576,7 @@ def _discovered(name: str, path: str, by_path: dict[str, set], held: dict[str, s
     if kind is None:
         return None
     if kind == "object" or below.get(path):
-        props = {k: f for k, p in below.get(path, []) if (f := _discovered(k, p, by_path, held, below, templates))}
+        props = {k: f for k, p in below.get(path, []) if "." not in k and (f := _discovered(k, p, by_path, held, below, templates))}
         return Field("nested" if many else "object", properties=props) if props else None
     f = dynamic_field(kind, name, templates)
     if f is None or not many:
@@ -588,7 +588,7 @@ def _added(fields: Mapping[str, Field], prefix: str, dynamic, by_path, held, bel
     out = dict(fields)
     for name, path in below.get(prefix, []):
         if name not in out:
-            if dynamic is True and name != ID_COL:
+            if dynamic is True and name != ID_COL and "." not in name:
                 f = _discovered(name, path, by_path, held, below, templates)
                 if f is not None:
                     out[name] = f
@@ -603,7 +603,8 @@ def widen(collection: Collection, paths: list[tuple[str, str]]) -> Collection:
     """C4 + C9: add the undeclared fields seen in the data (``paths``: (path, kind) pairs of :func:`observed_paths`
     with its ``elements``; arrays whose elements are not given are left out), at any depth, inside declared objects too unless the object's own
     ``dynamic`` says otherwise. A path seen with several kinds takes the first of ``KIND_ORDER``; arrays of scalars
-    become multi-valued fields, arrays of objects nested ones. Templates apply in list order."""
+    become multi-valued fields, arrays of objects nested ones. Templates apply in list order. A key that holds a dot
+    itself gets no column (dots separate the parts of a path); stored documents keep it in ``_source``."""
     by_path: dict[str, set] = {}
     elements: dict[str, set] = {}
     for p, k in paths:

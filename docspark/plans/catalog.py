@@ -1069,3 +1069,243 @@ def agg_top_hits_all(spark, sf):
     li = with_id(read(spark, sf, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     out = A.top_hits(li, A.TopHits(None, [("l_extendedprice", "desc")], size=5, source=[ID_COL, "l_extendedprice"]))
     return out.select("bucket", "total", F.col("hit_rank").cast("long").alias("hit_rank"), ID_COL, "l_extendedprice")
+
+
+# ----------------------------------------------------------------------------------------------------------------
+# Writes through the store: undeclared fields, ids, rebuilds, settings, snapshots
+# ----------------------------------------------------------------------------------------------------------------
+
+def _store(spark):
+    from ..sources.store import DocStore
+    prep(spark)
+    db = "docspark_catalog"
+    loc = ensure_checkpoint_dir(spark).rstrip("/") + "/" + db
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{loc}'")
+    return DocStore(spark, database=db)
+
+
+def _named(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:8]}"
+
+
+def _order_docs(spark, sf) -> DataFrame:
+    """Orders as JSON; priority, an array and a deep object are undeclared."""
+    o = read(spark, sf, "orders")
+    doc = F.to_json(F.struct(
+        F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("priority"), F.array("o_orderkey", "o_custkey").alias("keys"),
+        F.struct(F.struct(F.struct(F.col("o_custkey").alias("c")).alias("b")).alias("a")).alias("deep")))
+    return o.select(doc.alias("doc"))
+
+
+@register("bulk_dynamic_true", """
+SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_orderstatus AS status, o_orderpriority AS priority, o_orderpriority AS priority_raw,
+       o_orderkey AS key0, o_custkey AS key1, o_custkey AS deep_c FROM orders
+""")
+def bulk_dynamic_true(spark, sf):
+    """S4 + C4: a bulk write turns undeclared keys into typed columns: text with a keyword, a multi-valued long, an
+    object three levels deep."""
+    store, coll = _store(spark), Collection(_named("dyn"), {"id": Field("keyword"), "status": Field("keyword")})
+    store.create(coll)
+    store.bulk_index(coll, _order_docs(spark, sf), id_field="id")
+    return store.read(coll.name).select(ID_COL, "status", "priority", F.col("priority__keyword").alias("priority_raw"),
+                                        F.col("keys")[0].alias("key0"), F.col("keys")[1].alias("key1"),
+                                        F.col("deep.a.b.c").alias("deep_c"))
+
+
+@register("bulk_dynamic_false_source", """
+SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_orderstatus AS status, o_orderpriority AS priority, o_custkey AS deep_c, 4 AS columns
+FROM orders
+""")
+def bulk_dynamic_false_source(spark, sf):
+    """S4 + C5: with dynamic false undeclared keys get no column and stay in the stored document."""
+    store = _store(spark)
+    coll = Collection(_named("fixed"), {"id": Field("keyword"), "status": Field("keyword")}, dynamic=False)
+    store.create(coll)
+    store.bulk_index(coll, _order_docs(spark, sf), id_field="id")
+    rows = store.read(coll.name)
+    return rows.select(ID_COL, "status", F.try_variant_get("_source", "$.priority", "string").alias("priority"),
+                       F.try_variant_get("_source", "$.deep.a.b.c", "bigint").alias("deep_c"),
+                       F.lit(len(rows.columns)).alias("columns"))
+
+
+@register("bulk_runtime_stored", """
+SELECT o_orderpriority AS key, count(*) AS doc_count FROM orders GROUP BY 1
+""")
+def bulk_runtime_stored(spark, sf):
+    """An undeclared field of a stored collection, read at query time and aggregated."""
+    store = _store(spark)
+    coll = Collection(_named("run"), {"id": Field("keyword")}, dynamic="runtime")
+    store.create(coll)
+    store.bulk_index(coll, _order_docs(spark, sf), id_field="id")
+    rows = store.read(coll.name).select(C.runtime_field("priority", "string").alias("priority"))
+    return A.terms(rows, A.Terms("priority", size=100))
+
+
+@register("bulk_missing_ids", """
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS given_id, o_custkey AS cust,
+       true AS id_ok FROM orders
+""")
+def bulk_missing_ids(spark, sf):
+    """Where the id selector yields nothing the document gets an id of its own; no document is lost."""
+    store = _store(spark)
+    coll = Collection(_named("ids"), {"id": Field("keyword"), "cust": Field("long")}, dynamic=False)
+    store.create(coll)
+    o = read(spark, sf, "orders")
+    given = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey").cast("string"))
+    docs = o.select(F.to_json(F.struct(given.alias("id"), F.col("o_custkey").alias("cust"))).alias("doc"))
+    store.bulk_index(coll, docs, id_expr=F.try_variant_get(F.try_parse_json("doc"), "$.id", "string"))
+    return store.read(coll.name).select(F.col("id").alias("given_id"), "cust", F.coalesce(
+        F.col("id") == F.col(ID_COL), F.length(ID_COL) == 32).alias("id_ok"))
+
+
+@register("autoid_two_batches", """
+SELECT c_mktsegment AS segment, 2 * count(*) AS docs, 2 * count(*) AS ids FROM customer GROUP BY 1
+""")
+def autoid_two_batches(spark, sf):
+    """The same documents without ids, written twice, are stored twice."""
+    store = _store(spark)
+    coll = Collection(_named("auto"), {"segment": Field("keyword")}, dynamic=False)
+    store.create(coll)
+    docs = read(spark, sf, "customer").select(F.to_json(F.struct(F.col("c_mktsegment").alias("segment"))).alias("doc"))
+    for _ in range(2):
+        store.bulk_index(coll, docs)
+    return store.read(coll.name).groupBy("segment").agg(F.count("*").alias("docs"), F.countDistinct(ID_COL).alias("ids"))
+
+
+@register("rebuild_strict_multifield", """
+SELECT CAST(p_partkey AS VARCHAR) AS _id, p_brand AS brand, p_brand AS brand_raw, CAST(NULL AS BIGINT) AS stock FROM part
+""")
+def rebuild_strict_multifield(spark, sf):
+    """A strict collection with a multi-field is rebuilt under a version that adds a field."""
+    store, name = _store(spark), _named("strict")
+    fields = {"id": Field("keyword"), "brand": Field("text", fields={"raw": Field("keyword")})}
+    v1 = Collection(name, fields, dynamic="strict")
+    v2 = Collection(name, {**fields, "stock": Field("long")}, version=2, dynamic="strict")
+    store.create(v1)
+    docs = read(spark, sf, "part").select(F.to_json(F.struct(F.col("p_partkey").cast("string").alias("id"),
+                                                             F.col("p_brand").alias("brand"))).alias("doc"))
+    store.bulk_index(v1, docs, id_field="id")
+    store.migrate(v1, v2)
+    return store.read(name).select(ID_COL, "brand", F.col("brand__raw").alias("brand_raw"), "stock")
+
+
+_NULL_DOCS = """CASE c_custkey % 3 WHEN 0 THEN c_mktsegment WHEN 1 THEN 'NONE' ELSE NULL END"""
+
+
+@register("rebuild_null_value", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS _id, {_NULL_DOCS} AS before, {_NULL_DOCS} AS after FROM customer
+""")
+def rebuild_null_value(spark, sf):
+    """C2 + S13: an explicit null takes the declared null value, an absent field none, before and after a rebuild."""
+    store, name = _store(spark), _named("nulls")
+    fields = {"id": Field("keyword"), "segment": Field("keyword", null_value="NONE")}
+    v1, v2 = (Collection(name, fields, version=v, dynamic="strict") for v in (1, 2))
+    store.create(v1)
+    key, segment = F.col("c_custkey").cast("string"), F.col("c_mktsegment")
+    docs = read(spark, sf, "customer").select(
+        F.when(F.col("c_custkey") % 3 == 0, F.to_json(F.struct(key.alias("id"), segment.alias("segment"))))
+        .when(F.col("c_custkey") % 3 == 1, F.concat(F.lit('{"id":"'), key, F.lit('","segment":null}')))
+        .otherwise(F.to_json(F.struct(key.alias("id")))).alias("doc"))
+    store.bulk_index(v1, docs, id_field="id")
+    before = store.read_snapshot(store.snapshot(name)).select(ID_COL, F.col("segment").alias("before"))
+    store.migrate(v1, v2)
+    return store.read(name).select(ID_COL, F.col("segment").alias("after")).join(before, ID_COL)
+
+
+@register("evolve_stored", """
+SELECT CAST(s_suppkey AS VARCHAR) AS _id, s_name AS name, CAST(NULL AS DOUBLE) AS rating, 'rating' AS added, 'name' AS refused
+FROM supplier
+""")
+def evolve_stored(spark, sf):
+    """C12 + C13: declarations against what is stored: an addition is published, a change is refused."""
+    from ..errors import BreakingChangeError
+    store, name = _store(spark), _named("evo")
+    v1 = Collection(name, {"id": Field("keyword"), "name": Field("keyword")}, dynamic=False)
+    store.create(v1)
+    docs = read(spark, sf, "supplier").select(F.to_json(F.struct(F.col("s_suppkey").cast("string").alias("id"),
+                                                                 F.col("s_name").alias("name"))).alias("doc"))
+    store.bulk_index(v1, docs, id_field="id")
+    wider = Collection(name, {**v1.fields, "rating": Field("double")}, dynamic=False)
+    added = store.schema_diff(wider).added_fields
+    store.sync(wider)
+    refused = []
+    try:
+        store.sync(Collection(name, {**wider.fields, "name": Field("text")}, dynamic=False))
+    except BreakingChangeError as e:
+        refused = e.changed_fields
+    return store.read(name).select(ID_COL, "name", "rating", F.lit(",".join(added)).alias("added"),
+                                   F.lit(",".join(refused)).alias("refused"))
+
+
+@register("snapshot_read", """
+SELECT CAST(s_suppkey AS VARCHAR) AS _id, round(s_acctbal, 2) AS pinned, CASE WHEN s_suppkey % 2 = 0 THEN -1.0 ELSE
+       round(s_acctbal, 2) END AS now FROM supplier
+""")
+def snapshot_read(spark, sf):
+    """A snapshot taken before an update keeps reading the old rows."""
+    store = _store(spark)
+    coll = Collection(_named("snap"), {"id": Field("keyword"), "balance": Field("double")}, dynamic=False)
+    store.create(coll)
+    s = read(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_acctbal").alias("balance"))
+    store.bulk_index(coll, s, raw_col=None, id_field="id")
+    pinned = store.read_snapshot(store.snapshot(coll.name)).select(ID_COL, F.round("balance", 2).alias("pinned"))
+    store.update(coll, s.where(F.col("id").cast("long") % 2 == 0).select(F.col("id").alias(ID_COL), F.lit(-1.0).alias("balance")))
+    return store.read(coll.name).select(ID_COL, F.round("balance", 2).alias("now")).join(pinned, ID_COL)
+
+
+@register("partial_update_duplicates", """
+WITH last AS (SELECT l_orderkey, max(l_shipdate) AS d, max_by(l_quantity, (l_shipdate, l_linenumber, l_partkey, l_suppkey,
+  l_quantity)) AS q FROM lineitem GROUP BY 1)
+SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_orderstatus AS status, last.q AS quantity FROM orders
+LEFT JOIN last ON o_orderkey = l_orderkey
+""")
+def partial_update_duplicates(spark, sf):
+    """Of many updates to one document the last by the order column wins."""
+    base = with_id(read(spark, sf, "orders"), "o_orderkey").select(
+        ID_COL, F.col("o_orderstatus").alias("status"), F.lit(None).cast("double").alias("quantity"))
+    li = read(spark, sf, "lineitem")
+    changes = li.select(F.col("l_orderkey").cast("string").alias(ID_COL), F.col("l_quantity").alias("quantity"), F.struct(
+        "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("seq"))
+    return W.partial_update(base, changes, order_col="seq")[0]
+
+
+@register("drift_deep", """
+SELECT path, kind AS observed_kind, declared_type, change, n AS n_docs FROM (
+  SELECT 'a' AS path, 'object' AS kind, 'object' AS declared_type, 'same' AS change, count(*) AS n FROM orders
+  UNION ALL SELECT 'a.b', 'object', 'object', 'same', count(*) FROM orders
+  UNION ALL SELECT 'a.b.c', 'object', NULL, 'added', count(*) FROM orders
+  UNION ALL SELECT 'a.b.c.status', 'string', NULL, 'added', count(*) FROM orders
+  UNION ALL SELECT 'a.b.n', CASE WHEN o_orderkey % 2 = 0 THEN 'long' ELSE 'string' END, 'integer',
+    CASE WHEN o_orderkey % 2 = 0 THEN 'same' ELSE 'changed' END, count(*) FROM orders GROUP BY 2, 4
+  UNION ALL SELECT 'a.b.gone', NULL, 'date', 'removed', 0) WHERE n > 0 OR change = 'removed'
+""")
+def drift_deep(spark, sf):
+    """Drift at every level the documents and the declaration have."""
+    o = read(spark, sf, "orders")
+    n = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string")).otherwise(F.lit('"x"'))
+    doc = F.concat(F.lit('{"a":{"b":{"n":'), n, F.lit(',"c":{"status":"'), F.col("o_orderstatus"), F.lit('"}}}}'))
+    coll = Collection("deep", {"a": Field("object", properties={"b": Field("object", properties={
+        "n": Field("integer"), "gone": Field("date")})})})
+    return D.drift_report(o.select(doc.alias("doc")), F.try_parse_json("doc"), coll)
+
+
+@register("widen_arrays", """
+SELECT * FROM (
+  SELECT 'keys' AS path, 'long' AS type, true AS multi, count(*) > 0 AS seen FROM orders
+  UNION ALL SELECT 'deep', 'object', false, count(*) > 0 FROM orders
+  UNION ALL SELECT 'deep.a', 'object', false, count(*) > 0 FROM orders
+  UNION ALL SELECT 'deep.a.b', 'object', false, count(*) > 0 FROM orders
+  UNION ALL SELECT 'deep.a.b.c', 'long', false, count(o_custkey) > 0 FROM orders
+  UNION ALL SELECT 'id', 'keyword', false, count(*) > 0 FROM orders
+  UNION ALL SELECT 'priority', 'text', false, count(o_orderpriority) > 0 FROM orders
+  UNION ALL SELECT 'status', 'text', false, count(o_orderstatus) > 0 FROM orders) WHERE seen
+""")
+def widen_arrays(spark, sf):
+    """C4: arrays, and objects that hold only objects, are discovered at any depth."""
+    from ..schema import flatten_paths
+    docs = _order_docs(spark, sf)
+    seen = C.observed_paths(docs, F.try_parse_json("doc"), elements=True).select("path", "kind").collect()
+    wide = C.widen(Collection("w", {"id": Field("keyword")}), [(r["path"], r["kind"]) for r in seen])
+    rows = [(p, f.type, bool(f.multi), True) for p, f in flatten_paths(wide.fields)]
+    return spark.createDataFrame(rows, "path string, type string, multi boolean, seen boolean")

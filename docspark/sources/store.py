@@ -165,8 +165,8 @@ class DocStore:
         reads the columns)."""
         stored = coll.stored_type()
         out = df if SOURCE_COL in df.columns else df.withColumn(SOURCE_COL, F.lit(None).cast("variant"))
-        known = {f.name: f for f in stored.fields}
-        return out.select(*[F.col(c).alias(c, metadata=known[c].metadata) if c in known else F.col(c) for c in out.columns])
+        return out.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in stored.fields if f.name in out.columns],
+                          *[c for c in out.columns if c not in stored.fieldNames()])
 
     def _replace(self, coll: Collection, new_content: DataFrame) -> str:
         """Write the new content as the next physical table of this version and repoint the logical name."""

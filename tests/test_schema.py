@@ -63,40 +63,48 @@ def test_dynamic_template_matching():
     assert glob_match("a*b", "axxb") and not glob_match("a*b", "axxc")
 
 
-# --- mapping diff (pure function), same cases as the reference's unit tests -------------------------------------
-
-def test_added_fields_are_not_breaking():
-    d = diff_mappings({"id": {"type": "keyword"}, "name": {"type": "text"}}, {"id": {"type": "keyword"}})
-    assert d.added_fields == ["name"] and not d.changed_fields and not d.removed_fields and not d.is_breaking
-
-
-def test_mapping_changes_are_breaking():
-    d = diff_mappings({"price": {"type": "long"}}, {"price": {"type": "integer"}})
-    assert d.changed_fields == [{"field": "price", "before": {"type": "integer"}, "after": {"type": "long"}}]
-    assert d.is_breaking
-
-
-def test_added_nested_field_dotted_path():
-    d = diff_mappings({"seller": {"type": "object", "properties": {"id": {"type": "keyword"}, "rating": {"type": "integer"}}}},
-                      {"seller": {"type": "object", "properties": {"id": {"type": "keyword"}}}})
-    assert d.added_fields == ["seller.rating"] and not d.is_breaking
-
-
-def test_changed_nested_field_dotted_path():
-    d = diff_mappings({"seller": {"type": "object", "properties": {"rating": {"type": "integer"}}}},
-                      {"seller": {"type": "object", "properties": {"rating": {"type": "long"}}}})
-    assert [c["field"] for c in d.changed_fields] == ["seller.rating"] and d.is_breaking
-    assert d.changed_fields[0]["before"] == {"type": "long"}
-
-
-def test_option_order_does_not_matter_and_missing_collection():
-    d = diff_mappings({"n": {"type": "text", "analyzer": "a", "search_analyzer": "b"}},
-                      {"n": {"search_analyzer": "b", "analyzer": "a", "type": "text"}})
-    assert not d.changed_fields
-    d = diff_mappings({"a": {"type": "keyword"}, "b": {"type": "object", "properties": {"c": {"type": "long"}}}}, None)
-    assert d.added_fields == ["a", "b"] and not d.is_breaking
-
-
-def test_removed_fields_are_informational():
-    d = diff_mappings({"id": {"type": "keyword"}}, {"id": {"type": "keyword"}, "old": {"type": "long"}})
-    assert d.removed_fields == ["old"] and not d.is_breaking
+# --- mapping diff ------------------------------------------------------------------------------------------------
+
+VALVE = {"code": {"type": "keyword"},
+         "body": {"type": "object", "properties": {
+             "bore": {"type": "double"}, "seal": {"type": "object", "properties": {"grade": {"type": "keyword"}}}}},
+         "tests": {"type": "nested", "properties": {"bar": {"type": "integer"}}}}
+
+
+def edited(path, value):
+    """VALVE with the mapping at a dotted path replaced (None: taken out)."""
+    out = json.loads(json.dumps(VALVE))
+    at, (*head, last) = out, path.split(".")
+    for part in head:
+        at = at[part]["properties"]
+    if value is None:
+        del at[last]
+    else:
+        at[last] = value
+    return out
+
+
+@pytest.mark.parametrize("path", ["code", "body", "body.bore", "body.seal.grade", "tests.bar"])
+def test_each_path_is_added_removed_or_changed_alone(path):
+    assert diff_mappings(VALVE, VALVE) == diff_mappings({}, {})
+    added = diff_mappings(VALVE, edited(path, None))
+    assert (added.added_fields, added.removed_fields, added.is_breaking) == ([path], [], False)
+    removed = diff_mappings(edited(path, None), VALVE)
+    assert (removed.added_fields, removed.removed_fields, removed.is_breaking) == ([], [path], False)
+    new = {"type": "date", "format": "yyyy"}
+    changed = diff_mappings(edited(path, new), VALVE)
+    assert changed.is_breaking and [c["field"] for c in changed.changed_fields] == [path]
+    assert changed.changed_fields[0]["after"] == new
+    assert not changed.added_fields and not changed.removed_fields       # nothing is told twice below a change
+
+
+def test_diff_ignores_key_order_and_knows_a_missing_collection():
+    one = {"note": {"type": "text", "analyzer": "x", "search_analyzer": "y"}}
+    two = {"note": dict(reversed(one["note"].items()))}
+    assert not diff_mappings(one, two).changed_fields
+    assert sorted(diff_mappings(VALVE, None).added_fields) == ["body", "code", "tests"]
+
+
+def test_fields_come_back_from_their_mapping():
+    for f in PRODUCT.fields.values():
+        assert Field.from_mapping(f.mapping()) == f
