@@ -395,13 +395,25 @@ def ip_range_agg(df: DataFrame, spec: IpRange) -> DataFrame:
     return out.select("key", F.col("from").cast("string"), F.col("to").cast("string"), "doc_count")
 
 
+SALT_HITS_ABOVE, HIT_SALTS = 1000, 64
+
+
 def top_hits(df: DataFrame, spec: TopHits, id_col: str = ID_COL) -> DataFrame:
     specs = with_tiebreak(parse_sort(spec.sort), id_col)
     bucket = F.lit("_all") if spec.by is None else _c(spec.by)
     keyed = df.select("*", bucket.alias("bucket"), *[key_column(s).alias(f"_k{i}") for i, s in enumerate(specs)])
     keyed = keyed.filter(F.col("bucket").isNotNull())
-    w = Window.partitionBy("bucket").orderBy(*[order_column(f"_k{i}", s) for i, s in enumerate(specs)])
-    top = keyed.withColumn("hit_rank", F.row_number().over(w)).filter(F.col("hit_rank") <= spec.size)
+    order = [order_column(f"_k{i}", s) for i, s in enumerate(specs)]
+    w = Window.partitionBy("bucket").orderBy(*order)
+    best = keyed
+    if spec.by is None:
+        best = keyed.orderBy(*order).limit(spec.size)            # top-k in every task, then one merge of those
+    elif spec.size > SALT_HITS_ABOVE:
+        # Spark limits a ranking before its shuffle only for small ranks; larger ones are cut in slices of the bucket
+        salted = Window.partitionBy("bucket", "_salt").orderBy(*order)
+        best = (keyed.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(HIT_SALTS)))
+                .withColumn("_r", F.row_number().over(salted)).filter(F.col("_r") <= spec.size).drop("_salt", "_r"))
+    top = best.withColumn("hit_rank", F.row_number().over(w)).filter(F.col("hit_rank") <= spec.size)
     totals = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("total"))
     cols = list(spec.source) if spec.source else [c for c in df.columns]
     return top.join(totals, "bucket").select("bucket", "total", "hit_rank", *cols)
@@ -426,20 +438,17 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, partitions: int | No
     n_parts = partitions or partitions_for(vals)
     ordered = vc.repartitionByRange(n_parts, "x").sortWithinPartitions("x").withColumn("pid", F.spark_partition_id())
     ordered = ordered.checkpoint(eager=True)
-    totals = ordered.groupBy("pid").agg(F.sum("c").alias("n")).collect()
-    n = sum(int(r["n"]) for r in totals)
+    totals = ordered.groupBy("pid").agg(F.sum("c").alias("n"))
+    n = int(totals.agg(F.sum("n")).first()[0] or 0)
     if n == 0:
         return None
-    starts, acc = {}, 0
-    for r in sorted(totals, key=lambda r: r["pid"]):
-        starts[int(r["pid"])] = acc
-        acc += int(r["n"])
+    from .scan import partition_starts
     pos = q * (n - 1)
     lo_rank, hi_rank = int(pos) + 1, min(int(pos) + 2, n)       # 1-based ranks
     frac = pos - int(pos)
-    start_arr = F.array(*[F.lit(starts.get(i, 0)) for i in range(max(starts) + 1)])
     w = Window.partitionBy("pid").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    cum = ordered.withColumn("end", F.element_at(start_arr, F.col("pid") + 1) + F.sum("c").over(w))
+    cum = ordered.join(F.broadcast(partition_starts(totals, "pid", "n")), "pid") \
+        .withColumn("end", F.col("__start") + F.sum("c").over(w))
     hits = cum.filter(((F.col("end") - F.col("c") < lo_rank) & (F.col("end") >= lo_rank))
                       | ((F.col("end") - F.col("c") < hi_rank) & (F.col("end") >= hi_rank))).select("x", "end", "c").collect()
 
@@ -453,35 +462,12 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, partitions: int | No
     return lo + (hi - lo) * frac
 
 
-# Groups up to this many values take Spark's exact per-group median directly (its buffer is bounded by the group);
-# larger groups go through the distributed rank selection.
-MEDIAN_GROUP_BOUND = 1_000_000
-
-
 def grouped_exact_median(df: DataFrame, key: str | Column, value: str | Column, key_name: str = "key",
-                         partitions: int | None = None, group_bound: int | None = None) -> DataFrame:
-    """(key, median) for every key, exact (mean of the two middle values for even counts).
-
-    Group sizes are counted first (partial aggregation). Keys with at most ``group_bound`` values use the built-in
-    per-group ``median``, whose buffer is bounded by that size. Hot keys (found by the bounded size check) go
-    through :func:`_distributed_group_median`, which never holds one group in one task."""
-    bound = group_bound or MEDIAN_GROUP_BOUND
+                         partitions: int | None = None) -> DataFrame:
+    """(key, median) for every key, exact (mean of the two middle values for even counts), whatever a key's size:
+    see :func:`_distributed_group_median`."""
     vals = df.select(_c(key).alias("k"), _c(value).cast("double").alias("x")).filter(F.col("x").isNotNull() & F.col("k").isNotNull())
-    hot = vals.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bound).select("k")
-    from ..plans.sizing import at_most
-    from ..functions.sorting import reduce_array
-
-    def bounded(frame: DataFrame) -> DataFrame:
-        # each group holds at most ``bound`` values: sort them and take the middle
-        return frame.groupBy(F.col("k").alias(key_name)).agg(F.collect_list("x").alias("__xs")) \
-            .select(key_name, reduce_array(F.col("__xs"), "median").alias("median"))
-
-    if at_most(hot, 0):
-        return bounded(vals)
-    hot_side = F.broadcast(hot) if at_most(hot, 1_000_000) else hot
-    small = bounded(vals.join(hot_side, "k", "left_anti"))
-    big = _distributed_group_median(vals.join(hot_side, "k", "left_semi"), key_name, partitions)
-    return small.unionByName(big)
+    return _distributed_group_median(vals, key_name, partitions)
 
 
 def _distributed_group_median(vals: DataFrame, key_name: str, partitions: int | None = None) -> DataFrame:
@@ -533,12 +519,11 @@ def median_absolute_deviation(df: DataFrame, spec: MedianAbsoluteDeviation) -> D
 # ----------------------------------------------------------------------------------------------------------------
 
 def aggregate(df: DataFrame, aggs: Mapping[str, Any], query: Column | None = None) -> dict[str, DataFrame]:
-    """G16 + G17: named aggregations over the documents matching ``query``."""
+    """G16 + G17: named aggregations over the documents matching ``query``. All metrics share one scan; each bucket
+    aggregation scans only the columns it reads."""
     base = df if query is None else df.filter(query)
     metric_specs = {k: s for k, s in aggs.items() if isinstance(s, (Metric, Stats))}
     bucket_specs = {k: s for k, s in aggs.items() if k not in metric_specs}
-    if len(bucket_specs) + (1 if metric_specs else 0) > 1:
-        base = base.cache()
     out: dict[str, DataFrame] = {}
     if metric_specs:
         row = metrics(base, metric_specs)

@@ -4,7 +4,7 @@ Input is a DataFrame with one document per row, either a JSON text column or a V
 turned into a VARIANT object first (:func:`conform_frame`), so one code path handles both. Each declared field is
 read with ``try_variant_get`` after checking the JSON kind of the value with ``schema_of_variant``; failures append
 ``struct(field, reason)`` to the ``_errors`` array instead of failing the job. :func:`split_valid` separates accepted
-rows from the quarantine, and the counts are observed on the write action (no extra pass).
+rows from the quarantine.
 
 Everything is a per-row projection: no shuffle, fully inside whole-stage codegen except the variant functions.
 """
@@ -13,11 +13,10 @@ from __future__ import annotations
 
 import json
 import re
-import uuid
 from dataclasses import replace
 from typing import Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.dates import parse_date
 from ..functions.ip import ip_key
@@ -479,16 +478,6 @@ def split_valid(conformed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return conformed.filter(ok).drop(ERRORS_COL), conformed.filter(~ok)
 
 
-def observe_counts(conformed: DataFrame, name: str = "bulk") -> tuple[DataFrame, Observation]:
-    """Attach total/succeeded/failed counters, filled by whatever action runs next (no extra pass)."""
-    obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
-    bad = F.size(F.col(ERRORS_COL)) > 0
-    observed = conformed.observe(obs, F.count(F.lit(1)).alias("total"),
-                                 F.sum(F.when(bad, 0).otherwise(1)).alias("succeeded"),
-                                 F.sum(F.when(bad, 1).otherwise(0)).alias("failed"))
-    return observed, obs
-
-
 def generated_id(salt: str | int, cols: list[str], ordinal: Column | None = None) -> Column:
     """Id for documents without one: hash of a salt that names the write, the row's input position (``ordinal``,
     taken on the file scan before any shuffle, so stable under task retry) and its content. Writes with different

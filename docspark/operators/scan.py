@@ -6,7 +6,8 @@ and every row gets its global position without a single-task window:
 1. filter, then range-partition and sort within partitions on the sort keys (``_id`` tiebreak);
 2. checkpoint (reliable, to ``spark.checkpoint.dir``) so later passes see exactly these partitions, even after an
    executor loss;
-3. one small aggregation gives the row count of each partition (one row per partition) → prefix sums on the driver;
+3. one small aggregation gives the row count of each partition (one row per partition), prefix sums over
+   that small table give the starts;
 4. each row's position is its partition's start plus its offset inside the partition, which
    ``monotonically_increasing_id()`` encodes as ``(partition << 33) + offset`` on the checkpointed data;
 5. ``batch_id = position div batch_size``.
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.sorting import key_column, key_name, order_column, parse_sort, with_tiebreak
 from ..schema import ID_COL
@@ -43,17 +44,17 @@ def global_index(df: DataFrame, sort: Sequence | None = None, id_col: str = ID_C
     ordered = ordered.checkpoint(eager=True)
     with_pos = ordered.withColumn("__mid", F.monotonically_increasing_id())
     with_pos = with_pos.withColumn("__pid", F.shiftright(F.col("__mid"), 33))
-    counts = with_pos.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect()
-    starts, acc = {}, 0
-    for r in sorted(counts, key=lambda r: r["__pid"]):
-        starts[int(r["__pid"])] = acc
-        acc += int(r["n"])
-    if not starts:
-        return keyed.limit(0).withColumn(index_col, F.lit(0).cast("long")).drop(*names)
-    start_arr = F.array(*[F.lit(starts.get(i, 0)).cast("long") for i in range(max(starts) + 1)])
+    starts = partition_starts(with_pos.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")), "__pid", "__n")
     offset = F.col("__mid") - F.shiftleft(F.col("__pid"), 33)
-    out = with_pos.withColumn(index_col, F.element_at(start_arr, F.col("__pid").cast("int") + 1) + offset)
-    return out.drop("__mid", "__pid", *names)
+    out = with_pos.join(F.broadcast(starts), "__pid").withColumn(index_col, F.col("__start") + offset)
+    return out.drop("__mid", "__pid", "__start", *names)
+
+
+def partition_starts(totals: DataFrame, pid: str, n: str) -> DataFrame:
+    """(pid, __start): the sum of ``n`` over the partitions before each one. One row per partition of an ordered
+    frame, so the table is as small as the list of its tasks and is broadcast to them."""
+    ahead = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(pid, F.coalesce(F.sum(n).over(ahead), F.lit(0)).cast("long").alias("__start"))
 
 
 def scan_batches(df: DataFrame, query: Column | None = None, sort: Sequence | None = None,

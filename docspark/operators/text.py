@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.sizing import collect_bounded, ensure_parallelism, maybe_broadcast, partitions_for
 from ..schema import ID_COL, SCORE_COL
+from ..session import ensure_checkpoint_dir
 
 # Fixed value: token separator pattern (runs of anything that is not a letter or a digit).
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
@@ -162,13 +163,18 @@ def tokens_with_dictionary_table(df: DataFrame, text_col: str, id_col: str, anal
     dictionary = analyzer.dictionary()
     lengths = sorted({len(w) for w in dictionary})
     rules = spark.createDataFrame([(w, p, len(w)) for w, p in dictionary.items()], "word string, parts array<string>, wlen int")
-    raw = ensure_parallelism(df).select(F.col(id_col), F.posexplode(_raw_tokens(F.col(text_col), analyzer)).alias("rpos", "t"))
-    cand = raw.select(id_col, "rpos", "t", F.explode(F.filter(F.array(*[F.lit(L) for L in lengths]),
+    # Rows are told apart by a key of their own (ids may repeat), fixed by writing the raw tokens once.
+    raw = ensure_parallelism(df).select(F.col(id_col), F.monotonically_increasing_id().alias("__row"),
+                                        _raw_tokens(F.col(text_col), analyzer).alias("__ts"))
+    raw = raw.select(id_col, "__row", F.posexplode("__ts").alias("rpos", "t"))
+    ensure_checkpoint_dir(spark)
+    raw = raw.checkpoint(eager=True)
+    cand = raw.select("__row", "rpos", "t", F.explode(F.filter(F.array(*[F.lit(L) for L in lengths]),
                                                              lambda L: L <= F.length(F.col("t")))).alias("L"))
-    cand = cand.select(id_col, "rpos", F.expr("substring(t, 1, L)").alias("word"))
-    best = cand.join(maybe_broadcast(rules), "word").groupBy(id_col, "rpos") \
+    cand = cand.select("__row", "rpos", F.expr("substring(t, 1, L)").alias("word"))
+    best = cand.join(maybe_broadcast(rules), "word").groupBy("__row", "rpos") \
         .agg(F.max_by(F.struct("word", "parts"), F.col("wlen")).alias("m"))
-    seg = raw.join(best, [id_col, "rpos"], "left")
+    seg = raw.join(best, ["__row", "rpos"], "left")
     emitted = _emit(F.col("t"), F.col("m.word"), F.col("m.parts"), analyzer.decompound)
     if analyzer.stoptags:
         stop = F.array(*[F.lit(x) for x in analyzer.stoptags])
@@ -176,9 +182,9 @@ def tokens_with_dictionary_table(df: DataFrame, text_col: str, id_col: str, anal
     toks = F.transform(emitted, lambda z: z["token"])
     if search_time:
         toks = expand_synonyms(toks, analyzer)
-    out = seg.select(id_col, "rpos", F.posexplode(toks).alias("sub", "token"))
+    out = seg.select(id_col, "__row", "rpos", F.posexplode(toks).alias("sub", "token"))
     from pyspark.sql import Window
-    w = Window.partitionBy(id_col).orderBy("rpos", "sub")
+    w = Window.partitionBy("__row").orderBy("rpos", "sub")
     return out.select(id_col, (F.row_number().over(w) - 1).cast("long").alias("pos"), "token")
 
 
@@ -203,8 +209,6 @@ def expand_synonyms(tokens: Column, analyzer: Analyzer) -> Column:
     syn = analyzer.synonym_map()
     if not syn:
         return tokens
-    if len(syn) > MAP_LITERAL_MAX:
-        raise ValueError("synonym list too large for a literal map")
     m = F.create_map(*[x for k, v in syn.items() for x in (F.lit(k), F.array(*[F.lit(s) for s in v]))])
     return F.flatten(F.transform(tokens, lambda t: F.coalesce(F.element_at(m, t), F.array(t))))
 
@@ -221,17 +225,17 @@ def tokens(df: DataFrame, text_col: str, id_col: str = ID_COL, analyzer: Analyze
         .select(id_col, F.col("pos").cast("long").alias("pos"), "token")
 
 
-def query_tokens(spark, query: str, analyzer: Analyzer = Analyzer(), max_tokens: int = 1024) -> list[str]:
+def query_tokens(spark, query: str, analyzer: Analyzer = Analyzer()) -> list[str]:
     """Analyse one query string on Spark (same code path as the documents) and return its distinct tokens."""
     if len(analyzer.dictionary()) > MAP_LITERAL_MAX:
         q = spark.createDataFrame([("q", query)], "qid string, text string")
         one = tokens_with_dictionary_table(q, "text", "qid", analyzer, search_time=True).orderBy("pos") \
             .select(F.col("token").alias("t"))
-        seen = [r["t"] for r in collect_bounded(one, max_tokens, "query tokens")]
+        seen = [r["t"] for r in one.collect()]
         return list(dict.fromkeys(seen))
     one = spark.range(1).select(expand_synonyms(analyze(F.lit(query), analyzer), analyzer).alias("t"))
     one = one.select(F.explode(F.array_distinct("t")).alias("t"))
-    return [r["t"] for r in collect_bounded(one, max_tokens, "query tokens")]
+    return [r["t"] for r in one.collect()]
 
 
 # ----------------------------------------------------------------------------------------------------------------
@@ -318,34 +322,36 @@ def token_table(df: DataFrame, text_col: str, id_col: str = ID_COL, analyzer: An
     return tokens(df, text_col, id_col, analyzer).groupBy("token", id_col).agg(F.count(F.lit(1)).alias("tf"))
 
 
-def doc_lengths(df: DataFrame, text_col: str, id_col: str = ID_COL, analyzer: Analyzer = Analyzer()) -> DataFrame:
-    return df.select(F.col(id_col), F.size(analyze(F.col(text_col), analyzer)).cast("long").alias("dl"))
-
-
 def build_token_index(df: DataFrame, text_col: str, path: str, id_col: str = ID_COL,
                       analyzer: Analyzer = Analyzer(), partitions: int | None = None) -> None:
-    """Write ``{path}/terms`` range-partitioned and sorted by token (row-group statistics then prune a match
-    query to the files and row groups holding its tokens) and ``{path}/lengths`` (id, dl)."""
-    spark = df.sparkSession
+    """Write ``{path}/terms`` (token, id, tf, dl), range-partitioned and sorted by token and id: row-group statistics
+    prune a match query to the files and row groups of its tokens, and a frequent token is spread over several
+    files. ``{path}/stats`` holds the number of documents and their mean length. The texts are tokenised once."""
     terms = token_table(df, text_col, id_col, analyzer)
     n = partitions or partitions_for(df)
-    terms.repartitionByRange(n, "token").sortWithinPartitions("token", id_col) \
-        .write.mode("overwrite").parquet(f"{path}/terms")
-    doc_lengths(df, text_col, id_col, analyzer).write.mode("overwrite").parquet(f"{path}/lengths")
+    plain = f"{path}/counts"
+    terms.write.mode("overwrite").parquet(plain)
+    terms = df.sparkSession.read.parquet(plain)
+    lengths = terms.groupBy(id_col).agg(F.sum("tf").alias("dl"))
+    terms.join(lengths, id_col).select("token", id_col, "tf", "dl").repartitionByRange(n, "token", id_col) \
+        .sortWithinPartitions("token", id_col).write.mode("overwrite").parquet(f"{path}/terms")
+    total = df.agg(F.count(F.lit(1)).alias("n"))
+    words = lengths.agg(F.sum("dl").alias("words"))
+    total.crossJoin(words).select("n", (F.coalesce("words", F.lit(0)) / F.greatest("n", F.lit(1))).alias("avgdl")) \
+        .write.mode("overwrite").parquet(f"{path}/stats")                       # one row each
 
 
 def match_index(spark, path: str, query: str, id_col: str = ID_COL, analyzer: Analyzer = Analyzer(),
                 k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
-    """P4/T8 against a token index: only the query tokens' rows are read (``token IN (...)`` is pushed to the
-    scan), document frequencies come from those rows, N and average length from the lengths table."""
+    """P4/T8 against a token index: only the query tokens' rows are read (``token IN (...)`` is pushed to the scan);
+    document frequencies come from those rows, lengths stand in them, and the totals are one stored row."""
     q = query_tokens(spark, query, analyzer)
     terms = spark.read.parquet(f"{path}/terms").filter(F.col("token").isin(q))
-    lengths = spark.read.parquet(f"{path}/lengths")
-    st = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    st = spark.read.parquet(f"{path}/stats").first()
     n, avgdl = int(st["n"]), float(st["avgdl"] or 1.0)
-    dfs = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    dfs = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df"))                 # at most one row per query token
     idf = F.log(F.lit(1.0) + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    hits = terms.join(maybe_broadcast(dfs, 100_000), "token").join(lengths, id_col)
+    hits = terms.join(F.broadcast(dfs), "token")
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl))
     part = idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
     return hits.groupBy(id_col).agg(F.sum(part).alias(SCORE_COL))

@@ -92,9 +92,24 @@ def test_grouped_exact_median_with_hot_key(spark):
     rows = [("hot", float(i % 97)) for i in range(3000)] + [("a", 1.0), ("a", 4.0), ("b", 2.0), ("c", None)]
     df = spark.createDataFrame(rows, "k string, x double")
     want = {r["k"]: r["m"] for r in df.groupBy("k").agg(F.median("x").alias("m")).collect() if r["m"] is not None}
-    for bound in (None, 100, 1):       # all small / one hot key / every key hot
-        got = {r["key"]: r["median"] for r in A.grouped_exact_median(df, "k", "x", group_bound=bound).collect()}
-        assert got == want
+    got = {r["key"]: r["median"] for r in A.grouped_exact_median(df, "k", "x", partitions=5).collect()}
+    assert got == want
+
+
+def test_top_hits_above_spark_rank_limit(spark):
+    rows = [(f"{i:05d}", i % 2, float((i * 7919) % 10007)) for i in range(9000)]
+    df = spark.createDataFrame(rows, "_id string, b int, v double")
+    for by in (None, "b"):
+        out = A.top_hits(df, A.TopHits(by=by, size=2000, sort=[("v", "desc")]))
+        want = {}
+        for r in sorted(rows, key=lambda r: (-r[2], r[0])):
+            want.setdefault("_all" if by is None else str(r[1]), []).append(r[0])
+        got = {}
+        for r in sorted(out.collect(), key=lambda r: r["hit_rank"]):
+            got.setdefault(str(r["bucket"]), []).append(r["_id"])
+        assert got == {k: v[:2000] for k, v in want.items()}
+    plan = A.top_hits(df, A.TopHits(by=None, size=2000, sort=[("v", "desc")]))._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
 
 
 def test_terms_key_as_string_for_dates_and_booleans(spark):

@@ -1,6 +1,7 @@
 import random
 
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from docspark.functions import predicates as P
 from docspark.functions.sorting import SortSpec, reduce_array
@@ -77,3 +78,11 @@ def test_cursor_over_timestamp_ntz_keys(spark):
     got = [r["_id"] for p in Q.pages(df, [("ts", "desc")], 5) for r in p.hits().collect()]
     want = [r[0] for r in sorted(rows, key=lambda r: (-r[1].timestamp(), r[0]))]
     assert got == want
+
+
+def test_global_index_over_many_partitions(spark):
+    from docspark.operators import scan as S
+    df = spark.range(3000).select(F.col("id").cast("string").alias("_id"), F.pmod(F.col("id") * 7919, F.lit(3001)).alias("v"))
+    out = S.global_index(df, sort=[("v", "asc")], partitions=300)
+    rows = out.orderBy("row_index").collect()
+    assert [r["row_index"] for r in rows] == list(range(3000)) and [r["v"] for r in rows] == sorted(r["v"] for r in rows)

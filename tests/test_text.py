@@ -1,4 +1,4 @@
-"""Text analysis (the reference's Korean analysis suite, plus chain options) and BM25."""
+"""Text analysis and BM25."""
 
 import math
 
@@ -72,6 +72,15 @@ def test_large_dictionary_uses_join_path(spark, monkeypatch):
     monkeypatch.setattr(X, "MAP_LITERAL_MAX", 1)
     big = toks(spark, text, X.Analyzer(user_dictionary=rules, stoptags=("SN",)))
     assert big == small == ["삼성전자", "삼성", "전자", "노트북", "을", "ab", "c"]
+    twice = spark.createDataFrame([("d", "foo x"), ("d", "foobar"), ("e", None)], "_id string, t string")
+    an = X.Analyzer(user_dictionary=("foo",))
+    both = []
+    for limit in (1000, 0):
+        monkeypatch.setattr(X, "MAP_LITERAL_MAX", limit)
+        both.append(sorted(map(tuple, X.tokens(twice, "t", analyzer=an).collect())))
+    assert both[0] == both[1] == [("d", 0, "foo"), ("d", 0, "foo"), ("d", 1, "bar"), ("d", 1, "x")]
+    monkeypatch.setattr(X, "MAP_LITERAL_MAX", 1)
+    assert len(X.query_tokens(spark, " ".join(f"t{i}" for i in range(3000)))) == 3000
     docs = spark.createDataFrame([("n1", "삼성 노트북 구매"), ("n2", "애플 아이폰 리뷰")], "_id string, title string")
     hits = X.bm25(docs, "title", "노트북을", index_analyzer=X.Analyzer(user_dictionary=rules)).collect()
     assert [h["_id"] for h in hits] == ["n1"]
@@ -90,3 +99,12 @@ def test_match_search_with_field_analysers(spark):
                                   ("d", "휴대폰", "ko")], "_id string, title string, lang string")
     res = X.match_search(docs, coll, "title", "랩탑", filter=P.term("lang", "ko"))
     assert [r["_id"] for r in res.hits().collect()] == ["b", "a"] and res.total() == 2
+
+
+def test_frequent_token_is_spread_over_files(spark, tmp_path):
+    import pyarrow.parquet as pq
+    docs = spark.range(4000).select(F.col("id").cast("string").alias("_id"), F.concat(F.lit("the w"), "id").alias("t"))
+    X.build_token_index(docs, "t", str(tmp_path / "i"), partitions=8)
+    files = [pq.read_table(f).column("token").to_pylist() for f in (tmp_path / "i" / "terms").glob("*.parquet")]
+    assert sum("the" in f for f in files) >= 3
+    assert X.match_index(spark, str(tmp_path / "i"), "the").count() == 4000
