@@ -267,13 +267,12 @@ def conform_object(v: Column, props: Mapping[str, Field], prefix: str, dynamic,
     """Struct of the declared properties read from object variant ``v`` plus the error items."""
     values, items = [], []
     for name, f in props.items():
-        if pre and (prefix + name) in pre:
-            cx, ck = pre[prefix + name]
-            val, errs = conform_value(cx, f, prefix + name, dynamic, ck, pre)
-        else:
-            val, errs = conform_value(child(v, name), f, prefix + name, dynamic)
-        values.append(val.cast(f.spark_type()).alias(name))
-        items += errs
+        cx, ck = pre[prefix + name] if pre and (prefix + name) in pre else (child(v, name), None)
+        subs = [(f"{name}__{sub}", f"{name}.{sub}", sf) for sub, sf in (f.fields or {}).items()]
+        for out_name, path, ff in [(name, name, f), *subs]:
+            val, errs = conform_value(cx, ff, prefix + path, dynamic, ck, pre)
+            values.append(val.cast(ff.spark_type()).alias(out_name))
+            items += errs
     if dynamic == "strict":
         extra = F.array_except(F.coalesce(object_keys(v), F.array().cast("array<string>")),
                                F.array(*[F.lit(k) for k in props]))

@@ -1,6 +1,6 @@
 """Full scans in ordered batches (S15) and per-batch consumers.
 
-The reference pages through a snapshot ``batch_size`` documents at a time. Here the whole snapshot is ordered once
+The whole snapshot is ordered once
 and every row gets its global position without a single-task window:
 
 1. filter, then range-partition and sort within partitions on the sort keys (``_id`` tiebreak);

@@ -1309,3 +1309,134 @@ def widen_arrays(spark, sf):
     wide = C.widen(Collection("w", {"id": Field("keyword")}), [(r["path"], r["kind"]) for r in seen])
     rows = [(p, f.type, bool(f.multi), True) for p, f in flatten_paths(wide.fields)]
     return spark.createDataFrame(rows, "path string, type string, multi boolean, seen boolean")
+
+
+@register("conform_object_multifield", """
+SELECT CAST(p_partkey AS VARCHAR) AS _id, p_brand AS brand, p_brand AS brand_raw, length(p_name) AS name_length FROM part
+""")
+def conform_object_multifield(spark, sf):
+    """C10 inside an object and inside nested items."""
+    text = Field("text", fields={"raw": Field("keyword")})
+    coll = Collection("pm", {"id": Field("keyword"), "made": Field("object", properties={"brand": text}),
+                             "names": Field("nested", properties={"name": text})})
+    docs = read(spark, sf, "part").select(F.to_json(F.struct(
+        F.col("p_partkey").cast("string").alias("id"), F.struct(F.col("p_brand").alias("brand")).alias("made"),
+        F.array(F.struct(F.col("p_name").alias("name"))).alias("names"))).alias("doc"))
+    rows = C.split_valid(C.conform_json(docs, coll, "doc", id_field="id", keep_source=False))[0]
+    return rows.select(ID_COL, F.col("made.brand").alias("brand"), F.col("made.brand__raw").alias("brand_raw"),
+                       F.length(F.col("names")[0]["name__raw"]).alias("name_length"))
+
+
+@register("conform_object_dynamic", """
+SELECT CAST(s_suppkey AS VARCHAR) AS _id, s_name AS found, s_nationkey AS kept, 'name' AS open_fields, 'id' AS closed_fields
+FROM supplier
+""")
+def conform_object_dynamic(spark, sf):
+    """In a collection that takes no new fields one object does (``open``), another keeps to its own (``closed``)."""
+    store = _store(spark)
+    coll = Collection(_named("objs"), {
+        "id": Field("keyword"), "open": Field("object", properties={"id": Field("keyword")}, dynamic=True),
+        "closed": Field("object", properties={"id": Field("keyword")})}, dynamic=False)
+    store.create(coll)
+    key = F.col("s_suppkey").cast("string")
+    docs = read(spark, sf, "supplier").select(F.to_json(F.struct(
+        key.alias("id"), F.struct(key.alias("id"), F.col("s_name").alias("name")).alias("open"),
+        F.struct(key.alias("id"), F.col("s_nationkey").alias("nation")).alias("closed"))).alias("doc"))
+    store.bulk_index(coll, docs, id_field="id")
+    rows = store.read(coll.name)
+    names = lambda c: ",".join(n for n in rows.schema[c].dataType.fieldNames() if "__" not in n and (c, n) != ("open", "id"))
+    return rows.select(ID_COL, F.col("open.name").alias("found"), F.try_variant_get("_source", "$.closed.nation", "int").alias("kept"),
+                       F.lit(names("open")).alias("open_fields"), F.lit(names("closed")).alias("closed_fields"))
+
+
+@register("agg_cardinality_sketch", """
+SELECT event_type AS key, count(DISTINCT user_id) AS exact, true AS within FROM events WHERE event_type IS NOT NULL GROUP BY 1
+""")
+def agg_cardinality_sketch(spark, sf):
+    """Per bucket, the sketch stays within three times its stated relative error of the exact count."""
+    ev = read(spark, sf, "events").where(F.col("event_type").isNotNull())
+    return ev.groupBy(F.col("event_type").alias("key")).agg(
+        F.countDistinct("user_id").alias("exact"), F.approx_count_distinct("user_id", 0.01).alias("sketch")).select(
+        "key", "exact", (F.abs(F.col("sketch") - F.col("exact")) <= F.greatest(F.lit(2.0), F.col("exact") * 0.03)).alias("within"))
+
+
+@register("sort_nested_array", """
+WITH k AS (SELECT l_orderkey, max(l_extendedprice) FILTER (WHERE l_returnflag = 'R') AS key FROM lineitem GROUP BY 1)
+SELECT row_number() OVER (ORDER BY key DESC NULLS LAST, CAST(l_orderkey AS VARCHAR)) AS rank,
+       CAST(l_orderkey AS VARCHAR) AS _id, round(key, 4) AS sort_key FROM k ORDER BY rank LIMIT 50
+""")
+def sort_nested_array(spark, sf):
+    """Sort by a field of nested items that pass a filter, on a real array column."""
+    li = read(spark, sf, "lineitem")
+    docs = li.groupBy(F.col("l_orderkey").cast("string").alias(ID_COL)).agg(F.collect_list(F.struct(
+        F.col("l_extendedprice").alias("price"), F.col("l_returnflag").alias("flag"))).alias("lines"))
+    spec = SortSpec("lines.price", "desc", mode="max", nested_path="lines", nested_filter=lambda x: x["flag"] == "R")
+    res = Q.search(docs, None, sort=[spec], size=50)
+    best = F.array_max(F.transform(F.filter("lines", lambda x: x["flag"] == "R"), lambda x: x["price"]))
+    return Q.with_rank(res.page, res.specs).select("rank", ID_COL, r4(best).alias("sort_key"))
+
+
+@register("aggregate_several", """
+SELECT 'status' AS agg, o_orderstatus AS key, count(*) AS doc_count FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'priority', o_orderpriority, count(*) FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'mean', CAST(CAST(round(avg(o_totalprice), 2) AS DECIMAL(18, 2)) AS VARCHAR), count(o_totalprice) FROM orders
+""")
+def aggregate_several(spark, sf):
+    """One request with two bucket aggregations and two metrics."""
+    out = A.aggregate(orders(spark, sf), {"status": A.Terms("o_orderstatus", size=100), "priority": A.Terms("o_orderpriority", size=100),
+                                          "mean": A.Avg("o_totalprice"), "n": A.ValueCount("o_totalprice")})
+    parts = [out[k].select(F.lit(k).alias("agg"), "key", "doc_count") for k in ("status", "priority")]
+    mean = out["mean"].crossJoin(out["n"].withColumnRenamed("value", "n")).select(              # one row each
+        F.lit("mean").alias("agg"), F.col("value").cast("decimal(18,2)").cast("string").alias("key"),
+        F.col("n").cast("long").alias("doc_count"))
+    return parts[0].unionByName(parts[1]).unionByName(mean)
+
+
+@register("bulk_throw_on_failure", """
+SELECT event_type AS key, count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) AS stored_after,
+       count(*) FILTER (WHERE event_type IN ('error', 'signup')) AS failed FROM events GROUP BY 1
+""")
+def bulk_throw_on_failure(spark, sf):
+    """A bulk write that must not fail in part publishes nothing; the same write without the flag stores the rest."""
+    from ..errors import BulkPartialFailureError
+    store = _store(spark)
+    coll = Collection(_named("all"), EVENTS.fields, dynamic="strict")
+    store.create(coll)
+    docs = event_docs(spark, sf)
+    before = store.current(coll.name)
+    try:
+        store.bulk_index(coll, docs, id_expr=F.col("event_id").cast("string"), throw_on_failure=True)
+        raise AssertionError("a bulk write with bad documents went through")
+    except BulkPartialFailureError as e:
+        assert store.current(coll.name) == before and e.result.failed
+    store.bulk_index(coll, docs, id_expr=F.col("event_id").cast("string"))
+    ev = read(spark, sf, "events").select(F.col("event_id").cast("string").alias(ID_COL), "event_type")
+    return (ev.join(store.read(coll.name).select(ID_COL, F.lit(1).alias("one")), ID_COL, "left")
+            .groupBy(F.col("event_type").alias("key")).agg(F.count("one").alias("stored_after"),
+                                                           F.sum(F.when(F.col("one").isNull(), 1).otherwise(0)).alias("failed")))
+
+
+@register("delete_ids_missing", """
+SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS _id FROM orders WHERE o_orderkey NOT IN (SELECT c_custkey FROM customer)
+""")
+def delete_ids_missing(spark, sf):
+    """Order keys asked for as customer ids; those beyond the customers are reported."""
+    ids = read(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias(ID_COL))
+    return W.delete_ids(customers(spark, sf), ids)[1]
+
+
+@register("conform_strict_nested_ids", """
+SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS line, 'charges' AS field
+FROM lineitem WHERE l_returnflag = 'R'
+""")
+def conform_strict_nested_ids(spark, sf):
+    """Which documents a strict nested level rejects."""
+    li = read(spark, sf, "lineitem")
+    line = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    note = F.when(F.col("l_returnflag") == "R", F.lit("x"))
+    doc = F.to_json(F.struct(line.alias("id"), F.array(F.struct(F.lit("tax").alias("kind"), note.alias("note"))).alias("charges")))
+    coll = Collection("lines", {"id": Field("keyword"), "charges": Field("nested", properties={"kind": Field("keyword")},
+                                                                         dynamic="strict")})
+    bad = C.split_valid(C.conform_json(li.select(line.alias("line"), doc.alias("doc")), coll, "doc", keep=["line"],
+                                       keep_source=False))[1]
+    return bad.select("line", F.col(ERRORS_COL)[0]["field"].alias("field"))

@@ -82,7 +82,7 @@ class Field:
             return T.TimestampNTZType()
         if t == "geo_point":
             return T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())])
-        return struct_of(self.properties or {})
+        return struct_of(self.properties or {}, multi_fields=True)
 
     def spark_type(self) -> T.DataType:
         et = self.element_type()
@@ -124,9 +124,18 @@ class Field:
         return [f.strip() for f in (self.format or DEFAULT_DATE_FORMAT).split("||") if f.strip()]
 
 
-def struct_of(props: Mapping[str, Field]) -> T.StructType:
-    return T.StructType([T.StructField(name, f.spark_type(), True, {"docspark": json.dumps(f.options())})
-                         for name, f in props.items()])
+def struct_of(props: Mapping[str, Field], multi_fields: bool = False) -> T.StructType:
+    """The struct of some fields; with ``multi_fields`` (inside objects) each field's sub-fields follow it as
+    ``name__sub``."""
+    def one(name: str, f: Field) -> T.StructField:
+        return T.StructField(name, f.spark_type(), True, {"docspark": json.dumps(f.options())})
+
+    out = []
+    for name, f in props.items():
+        out.append(one(name, f))
+        if multi_fields:
+            out += [one(f"{name}__{sub}", sf) for sub, sf in (f.fields or {}).items()]
+    return T.StructType(out)
 
 
 def stored_mapping(schema: T.StructType) -> dict[str, dict]:

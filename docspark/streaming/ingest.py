@@ -1,12 +1,11 @@
 """Continuous bulk indexing with Structured Streaming.
 
-The reference sends documents to the store in chunks of ``chunkSize``; here a stream of JSON documents (any
-streaming source: files, Kafka, ...) is indexed one micro-batch at a time. Each micro-batch goes through the same
-job as a batch bulk write (conform, quarantine, last-duplicate-wins upsert, publish), so the collection only
-ever moves from one complete version to the next. Bulk reports are appended to an optional table.
+A stream of JSON documents (any streaming source: files, Kafka, ...) is indexed one micro-batch at a time. Each
+micro-batch goes through the same job as a batch bulk write (conform, quarantine, last-duplicate-wins upsert, publish),
+so the collection only ever moves from one complete version to the next.
 
-Exactly-once with respect to the source follows from Structured Streaming's checkpointed offsets plus idempotent
-batches: re-running a batch id re-applies the same upsert to the version it produced.
+A micro-batch that is run again after a failure writes the same rows: given ids replace, and generated ids are salted
+with the batch's number. Its report row may then stand in the report table twice, with the same ``batch_id``.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ def index_stream(stream: DataFrame, store, collection: Collection, checkpoint: s
     def run(batch: DataFrame, batch_id: int) -> None:
         if not store.exists(collection.logical_name):
             store.create(collection)
-        res = store.bulk_index(collection, batch, raw_col=raw_col, id_expr=id_expr)
+        res = store.bulk_index(collection, batch, raw_col=raw_col, id_expr=id_expr, batch=f"stream-{batch_id}")
         if report_table:
             spark.createDataFrame([(int(batch_id), res.total, res.succeeded, res.failed)],
                                   "batch_id long, total long, succeeded long, failed long") \

@@ -1,4 +1,4 @@
-"""Invariants the reference's tests do not state but its semantics imply."""
+"""Invariants of writes and conforming."""
 
 from pyspark.sql import functions as F
 
