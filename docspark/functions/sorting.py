@@ -180,7 +180,3 @@ def keyset_branches(specs: Sequence[SortSpec], names: Sequence[str], values: Seq
                   ((c < lv) if first.descending else (c > lv))])
         for i in range(len(specs))])
     return [bound & nonnull_after, c.isNull()]
-
-
-def score_desc() -> SortSpec:
-    return SortSpec(SCORE_COL, "desc")

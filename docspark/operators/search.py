@@ -89,7 +89,3 @@ def pages(df: DataFrame, sort: Sequence | None, size: int, query: Column | None
             return
         yield res
         n += 1
-
-
-def score_order() -> list[SortSpec]:
-    return [SortSpec(SCORE_COL, "desc")]

@@ -11,9 +11,8 @@ Analysis is a per-row array expression, so tokenising never shuffles:
 5. T6 search-time synonyms expand query tokens only.
 
 The dictionary and synonym rules are user lists; they become map literals (checked against a size bound, with a
-broadcast-join path beyond it). BM25 (k1=1.2, b=0.75) over a text column takes two scans: one aggregation for N,
-average length and the document frequency of each query token, then one projection computing each document's
-score. A persisted token index (:func:`build_token_index`) serves repeated queries by reading only the query
+broadcast-join path beyond it). BM25 (k1=1.2, b=0.75) over a text column takes one corpus scan that keeps the rows of
+the query's tokens and observes the totals; document frequencies and scores come from those rows. A persisted token index (:func:`build_token_index`) serves repeated queries by reading only the query
 tokens' row groups.
 """
 

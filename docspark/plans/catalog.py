@@ -740,9 +740,7 @@ def dynamic_widen(spark, sf):
     coll = Collection("ev_dyn", {"event_id": Field("long")}, dynamic=True,
                       dynamic_templates=(DynamicTemplate("types_as_keyword", Field("keyword"), match_mapping_type="string",
                                                          match="*_type"),))
-    from .sizing import collect_bounded
-    seen = collect_bounded(C.observed_paths(docs, F.try_parse_json("doc"), depth=2).select("path", "kind"),
-                           100_000, "observed paths")
+    seen = C.observed_paths(docs, F.try_parse_json("doc")).select("path", "kind").collect()    # one row per path and kind
     wide = C.widen(coll, [(r["path"], r["kind"]) for r in seen])
     rows = sorted((k, f.type) for k, f in wide.fields.items())
     return spark.createDataFrame(rows, "path string, field_type string")

@@ -250,9 +250,6 @@ class Collection:
             props = f.properties
         return f
 
-    def text_fields(self) -> list[str]:
-        return [k for k, f in self.fields.items() if f.type == "text"]
-
 
 def flatten_paths(props: Mapping[str, Field], prefix: str = "") -> list[tuple[str, Field]]:
     """All declared (dotted path, field) pairs, parents before children."""
