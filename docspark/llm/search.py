@@ -174,7 +174,9 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "id", te
     """(query_id, rank, id, score): the k best of all ``rows`` for every row that ``is_query`` marks."""
     marked = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
                          F.coalesce(is_query, F.lit(False)).alias("asks"))
-    index = build_index(marked.select("id", "text"), parts_for(rows, SHARD_MB))
+    # shards follow the bytes of the table, not the number of shuffle partitions: each returns k rows a query
+    shards = parts_for(rows, SHARD_MB, rows.sparkSession.sparkContext.defaultParallelism)
+    index = build_index(marked.select("id", "text"), shards)
     total = index.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
     spark = rows.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, id long, score double")
