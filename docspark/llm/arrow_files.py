@@ -60,7 +60,7 @@ class WordEncoder:
         words = (text or "").encode().split()
         memo = self.memo
         memo.trim()
-        new = [w for w in set(words).difference(memo) if w not in memo.old and len(w) <= 64]
+        new = [w for w in set(words) if w not in memo and w not in memo.old and len(w) <= 64]
         if new:
             memo.update(zip(new, self._many(new), strict=True))
         return b"".join(map(memo.__getitem__, words))
