@@ -213,9 +213,6 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "id", te
 
 
 def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten best turns of all conversations for every turn of a conversation whose id is divisible by 50."""
-    turns = table(spark, sf_dir, "conversations").withColumn("id", F.col("conv_id") * (1 << 20) + F.col("turn"))
-    part = lambda c: (F.floor(F.col(c) / (1 << 20)).cast("long"), F.pmod(F.col(c), F.lit(1 << 20)).cast("long"))
-    hits = top_k(turns, F.col("conv_id") % 50 == 0)
-    return hits.select(part("query_id")[0].alias("query_conv_id"), part("query_id")[1].alias("query_turn"), "rank",
-                       part("id")[0].alias("conv_id"), part("id")[1].alias("turn"), "score")
+    """The ten best documents of all documents for the whole text of every document whose id is divisible by 50."""
+    hits = top_k(table(spark, sf_dir, "documents"), F.col("doc_id") % 50 == 0, id_col="doc_id")
+    return hits.select(F.col("query_id").alias("query_doc_id"), "rank", F.col("id").alias("doc_id"), "score")

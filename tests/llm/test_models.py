@@ -103,6 +103,27 @@ def test_search_matches_brute_force(spark, corpus):
     assert search.top_k(df.limit(0), F.col("id") % 10 == 0).count() == 0
 
 
+def test_op9_asks_whole_documents(spark):
+    import collections
+    small = SF.replace("0.01", "0.001")
+    rows = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    got = collections.defaultdict(list)
+    for r in search.op9_search(spark, small).orderBy("query_doc_id", "rank").collect():
+        got[r["query_doc_id"]].append((r["doc_id"], r["score"]))
+    bags = {i: collections.Counter((t or "").encode().lower().split()) for i, t in rows.items()}
+    n, mean = len(bags), sum(sum(b.values()) for b in bags.values()) / len(bags)
+    frequency = collections.Counter(w for b in bags.values() for w in b)
+    assert set(got) == {i for i in bags if i % 50 == 0 and bags[i]}
+    for q in got:
+        score = {i: math.fsum(
+            c * math.log(1 + (n - frequency[w] + 0.5) / (frequency[w] + 0.5)) * b[w] * 2.2
+            / (b[w] + 1.2 * (0.25 + 0.75 * sum(b.values()) / mean)) for w, c in bags[q].items() if w in b)
+            for i, b in bags.items()}
+        best = sorted((x for x in score.items() if x[1] > 0), key=lambda x: (-round(x[1], 9), x[0]))[:10]
+        assert [x[0] for x in got[q]] == [x[0] for x in best]
+        assert np.allclose([x[1] for x in got[q]], [x[1] for x in best])
+
+
 def test_embeddings_recall_and_odd_rows(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(300, 32))
