@@ -21,7 +21,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from . import kernel as K
 from .common import cut, parts_for, table
@@ -38,16 +38,20 @@ def word_counts(column: pa.Array) -> np.ndarray:
     return out
 
 
-def sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(doc_id, source, size) per row, one scan."""
+def sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+          row: Column | None = None) -> DataFrame:
+    """(doc_id, source, size) per row, one scan; also ``row`` when given."""
+    more = [] if row is None else [row.cast("long").alias("row")]
+    names = ["doc_id", "source", "size", *(["row"] if more else [])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(word_counts(b.column(2)))],
-                                             ["doc_id", "source", "size"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(word_counts(b.column(2))), *b.columns[3:]],
+                                             names)
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                        F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, source string, size long"))
+                        F.col(text_col).cast("string").alias("text"), *more)
+            .mapInArrow(run, "doc_id long, source string, size long" + (", row long" if more else "")))
 
 
 def running_sums(df: DataFrame, order: Sequence[str], value: str, group: str, parts: int) -> DataFrame:
@@ -96,12 +100,13 @@ def _numbered(sources: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
-        id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+        id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", row: Column | None = None) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) per row: ``taken`` words of the row go into the mix, whole
-    epochs counted."""
-    sized = sizes(docs, id_col, source_col, text_col).withColumn(
+    epochs counted. ``row``, a number of its own for each row, is returned as well and breaks the last ties."""
+    more = [] if row is None else ["row"]
+    sized = sizes(docs, id_col, source_col, text_col, row).withColumn(
         "key", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary")))
-    placed = cut(running_sums(sized, ["key", "doc_id", "size"], "size", "source", parts_for(docs, 256)))
+    placed = cut(running_sums(sized, ["key", "doc_id", "size", *more], "size", "source", parts_for(docs, 256)))
     t = targets(placed.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs)
     t = t.withColumnRenamed("source", "of")
     budget = F.floor("target")
@@ -110,7 +115,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
     return (placed.join(t, placed["source"].eqNullSafe(t["of"]))
             .select("doc_id", "source", "size", "source_size", "target",
-                    (epochs * F.col("size") + part).cast("long").alias("taken")))
+                    (epochs * F.col("size") + part).cast("long").alias("taken"), *more))
 
 
 def first_words(column: pa.Array, counts: np.ndarray) -> list[str]:

@@ -172,6 +172,33 @@ def test_pipeline_mix_stage_takes_the_words(spark, docs, corpus):
     assert {k: v for k, v in taken.items() if v} == dict(got)
 
 
+def test_pipeline_mix_stage_decides_per_row(spark, docs, corpus):
+    """Null ids and rows that repeat an id, within a source and across sources, each take their own words."""
+    more = [(i, f"n{k} " * (5 + k), "en", s, 0) for k, (i, s) in enumerate(
+        [(7, "s0"), (7, "s1"), (7, "s2"), (7, "s3"), (None, "s0"), (None, "s2"), (None, "s3"), (None, None)] * 4)]
+    odd = spark.createDataFrame([tuple(r) for r in corpus] + more, docs.schema).repartition(5)
+    taken, got = collections.Counter(), collections.Counter()
+    for r in mixing.mix(odd).collect():
+        taken[r["doc_id"], r["source"]] += r["taken"]
+    texts = collections.defaultdict(list)
+    for i, t, _, s, _ in [tuple(r) for r in corpus] + more:
+        texts[i, s].append(words(t))
+    for r in stages.mix_sources(spark, odd, "").collect():
+        w = words(r["text"])
+        got[r["doc_id"], r["source"]] += len(w)
+        assert any(t[:len(w)] == w for t in texts[r["doc_id"], r["source"]])
+    assert {k: v for k, v in taken.items() if v} == dict(got)
+
+
+def test_near_copies_stage_judges_rows_of_one_id_by_their_texts(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(200)) for c in "ab")
+    rows = [(2, b), (5, a), (5, a), (5, b + " end"), (6, a + " end"), (None, b), (None, b), (None, None), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [tuple(r) for r in stages.drop_near_copies(spark, df, "").collect()]
+    stay = [(2, b), (5, a), (5, a), (None, b), (None, b), (None, None), (7, None)]
+    assert sorted(out, key=str) == sorted(stay, key=str)
+
+
 @pytest.fixture(scope="module")
 def byte_bpe():
     path = bpe.public_tokenizer("byte_bpe_50k.json")
