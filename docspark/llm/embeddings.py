@@ -2,7 +2,9 @@
 
 ``fit`` learns a rotation on a bounded sample (``SAMPLE_ROWS`` smallest id hashes): principal directions, then
 alternating sign codes and orthogonal Procrustes steps until the codes are balanced and close to the rotated vectors.
-Every vector gets a code of up to 64 bits. Codes are cut into ``CHUNKS`` chunks; two codes within ``MAX_BITS`` have a
+Directions and codes are taken without subtracting the mean, which would widen the angles of vectors that share a
+common direction: codes keep the angle between two vectors however strong their mean is, at the price of more code
+pairs to compare then. Every vector gets a code of up to 64 bits. Codes are cut into ``CHUNKS`` chunks; two codes within ``MAX_BITS`` have a
 chunk with at most two differing bits, so if each code is entered under every chunk value with at most one bit
 flipped, such a pair meets. Pairs of codes (not of vectors) are found that way; vectors under close codes are compared
 by cosine in double precision, block against block, so a code shared by many vectors is spread over many tasks.
@@ -12,9 +14,9 @@ vectors it links, and links enough to connect what is connected (each class to t
 not every link. Recall is below one only for links whose codes differ in more than ``MAX_BITS`` bits; the
 tests measure it against brute force.
 
-Defined results: vectors that are null, empty, zero or hold null or non-finite components, vectors whose length is not
-the sample's most common one, and rows with a null id link with nothing (component: their id); repeated rows link with each
-other; an empty table gives an empty result.
+Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null id link
+with nothing (component: their id); vectors link with vectors of their own length, each length by a model of its own;
+repeated rows link with each other; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -44,11 +46,9 @@ class Quantiser:
         if not len(sample) or not self.dim:
             return
         unit = sample / np.linalg.norm(sample, axis=1)[:, None]
-        self.center = unit.mean(0)
-        x = unit - self.center
-        _, axes = np.linalg.eigh(x.T @ x)
+        _, axes = np.linalg.eigh(unit.T @ unit)
         axes = axes[:, ::-1][:, :self.bits]
-        v = x @ axes
+        v = unit @ axes
         rotation = np.linalg.qr(np.random.Generator(np.random.PCG64(1)).normal(size=(self.bits, self.bits)))[0]
         for _ in range(ROUNDS):
             u, _, wt = np.linalg.svd(np.where(v @ rotation >= 0, 1.0, -1.0).T @ v)
@@ -56,7 +56,7 @@ class Quantiser:
         self.map = axes @ rotation
 
     def codes(self, x: np.ndarray) -> np.ndarray:
-        bits = (x / np.linalg.norm(x, axis=1)[:, None] - self.center) @ self.map >= 0
+        bits = (x / np.linalg.norm(x, axis=1)[:, None]) @ self.map >= 0
         return (bits.astype(np.uint64) << np.arange(self.bits, dtype=np.uint64)).sum(1, dtype=np.uint64)
 
 
@@ -69,10 +69,9 @@ def _vectors(column: pa.Array, dim: int | None = None) -> tuple[np.ndarray, np.n
     if not len(rows):
         return rows, np.zeros((0, dim))
     x = column.take(pa.array(rows)).flatten().cast(pa.float64()).fill_null(np.nan).to_numpy().reshape(len(rows), dim)
-    with np.errstate(over="ignore"):
-        norm = np.linalg.norm(x, axis=1)
-    ok = np.isfinite(x).all(1) & np.isfinite(norm) & (norm > 0)
-    return rows[ok], x[ok]
+    ok = np.isfinite(x).all(1) & (x != 0).any(1)
+    x = x[ok]
+    return rows[ok], np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])     # by a power of two: norms are finite
 
 
 def fit(vectors: DataFrame, max_rows: int = SAMPLE_ROWS) -> Quantiser:
@@ -227,11 +226,19 @@ def link(encoded: DataFrame, model: Quantiser, tasks: int) -> tuple[DataFrame, D
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row."""
     vectors = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("embedding"))
-    model = fit(vectors)
     tasks = parts_for(vectors, 4)
-    if not model.bits:
-        return vectors.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                              F.col("vec_id").isNotNull().alias("kept"))
+    length = F.when(F.col("vec_id").isNotNull(), F.greatest(F.size("embedding"), F.lit(0)))
+    shared = [r["n"] for r in vectors.groupBy(length.alias("n")).count().where("n > 0 AND count > 1").orderBy("n").collect()]
+    alone = vectors.where(~F.coalesce(length.isin(shared), F.lit(False))) if shared else vectors
+    out = alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
+                       F.col("vec_id").isNotNull().alias("kept"))
+    for n in shared:
+        out = out.unionByName(_of_one_length(vectors.where(length == n), tasks))
+    return out
+
+
+def _of_one_length(vectors: DataFrame, tasks: int) -> DataFrame:
+    model = fit(vectors)
     encoded = cut(encode(vectors, model))
     usable = F.col("vec_id").isNotNull() & F.col("vector").isNotNull()
     classes, links = link(encoded.where(usable), model, tasks)

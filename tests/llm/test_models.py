@@ -147,6 +147,29 @@ def test_embeddings_recall_and_odd_rows(spark):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_recall_with_a_strong_mean_lengths_and_scales(spark):
+    rng = np.random.default_rng(6)
+
+    def pairs(n, dim, mean):
+        x = rng.normal(size=(n, dim)) + mean * np.ones(dim)
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        d = rng.normal(size=x.shape)
+        d -= (d * x).sum(1)[:, None] * x
+        d /= np.linalg.norm(d, axis=1)[:, None]
+        return np.vstack([x, 0.955 * x + np.sqrt(1 - 0.955 ** 2) * d])
+
+    blocks = [pairs(200, 64, 2.0), pairs(40, 48, 0.0)]
+    rows = [(1000 * k + i, (v * 10.0 ** rng.choice([-200, 0, 200])).tolist()) for k, x in enumerate(blocks) for i, v in enumerate(x)]
+    got = {r["vec_id"]: r["n_links"] for r in
+           embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert len(got) == len(rows)
+    for k, x in enumerate(blocks):
+        unit = x / np.linalg.norm(x, axis=1)[:, None]
+        true = (unit @ unit.T >= 0.95).sum(1) - 1
+        n = np.array([got[1000 * k + i] for i in range(len(x))])
+        assert true.sum() and (n <= true).all() and n.sum() >= 0.9 * true.sum()
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50, 90)] + [(5, 3), (3, 9), (100, 9), (7, 7)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
