@@ -1,11 +1,11 @@
-"""Exact top-k search: BM25 over sharded inverted indexes with block-max pruning.
+"""Exact top-k search: BM25 over sharded inverted indexes with block bounds.
 
 Rows are dealt to shards by the hash of their id. A shard's index holds its postings by term (64-bit word hashes),
 with frequencies and lengths. Global statistics (rows, mean length, document frequencies of the query terms) come from
 all shards, so every shard scores like one index and the merge of the shards' best rows is exact.
 
 In a shard the documents stand in blocks of ``BLOCK``. Rare query terms are added up first, posting list by posting
-list. For frequent terms the index keeps the largest impact in every block, which bounds what a block can still gain.
+list. For frequent terms a task takes the largest impact in every block, which bounds what a block can still gain.
 The best rows so far, scored exactly, give a threshold; a block whose best partial score plus bound stays below it is
 skipped, then single rows are pruned by the same bound, and only the survivors' frequent terms are looked up.
 Bounds are compared with a slack far above rounding, and the scores returned are correctly rounded sums, so equal texts have equal
