@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import arrow_files, bpe, embeddings, minhash, mixing, quality, search, substring, toxicity, urls
+from . import (arrow_files, bpe, collocations, embeddings, minhash, mixing, quality, search, spelling, substring,
+               toxicity, urls)
 
 QUERIES = {
     "op1_substring": substring.op1_substring,
@@ -15,5 +16,8 @@ QUERIES = {
     "op8_arrow_files": arrow_files.op8_arrow_files,
     "op9_search": search.op9_search,
     "op10_embeddings": embeddings.op10_embeddings,
+    "op11_collocations": collocations.op11_collocations,
+    "op13_spelling": spelling.op13_spelling,
 }
-ORACLE = {"op2_urls": urls.OP2_SQL, "op6_mixing": mixing.OP6_SQL}
+ORACLE = {"op2_urls": urls.OP2_SQL, "op6_mixing": mixing.OP6_SQL, "op11_collocations": collocations.OP11_SQL,
+          "op13_spelling": spelling.OP13_SQL}
