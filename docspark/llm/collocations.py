@@ -35,10 +35,10 @@ SALTS = 32
 def windows(docs: DataFrame, max_words: int = MAX_WORDS, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, w1 .. wN): the window that each word starts, with empty words after the end of its piece."""
     names = [f"w{i}" for i in range(1, max_words + 1)]
-    text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER)
+    text = F.translate(F.col(text_col).cast("string"), UPPER, LOWER)
     pieces = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                          F.explode(F.split(text, PIECE_END)).alias("piece"))
-    words = pieces.select("lang", F.regexp_extract_all("piece", F.lit(WORD), F.lit(0)).alias("w1")).where(F.size("w1") > 0)
+    words = pieces.select("lang", F.regexp_extract_all("piece", F.lit(WORD), F.lit(0)).alias("w1"))
     leads = [F.slice("w1", i, F.size("w1")).alias(n) for i, n in enumerate(names, 1) if i > 1]
     starts = words.select("lang", "w1", *leads).select("lang", F.inline(F.arrays_zip(*names)))
     return starts.select("lang", "w1", *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names[1:]])
@@ -56,7 +56,7 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
                .withColumn("size", size.cast("int")))
     full = longest.withColumn("size", F.lit(max_words)).select("lang", *names, "f", "size")
     both = full.unionByName(shorter.drop("level"), allowMissingColumns=True)
-    last = F.coalesce(F.element_at(F.array(*names), F.greatest("size", F.lit(1))), F.lit(""))
+    last = F.coalesce(*[F.when(F.col("size") == i, F.col(n)) for i, n in enumerate(names, 1)])
     phrase = F.array_join(F.slice(F.array(*names), 1, F.col("size")), " ")
     return cut(both.where((F.col("size") == 0) | ((F.col("f") >= min_count) & (last != "")))
                .select("lang", F.when(F.col("size") > 0, phrase).otherwise("").alias("phrase"), "size", "f"))
