@@ -2,14 +2,18 @@
 
 Only the longest windows are counted: every word of a piece starts one window of ``max_words`` words, whose lead
 columns are padded where the piece ends. An occurrence of a shorter phrase is the beginning of exactly one window, so
-its count is the sum over the windows that begin with it, and one ``ROLLUP`` over the window counts gives the counts of
-all shorter phrases and the number of words per language. No n-grams of any other order are generated.
+its count is the sum over the windows that begin with it. No n-grams of any other order are generated: window counts
+are shuffled once, to the partition of their first two words, where the sums of all prefixes of two words and more
+follow in place; one ``ROLLUP`` sums first words and languages (and the parts of hot pairs).
 
-Everything is built from DataFrame functions. Window counts are aggregated before they are shuffled and the rollup
-starts from distinct windows, so a frequent word or phrase is one row per task. Every part of a phrase that occurs
-``min_count`` times occurs at least as often itself, so only counts from there on are kept, written once, and joined to
-the candidates' parts (joins that skewed words leave to the session's skewed-join splitting). Ranks are limited in
-``SALTS`` parts of each language first.
+A window travels as two strings (language and first two words; the other words) with its count. Tasks combine equal
+windows before the shuffle, ``CHUNK`` rows at a time, and sort them, which lets the shuffle's compression drop repeated
+beginnings. First pairs that hold more than a ``HOT``-th of a sample's windows (at most ``HOT`` pairs) are dealt to
+``SALTS`` parts by their other words; that changes the layout only, sums of the parts are added up.
+
+Every part of a phrase that occurs ``min_count`` times occurs at least as often itself, so only counts from there on
+are kept, written once, and joined to the candidates' parts (the session's skewed-join splitting takes frequent
+words). Ranks are limited in ``SALTS`` parts of each language first.
 
 Defined results: null and empty texts have no words; a null language is ``und``; repeated rows and null ids count like
 any other row; all orders are total (score, count, phrase), so there are no ties; an empty table gives an empty result.
@@ -17,6 +21,9 @@ any other row; all orders are total (score, count, phrase), so there are no ties
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from .common import cut, table
@@ -30,10 +37,13 @@ SCALE = 1_000_000
 INSIDE = 50                  # per cent of a phrase's occurrences that lie in one longer candidate
 KEEP = 2000
 SALTS = 32
+HOT = 500
+SAMPLE = 0.01                # of the rows, to find hot pairs
+CHUNK = 1 << 20
 
 
 def windows(docs: DataFrame, max_words: int = MAX_WORDS, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, w1 .. wN): the window that each word starts, with empty words after the end of its piece."""
+    """(head, tail) of the window that each word starts: language, tab and its first two words; the other words."""
     names = [f"w{i}" for i in range(1, max_words + 1)]
     text = F.translate(F.col(text_col).cast("string"), UPPER, LOWER)
     pieces = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
@@ -41,25 +51,70 @@ def windows(docs: DataFrame, max_words: int = MAX_WORDS, lang_col: str = "lang",
     words = pieces.select("lang", F.regexp_extract_all("piece", F.lit(WORD), F.lit(0)).alias("w1"))
     leads = [F.slice("w1", i, F.size("w1")).alias(n) for i, n in enumerate(names, 1) if i > 1]
     starts = words.select("lang", "w1", *leads).select("lang", F.inline(F.arrays_zip(*names)))
-    return starts.select("lang", "w1", *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names[1:]])
+    head = F.concat(F.col("lang"), F.lit("\t"), F.concat_ws(" ", *names[:2]))
+    return starts.select(head.alias("head"), F.concat_ws(" ", *names[2:]).alias("tail"))
+
+
+def _combined(wins: DataFrame) -> DataFrame:
+    """(head, tail, f): equal windows of a task added up, a chunk of rows at a time, sorted."""
+    def add(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held).group_by(["head", "tail"], use_threads=False).aggregate([([], "count_all")])
+        t = t.sort_by([("head", "ascending"), ("tail", "ascending")])
+        yield from t.rename_columns(["head", "tail", "f"]).to_batches(max_chunksize=1 << 16)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for b in batches:
+            held.append(b)
+            rows += b.num_rows
+            if rows >= CHUNK:
+                yield from add(held)
+                held, rows = [], 0
+        if rows:
+            yield from add(held)
+
+    return wins.mapInArrow(run, "head string, tail string, f long")
+
+
+def _hot_heads(docs: DataFrame, max_words: int, lang_col: str, text_col: str) -> list[str]:
+    """First pairs with more than a ``HOT``-th of the windows of a fixed sample of rows: fewer than ``HOT``."""
+    wins = windows(docs.sample(SAMPLE, seed=11), max_words, lang_col, text_col)
+    total = wins.count()
+    return [r["head"] for r in wins.groupBy("head").count().where(F.col("count") * HOT > total).collect()]
 
 
 def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, lang_col: str = "lang",
                   text_col: str = "text") -> DataFrame:
     """(lang, phrase, size, f): every phrase of up to ``max_words`` words that occurs ``min_count`` times, and per
     language a row of size 0 whose count is the number of its words. Written once."""
-    names = [f"w{i}" for i in range(1, max_words + 1)]
-    longest = windows(docs, max_words, lang_col, text_col).groupBy("lang", *names).agg(F.count(F.lit(1)).alias("f"))
-    shorter = longest.rollup("lang", *names[:-1]).agg(F.sum("f").alias("f"), F.grouping_id().alias("level"))
-    size = F.lit(max_words) - 1 - F.bit_count("level")                     # words that are not rolled up
-    shorter = (shorter.where(F.col("level") < (1 << (max_words - 1)))      # without the total over languages
-               .withColumn("size", size.cast("int")))
-    full = longest.withColumn("size", F.lit(max_words)).select("lang", *names, "f", "size")
-    both = full.unionByName(shorter.drop("level"), allowMissingColumns=True)
-    last = F.coalesce(*[F.when(F.col("size") == i, F.col(n)) for i, n in enumerate(names, 1)])
-    phrase = F.array_join(F.slice(F.array(*names), 1, F.col("size")), " ")
-    return cut(both.where((F.col("size") == 0) | ((F.col("f") >= min_count) & (last != "")))
-               .select("lang", F.when(F.col("size") > 0, phrase).otherwise("").alias("phrase"), "size", "f"))
+    hot = F.col("head").isin(_hot_heads(docs, max_words, lang_col, text_col))
+    salt = F.when(hot, F.pmod(F.xxhash64(F.substring_index("tail", " ", 1)), F.lit(SALTS))).otherwise(F.lit(0))
+    dealt = (_combined(windows(docs, max_words, lang_col, text_col)).withColumn("salt", salt.cast("int"))
+             .repartition("head", "salt"))
+    # an expression over all columns that filters can't pass and no column can be pruned from: one exchange serves all
+    dealt = dealt.withColumn("f", F.when((F.spark_partition_id() >= 0) & F.col("tail").isNotNull(), F.col("f")))
+    lang, words = F.substring_index("head", "\t", 1).alias("lang"), F.substring_index("head", "\t", -1)
+    longer = []
+    for size in range(3, max_words + 1):                       # windows of one beginning are in one partition
+        rest = F.split("tail", " ")
+        begin = F.col("tail") if size == max_words else F.array_join(F.slice(rest, 1, size - 2), " ")
+        long_enough = (F.col("tail") != "") & (F.size(rest) >= size - 2)
+        sums = (dealt.where(long_enough).groupBy("head", "salt", begin.alias("begin")).agg(F.sum("f").alias("f"))
+                .where(F.col("f") >= min_count))
+        longer.append(sums.select(lang, F.concat_ws(" ", words, "begin").alias("phrase"), F.lit(size).alias("size"), "f"))
+    pairs = dealt.groupBy("head", "salt").agg(F.sum("f").alias("f"))
+    pair = F.when(F.contains(words, F.lit(" ")) & (hot | (F.col("f") >= min_count)), words)
+    shorter = F.array_compact(F.array(F.struct(F.substring_index(words, " ", 1).alias("phrase"), F.col("f").alias("words")),
+                                      F.when(pair.isNotNull(), F.struct(pair.alias("phrase"), F.lit(0).cast("long").alias("words")))))
+    rolled = (pairs.select(lang, "f", F.inline(shorter)).rollup("lang", "phrase")
+              .agg(F.sum("f").alias("f"), F.sum("words").alias("words"), F.grouping_id().alias("level")).where("level < 2"))
+    size = F.when(F.col("level") == 1, 0).otherwise(F.size(F.split("phrase", " ")))
+    out = rolled.where((F.col("level") == 1) | (F.col("f") >= min_count)).select(
+        "lang", F.coalesce("phrase", F.lit("")).alias("phrase"), size.alias("size"),
+        F.when(F.col("level") == 1, F.col("words")).otherwise(F.col("f")).alias("f"))
+    for other in longer:
+        out = out.unionByName(other)
+    return cut(out)
 
 
 def _scored(counts: DataFrame, candidates: DataFrame) -> DataFrame:

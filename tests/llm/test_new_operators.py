@@ -55,8 +55,11 @@ def phrases(spark):
     return rows
 
 
-@pytest.mark.parametrize("keep, longest", [(2000, 3), (7, 3), (2000, 4)])
-def test_collocations_match_brute_force(spark, phrases, keep, longest):
+@pytest.mark.parametrize("keep, longest, chunk, sample", [(2000, 3, 1 << 20, 0.01), (7, 3, 100, 1.0), (2000, 5, 1000, 1.0)])
+def test_collocations_match_brute_force(spark, phrases, monkeypatch, keep, longest, chunk, sample):
+    """Also with small chunks, and with the frequent pairs dealt to parts."""
+    monkeypatch.setattr(collocations, "CHUNK", chunk)
+    monkeypatch.setattr(collocations, "SAMPLE", sample)
     df = spark.createDataFrame(phrases, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
     for d in (df, df.withColumns({c: F.lit(3) for c in ("w1", "phrase", "f", "size", "a", "rank", "piece", "a.b")})):
         got = collocations.collocations(d, max_words=longest, keep=keep)
@@ -73,7 +76,7 @@ def test_collocations_count_longest_windows_once(spark, phrases):
     """The windows are generated for the longest order only, and the rollup starts from their counts."""
     df = spark.createDataFrame(phrases, "doc_id long, text string, lang string, source string, n_chars long")
     windows = collocations.windows(df)
-    assert windows.columns == ["lang", "w1", "w2", "w3"]
+    assert windows.columns == ["head", "tail"]
     assert windows.count() == sum(len(re.findall("[^ \t.,;:!?\x0a-\x0d]+", t or "")) for _, t, *_ in phrases)
 
 
