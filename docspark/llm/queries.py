@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (arrow_files, bpe, collocations, embeddings, minhash, mixing, quality, search, spelling, substring,
-               toxicity, urls)
+from . import (arrow_files, bpe, collocations, embeddings, minhash, mixing, passages, quality, search, spelling,
+               substring, toxicity, urls)
 
 QUERIES = {
     "op1_substring": substring.op1_substring,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_search": search.op9_search,
     "op10_embeddings": embeddings.op10_embeddings,
     "op11_collocations": collocations.op11_collocations,
+    "op12_passages": passages.op12_passages,
     "op13_spelling": spelling.op13_spelling,
 }
 ORACLE = {"op2_urls": urls.OP2_SQL, "op6_mixing": mixing.OP6_SQL, "op11_collocations": collocations.OP11_SQL,
