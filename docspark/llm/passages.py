@@ -295,9 +295,27 @@ def _windows_of(at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[run] + np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n), run
 
 
+CANDIDATES = "block long, shard long, seg binary, text binary, c long, row long, first long, at binary, n binary"
+
+
+def _settled(number: np.ndarray, first: np.ndarray, count: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(text number, firsts, counts) with ranges of windows that follow each other made one."""
+    order = np.lexsort((first, number))
+    number, first, count = number[order], first[order], count[order]
+    new = np.ones(len(number), bool)
+    new[1:] = (number[1:] != number[:-1]) | (first[1:] != first[:-1] + count[:-1])
+    at = np.flatnonzero(new)
+    total = np.add.reduceat(count, at) if len(at) else count
+    number, first = number[at], first[at]
+    cut = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))[:len(number)]
+    for i, j in zip(cut, np.append(cut[1:], len(number)), strict=False):
+        yield int(number[i]), first[i:j], total[i:j]
+
+
 def _candidates(blocks: DataFrame, buckets: int, shards: int, span: int) -> DataFrame:
-    """(shard, seg, text, c, block, row, first): the places of the runs that may repeat; each block gives the text of a
-    distinct run, and the number ``c`` of its places there, on one of them."""
+    """The runs that may repeat. One row for each distinct run of a block (shard, seg, text, c: its places there); with
+    its place (row, first) if there is but one, which waits for what other blocks have. Runs with more places in the
+    block repeat: their places are rows without a seg, packed (at, n) ranges of windows for each text."""
     def minimisers(t: pa.Table) -> pa.Table:
         found = [r.minimiser for r in _runs(t.column("text"), span)]
         h, n = np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True)
@@ -321,8 +339,9 @@ def _candidates(blocks: DataFrame, buckets: int, shards: int, span: int) -> Data
         own, _ = _answers(answer, 1)
         text, row = t.column("text"), t.column("row").to_numpy()
         buf, offsets = K.text_buffer(text)
-        seen: dict[bytes, list] = {}
-        out: list[tuple] = []
+        seen: dict[bytes, int] = {}
+        segs: list[tuple[int, bytes, bytes]] = []
+        which, number, first, count = [], [], [], []
         for r in _runs(text, span) if len(m) else ():
             yes, place = _among(r.minimiser, m)
             heavy = yes & hot[place]
@@ -338,22 +357,31 @@ def _candidates(blocks: DataFrame, buckets: int, shards: int, span: int) -> Data
             for i, a, n, s in zip(numbers.tolist(), begins.tolist(), counts.tolist(), dealt.tolist(), strict=True):
                 body = buf[offsets[i] + a:offsets[i] + a + n + span - 1].tobytes()
                 seg = hashlib.blake2b(body, digest_size=16).digest()
-                if seg in seen:
-                    seen[seg][0] += 1
-                    out.append((s, seg, None, None, row[i], a))
-                else:
-                    seen[seg] = count = [1]
-                    out.append((s, seg, body, count, row[i], a))
-        cols = list(zip(*out, strict=True)) if out else [()] * 6
+                if seg not in seen:
+                    seen[seg] = len(segs)
+                    segs.append((s, seg, body))
+                which.append(seen[seg])
+            number.append(numbers)
+            first.append(begins)
+            count.append(counts)
+        which = np.array(which, np.int64)
+        number, first, count = (np.concatenate(x or [np.zeros(0, np.int64)]) for x in (number, first, count))
+        times = np.bincount(which, minlength=len(segs))
+        once = np.flatnonzero(times[which] == 1)
+        asked = dict(zip(which[once].tolist(), once.tolist(), strict=True))
+        at = [asked.get(k) for k in range(len(segs))]
+        lines = [(s, seg, body, int(times[k]), None if j is None else int(row[number[j]]), None if j is None else int(first[j]),
+                  None, None) for k, ((s, seg, body), j) in enumerate(zip(segs, at, strict=True))]
+        lines += [(None, None, None, None, int(row[i]), 0, a.tobytes(), n.tobytes())
+                  for i, a, n in _settled(*(x[times[which] > 1] for x in (number, first, count)))]
+        cols = list(zip(*lines, strict=True)) if lines else [()] * 8
         block = t.column("block")[0].as_py() if len(t) else 0
-        return pa.table({"shard": pa.array(cols[0], pa.int64()), "seg": pa.array(cols[1], pa.binary()),
-                         "text": pa.array(cols[2], pa.binary()),
-                         "c": pa.array([c and c[0] for c in cols[3]], pa.int64()),
-                         "block": pa.array(np.full(len(out), block, np.int64)),
-                         "row": pa.array(np.array(cols[4], np.int64)), "first": pa.array(np.array(cols[5], np.int64))})
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        names = ["shard", "seg", "text", "c", "row", "first", "at", "n"]
+        return pa.table({"block": pa.array(np.full(len(lines), block, np.int64)),
+                         **{x: pa.array(c, k) for x, c, k in zip(names, cols, kinds, strict=True)}})
 
-    return blocks.groupBy("block").cogroup(first.unionByName(second).groupBy("block")).applyInArrow(
-        cut_out, "shard long, seg binary, text binary, c long, block long, row long, first long")
+    return blocks.groupBy("block").cogroup(first.unionByName(second).groupBy("block")).applyInArrow(cut_out, CANDIDATES)
 
 
 def _repeated_runs(candidates: DataFrame, span: int) -> DataFrame:
@@ -411,8 +439,10 @@ def judged_texts(docs: DataFrame, span: int = SPAN, keep_text: bool = False) ->
     blocks = _distinct_texts(docs, n)
     path = scratch_path(docs.sparkSession, "passages")
     _candidates(blocks, n, n * SHARDS_PER_BLOCK, span).write.parquet(path)          # read twice
-    found = docs.sparkSession.read.schema("shard long, seg binary, text binary, c long, block long, row long, first long").parquet(path)
-    gone = found.select("seg", "block", "row", "first").join(_repeated_runs(found, span), "seg").drop("seg")
+    found = docs.sparkSession.read.schema(CANDIDATES).parquet(path)
+    asked = found.where("seg IS NOT NULL AND row IS NOT NULL").select("seg", "block", "row", "first")
+    gone = (asked.join(_repeated_runs(found, span), "seg").drop("seg")
+            .unionByName(found.where("seg IS NULL").select("block", "row", "first", "at", "n")))
 
     def run(t: pa.Table, gone: pa.Table) -> pa.Table:
         out = []
