@@ -31,3 +31,7 @@ class MigrationError(DocSparkError):
 
 class CollectionNotFoundError(DocSparkError):
     """No table or view exists under the given name."""
+
+
+class FieldLimitError(DocSparkError):
+    """A write would bring more different fields than a collection may get."""

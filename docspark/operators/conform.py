@@ -21,7 +21,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.dates import parse_date
 from ..functions.ip import ip_key
 from ..plans.sizing import ensure_parallelism
-from ..schema import (DYNAMIC_MODES, ERRORS_COL, ID_COL, SOURCE_COL, Collection, DynamicTemplate, Field)
+from ..schema import (DYNAMIC_MODES, ERRORS_COL, ID_COL, SOURCE_COL, Collection, DynamicTemplate, Field, join_path,
+                      split_path)
+from ..session import ensure_checkpoint_dir
 
 # Integer ranges of the declared integral types.
 INT_RANGE = {"integer": (-(2 ** 31), 2 ** 31 - 1), "long": (-(2 ** 63), 2 ** 63 - 1)}
@@ -61,6 +63,8 @@ def _path(name: str) -> str:
 
 
 def child(v: Column, name: str) -> Column:
+    if re.search(r"['\"\\\]\[]", name):                    # characters that variant paths can't quote
+        return F.try_element_at(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(name))
     return F.try_variant_get(v, _path(name), "variant")
 
 
@@ -268,8 +272,9 @@ def conform_object(v: Column, props: Mapping[str, Field], prefix: str, dynamic,
     values, items = [], []
     for name, f in props.items():
         cx, ck = pre[prefix + name] if pre and (prefix + name) in pre else (child(v, name), None)
-        subs = [(f"{name}__{sub}", f"{name}.{sub}", sf) for sub, sf in (f.fields or {}).items()]
-        for out_name, path, ff in [(name, name, f), *subs]:
+        columns = f.columns(name)
+        subs = [(col, f"{name}.{sub}", sf) for col, (sub, sf) in zip(columns[1:], (f.fields or {}).items())]
+        for out_name, path, ff in [(columns[0], name, f), *subs]:
             val, errs = conform_value(cx, ff, prefix + path, dynamic, ck, pre)
             values.append(val.cast(ff.spark_type()).alias(out_name))
             items += errs
@@ -325,7 +330,9 @@ def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr:
     for i, (name, f) in enumerate(collection.fields.items()):
         x, k = F.col(f"__v{i}"), F.col(f"__v{i}_k")
         present = k.isNotNull() & (k != "null")
-        targets = [(name, name, f)] + [(f"{name}__{sub}", f"{name}.{sub}", sf) for sub, sf in (f.fields or {}).items()]
+        columns = f.columns(name)
+        targets = [(columns[0], name, f)] + [(col, f"{name}.{sub}", sf)
+                                             for col, (sub, sf) in zip(columns[1:], (f.fields or {}).items())]
         for out_name, path, ff in targets:
             if ff.type in ("object", "nested") or ff.multi:
                 val, errs = conform_value(x, ff, path, collection.dynamic, k, pre)
@@ -446,11 +453,12 @@ def conform_frame(df: DataFrame, collection: Collection, id_expr: Column | None
         nv = _null_value(f)
         if nv is not None and name in src:
             val = F.when(F.col(name).isNull(), nv).otherwise(val)
-        out.append(val.cast(f.spark_type()).alias(name))
+        columns = f.columns(name)
+        out.append(val.cast(f.spark_type()).alias(columns[0]))
         errs.append(err)
-        for sub, sf in (f.fields or {}).items():
+        for col, (sub, sf) in zip(columns[1:], (f.fields or {}).items()):
             sval, serr = _typed_scalar(F.col(name), src[name], sf, f"{name}.{sub}")
-            out.append(sval.cast(sf.spark_type()).alias(f"{name}__{sub}"))
+            out.append(sval.cast(sf.spark_type()).alias(col))
             errs.append(serr)
     if collection.dynamic == "strict":
         undeclared = [c for c in extra if c not in (ID_COL, SOURCE_COL, ERRORS_COL) and c not in (keep or [])]
@@ -486,49 +494,110 @@ def generated_id(salt: str | int, cols: list[str], ordinal: Column | None = None
                                           F.to_json(F.struct(*[F.col(c) for c in cols]))), 256), 1, 32)
 
 
+# ----------------------------------------------------------------------------------------------------------------
+# Partial documents
+# ----------------------------------------------------------------------------------------------------------------
+
+def object_depth(v: Column, levels: int) -> Column:
+    """How many object levels a VARIANT object has, ``levels`` at most (objects inside arrays do not count)."""
+    def below(x: Column, left: int) -> Column:
+        if left == 0:
+            return F.lit(0)
+        values = F.map_values(F.try_variant_get(x, "$", "map<string,variant>"))
+        return F.lit(1) + F.coalesce(F.array_max(F.transform(values, lambda y: F.when(_is_object(y), below(y, left - 1))
+                                                             .otherwise(F.lit(0)))), F.lit(0))
+    return F.when(_is_object(v), below(v, levels)).otherwise(F.lit(0))
+
+
+def _is_object(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+
+def merge_documents(stored: Column, partial: Column, levels: int) -> Column:
+    """The stored VARIANT document with a partial one put over it: keys that the partial document names are set (also to
+    null), objects on both sides are merged key by key, ``levels`` deep, anything else is replaced, and keys that it does
+    not name stay. Where there is no partial document the stored one stays."""
+    def entries(v: Column) -> Column:
+        return F.coalesce(F.try_variant_get(v, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+
+    def over(old: Column, new: Column, left: int) -> Column:
+        def pick(_, a: Column, b: Column) -> Column:
+            kept = F.when(b.isNull(), a)
+            if left > 1:
+                kept = kept.when(_is_object(a) & _is_object(b), over(a, b, left - 1))
+            return kept.otherwise(b)
+        return F.to_variant_object(F.map_zip_with(entries(old), entries(new), pick))
+
+    return F.when(partial.isNull(), stored).otherwise(over(stored, partial, max(levels, 1)))
+
+
 # ----------------------------------------------------------------------------------------------------------------
 # Dynamic discovery
 # ----------------------------------------------------------------------------------------------------------------
 
-def observed_paths(df: DataFrame, doc: Column, depth: int | None = None, elements: bool = False) -> DataFrame:
-    """(path, kind, n_docs) for every key seen in the documents, down to ``depth`` object levels (all by default: the
-    levels are walked until one has no objects below it). Keys inside arrays of objects are counted per element. One
-    explode per level, then one partial-aggregated group-by; the result size is bounded by the number of distinct
-    (path, kind) pairs, not by the data. A dot inside a key is escaped as ``\\.``. With ``elements``, what arrays hold
-    is counted too, as the kind ``array<kind>``."""
-    df = ensure_parallelism(df)
+LEVELS = 8                   # object levels that one scan of the documents looks into
 
-    def with_kind(frame: DataFrame) -> DataFrame:
-        return frame.select("*", F.schema_of_variant(F.col("val")).alias("__s")) \
-            .select("*", kind_of_schema(F.col("__s")).alias("kind")).drop("__s")
 
-    key = F.replace(F.col("k"), F.lit("."), F.lit("\\."))
-    level = with_kind(df.select(F.explode(F.try_variant_get(doc, "$", "map<string,variant>")).alias("k", "val"))
-                      .select(key.alias("path"), "val"))
-    counts = None
-    n = 1
-    while True:
-        found = level.select("path", "kind")
-        counts = found if counts is None else counts.unionByName(found)
-        nested = level.filter(F.col("kind").isin("object", "array"))
+PATHS = "array<struct<path:string,kind:string,below:variant>>"
+
+
+def _paths_of(v: Column, prefix: Column | None, levels: int, elements: bool) -> Column:
+    """array<struct(path, kind, below)>: every key below object ``v``, ``levels`` deep. Objects that go on deeper are
+    listed once more without a kind, with themselves as ``below``."""
+    none, no_value = F.array().cast(PATHS), F.lit(None).cast("variant").alias("below")
+
+    def entry(e: Column) -> Column:
+        key = F.replace(F.replace(e["key"], F.lit("\\"), F.lit("\\\\")), F.lit("."), F.lit("\\."))
+        path = key if prefix is None else F.concat(prefix, F.lit("."), key)
+        return F.struct(path.alias("p"), e["value"].alias("v"), kind_of_schema(F.schema_of_variant(e["value"])).alias("k"))
+
+    def found(z: Column) -> Column:
+        many, one = z["k"] == "array", z["k"] == "object"
+        held = F.when(many, F.try_variant_get(z["v"], "$", "array<variant>")).when(one, F.array(z["v"]))
+        inside = F.transform(held, lambda x: F.struct(x.alias("v"), kind_of_schema(F.schema_of_variant(x)).alias("k")))
+        item = lambda kind: F.struct(z["p"].alias("path"), kind.alias("kind"), no_value)                 # noqa: E731
+        parts = [F.array(item(z["k"]))]
         if elements:
-            inside = with_kind(nested.filter(F.col("kind") == "array").select(
-                "path", F.explode(F.try_variant_get(F.col("val"), "$", "array<variant>")).alias("val")))
-            counts = counts.unionByName(inside.select("path", F.concat(F.lit("array<"), "kind", F.lit(">")).alias("kind")))
-        if depth is not None and n >= depth:
-            break
-        objs = nested.select(
-            "path", F.when(F.col("kind") == "array", F.try_variant_get(F.col("val"), "$", "array<variant>"))
-            .otherwise(F.array(F.col("val"))).alias("elems"))
-        objs = objs.select("path", F.explode("elems").alias("val"))
-        below = objs.select(F.col("path").alias("parent"),
-                            F.explode(F.try_variant_get(F.col("val"), "$", "map<string,variant>")).alias("k", "val")) \
-            .select(F.concat_ws(".", "parent", key).alias("path"), "val")
-        if depth is None and not below.limit(1).count():
-            break
-        level = with_kind(below)
-        n += 1
-    return counts.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n_docs"))
+            parts.append(F.when(many, F.transform(inside, lambda x: item(F.concat(F.lit("array<"), x["k"], F.lit(">")))))
+                         .otherwise(none))
+        objects = F.filter(inside, lambda x: x["k"] == "object")
+        if levels > 1:
+            deeper = F.flatten(F.transform(objects, lambda x: _paths_of(x["v"], z["p"], levels - 1, elements)))
+        else:
+            deeper = F.transform(objects, lambda x: F.struct(z["p"].alias("path"), F.lit(None).cast("string").alias("kind"),
+                                                             x["v"].alias("below")))
+        parts.append(F.when(many | one, deeper).otherwise(none))
+        return F.concat(*parts)
+
+    entries = F.map_entries(F.coalesce(F.try_variant_get(v, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
+    return F.flatten(F.transform(F.transform(entries, entry), found))
+
+
+def observed_paths(df: DataFrame, doc: Column, depth: int | None = None, elements: bool = False) -> DataFrame:
+    """(path, kind, n_docs) for every key seen in the documents, down to ``depth`` object levels (all by default). Keys
+    inside arrays of objects are counted per element. A dot inside a key is escaped as ``\\.``. With ``elements``, what
+    arrays hold is counted too, as the kind ``array<kind>``.
+
+    One expression lists all paths of a document, so the documents are scanned once for every ``LEVELS`` levels they
+    have, and the listed paths are counted with partial aggregation. Whether documents go on below is one of the counts
+    (which are written to the checkpoint folder, so asking costs no scan); if so, the objects down there are listed in
+    the same way. An aggregated schema of all documents would tell the shape first, but it grows with the distinct keys
+    in the memory of every task, and hides what lies below a key of several kinds."""
+    rows = ensure_parallelism(df).select(F.lit(None).cast("string").alias("prefix"), doc.alias("doc"))
+    first, seen = True, None
+    while True:
+        levels = min(LEVELS, depth or LEVELS)
+        found = rows.select(F.explode(_paths_of(F.col("doc"), None if first else F.col("prefix"), levels, elements)).alias("f"))
+        counts = found.groupBy("f.path", "f.kind").agg(F.count(F.lit(1)).alias("n_docs"))
+        depth = depth and depth - levels
+        if depth != 0:
+            ensure_checkpoint_dir(df.sparkSession)
+            counts = counts.checkpoint(eager=True)
+        known = counts.where("kind IS NOT NULL")
+        seen = known if seen is None else seen.unionByName(known)
+        if depth == 0 or counts.where("kind IS NULL").isEmpty():
+            return seen if first else seen.groupBy("path", "kind").agg(F.sum("n_docs").alias("n_docs"))
+        rows, first = found.where("f.kind IS NULL").select(F.col("f.path").alias("prefix"), F.col("f.below").alias("doc")), False
 
 
 # The field type given to an undeclared field of each JSON kind when no template matches.
@@ -564,7 +633,7 @@ def _discovered(name: str, path: str, by_path: dict[str, set], held: dict[str, s
     if kind is None:
         return None
     if kind == "object" or below.get(path):
-        props = {k: f for k, p in below.get(path, []) if "." not in k and (f := _discovered(k, p, by_path, held, below, templates))}
+        props = {k: f for k, p in below.get(path, []) if (f := _discovered(k, p, by_path, held, below, templates))}
         return Field("nested" if many else "object", properties=props) if props else None
     f = dynamic_field(kind, name, templates)
     if f is None or not many:
@@ -576,7 +645,7 @@ def _added(fields: Mapping[str, Field], prefix: str, dynamic, by_path, held, bel
     out = dict(fields)
     for name, path in below.get(prefix, []):
         if name not in out:
-            if dynamic is True and name != ID_COL and "." not in name:
+            if dynamic is True and name != ID_COL:
                 f = _discovered(name, path, by_path, held, below, templates)
                 if f is not None:
                     out[name] = f
@@ -591,8 +660,9 @@ def widen(collection: Collection, paths: list[tuple[str, str]]) -> Collection:
     """C4 + C9: add the undeclared fields seen in the data (``paths``: (path, kind) pairs of :func:`observed_paths`
     with its ``elements``; arrays whose elements are not given are left out), at any depth, inside declared objects too unless the object's own
     ``dynamic`` says otherwise. A path seen with several kinds takes the first of ``KIND_ORDER``; arrays of scalars
-    become multi-valued fields, arrays of objects nested ones. Templates apply in list order. A key that holds a dot
-    itself gets no column (dots separate the parts of a path); stored documents keep it in ``_source``."""
+    become multi-valued fields, arrays of objects nested ones. Templates apply in list order. Keys that can't name a
+    column get another name (:func:`docspark.schema.named_columns`); an empty key gets no column and stays in
+    ``_source``."""
     by_path: dict[str, set] = {}
     elements: dict[str, set] = {}
     for p, k in paths:
@@ -602,7 +672,12 @@ def widen(collection: Collection, paths: list[tuple[str, str]]) -> Collection:
             by_path.setdefault(p, set()).add(k)
     below: dict[str, list] = {}
     for p in sorted(by_path):
-        parts = re.split(r"(?<!\\)\.", p)
-        below.setdefault(".".join(parts[:-1]), []).append((parts[-1].replace("\\.", "."), p))
+        parts = split_path(p)
+        if "" in parts:
+            continue
+        parent = ""
+        for k in parts[:-1]:
+            parent = join_path(parent, k)
+        below.setdefault(parent, []).append((parts[-1], p))
     return collection.with_fields(_added(collection.fields, "", collection.dynamic, by_path, elements, below,
                                          collection.dynamic_templates))

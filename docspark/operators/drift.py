@@ -18,7 +18,7 @@ from typing import Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..errors import BreakingChangeError
-from ..schema import Collection, flatten_paths
+from ..schema import Collection, flatten_paths, join_path, split_path
 from .conform import observed_paths
 
 
@@ -37,25 +37,28 @@ class SchemaDiff:
 
 def options_by_path(mapping: Mapping[str, dict]) -> dict[str, str]:
     """Every dotted path of a mapping → the canonical text of its own options (sub-properties left out)."""
-    todo = deque(mapping.items())
+    todo = deque((join_path("", k), m) for k, m in mapping.items())
     out: dict[str, str] = {}
     while todo:
         path, m = todo.popleft()
-        out[path] = json.dumps({k: v for k, v in m.items() if k != "properties"}, sort_keys=True, default=str)
-        todo.extend((f"{path}.{k}", v) for k, v in (m.get("properties") or {}).items())
+        own = {k: v for k, v in m.items() if k not in ("properties", "column")}       # the column's name is no option
+        out[path] = json.dumps(own, sort_keys=True, default=str)
+        todo.extend((join_path(path, k), v) for k, v in (m.get("properties") or {}).items())
     return out
 
 
 def _topmost(paths: set[str], settled: set[str]) -> list[str]:
     """The paths that have no ancestor among ``settled``."""
     def ancestors(p: str):
-        parts = p.split(".")
-        return (".".join(parts[:i]) for i in range(1, len(parts)))
+        out, parts = "", split_path(p)
+        for key in parts[:-1]:
+            out = join_path(out, key)
+            yield out
     return sorted(p for p in paths if settled.isdisjoint(ancestors(p)))
 
 
 def _lookup(mapping: Mapping[str, dict], path: str) -> dict:
-    first, *rest = path.split(".")
+    first, *rest = split_path(path)
     m = mapping[first]
     for part in rest:
         m = m["properties"][part]
@@ -115,7 +118,7 @@ def drift_report(df: DataFrame, doc: Column, collection: Collection, depth: int
     aggregation (so the join sees one row per distinct (path, kind))."""
     spark = df.sparkSession
     seen = observed_paths(df, doc, depth).filter(F.col("kind") != "null")
-    decl_rows = [(p, t, k) for p, t, k in declared_paths(collection) if depth is None or p.count(".") < depth]
+    decl_rows = [(p, t, k) for p, t, k in declared_paths(collection) if depth is None or len(split_path(p)) <= depth]
     decl = spark.createDataFrame(decl_rows, "path string, declared_type string, accepted string")
     j = seen.join(decl, "path", "full_outer")
     change = (F.when(F.col("declared_type").isNull(), "added")

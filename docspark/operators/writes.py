@@ -50,13 +50,15 @@ def last_per_id(changes: DataFrame, id_col: str = ID_COL, order_col: str | None
 
 
 def upsert(base: DataFrame, changes: DataFrame, id_col: str = ID_COL, order_col: str | None = ORDER_COL,
-           broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Create-or-replace by id; the last duplicate in the change set wins. Columns that the base lacks and
-    null ids are refused."""
+           broadcast_max_rows: int = BROADCAST_MAX_ROWS, unique: bool = False) -> DataFrame:
+    """Create-or-replace by id; the last duplicate in the change set wins (``unique``: there are none). Columns
+    that the base lacks and null ids are refused."""
     unknown = [c for c in changes.columns if c not in (*base.columns, id_col, order_col, ERRORS_COL)]
     if unknown:
         raise ValueError(f"the change set has columns that the collection lacks: {unknown}")
-    ch = last_per_id(changes.drop(ERRORS_COL) if ERRORS_COL in changes.columns else changes, id_col, order_col)
+    ch = changes.drop(ERRORS_COL) if ERRORS_COL in changes.columns else changes
+    if not unique:
+        ch = last_per_id(ch, id_col, order_col)
     ch = ch.withColumn(id_col, F.when(F.col(id_col).isNull(), F.raise_error(F.lit("a document to write has no id")))
                        .otherwise(F.col(id_col)))
     kept = base.join(_side(ch.select(id_col), broadcast_max_rows, changes.select(id_col)), id_col, "left_anti")
@@ -64,6 +66,24 @@ def upsert(base: DataFrame, changes: DataFrame, id_col: str = ID_COL, order_col:
         .select(*base.columns)
 
 
+def upsert_in_buckets(base: DataFrame, changes: DataFrame, buckets: int, id_col: str = ID_COL,
+                      rows_a_bucket: int = 200_000) -> DataFrame:
+    """S4 on a base that is stored in ``buckets`` by id; ``changes`` has one row per id and (some of) the base's columns.
+    One outer join with the changes dealt to the same buckets: the base is read where it lies, and each task holds all
+    rows of its bucket, old and new, so it writes one file. Changes of a bounded number of rows are the hashed side,
+    which saves sorting the base."""
+    new = F.struct(*[F.col(f"`{c}`") for c in changes.columns if c in base.columns])
+    ids = F.when(F.col(id_col).isNull(), F.raise_error(F.lit("a document to write has no id"))).otherwise(F.col(id_col))
+    right = changes.select(ids.alias("__new_id"), new.alias("__new")).repartition(buckets, "__new_id")
+    if at_most(changes.select(id_col), rows_a_bucket * buckets):
+        right = right.hint("shuffle_hash")
+    joined = base.join(right, F.col(id_col) == F.col("__new_id"), "full_outer")
+    changed = F.col("__new_id").isNotNull()
+    have = set(changes.columns)
+    return joined.select(*[F.when(changed, F.col(f"__new.`{f.name}`") if f.name in have else F.lit(None).cast(f.dataType))
+                           .otherwise(F.col(f"`{f.name}`")).alias(f.name, metadata=f.metadata) for f in base.schema.fields])
+
+
 def _merge(old: Column, new: Column, dtype: T.DataType, new_type: T.DataType) -> Column:
     """Objects merge field by field (recursively); anything else is replaced."""
     if isinstance(dtype, T.StructType) and isinstance(new_type, T.StructType):
@@ -146,3 +166,18 @@ class BulkResult:
 
     def __post_init__(self):
         assert self.total == self.succeeded + self.failed
+
+
+@dataclass
+class UpdateResult:
+    """``total == updated + failed + unmatched``, counted per id. ``failed_docs`` holds the documents that the change
+    would have made invalid (``_id``, ``_errors``; they stay as they were), ``unmatched_ids`` the ids without a document."""
+    total: int
+    updated: int
+    failed: int
+    unmatched: int
+    failed_docs: DataFrame
+    unmatched_ids: DataFrame
+
+    def __post_init__(self):
+        assert self.total == self.updated + self.failed + self.unmatched

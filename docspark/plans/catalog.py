@@ -8,9 +8,10 @@ are rounded on both sides; every limited result carries a unique tiebreak and, w
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import predicates as P
 from ..operators import aggs as A
@@ -1236,6 +1237,153 @@ def evolve_stored(spark, sf):
                                    F.lit(",".join(refused)).alias("refused"))
 
 
+@register("bulk_sharded_analyzed", """
+SELECT CAST(p_partkey AS VARCHAR) AS _id, CASE WHEN p_partkey % 2 = 0 THEN p_brand || ' two' ELSE p_brand || ' one' END AS label,
+       CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS BIGINT) END AS size, CAST(NULL AS BIGINT) AS stock, 4 AS files,
+       (SELECT count(*) FROM part WHERE p_partkey % 2 = 0) AS hits, 'num_shards' AS refused FROM part
+""")
+def bulk_sharded_analyzed(spark, sf):
+    """S4 + C13: two bulk writes, an additive sync and an analysed search on a collection with shards and an analyser;
+    the write keeps one file a bucket, and another number of shards is refused."""
+    from ..errors import BreakingChangeError
+    store, settings = _store(spark), {"analysis": {"plain": X.Analyzer()}}
+    fields = {"id": Field("keyword"), "label": Field("text", analyzer="plain")}
+    coll = Collection(_named("shards"), fields, num_shards=4, settings=settings)
+    store.create(coll)
+    p = read(spark, sf, "part")
+    key = F.col("p_partkey").cast("string").alias("id")
+    one = p.select(F.to_json(F.struct(key, F.concat("p_brand", F.lit(" one")).alias("label"))).alias("doc"))
+    two = p.where("p_partkey % 2 = 0").select(F.to_json(F.struct(key, F.concat("p_brand", F.lit(" two")).alias("label"),
+                                                                F.col("p_size").alias("size"))).alias("doc"))
+    store.bulk_index(coll, one, id_field="id")
+    store.bulk_index(coll, two, id_field="id")
+    files = len(store.read(coll.name).inputFiles())
+    wider = replace(coll, fields={**fields, "stock": Field("long")})
+    store.sync(wider)
+    refused = []
+    try:
+        store.sync(replace(wider, num_shards=5))
+    except BreakingChangeError as e:
+        refused = [c.removeprefix("settings.") for c in e.changed_fields]
+    rows = store.read(coll.name)
+    hits = X.match_search(rows, wider, "label", "TWO", size=1).total()
+    return rows.select(ID_COL, "label", "size", "stock", F.lit(files).alias("files"), F.lit(hits).cast("long").alias("hits"),
+                       F.lit(",".join(refused)).alias("refused"))
+
+
+def _customers(spark, sf, fields: dict, doc: Column, **options):
+    """A store with the customers as documents under the given fields."""
+    store = _store(spark)
+    coll = Collection(_named("cust"), fields, **options)
+    store.create(coll)
+    store.bulk_index(coll, read(spark, sf, "customer").select(doc.alias("doc")), id_field="id")
+    return store, coll
+
+
+def _cust_id() -> Column:
+    return F.col("c_custkey").cast("string")
+
+
+@register("update_multifield", """
+SELECT CAST(c_custkey AS VARCHAR) AS _id, CASE WHEN c_custkey % 3 = 0 THEN 'new ' || c_mktsegment ELSE c_name END AS name,
+       CASE WHEN c_custkey % 3 = 0 THEN 'new ' || c_mktsegment ELSE c_name END AS name_raw, c_nationkey AS nation,
+       CASE WHEN c_custkey % 3 = 0 THEN c_custkey ELSE NULL END AS city, c_custkey AS kept FROM customer
+""")
+def update_multifield(spark, sf):
+    """S9 + C10: an update of a nested document sets the field, its multi-field and one nested key; the other nested
+    keys, declared or not, stay."""
+    home = F.struct(F.col("c_nationkey").alias("nation"), F.struct(F.col("c_custkey").alias("k")).alias("free"))
+    store, coll = _customers(spark, sf, {
+        "id": Field("keyword"), "name": Field("text", fields={"raw": Field("keyword")}),
+        "home": Field("object", properties={"nation": Field("integer"), "city": Field("long")})},
+        F.to_json(F.struct(_cust_id().alias("id"), F.col("c_name").alias("name"), home.alias("home"))), dynamic=False)
+    part = F.to_json(F.struct(F.concat(F.lit("new "), "c_mktsegment").alias("name"),
+                              F.struct(F.col("c_custkey").alias("city")).alias("home")))
+    store.update_docs(coll, read(spark, sf, "customer").where("c_custkey % 3 = 0").select(_cust_id().alias(ID_COL), part.alias("doc")))
+    return store.read(coll.name).select(ID_COL, "name", F.col("name__raw").alias("name_raw"), "home.nation", "home.city",
+                                        F.try_variant_get("_source", "$.home.free.k", "bigint").alias("kept"))
+
+
+@register("update_null_value", """
+SELECT CAST(c_custkey AS VARCHAR) AS _id, CASE c_custkey % 3 WHEN 0 THEN 'NONE' ELSE c_mktsegment END AS segment,
+       CASE c_custkey % 3 WHEN 1 THEN NULL ELSE c_nationkey END AS nation FROM customer
+""")
+def update_null_value(spark, sf):
+    """S9 + C2: an update to null takes the declared null value, or clears a field that has none."""
+    store, coll = _customers(spark, sf, {"id": Field("keyword"), "segment": Field("keyword", null_value="NONE"), "nation": Field("integer")},
+                             F.to_json(F.struct(_cust_id().alias("id"), F.col("c_mktsegment").alias("segment"),
+                                                F.col("c_nationkey").alias("nation"))), dynamic="strict")
+    c = read(spark, sf, "customer")
+    part = F.when(F.col("c_custkey") % 3 == 0, '{"segment":null}').when(F.col("c_custkey") % 3 == 1, '{"nation":null}')
+    store.update_docs(coll, c.select(_cust_id().alias(ID_COL), part.alias("doc")).where("doc IS NOT NULL"))
+    return store.read(coll.name).select(ID_COL, "segment", "nation")
+
+
+@register("update_bad_values", """
+SELECT CAST(c_custkey AS VARCHAR) AS _id, CASE c_custkey % 5 WHEN 0 THEN 'bad' WHEN 1 THEN 'updated' ELSE 'same' END AS state,
+       CASE c_custkey % 5 WHEN 1 THEN -1 ELSE c_nationkey END AS nation,
+       CASE c_custkey % 5 WHEN 0 THEN 'expected a number' END AS reason,
+       (SELECT count(*) FROM customer WHERE c_custkey % 5 = 2) AS unmatched FROM customer
+""")
+def update_bad_values(spark, sf):
+    """S9 + S6: of one batch the good changes are made, the bad ones reported by document, the others named as unmatched."""
+    store, coll = _customers(spark, sf, {"id": Field("keyword"), "nation": Field("integer")},
+                             F.to_json(F.struct(_cust_id().alias("id"), F.col("c_nationkey").alias("nation"))), dynamic="strict")
+    c, rest = read(spark, sf, "customer"), F.col("c_custkey") % 5
+    key = F.when(rest == 2, F.concat(F.lit("x"), _cust_id())).otherwise(_cust_id()).alias(ID_COL)
+    part = F.when(rest == 0, '{"nation":"many"}').otherwise('{"nation":-1}').alias("doc")
+    res = store.update_docs(coll, c.where(rest <= 2).select(key, part))
+    bad = res.failed_docs.select(ID_COL, F.col("_errors")[0]["reason"].alias("reason"))
+    state = F.when(F.col("reason").isNotNull(), "bad").when(F.col("nation") == -1, "updated").otherwise("same")
+    return store.read(coll.name).join(bad, ID_COL, "left").select(ID_COL, state.alias("state"), "nation", "reason",
+                                                                F.lit(res.unmatched).cast("long").alias("unmatched"))
+
+
+@register("bulk_odd_keys", """
+SELECT CAST(s_suppkey AS VARCHAR) AS _id, s_name AS upper, CAST(s_nationkey AS BIGINT) AS lower, s_suppkey AS dotted, s_suppkey + 1 AS ticked,
+       s_suppkey + 2 AS system, s_name AS title, CAST(s_nationkey AS BIGINT) AS clash, s_suppkey + 3 AS inner_upper, s_suppkey + 4 AS inner_lower
+FROM supplier
+""")
+def bulk_odd_keys(spark, sf):
+    """C4: keys that differ by case, hold dots or backticks, or are named like system or multi-field columns."""
+    store = _store(spark)
+    coll = Collection(_named("odd"), {"id": Field("keyword"), "title": Field("text", fields={"raw": Field("keyword")})})
+    store.create(coll)
+    number = lambda k: (F.col("s_suppkey") + k).cast("string")                                             # noqa: E731
+    name, nation = F.concat(F.lit('"'), "s_name", F.lit('"')), F.col("s_nationkey").cast("string")
+    pairs = [("id", F.concat(F.lit('"'), number(0), F.lit('"'))), ("Name", name), ("name", nation),
+             ("a.b", number(0)), ("e`f", number(1)), ("_source", number(2)), ("title", name),
+             ("title__raw", nation)]
+    inner = F.concat(F.lit('"o":{"In":'), number(3), F.lit(',"in":'), number(4), F.lit("}}"))
+    doc = F.concat(F.lit("{"), *[F.concat(F.lit(f'"{k}":'), v, F.lit(",")) for k, v in pairs], inner)
+    store.bulk_index(coll, read(spark, sf, "supplier").select(doc.alias("doc")), id_field="id")
+    names = coll.with_fields({k: Field.from_mapping(m) for k, m in store.stored_mapping(coll.name).items()})
+    paths = {"upper": "Name", "lower": "name", "dotted": r"a\.b", "ticked": "e`f", "system": "_source", "title": "title",
+             "clash": "title__raw", "inner_upper": "o.In", "inner_lower": "o.in"}
+    return store.read(coll.name).select(ID_COL, *[F.col(names.column_of(p)).alias(c) for c, p in paths.items()])
+
+
+@register("snapshot_pins", """
+SELECT CAST(s_suppkey AS VARCHAR) AS _id, round(s_acctbal, 2) AS pinned, true AS survived, true AS gone FROM supplier
+""")
+def snapshot_pins(spark, sf):
+    """The table of an open snapshot outlives a rebuild that drops the old version and a clean-up; closed, it goes."""
+    store = _store(spark)
+    coll = Collection(_named("pin"), {"id": Field("keyword"), "balance": Field("double")}, dynamic=False)
+    store.create(coll)
+    s = read(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_acctbal").alias("balance"))
+    store.bulk_index(coll, s, raw_col=None, id_field="id")
+    snap = store.open_snapshot(coll.name)
+    store.delete_where(coll, P.term("id", "1"))
+    store.migrate(coll, coll.with_version(2), delete_old=True)
+    store.drop_unused(coll.name)
+    survived = store.exists(snap.physical)
+    rows = store.read_snapshot(snap).select(ID_COL, F.round("balance", 2).alias("pinned")).checkpoint()
+    store.close_snapshot(snap)
+    store.drop_unused(coll.name)
+    return rows.select(ID_COL, "pinned", F.lit(survived).alias("survived"), F.lit(not store.exists(snap.physical)).alias("gone"))
+
+
 @register("snapshot_read", """
 SELECT CAST(s_suppkey AS VARCHAR) AS _id, round(s_acctbal, 2) AS pinned, CASE WHEN s_suppkey % 2 = 0 THEN -1.0 ELSE
        round(s_acctbal, 2) END AS now FROM supplier

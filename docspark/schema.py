@@ -10,9 +10,10 @@ A collection is declared once as plain Python: a name, a version, a dynamic-fiel
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
-from dataclasses import dataclass, field as dc_field
+from dataclasses import dataclass, field as dc_field, replace
 from typing import Any, Mapping
 
 from pyspark.sql import types as T
@@ -31,6 +32,39 @@ ID_COL = "_id"
 SCORE_COL = "_score"
 SOURCE_COL = "_source"
 ERRORS_COL = "_errors"
+# Columns that operators put beside a document's own; a key of such a name gets another column.
+SYSTEM_COLS = frozenset({ID_COL, SCORE_COL, SOURCE_COL, ERRORS_COL, "_ord", "_present", "_sort"})
+KEY_META = "docspark_key"          # metadata of a column that is not named after its JSON key: the key
+# Characters that need quoting in column paths or that table formats refuse.
+ODD_CHARS = re.compile(r"[.`,;{}()\[\]\n\r\t=\\'\" ]")
+
+
+def column_for(key: str, taken: set[str], subs: tuple[str, ...] = ()) -> str:
+    """A column name for a JSON key: the key itself, or where that can't be (odd characters, a system column, or a
+    name that is ``taken`` but for its case) its plain characters and a hash of the key, so that different keys get
+    different names. The names of its multi-fields must be free as well."""
+    def free(name: str) -> bool:
+        return taken.isdisjoint({name.lower(), *(f"{name}__{s}".lower() for s in subs)})
+
+    if key and not ODD_CHARS.search(key) and not key.startswith("__") and key.lower() not in SYSTEM_COLS and free(key):
+        return key
+    plain = re.sub(r"\W", "_", key).strip("_") or "key"
+    digest = hashlib.sha256(key.encode("utf-8", "surrogatepass")).hexdigest()
+    return next(n for n in (f"{plain}_{digest[:size]}" for size in range(8, 65, 8)) if free(n))
+
+
+def named_columns(fields: Mapping[str, "Field"]) -> dict[str, "Field"]:
+    """``fields`` with a ``column`` for every key that can't be its own column; names that are fixed stay, and earlier
+    keys go before later ones. What lies below is named as well."""
+    taken = {n.lower() for k, f in fields.items() if f.column for n in f.columns(k)}
+    out: dict[str, Field] = {}
+    for key, f in fields.items():
+        if f.column is None:
+            name = column_for(key, taken, tuple(f.fields or ()))
+            f = f if name == key else replace(f, column=name)
+            taken |= {n.lower() for n in f.columns(key)}
+        out[key] = replace(f, properties=named_columns(f.properties)) if f.properties else f
+    return out
 
 
 @dataclass(frozen=True)
@@ -52,6 +86,7 @@ class Field:
     dynamic: Any = None
     multi: bool = False
     coerce: bool = False
+    column: str | None = None          # name of the column where it is not the key (see named_columns)
 
     def __post_init__(self):
         if self.type not in FIELD_TYPES:
@@ -63,6 +98,11 @@ class Field:
         if self.dynamic is not None and self.dynamic not in DYNAMIC_MODES:
             raise SchemaError(f"bad dynamic mode {self.dynamic!r}")
 
+    def columns(self, key: str) -> list[str]:
+        """The column of the field under ``key`` and those of its multi-fields."""
+        name = self.column or key
+        return [name, *(f"{name}__{sub}" for sub in self.fields or ())]
+
     # ----- Spark type -------------------------------------------------------------------------------------------
     def element_type(self) -> T.DataType:
         t = self.type
@@ -106,7 +146,10 @@ class Field:
         return out
 
     def mapping(self) -> dict:
+        """:meth:`options`, the column where it is not the key, and the properties."""
         out = self.options()
+        if self.column:
+            out["column"] = self.column
         if self.properties:
             out["properties"] = {k: f.mapping() for k, f in self.properties.items()}
         return out
@@ -114,7 +157,7 @@ class Field:
     @classmethod
     def from_mapping(cls, m: Mapping[str, Any]) -> "Field":
         """The field that :meth:`mapping` describes."""
-        keys = ("analyzer", "search_analyzer", "null_value", "format", "dynamic", "multi", "coerce")
+        keys = ("analyzer", "search_analyzer", "null_value", "format", "dynamic", "multi", "coerce", "column")
         return cls(m["type"], **{k: m[k] for k in keys if k in m},
                    **({"fields": {k: cls.from_mapping(v) for k, v in m["fields"].items()}} if m.get("fields") else {}),
                    **({"properties": {k: cls.from_mapping(v) for k, v in m["properties"].items()}}
@@ -127,20 +170,20 @@ class Field:
 def struct_of(props: Mapping[str, Field], multi_fields: bool = False) -> T.StructType:
     """The struct of some fields; with ``multi_fields`` (inside objects) each field's sub-fields follow it as
     ``name__sub``."""
-    def one(name: str, f: Field) -> T.StructField:
-        return T.StructField(name, f.spark_type(), True, {"docspark": json.dumps(f.options())})
-
     out = []
-    for name, f in props.items():
-        out.append(one(name, f))
+    for key, f in props.items():
+        name, *subs = f.columns(key)
+        meta = {"docspark": json.dumps(f.options())} | ({KEY_META: key} if name != key else {})
+        out.append(T.StructField(name, f.spark_type(), True, meta))
         if multi_fields:
-            out += [one(f"{name}__{sub}", sf) for sub, sf in (f.fields or {}).items()]
+            out += [T.StructField(n, sf.spark_type(), True, {"docspark": json.dumps(sf.options())})
+                    for n, sf in zip(subs, (f.fields or {}).values(), strict=True)]
     return T.StructType(out)
 
 
 def stored_mapping(schema: T.StructType) -> dict[str, dict]:
-    """The mapping that a stored table's schema was declared with, read from its fields' metadata. System columns
-    and the columns of multi-fields (which their parent's options describe) are left out."""
+    """The mapping that a stored table's schema was declared with, by JSON key, read from its fields' metadata. System
+    columns and the columns of multi-fields (which their parent's options describe) are left out."""
     out: dict[str, dict] = {}
     derived: set[str] = set()
     for f in schema.fields:
@@ -151,8 +194,10 @@ def stored_mapping(schema: T.StructType) -> dict[str, dict]:
         inner = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
         if m["type"] in ("object", "nested") and isinstance(inner, T.StructType):
             m["properties"] = stored_mapping(inner)
+        if KEY_META in f.metadata:
+            m["column"] = f.name
         out[f.name] = m
-    return {k: v for k, v in out.items() if k not in derived}
+    return {schema[k].metadata.get(KEY_META, k): v for k, v in out.items() if k not in derived}
 
 
 @dataclass(frozen=True)
@@ -204,6 +249,7 @@ class Collection:
             raise SchemaError("version must be >= 1")
         if ID_COL in self.fields:
             raise SchemaError(f"{ID_COL} is a system column")
+        object.__setattr__(self, "fields", named_columns(self.fields))
 
     @property
     def logical_name(self) -> str:
@@ -233,17 +279,25 @@ class Collection:
     def struct_type(self) -> T.StructType:
         """Conformed schema: ``_id`` then declared fields, then multi-field columns ``name__sub``."""
         base = struct_of(self.fields)
-        extra = [T.StructField(f"{name}__{sub}", sf.spark_type(), True, {"docspark": json.dumps(sf.options())})
-                 for name, f in self.fields.items() for sub, sf in (f.fields or {}).items()]
+        extra = [T.StructField(name, sf.spark_type(), True, {"docspark": json.dumps(sf.options())})
+                 for key, f in self.fields.items() for name, sf in zip(f.columns(key)[1:], (f.fields or {}).values())]
         return T.StructType([T.StructField(ID_COL, T.StringType(), False)] + list(base.fields) + extra)
 
     def mapping(self) -> dict:
         return {k: f.mapping() for k, f in self.fields.items()}
 
+    def column_of(self, path: str) -> str:
+        """The column path of a field by its path of JSON keys (dots inside keys escaped as ``\\.``)."""
+        props, out = self.fields, []
+        for key in split_path(path):
+            out.append(props[key].column or key)
+            props = props[key].properties or {}
+        return ".".join(out)
+
     def field_at(self, path: str) -> Field | None:
         props: Mapping[str, Field] | None = self.fields
         f = None
-        for part in path.split("."):
+        for part in split_path(path):
             if props is None or part not in props:
                 return None
             f = props[part]
@@ -251,12 +305,24 @@ class Collection:
         return f
 
 
+def join_path(prefix: str, key: str) -> str:
+    """``prefix.key``, with the dots (and backslashes) of the key escaped."""
+    key = key.replace("\\", "\\\\").replace(".", "\\.")
+    return f"{prefix}.{key}" if prefix else key
+
+
+def split_path(path: str) -> list[str]:
+    """The keys of a path made by :func:`join_path`."""
+    parts = re.findall(r"(?:^|\.)((?:\\.|[^.\\])*)", path, re.S)
+    return [re.sub(r"\\(.)", r"\1", p, flags=re.S) for p in parts]
+
+
 def flatten_paths(props: Mapping[str, Field], prefix: str = "") -> list[tuple[str, Field]]:
     """All declared (dotted path, field) pairs, parents before children."""
     out = []
     for name, f in props.items():
-        path = f"{prefix}{name}"
+        path = join_path(prefix.rstrip("."), name)
         out.append((path, f))
         if f.properties:
-            out.extend(flatten_paths(f.properties, path + "."))
+            out.extend(flatten_paths(f.properties, path))
     return out

@@ -19,7 +19,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..errors import BreakingChangeError, BulkPartialFailureError, CollectionNotFoundError, MigrationError
+from ..errors import BreakingChangeError, BulkPartialFailureError, CollectionNotFoundError, FieldLimitError, MigrationError
 from ..operators import conform as C
 from ..operators import writes as W
 from ..operators.drift import SchemaDiff, diff_mappings, diff_settings, evolve_additive
@@ -31,13 +31,17 @@ PROP_VERSION = "docspark.version"
 PROP_BUCKETS = "docspark.buckets"
 PROP_GENERATION = "docspark.generation"      # highest write generation ever used; numbers are not used again
 PROP_SETTINGS = "docspark.settings"
+PROP_PIN = "docspark.pin."                   # one property of the physical table for each open snapshot
+FIELD_LIMIT = 10_000                         # different (path, kind) pairs that one write may bring
+LEVEL_LIMIT = 20                             # object levels of a partial document
 
 
 @dataclass
 class Snapshot:
-    """A pinned physical table; reading it never sees later writes."""
+    """A pinned physical table; reading it never sees later writes. ``pin`` names an open snapshot's pin."""
     name: str
     physical: str
+    pin: str | None = None
 
 
 @dataclass
@@ -83,6 +87,24 @@ class DocStore:
     def read_snapshot(self, snap: Snapshot) -> DataFrame:
         return self.spark.table(self._q(snap.physical))
 
+    def open_snapshot(self, name: str) -> Snapshot:
+        """A snapshot whose table stays until :meth:`close_snapshot`, whoever drops unused tables or rebuilds the
+        collection meanwhile. The pin is a property of the table, so other sessions of the catalog see it."""
+        snap = Snapshot(name, self.current(name), uuid.uuid4().hex)
+        self.spark.sql(f"ALTER TABLE {self._q(snap.physical)} SET TBLPROPERTIES ('{PROP_PIN}{snap.pin}'='open')")
+        return snap
+
+    def close_snapshot(self, snap: Snapshot) -> bool:
+        """Give up an open snapshot; False if it was closed before. Its table goes with the next :meth:`drop_unused`."""
+        if snap.pin is None or not self.exists(snap.physical) or snap.pin not in self.pins(snap.physical):
+            return False
+        self.spark.sql(f"ALTER TABLE {self._q(snap.physical)} UNSET TBLPROPERTIES IF EXISTS ('{PROP_PIN}{snap.pin}')")
+        return True
+
+    def pins(self, physical: str) -> set[str]:
+        """The open snapshots of a physical table."""
+        return {k[len(PROP_PIN):] for k in self._props(physical) if k.startswith(PROP_PIN)}
+
     # ----- writing tables ----------------------------------------------------------------------------------------
     def _shards(self, coll: Collection, df: DataFrame | None = None) -> int:
         """Bucket count: declared ``num_shards``, else the store default, else sized from the data (~256 MB each)."""
@@ -187,20 +209,43 @@ class DocStore:
         """The mapping that the stored rows were written with (fields discovered by earlier writes included)."""
         return stored_mapping(self.read(name).schema)
 
-    def _effective(self, coll: Collection) -> Collection:
-        """``coll`` with the undeclared fields that earlier writes discovered."""
-        if coll.dynamic is not True or not self.exists(coll.logical_name):
+    def _stored(self, coll: Collection) -> Collection:
+        """``coll`` with the fields that the stored rows were written with. Its settings are the declared ones: they are
+        compared with the stored ones by :meth:`schema_diff`, a write only asks whether the fields fit."""
+        fields = {k: Field.from_mapping(m) for k, m in self.stored_mapping(coll.logical_name).items()}
+        return replace(coll, fields=fields or coll.fields)
+
+    def _keep_columns(self, coll: Collection, discovered: bool = False) -> Collection:
+        """``coll`` with the columns that stored fields have; with ``discovered`` also the undeclared fields themselves."""
+        if not self.exists(coll.logical_name):
             return coll
 
         def merge(declared, stored: dict) -> dict:
             out = dict(declared)
             for k, m in stored.items():
                 if k not in out:
-                    out[k] = Field.from_mapping(m)
-                elif out[k].properties and m.get("properties"):
-                    out[k] = replace(out[k], properties=merge(out[k].properties, m["properties"]))
+                    if discovered:
+                        out[k] = replace(Field.from_mapping(m), column=m.get("column", k))
+                    continue
+                below = m.get("properties") if out[k].properties else None
+                out[k] = replace(out[k], column=m.get("column", k),
+                                 **({"properties": merge(out[k].properties, below)} if below else {}))
             return out
-        return coll.with_fields(merge(coll.fields, self.stored_mapping(coll.logical_name)))
+        return replace(coll, fields=merge(coll.fields, self.stored_mapping(coll.logical_name)))
+
+    def _effective(self, coll: Collection) -> Collection:
+        """``coll`` with the columns of what is stored and the undeclared fields that earlier writes discovered."""
+        return self._keep_columns(coll, discovered=coll.dynamic is True)
+
+    def _widened(self, asked: Collection, coll: Collection, docs: DataFrame, doc: Column) -> Collection:
+        """``coll`` with the undeclared fields of ``docs`` where the declaration lets them become fields."""
+        if asked.dynamic is not True and not any(f.dynamic is True for _, f in flatten_paths(coll.fields)):
+            return coll
+        seen = C.observed_paths(docs, doc, elements=True).select("path", "kind").limit(FIELD_LIMIT + 1).collect()
+        if len(seen) > FIELD_LIMIT:
+            raise FieldLimitError(f"the documents have more than {FIELD_LIMIT} different paths; keys that are data belong "
+                                  "under an object whose dynamic is false or runtime")
+        return C.widen(coll, [(r["path"], r["kind"]) for r in seen])
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` to the checkpoint folder once and go on from the files."""
@@ -229,10 +274,7 @@ class DocStore:
         else:
             fields = [c for c in docs.columns if c not in (ID_COL, SOURCE_COL, ERRORS_COL, order_col)]
             parsed = docs.withColumn("__json", F.to_variant_object(F.struct(*[F.col(c) for c in fields])))
-        if asked.dynamic is True or any(f.dynamic is True for _, f in flatten_paths(coll.fields)):
-            seen = C.observed_paths(parsed, F.col("__json"), elements=True)
-            # one row per distinct (path, kind): the size of the mapping, not of the data
-            coll = C.widen(coll, [(r["path"], r["kind"]) for r in seen.select("path", "kind").collect()])
+        coll = self._widened(asked, coll, parsed, F.col("__json"))
         looks = (F.ltrim(F.col(raw_col)).startswith("{") & F.col("__json").isNotNull()) if raw_col is not None else None
         conformed = C.conform_variant(parsed, coll, F.col("__json"), id_expr, [order_col], True, looks, id_field)
         if id_expr is None and id_field is None:
@@ -253,35 +295,80 @@ class DocStore:
         target = [f.name for f in coll.stored_type().fields]
         if self.exists(name):
             base = self.read(name)
-            base = evolve_additive(self._with_source(base, coll), Collection(
-                coll.name, {k: Field.from_mapping(m) for k, m in self.stored_mapping(name).items()} or coll.fields), coll)
+            base = evolve_additive(self._with_source(base, coll), self._stored(coll), coll)
         else:
             base = self.empty(coll)
         base = base.select(*target, *[c for c in base.columns if c not in target])
-        self._replace(coll, self._with_source(W.upsert(base, ok, ID_COL, order_col), coll))
+        self._upsert(coll, base, W.last_per_id(ok, ID_COL, order_col))
         return res
 
+    def _upsert(self, coll: Collection, base: DataFrame, changes: DataFrame) -> None:
+        """Publish ``base`` with the rows of ``changes`` (one per id) in place of its own; what is stored in buckets
+        keeps one file a bucket."""
+        n = self._buckets(coll.logical_name) if coll.use_alias else None
+        new = W.upsert_in_buckets(base, changes, n) if n else W.upsert(base, changes, ID_COL, unique=True)
+        self._replace(coll, self._with_source(new, coll))
+
     def update(self, coll: Collection, changes: DataFrame, order_col: str | None = None) -> DataFrame:
-        """Set fields of existing documents; of several changes to one id the last wins (by ``order_col``, else by
-        position in a file scan). Returns the ids that matched nothing. ``_source`` follows the changed fields."""
+        """:meth:`update_docs` with columns; returns the ids that matched nothing."""
+        return self.update_docs(coll, changes, None, order_col).unmatched_ids
+
+    def update_docs(self, coll: Collection, changes: DataFrame, raw_col: str | None = "doc",
+                    order_col: str | None = None) -> W.UpdateResult:
+        """Put partial documents over stored ones: ``_id`` and JSON in ``raw_col``, or with ``raw_col=None`` the
+        other columns (with ``_present`` only the keys it lists; else every column, nulls included). Of several changes
+        to one id the last counts (by ``order_col``, else by position in a file scan).
+
+        The stored document takes the named keys (:func:`~docspark.operators.conform.merge_documents`), then it is
+        conformed again: multi-fields, null values, type checks and ``dynamic`` follow it like a written document.
+        A document that the change makes invalid stays as it was and is reported with its ``_errors``; others of the
+        same batch are updated. Rows without a stored document are read back from their columns first."""
+        name = coll.logical_name
+        asked, coll = coll, self._effective(coll)
         if order_col is None:
             changes = W.with_input_order(changes)
             order_col = W.ORDER_COL
-        base = self.read(coll.logical_name)
-        new, unmatched = W.partial_update(base, changes, ID_COL, order_col)
-        unmatched = unmatched.checkpoint(eager=True)             # before the tables it reads are replaced
-        named = [c for c in changes.columns if c in base.columns and c not in (ID_COL, SOURCE_COL)]
-        if SOURCE_COL in base.columns and named:
-            touched = changes.select(F.col(ID_COL).alias("__id")).distinct().withColumn("__touched", F.lit(True))
-            new = new.join(touched, F.col(ID_COL) == F.col("__id"), "left").drop("__id")
-            fresh = F.try_variant_get(F.to_variant_object(F.struct(*[F.col(c) for c in named])), "$", "map<string,variant>")
-            was = F.try_variant_get(F.col(SOURCE_COL), "$", "map<string,variant>")
-            names = F.array(*[F.lit(c) for c in named])
-            merged = F.to_variant_object(F.map_concat(F.map_filter(was, lambda k, _: ~F.array_contains(names, k)), fresh))
-            new = new.withColumn(SOURCE_COL, F.when(F.col("__touched") & F.col(SOURCE_COL).isNotNull(), merged)
-                                 .otherwise(F.col(SOURCE_COL))).drop("__touched")
-        self._replace(coll, self._with_source(new, coll))
-        return unmatched
+        if raw_col is not None:
+            part = F.try_parse_json(F.col(raw_col))
+            text = F.ltrim(F.col(raw_col)).startswith("{") & part.isNotNull()
+        else:
+            known = {f.column or k: k for k, f in coll.fields.items()}
+            cols = [c for c in changes.columns if c not in (ID_COL, SOURCE_COL, ERRORS_COL, W.PRESENT_COL, order_col)]
+            unknown = [c for c in cols if c not in known]
+            if unknown and asked.dynamic is not True:
+                raise ValueError(f"update names undeclared fields: {unknown}")
+            part = F.to_variant_object(F.struct(*[F.col(f"`{c}`").alias(known.get(c, c)) for c in cols]))
+            if W.PRESENT_COL in changes.columns:
+                keys = F.try_variant_get(part, "$", "map<string,variant>")
+                part = F.to_variant_object(F.map_filter(keys, lambda k, _: F.array_contains(W.PRESENT_COL, k)))
+            text = F.lit(True)
+        given = changes.select(F.col(ID_COL).cast("string").alias(ID_COL), part.alias("__part"), text.alias("__ok"), order_col)
+        given = self._stage(W.last_per_id(given, ID_COL, order_col), f"update-{name}")
+        levels = given.agg(F.max(C.object_depth(F.col("__part"), LEVEL_LIMIT + 1))).first()[0] or 0
+        if levels > LEVEL_LIMIT:
+            raise FieldLimitError(f"partial documents have more than {LEVEL_LIMIT} object levels")
+        base = evolve_additive(self._with_source(self.read(name), coll), self._stored(coll), coll)
+        coll = self._widened(asked, coll, given, F.col("__part"))
+        wide = evolve_additive(base, self._stored(coll), coll)
+        hit = wide.join(given, ID_COL)
+        merged = C.merge_documents(self._document(wide), F.col("__part"), levels)
+        staged = self._stage(C.conform_variant(hit, coll, merged, F.col(ID_COL), [], True, F.col("__ok")), f"updated-{name}")
+        ok, bad = C.split_valid(staged)
+        n = staged.agg(F.count(F.lit(1)).alias("hit"), F.count_if(F.size(ERRORS_COL) > 0).alias("bad")).first()
+        total = given.count()
+        unmatched = self._stage(given.select(ID_COL).join(staged.select(ID_COL), ID_COL, "left_anti"), f"unmatched-{name}")
+        if n["hit"] > (n["bad"] or 0):
+            self._upsert(coll, wide, ok)
+        return W.UpdateResult(total, n["hit"] - (n["bad"] or 0), n["bad"] or 0, total - n["hit"],
+                              bad.select(ID_COL, ERRORS_COL), unmatched)
+
+    @staticmethod
+    def _document(rows: DataFrame) -> Column:
+        """The document as given where it is kept; else its fields (not the columns of multi-fields) by their keys,
+        without the absent ones: a column that is null says nothing about the document."""
+        keys = stored_mapping(rows.schema) or {c: {} for c in rows.columns if c not in (ID_COL, SOURCE_COL)}
+        doc = F.try_parse_json(F.to_json(F.struct(*[F.col(f"`{m.get('column', k)}`").alias(k) for k, m in keys.items()])))
+        return F.coalesce(F.col(SOURCE_COL), doc) if SOURCE_COL in rows.columns else doc
 
     def delete(self, coll: Collection, ids: DataFrame) -> DataFrame:
         """Returns ids that matched nothing."""
@@ -321,12 +408,12 @@ class DocStore:
             raise BreakingChangeError("the stored collection differs in " + ", ".join(names), names)
         if not diff.added_fields:
             return self.current(new.logical_name)
-        stored = Collection(new.name, {k: Field.from_mapping(m) for k, m in self.stored_mapping(new.logical_name).items()})
-        return self._replace(new, self._with_source(evolve_additive(self.read(new.logical_name), stored, new), new))
+        new = self._keep_columns(new)
+        return self._replace(new, self._with_source(evolve_additive(self.read(new.logical_name), self._stored(new), new), new))
 
     def migrate(self, old: Collection, new: Collection, delete_old: bool = False) -> MigrateResult:
         """Copy every document into ``new``'s version under its schema, verify the count, swap, optionally
-        drop the old table. On any failure the new table is removed and the logical name is unchanged."""
+        drop the old table (one of an open snapshot stays until :meth:`drop_unused` finds it closed). On any failure the new table is removed and the logical name is unchanged."""
         if not new.use_alias:
             raise MigrationError("migrate needs a logical name (use_alias=True)")
         if not self.exists(new.logical_name):
@@ -339,13 +426,7 @@ class DocStore:
             raise MigrationError(f"a table named {target} is in the way")
         source = self.spark.table(self._q(src))
         n_src = source.count()
-        # The document as given where it is kept; else its top-level fields (not the columns of multi-fields), without
-        # the absent ones: a column that is null says nothing about the document.
-        cols = [c for c in (stored_mapping(source.schema) or source.columns) if c not in (ID_COL, SOURCE_COL)]
-        doc = F.try_parse_json(F.to_json(F.struct(*[F.col(c) for c in cols])))
-        if SOURCE_COL in source.columns:
-            doc = F.coalesce(F.col(SOURCE_COL), doc)
-        conformed = C.conform_variant(source, new, doc, F.col(ID_COL), keep_source=True)
+        conformed = C.conform_variant(source, new, self._document(source), F.col(ID_COL), keep_source=True)
         ok, _ = C.split_valid(conformed)
         ok = self._with_source(ok, new)
         try:
@@ -359,7 +440,7 @@ class DocStore:
                 raise
             raise MigrationError(f"copy to {target} failed: {e}") from e
         self._point(new, target, n)
-        if delete_old:
+        if delete_old and not self.pins(src):
             self.drop(src)
         return MigrateResult(src, target, written)
 
@@ -372,9 +453,9 @@ class DocStore:
         return sorted(tables, key=key)
 
     def drop_unused(self, name: str, keep: tuple[str, ...] = ()) -> list[str]:
-        """Drop every physical table of ``name`` except the current one and ``keep`` (e.g. open snapshots)."""
+        """Drop every physical table of ``name`` except the current one, ``keep`` and those of open snapshots."""
         cur = self.current(name)
-        gone = [t for t in self.generations(name) if t != cur and t not in keep]
+        gone = [t for t in self.generations(name) if t != cur and t not in keep and not self.pins(t)]
         for t in gone:
             self.drop(t)
         return gone
