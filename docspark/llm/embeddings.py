@@ -16,7 +16,8 @@ tests measure it against brute force.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null id link
 with nothing (component: their id); vectors link with vectors of their own length, each length by a model of its own;
-repeated rows link with each other; an empty table gives an empty result.
+repeated rows link with each other; rows that repeat an id with different vectors are judged each by its own vector;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -173,11 +174,16 @@ def _compare(a_id, a_n, a, b_id, b_n, b, same: bool):
 
 
 def link(encoded: DataFrame, model: Quantiser, tasks: int) -> tuple[DataFrame, DataFrame]:
-    """(classes: (h1, h2, rep, size), links: (rep, n, reaches)) of the encoded vectors."""
-    classes = cut(encoded.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"),
-                                                  F.min("code").alias("code")))
-    reps = cut(encoded.join(classes.select("h1", "h2", "rep", "size"), ["h1", "h2"]).where("vec_id = rep")
-               .select("rep", "size", "code", "vector").dropDuplicates(["rep"]))
+    """(classes: (h1, h2, least, rep, size), links: (rep, n, reaches)) of the encoded vectors. ``least`` is the smallest
+    id of a class; it names the class (``rep``) unless another class has the same one, as ids may repeat with different
+    vectors: then the first by hash has it, and the others are named by their hash."""
+    classes = encoded.groupBy("h1", "h2").agg(F.min("vec_id").alias("least"), F.count("*").alias("size"),
+                                              F.min("code").alias("code"))
+    leads = classes.groupBy("least").agg(F.min(F.struct("h1", "h2")).alias("lead"))
+    name = F.when(F.struct("h1", "h2") == F.col("lead"), F.col("least")).otherwise(F.xxhash64("h1", "h2", "least"))
+    classes = cut(classes.join(leads, "least").select("h1", "h2", "least", name.alias("rep"), "size", "code"))
+    reps = cut(encoded.join(classes.select("h1", "h2", "least", "rep", "size"), ["h1", "h2"]).where("vec_id = least")
+               .dropDuplicates(["h1", "h2"]).select("rep", "size", "code", "vector"))
     codes = cut(reps.groupBy("code").agg(F.count("*").alias("n"))
                 .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")))
     reps = (reps.join(codes.select("code", "blocks"), "code")
@@ -243,10 +249,13 @@ def _of_one_length(vectors: DataFrame, tasks: int) -> DataFrame:
     usable = F.col("vec_id").isNotNull() & F.col("vector").isNotNull()
     classes, links = link(encoded.where(usable), model, tasks)
     found = components(links.select(F.col("rep").alias("a"), F.col("reaches").alias("b")).where("a != b"))
+    members = found.join(classes.select(F.col("rep").alias("node"), "least"), "node")
+    smallest = members.groupBy("component").agg(F.min("least").alias("component_id"))
+    found = members.join(smallest, "component").select("node", "component_id")
     counted = links.groupBy("rep").agg(F.sum("n").alias("n"))
     judged = (classes.join(counted, "rep", "left").join(found, classes["rep"] == found["node"], "left")
               .select("h1", "h2", (F.col("size") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
-                      F.coalesce("component", "rep").alias("component_id")))
+                      F.coalesce("component_id", "least").alias("component_id")))
     linked = (encoded.where(usable).select("vec_id", "h1", "h2").join(judged, ["h1", "h2"])
               .select("vec_id", "n_links", "component_id"))
     alone = encoded.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"),
