@@ -535,7 +535,7 @@ def merge_documents(stored: Column, partial: Column, levels: int) -> Column:
 # Dynamic discovery
 # ----------------------------------------------------------------------------------------------------------------
 
-LEVELS = 8                   # object levels that one scan of the documents looks into
+LEVELS = 6                   # object levels that one scan of the documents looks into
 
 
 PATHS = "array<struct<path:string,kind:string,below:variant>>"
