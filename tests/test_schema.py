@@ -7,29 +7,29 @@ from docspark.errors import SchemaError
 from docspark.operators.drift import diff_mappings
 from docspark.schema import Collection, DynamicTemplate, Field, glob_match
 
-PRODUCT = Collection("product", {
-    "id": Field("keyword"),
-    "name": Field("text", analyzer="standard", fields={"raw": Field("keyword")}),
-    "price": Field("integer"),
-    "inStock": Field("boolean"),
-    "createdAt": Field("date"),
-    "seller": Field("object", properties={"id": Field("keyword"), "name": Field("keyword")}),
+PARCEL = Collection("parcel", {
+    "code": Field("keyword"),
+    "label": Field("text", analyzer="standard", fields={"exact": Field("keyword")}),
+    "grams": Field("integer"),
+    "insured": Field("boolean"),
+    "sentAt": Field("date"),
+    "sender": Field("object", properties={"city": Field("keyword"), "depot": Field("integer")}),
 })
 
 
 def test_struct_type_and_metadata():
-    st = PRODUCT.struct_type()
-    assert st.fieldNames() == ["_id", "id", "name", "price", "inStock", "createdAt", "seller", "name__raw"]
-    assert st["price"].dataType == T.IntegerType()
-    assert st["createdAt"].dataType == T.TimestampNTZType()
-    assert isinstance(st["seller"].dataType, T.StructType)
-    meta = json.loads(st["name"].metadata["docspark"])
-    assert meta["analyzer"] == "standard" and meta["fields"] == {"raw": {"type": "keyword"}}
+    st = PARCEL.struct_type()
+    assert st.fieldNames() == ["_id", "code", "label", "grams", "insured", "sentAt", "sender", "label__exact"]
+    assert st["grams"].dataType == T.IntegerType()
+    assert st["sentAt"].dataType == T.TimestampNTZType()
+    assert isinstance(st["sender"].dataType, T.StructType)
+    meta = json.loads(st["label"].metadata["docspark"])
+    assert meta["analyzer"] == "standard" and meta["fields"] == {"exact": {"type": "keyword"}}
 
 
 def test_physical_and_logical_names():
-    assert PRODUCT.physical_name == "product_v1"
-    assert PRODUCT.with_version(3).physical_name == "product_v3"
+    assert PARCEL.physical_name == "parcel_v1"
+    assert PARCEL.with_version(3).physical_name == "parcel_v3"
     plain = Collection("plain", {"id": Field("keyword")}, use_alias=False)
     assert plain.physical_name == "plain"
 
@@ -106,5 +106,5 @@ def test_diff_ignores_key_order_and_knows_a_missing_collection():
 
 
 def test_fields_come_back_from_their_mapping():
-    for f in PRODUCT.fields.values():
+    for f in PARCEL.fields.values():
         assert Field.from_mapping(f.mapping()) == f
