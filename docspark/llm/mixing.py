@@ -11,8 +11,8 @@ prefix sum (totals per partition, then running sums inside them), so a source of
 The texts are read once for their sizes and are not shuffled; the sorted rows hold ids and sizes only and are written
 to the checkpoint folder, so their partition boundaries are the same for every later read.
 
-Defined results: null texts have size 0; documents of size 0 take 0 words; a null source is a source of its own; null
-ids stand first in their source; repeated rows are separate documents; an empty table gives an empty result.
+Defined results: null texts have size 0; documents of size 0 take 0 words; a null source is a source of its own; a
+null id hashes like an empty one and stands where that hash falls; repeated rows are separate documents; an empty table gives an empty result.
 """
 
 from __future__ import annotations

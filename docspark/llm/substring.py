@@ -352,7 +352,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", te
     """``docs``, all columns and rows, with the texts that lose words replaced by their kept words joined by one
     space; other texts stay as they are."""
     row = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                      F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("rest"))
+                      F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("rest"))
     blocks, n = _blocks(row)
     kind = dict(docs.dtypes)[text_col]
 

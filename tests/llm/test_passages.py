@@ -87,3 +87,12 @@ def test_query_matches_brute_force(spark):
     got = passages.op12_passages(spark, sf)
     assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     assert sorted(map(tuple, got.collect()), key=str) == [r[:5] for r in expected(rows, 400)]
+
+
+def test_word_passages_keep_columns_of_any_name(spark):
+    """The stage on repeated word windows carries columns whose names hold dots."""
+    from docspark.llm import substring
+    words = " ".join(f"w{i}" for i in range(20))
+    df = spark.createDataFrame([(1, words, 5), (2, words + " end", 6)], "doc_id long, text string, `a.b` long")
+    got = {r["doc_id"]: (r["text"], r["a.b"]) for r in substring.remove_repeats(df).collect()}
+    assert got == {1: (words, 5), 2: ("end", 6)}
