@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import ids_texts, table
 
 WINDOW = 512                 # bytes of a long pre-token merged at a time, besides the lookahead
-MEMO = 300_000               # pre-tokens remembered per worker and generation (two generations are kept)
+MEMO = 100_000               # pre-tokens remembered per worker and generation (two generations are kept)
 SLICE = 1 << 16              # characters given to the splitting pattern at a time
 
 

@@ -7,13 +7,14 @@ byte codes and multipliers are fixed, so every task and every run agrees.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20          # texts are worked on in row groups of about this many bytes (one row at least)
+CHUNK_BYTES = (1 << 20) - 1    # texts are worked on in row groups of about this many bytes (one row at least)
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _CODES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -31,6 +32,28 @@ LOWER[0x41:0x5B] += 32
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker lives through many tasks, and what one has freed would else
+    stay with it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):                             # another C library: nothing to give back by hand
+        pass
+
+
+def tidy(group: Callable) -> Callable:
+    """A function of one or two whole groups that releases its memory when it is done."""
+    def run(*tables):
+        try:
+            return group(*tables)
+        finally:
+            release()
+
+    # Spark tells grouped functions from cogrouped ones by the number of their arguments
+    return (lambda left, right: run(left, right)) if group.__code__.co_argcount == 2 else (lambda table: run(table))
+
+
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         size = 1 << (n - 1).bit_length()

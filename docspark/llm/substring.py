@@ -206,6 +206,7 @@ def repeated_minimisers(blocks: DataFrame, buckets: int, span: int) -> DataFrame
                  _bytes(pack64(high - low)), _bytes(pack64(n.astype(np.int32)))],
                 ["bucket", "block", "m", "low", "more", "n"])
 
+    @K.tidy
     def repeated(t: pa.Table) -> pa.Table:
         size = np.array([len(x.as_buffer()) // 8 for x in t.column("m")])
         m, low = _joined(t.column("m"), np.uint64), _joined(t.column("low"), np.int64)
@@ -230,6 +231,7 @@ def repeated_minimisers(blocks: DataFrame, buckets: int, span: int) -> DataFrame
 
 def segments(blocks: DataFrame, repeated: DataFrame, shards: int, span: int) -> DataFrame:
     """(shard, block, text, ids, rows, places): the distinct segments of each block with their occurrences in it."""
+    @K.tidy
     def cut_out(docs: pa.Table, again: pa.Table) -> pa.Table:
         m, hot = _joined(again.column("m"), np.uint64), _joined(again.column("hot"), bool)
         m, first = np.unique(m, return_index=True)
@@ -267,6 +269,7 @@ def segments(blocks: DataFrame, repeated: DataFrame, shards: int, span: int) ->
 
 def removed_windows(found: DataFrame, span: int) -> DataFrame:
     """(block, rows, places, n): runs of ``n`` removed windows that start at word ``places`` of the rows."""
+    @K.tidy
     def shard(t: pa.Table) -> pa.Table:
         texts = t.column("text").to_pylist()
         ids = [np.frombuffer(x.as_buffer(), np.int64) for x in t.column("ids")]
@@ -323,7 +326,8 @@ def _blocks(docs: DataFrame) -> tuple[DataFrame, int]:
     """The documents dealt to blocks by id; ``row`` tells rows that share an id but not the text apart."""
     n = parts_for(docs, BLOCK_MB)
     docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
-    block = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(n))
+    # rows with a null id never share one, so their texts deal them
+    block = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(n))
     return docs.withColumn("block", block).repartition(n, "block"), n
 
 
@@ -335,6 +339,7 @@ def digests(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col:
     """(doc_id, n_words, n_removed, kept_sha256) per row."""
     blocks, n = _blocks(ids_texts(docs, id_col, text_col))
 
+    @K.tidy
     def run(docs: pa.Table, gone: pa.Table) -> pa.Table:
         out = []
         for _, words, mask in _kept_words(docs, gone, span):
@@ -356,6 +361,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", te
     blocks, n = _blocks(row)
     kind = dict(docs.dtypes)[text_col]
 
+    @K.tidy
     def run(docs: pa.Table, gone: pa.Table) -> pa.Table:
         texts = docs.column("text").to_pylist()
         for i, words, mask in _kept_words(docs, gone, span):
