@@ -92,6 +92,25 @@ def Cardinality(field, exact: bool = False, rsd: float = 0.01):
     return Metric("cardinality", field, exact=exact, rsd=rsd)
 
 
+def sketch_column(field, lg_k: int = 12) -> Column:
+    """The mergeable sketch of a field's distinct values (binary, at most about 2^``lg_k`` bytes); nulls do not
+    count. The relative error of its estimate is about 1.04 / sqrt(2^``lg_k``). Values count by their string form, so
+    that sketches of columns of different types merge."""
+    return F.hll_sketch_agg(_c(field).cast("string"), F.lit(lg_k))
+
+
+def cardinality_sketches(df: DataFrame, field: str | Column, by=(), lg_k: int = 12) -> DataFrame:
+    """One sketch for each slice (the ``by`` columns): (by..., sketch). Stored with its slice, a sketch stands in for
+    the slice's rows; it is an aggregation with map-side combining, without a distinct shuffle."""
+    return df.groupBy(*by).agg(sketch_column(field, lg_k).alias("sketch"))
+
+
+def merge_cardinality(sketches: DataFrame, by=(), column: str = "sketch") -> DataFrame:
+    """(by..., value): the distinct count of the union of the slices' sketches. A group without a sketch counts 0."""
+    merged = F.hll_sketch_estimate(F.hll_union_agg(F.col(column)))
+    return sketches.groupBy(*by).agg(F.coalesce(merged, F.lit(0)).cast("long").alias("value"))
+
+
 def Custom(expr: Column):
     return Metric("custom", expr=expr)
 

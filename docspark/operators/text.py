@@ -1,30 +1,37 @@
 """Text analysis, token tables and BM25 relevance.
 
-Analysis is a per-row array expression, so tokenising never shuffles:
-
 1. T1 split on runs of non-letter/non-digit characters (``[^\\p{L}\\p{N}]+``), empties dropped;
-2. T2/T3 user dictionary: the longest dictionary word that prefixes a token is split off (``노트북을`` →
-   ``노트북`` + ``을``); compound rules ``word part1 part2`` emit the word, its parts or both (decompound mode);
+2. T2/T3 user dictionary: a raw token is cut into dictionary words and what lies between them. With
+   ``segmentation="prefix"`` only the longest word that starts the token is split off (``노트북을`` → ``노트북`` +
+   ``을``); with ``"whole"`` the cut leaves the fewest characters outside dictionary words, then uses the fewest words,
+   then, from the left, the longer word. Compound rules ``word part1 part2`` emit the word, its parts or both
+   (decompound mode);
 3. T5 tokens whose tag is in ``stoptags`` are removed (dictionary words and parts are ``NNG``; other tokens are
    tagged by script: ``SN`` digits, ``SL`` Latin, ``SH`` Han, ``UNKNOWN`` otherwise);
 4. T4 lowercase;
-5. T6 search-time synonyms expand query tokens only.
+5. T6 search-time synonyms expand query tokens only; the longest rule that fits the tokens wins, from the left.
+
+Without a dictionary analysis is a per-row array expression and never shuffles. With one, the distinct raw tokens are
+analysed once: their substrings are joined to the rules (a hash join, whatever the number of rules), the tokens that
+hold a rule's word are cut, and the result is joined back to the documents' tokens.
 
-The dictionary and synonym rules are user lists; they become map literals (checked against a size bound, with a
-broadcast-join path beyond it). BM25 (k1=1.2, b=0.75) over a text column takes one corpus scan that keeps the rows of
-the query's tokens and observes the totals; document frequencies and scores come from those rows. A persisted token index (:func:`build_token_index`) serves repeated queries by reading only the query
-tokens' row groups.
+BM25 (k1=1.2, b=0.75) takes one corpus scan that keeps the query tokens' counts of each row and observes the totals.
+A persisted token index (:func:`build_token_index`) serves repeated queries by reading only the query tokens' row
+groups. Rows are scored each by its own text; an id that repeats gets the score of its best row, on every path.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
+from collections import defaultdict
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..plans.sizing import collect_bounded, ensure_parallelism, maybe_broadcast, partitions_for
+from ..plans.sizing import BROADCAST_MAX_ROWS, collect_bounded, ensure_parallelism, maybe_broadcast, partitions_for
 from ..schema import ID_COL, SCORE_COL
 from ..session import ensure_checkpoint_dir
 
@@ -34,8 +41,10 @@ TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 DECOMPOUND_MODES = ("none", "discard", "mixed")
 # Fixed value: tag of user-dictionary words and their parts.
 DICT_TAG = "NNG"
-# Rules above this many entries are joined as a broadcast table instead of a map literal.
-MAP_LITERAL_MAX = 20_000
+# How a token is cut into dictionary words.
+SEGMENTATIONS = ("prefix", "whole")
+# Joins the words of a synonym rule's side; no token holds it.
+WORD_SEP = "\x01"
 BM25_K1 = 1.2
 BM25_B = 0.75
 
@@ -50,8 +59,11 @@ class Analyzer:
     stoptags: tuple[str, ...] = ()
     synonyms: tuple[str, ...] = ()
     pattern: str = TOKEN_SPLIT
+    segmentation: str = "prefix"
 
     def __post_init__(self):
+        if self.segmentation not in SEGMENTATIONS:
+            raise ValueError(f"bad segmentation {self.segmentation!r}")
         if self.decompound not in DECOMPOUND_MODES:
             raise ValueError(f"bad decompound mode {self.decompound!r}")
 
@@ -66,53 +78,43 @@ class Analyzer:
             out[w[0]] = w[1:]
         return out
 
-    def synonym_map(self) -> dict[str, list[str]]:
-        return parse_synonyms(self.synonyms, self.lowercase)
+    def synonym_rules(self) -> dict[tuple[str, ...], list[tuple[str, ...]]]:
+        return synonym_rules(self.synonyms, self.lowercase)
 
 
 def korean_analysis(decompound: str = "mixed", stoptags=(), synonyms=(), user_dictionary_rules=()) -> dict:
     """T2-T7 preset: the index analyser, plus a search analyser with synonyms only when synonyms are given."""
-    index = Analyzer(True, tuple(user_dictionary_rules), decompound, tuple(stoptags), ())
+    index = Analyzer(True, tuple(user_dictionary_rules), decompound, tuple(stoptags), (), segmentation="whole")
     out = {"index": index}
     if synonyms:
         out["search"] = replace(index, synonyms=tuple(synonyms))
     return out
 
 
-def parse_synonyms(rules, lowercase: bool = True) -> dict[str, list[str]]:
-    """``A,B`` makes A and B equivalent; ``A => B`` rewrites A to B. Whitespace around commas is removed;
-    rules that do not parse (empty side, several arrows, multi-word terms) are skipped."""
-    out: dict[str, list[str]] = {}
-
-    def add(src: str, dst: list[str]):
-        cur = out.setdefault(src, [])
-        for d in dst:
-            if d not in cur:
-                cur.append(d)
-
+def synonym_rules(rules, lowercase: bool = True) -> dict[tuple[str, ...], list[tuple[str, ...]]]:
+    """``A,B`` makes A and B equivalent; ``A => B`` rewrites A to B; each of A and B is one or more words.
+    Whitespace around commas is removed; rules that do not parse (empty side, several arrows) are skipped.
+    Returns {words: [alternative, ...]}."""
+    out: dict[tuple[str, ...], list[tuple[str, ...]]] = {}
     for rule in rules:
-        r = re.sub(r"\s*,\s*", ",", rule.strip())
-        if lowercase:
-            r = r.lower()
-        if r.count("=>") > 1:
+        sides = (rule.lower() if lowercase else rule).split("=>")
+        if len(sides) > 2:
             continue
-        if "=>" in r:
-            lhs, rhs = [s.strip() for s in r.split("=>")]
-            left = [x for x in lhs.split(",") if x]
-            right = [x for x in rhs.split(",") if x]
-            if not left or not right or any(" " in x for x in left + right):
-                continue
-            for a in left:
-                add(a, right)
-        else:
-            terms = [x for x in r.split(",") if x]
-            if len(terms) < 2 or any(" " in x for x in terms):
-                continue
-            for a in terms:
-                add(a, terms)
+        terms = [[t for t in (tuple(x.split()) for x in side.split(",")) if t] for side in sides]
+        if not all(terms) or (len(terms) == 1 and len(terms[0]) < 2):
+            continue
+        for source in terms[0]:
+            known = out.setdefault(source, [])
+            known += [t for t in dict.fromkeys(terms[-1]) if t not in known]
     return out
 
 
+def parse_synonyms(rules, lowercase: bool = True) -> dict[str, list[str]]:
+    """The rules of single words only: {word: [word, ...]}."""
+    single = [r for r in rules if all(len(x.split()) <= 1 for side in r.split("=>") for x in side.split(","))]
+    return {k[0]: [t[0] for t in v] for k, v in synonym_rules(single, lowercase).items()}
+
+
 def _tag(t: Column) -> Column:
     return (F.when(t.rlike(r"^\p{N}+$"), "SN").when(t.rlike(r"^[A-Za-z]+$"), "SL")
             .when(t.rlike(r"^\p{IsHan}+$"), "SH").otherwise("UNKNOWN"))
@@ -122,194 +124,216 @@ def _tok(t: Column, tag: Column | str) -> Column:
     return F.struct(t.alias("token"), (F.lit(tag) if isinstance(tag, str) else tag).alias("tag"))
 
 
-def _emit(t: Column, word: Column, parts: Column, mode: str) -> Column:
-    """array<struct<token,tag>> for one raw token given its longest dictionary prefix ``word`` (null: none)."""
-    whole = F.array(_tok(word, DICT_TAG))
-    part_toks = F.transform(parts, lambda p: _tok(p, DICT_TAG))
-    if mode == "none":
-        emitted = whole
-    elif mode == "discard":
-        emitted = F.when(F.size(parts) > 0, part_toks).otherwise(whole)
-    else:
-        emitted = F.concat(whole, part_toks)
-    rem = F.substring(t, F.length(word) + 1, 1 << 30)
-    rest = F.when(rem != "", F.array(_tok(rem, _tag(rem)))).otherwise(F.array().cast(f"array<{TOKEN_STRUCT}>"))
-    return F.when(word.isNull(), F.array(_tok(t, _tag(t)))).otherwise(F.concat(emitted, rest))
+def _raw_tokens(text: Column, analyzer: "Analyzer") -> Column:
+    src = F.lower(text) if analyzer.lowercase else text
+    return F.filter(F.split(F.coalesce(src, F.lit("")), analyzer.pattern), lambda x: x != "")
 
 
-def _segment(t: Column, dictionary: dict[str, list[str]], mode: str) -> Column:
-    """Longest dictionary prefix of a raw token looked up in a map literal (dictionary under the size bound)."""
-    if not dictionary:
-        return F.array(_tok(t, _tag(t)))
-    m = F.create_map(*[x for w, parts in dictionary.items() for x in (F.lit(w), F.array(*[F.lit(p) for p in parts]).cast("array<string>"))])
-    lengths = sorted({len(w) for w in dictionary}, reverse=True)
-    word = F.coalesce(*[F.when((F.length(t) >= L) & F.map_contains_key(m, F.substring(t, 1, L)), F.substring(t, 1, L))
-                        for L in lengths])
-    return _emit(t, word, F.element_at(m, word), mode)
+def cut_token(token: str, matches: list[tuple[int, str]]) -> list[tuple[str, bool]]:
+    """The token as (piece, is a dictionary word) in order, given the (start, word) matches in it: the cheapest path
+    over its characters, where the cost is the characters outside words, then the number of words, and a longer first
+    word breaks ties. Time and memory follow the token's length and its matches."""
+    at = defaultdict(list)
+    for start, word in matches:
+        at[start].append(len(word))
+    best: list[tuple[int, int]] = [(0, 0)] * (len(token) + 1)
+    step = [0] * len(token)                                  # length of the word that starts here on the best path
+    for i in range(len(token) - 1, -1, -1):
+        paths = [(best[i + 1][0] + 1, best[i + 1][1], 0)]
+        paths += [(best[i + n][0], best[i + n][1] + 1, -n) for n in at[i]]
+        outside, words, first = min(paths)
+        best[i], step[i] = (outside, words), -first
+    pieces, i, gap = [], 0, 0
+    while i < len(token):
+        if step[i]:
+            if gap < i:
+                pieces.append((token[gap:i], False))
+            pieces.append((token[i:i + step[i]], True))
+            gap = i = i + step[i]
+        else:
+            i += 1
+    if gap < len(token):
+        pieces.append((token[gap:], False))
+    return pieces
 
 
-def _raw_tokens(text: Column, analyzer: "Analyzer") -> Column:
-    src = F.lower(text) if analyzer.lowercase else text
-    return F.filter(F.split(F.coalesce(src, F.lit("")), analyzer.pattern), lambda x: x != "")
+def _cut_tokens(batches):
+    kind = pa.list_(pa.struct([("piece", pa.string()), ("known", pa.bool_())]))
+    for b in batches:
+        cuts = [[{"piece": p, "known": k} for p, k in cut_token(t, [(m["start"], m["word"]) for m in found])]
+                for t, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cuts, kind)], ["t", "pieces"])
 
 
-def tokens_with_dictionary_table(df: DataFrame, text_col: str, id_col: str, analyzer: "Analyzer",
-                                 search_time: bool = False) -> DataFrame:
-    """T1-T5 for a user dictionary too large for a map literal: candidate prefixes (one per distinct dictionary
-    word length) are equi-joined to the dictionary table (broadcast when its counted size allows), the longest match
-    per token is kept, and positions are renumbered within each document."""
-    spark = df.sparkSession
+def segment_vocabulary(vocabulary: DataFrame, analyzer: "Analyzer") -> DataFrame:
+    """``vocabulary`` (t: distinct raw tokens) → (t, emitted array<struct<token,tag>>) of the tokens that hold
+    a dictionary word. The rules are a table joined by word; each word's parts come from the same table."""
     dictionary = analyzer.dictionary()
-    lengths = sorted({len(w) for w in dictionary})
-    rules = spark.createDataFrame([(w, p, len(w)) for w, p in dictionary.items()], "word string, parts array<string>, wlen int")
-    # Rows are told apart by a key of their own (ids may repeat), fixed by writing the raw tokens once.
-    raw = ensure_parallelism(df).select(F.col(id_col), F.monotonically_increasing_id().alias("__row"),
-                                        _raw_tokens(F.col(text_col), analyzer).alias("__ts"))
-    raw = raw.select(id_col, "__row", F.posexplode("__ts").alias("rpos", "t"))
-    ensure_checkpoint_dir(spark)
-    raw = raw.checkpoint(eager=True)
-    cand = raw.select("__row", "rpos", "t", F.explode(F.filter(F.array(*[F.lit(L) for L in lengths]),
-                                                             lambda L: L <= F.length(F.col("t")))).alias("L"))
-    cand = cand.select("__row", "rpos", F.expr("substring(t, 1, L)").alias("word"))
-    best = cand.join(maybe_broadcast(rules), "word").groupBy("__row", "rpos") \
-        .agg(F.max_by(F.struct("word", "parts"), F.col("wlen")).alias("m"))
-    seg = raw.join(best, ["__row", "rpos"], "left")
-    emitted = _emit(F.col("t"), F.col("m.word"), F.col("m.parts"), analyzer.decompound)
-    if analyzer.stoptags:
-        stop = F.array(*[F.lit(x) for x in analyzer.stoptags])
-        emitted = F.filter(emitted, lambda z: ~F.array_contains(stop, z["tag"]))
-    toks = F.transform(emitted, lambda z: z["token"])
-    if search_time:
-        toks = expand_synonyms(toks, analyzer)
-    out = seg.select(id_col, "__row", "rpos", F.posexplode(toks).alias("sub", "token"))
-    from pyspark.sql import Window
-    w = Window.partitionBy("__row").orderBy("rpos", "sub")
-    return out.select(id_col, (F.row_number().over(w) - 1).cast("long").alias("pos"), "token")
+    rules = vocabulary.sparkSession.createDataFrame(list(dictionary.items()), "word string, parts array<string>")
+    lengths = F.array(*[F.lit(n) for n in sorted({len(w) for w in dictionary})])
+    starts = F.sequence(F.lit(1), F.length("t")) if analyzer.segmentation == "whole" else F.array(F.lit(1))
+    places = (vocabulary.select("t", F.explode(starts).alias("s"))
+              .select("t", "s", F.explode(F.filter(lengths, lambda n: n <= F.length("t") - F.col("s") + 1)).alias("n"))
+              .select("t", (F.col("s") - 1).alias("start"), F.expr("substring(t, s, n)").alias("word")))
+    found = places.join(maybe_broadcast(rules.select("word")), "word")
+    if analyzer.segmentation == "prefix":
+        matches = found.groupBy("t").agg(F.array(F.max_by(F.struct("start", "word"), F.length("word"))).alias("matches"))
+    else:
+        matches = found.groupBy("t").agg(F.collect_list(F.struct("start", "word")).alias("matches"))
+    cuts = matches.select("t", "matches").mapInArrow(_cut_tokens, "t string, pieces array<struct<piece:string,known:boolean>>")
+    pieces = cuts.select("t", F.posexplode("pieces").alias("at", "p")).select("t", "at", "p.piece", "p.known")
+    none = F.array().cast("array<string>")
+    pieces = (pieces.join(maybe_broadcast(rules), F.col("known") & (F.col("piece") == F.col("word")), "left")
+              .withColumn("parts", F.coalesce("parts", none)))
+    part_tokens = F.transform("parts", lambda p: _tok(p, DICT_TAG))
+    word = F.array(_tok(F.col("piece"), DICT_TAG))
+    emitted = {"none": word, "mixed": F.concat(word, part_tokens),
+               "discard": F.when(F.size("parts") > 0, part_tokens).otherwise(word)}[analyzer.decompound]
+    out = F.when(F.col("known"), emitted).otherwise(F.array(_tok(F.col("piece"), _tag(F.col("piece")))))
+    in_order = F.sort_array(F.collect_list(F.struct("at", out.alias("out"))))
+    return pieces.groupBy("t").agg(F.flatten(F.transform(in_order, lambda x: x["out"])).alias("emitted"))
+
+
+def analyzed(df: DataFrame, text_col: str, analyzer: "Analyzer", columns=()) -> DataFrame:
+    """``columns`` and ``__toks`` (array<string>, T1-T5) of every row; with a dictionary the rows are told apart by a
+    key of their own, since ids may repeat."""
+    df = ensure_parallelism(df)
+    if not analyzer.user_dictionary:
+        return df.select(*columns, analyze(F.col(text_col), analyzer).alias("__toks"))
+    raw = df.select(F.struct(*columns, F.lit(0).alias("__none")).alias("__own"), F.monotonically_increasing_id().alias("__row"),
+                    _raw_tokens(F.col(text_col), analyzer).alias("__ts"))
+    words = raw.select("__own", "__row", F.posexplode_outer("__ts").alias("__at", "t"))
+    vocabulary = df.select(F.explode(_raw_tokens(F.col(text_col), analyzer)).alias("t")).distinct()
+    cuts = segment_vocabulary(vocabulary, analyzer)
+    emitted = F.coalesce("emitted", F.when(F.col("t").isNull(), F.array().cast(f"array<{TOKEN_STRUCT}>"))
+                         .otherwise(F.array(_tok(F.col("t"), _tag(F.col("t"))))))
+    words = words.join(cuts, "t", "left").withColumn("out", F.transform(_without(emitted, analyzer), lambda z: z["token"]))
+    in_order = F.sort_array(F.collect_list(F.struct("__at", "out")))
+    rows = words.groupBy("__row").agg(F.first("__own").alias("__own"), in_order.alias("__parts"))
+    return rows.select(*[F.col(f"__own.`{c}`").alias(c) for c in columns],
+                       F.flatten(F.transform("__parts", lambda x: x["out"])).alias("__toks"))
+
+
+def _without(emitted: Column, analyzer: "Analyzer") -> Column:
+    """T5: array<struct<token,tag>> less the tokens whose tag is a stoptag."""
+    if not analyzer.stoptags:
+        return emitted
+    stop = F.array(*[F.lit(s) for s in analyzer.stoptags])
+    return F.filter(emitted, lambda z: ~F.array_contains(stop, z["tag"]))
 
 
 def analyze(text: Column, analyzer: Analyzer = Analyzer()) -> Column:
-    """T1-T5 as one expression: ``array<string>`` of tokens in order (position = array index)."""
-    dictionary = analyzer.dictionary()
-    if len(dictionary) > MAP_LITERAL_MAX:
-        raise ValueError(f"user dictionary has {len(dictionary)} rules (over {MAP_LITERAL_MAX}); "
-                         "tokens() and bm25() switch to tokens_with_dictionary_table() for it")
+    """T1, T4, T5 as one expression: ``array<string>`` of tokens in order (position = array index). A user dictionary
+    needs joins, which an expression can't have: use :func:`analyzed` or :func:`tokens`."""
+    if analyzer.user_dictionary:
+        raise ValueError("an analyzer with a user dictionary works on DataFrames: use analyzed() or tokens()")
     raw = _raw_tokens(text, analyzer)
-    if not dictionary and not analyzer.stoptags:
+    if not analyzer.stoptags:
         return raw
-    toks = F.flatten(F.transform(raw, lambda t: _segment(t, dictionary, analyzer.decompound)))
-    if analyzer.stoptags:
-        stop = F.array(*[F.lit(s) for s in analyzer.stoptags])
-        toks = F.filter(toks, lambda s: ~F.array_contains(stop, s["tag"]))
-    return F.transform(toks, lambda s: s["token"])
-
-
-def expand_synonyms(tokens: Column, analyzer: Analyzer) -> Column:
-    """Each query token replaced by its synonym set (itself when it has none)."""
-    syn = analyzer.synonym_map()
-    if not syn:
-        return tokens
-    m = F.create_map(*[x for k, v in syn.items() for x in (F.lit(k), F.array(*[F.lit(s) for s in v]))])
-    return F.flatten(F.transform(tokens, lambda t: F.coalesce(F.element_at(m, t), F.array(t))))
+    tagged = F.transform(raw, lambda t: _tok(t, _tag(t)))
+    return F.transform(_without(tagged, analyzer), lambda s: s["token"])
+
+
+def expand_synonyms(df: DataFrame, column: str, analyzer: Analyzer) -> DataFrame:
+    """``df`` with the token array ``column`` rewritten: from the left, the longest run of tokens that a rule
+    names gives way to all its alternatives, one after the other; other tokens stay."""
+    rules = analyzer.synonym_rules()
+    if not rules:
+        return df
+    toks = F.col(column)
+    m = F.create_map(*[x for k, v in rules.items()
+                       for x in (F.lit(WORD_SEP.join(k)), F.array(*[F.lit(w) for t in v for w in t]))])
+    lengths = sorted({len(k) for k in rules} - {1}, reverse=True)
+    single = lambda t: F.coalesce(F.element_at(m, t), F.array(t))                        # noqa: E731
+    if not lengths:
+        return df.withColumn(column, F.flatten(F.transform(toks, single)))
+    run = lambda i, n: F.array_join(F.slice(toks, i + 1, n), WORD_SEP)                    # noqa: E731
+    width = lambda i: F.coalesce(*[F.when((i + n <= F.size(toks)) & F.map_contains_key(m, run(i, F.lit(n))), n)
+                                   for n in lengths])
+    every = F.when(F.size(toks) > 0, F.sequence(F.lit(0), F.size(toks) - 1)).otherwise(F.array().cast("array<int>"))
+    fits = F.filter(F.transform(every, lambda i: F.struct(i.alias("at"), width(i).alias("n"))), lambda x: x["n"].isNotNull())
+    start = F.struct(F.lit(0).alias("free"), F.array().cast("array<struct<at:int,n:int>>").alias("got"))
+    taken = F.aggregate(F.col("__fits"), start, lambda acc, x: F.when(
+        x["at"] >= acc["free"], F.struct((x["at"] + x["n"]).alias("free"), F.concat(acc["got"], F.array(x)).alias("got"))
+    ).otherwise(acc), lambda acc: acc["got"])
+    inside = lambda i: F.exists("__taken", lambda x: (x["at"] <= i) & (i < x["at"] + x["n"]))
+    here = lambda i: F.filter("__taken", lambda x: x["at"] == i)                              # noqa: E731
+    out = F.flatten(F.transform(every, lambda i: F.when(~inside(i), single(F.get(toks, i))).when(
+        F.size(here(i)) > 0, F.element_at(m, run(i, F.get(here(i), F.lit(0))["n"]))).otherwise(F.array().cast("array<string>"))))
+    return df.withColumn("__fits", fits).withColumn("__taken", taken).withColumn(column, out).drop("__fits", "__taken")
 
 
 def tokens(df: DataFrame, text_col: str, id_col: str = ID_COL, analyzer: Analyzer = Analyzer(),
            search_time: bool = False) -> DataFrame:
     """(id, pos, token) rows; ``search_time=True`` applies the synonym expansion (query side)."""
-    if len(analyzer.dictionary()) > MAP_LITERAL_MAX:
-        return tokens_with_dictionary_table(df, text_col, id_col, analyzer, search_time)
-    arr = analyze(F.col(text_col), analyzer)
+    rows = analyzed(df, text_col, analyzer, [id_col])
     if search_time:
-        arr = expand_synonyms(arr, analyzer)
-    return ensure_parallelism(df).select(F.col(id_col), F.posexplode(arr).alias("pos", "token")) \
+        rows = expand_synonyms(rows, "__toks", analyzer)
+    return rows.select(F.col(id_col), F.posexplode("__toks").alias("pos", "token")) \
         .select(id_col, F.col("pos").cast("long").alias("pos"), "token")
 
 
 def query_tokens(spark, query: str, analyzer: Analyzer = Analyzer()) -> list[str]:
     """Analyse one query string on Spark (same code path as the documents) and return its distinct tokens."""
-    if len(analyzer.dictionary()) > MAP_LITERAL_MAX:
-        q = spark.createDataFrame([("q", query)], "qid string, text string")
-        one = tokens_with_dictionary_table(q, "text", "qid", analyzer, search_time=True).orderBy("pos") \
-            .select(F.col("token").alias("t"))
-        seen = [r["t"] for r in one.collect()]
-        return list(dict.fromkeys(seen))
-    one = spark.range(1).select(expand_synonyms(analyze(F.lit(query), analyzer), analyzer).alias("t"))
-    one = one.select(F.explode(F.array_distinct("t")).alias("t"))
-    return [r["t"] for r in one.collect()]
+    one = spark.range(1).select(F.lit(query).alias("text"))
+    rows = expand_synonyms(analyzed(one, "text", analyzer), "__toks", analyzer)
+    return list(dict.fromkeys(t for r in rows.collect() for t in r["__toks"]))
 
 
 # ----------------------------------------------------------------------------------------------------------------
 # BM25 over a text column (no index)
 # ----------------------------------------------------------------------------------------------------------------
 
+def _gain(idf: Column, tf: Column, dl: Column, avgdl: float | Column, k1: float, b: float) -> Column:
+    avgdl = F.lit(avgdl) if isinstance(avgdl, float) else avgdl
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl.cast("double") / avgdl)
+    return idf * tf * F.lit(k1 + 1.0) / (tf + norm)
+
+
 def bm25(df: DataFrame, text_col: str, query: str | list[str], id_col: str = ID_COL,
          index_analyzer: Analyzer = Analyzer(), search_analyzer: Analyzer | None = None,
          k1: float = BM25_K1, b: float = BM25_B, keep: list[str] | None = None) -> DataFrame:
     """P4 + T8: documents with at least one query token (OR semantics) and their BM25 ``_score``.
 
-    idf = ln(1 + (N - df + 0.5) / (df + 0.5)); tf and document length count analysed tokens.
+    idf = ln(1 + (N - df + 0.5) / (df + 0.5)); tf and document length count analysed tokens, N and df count rows.
+    Rows that share an id are scored each by its own text; the id gets its best row's score (and ``keep`` columns).
 
-    One scan of the corpus: each document is tokenised once; the token stream is exploded and cut to the query
-    tokens (a codegen'd ``IN`` filter), giving (id, token, tf, dl) for matching pairs only. Corpus statistics
-    (N, total length) are observed on that same scan while the matching pairs are written to the checkpoint
-    folder; scoring then reads only those pairs."""
+    One scan of the corpus: a row's tokens shrink to the counts of the query tokens in it, and only rows with one are
+    written to the checkpoint folder, while the corpus totals (N, total length) are observed on the same scan.
+    Scoring then reads only those rows."""
     from pyspark.sql import Observation
     from ..plans.sizing import scratch_path
     spark = df.sparkSession
     q = query if isinstance(query, list) else query_tokens(spark, query, search_analyzer or index_analyzer)
     q = list(dict.fromkeys(q))
     keep = keep or []
-    if len(index_analyzer.dictionary()) > MAP_LITERAL_MAX:
-        return _bm25_from_token_rows(df, text_col, q, id_col, index_analyzer, k1, b, keep)
-    docs = ensure_parallelism(df).select(F.col(id_col), *keep, analyze(F.col(text_col), index_analyzer).alias("__toks"))
     if not q:
-        return docs.limit(0).select(id_col, *keep, F.lit(0.0).alias(SCORE_COL))
+        return df.limit(0).select(F.col(id_col), *keep, F.lit(0.0).alias(SCORE_COL))
+    docs = analyzed(df, text_col, index_analyzer, [id_col, *[k for k in keep if k != id_col]])
     obs = Observation(f"bm25_{uuid.uuid4().hex[:12]}")
     docs = docs.observe(obs, F.count(F.lit(1)).alias("n"), F.sum(F.size("__toks")).alias("total_len"))
-    pairs = (docs.select(id_col, *keep, F.size("__toks").alias("dl"), F.explode("__toks").alias("token"))
-             .filter(F.col("token").isin(q))
-             .groupBy(id_col, "token")
-             .agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"), *[F.first(k).alias(k) for k in keep]))
+    docs = docs.withColumn("dl", F.size("__toks")).withColumn("__toks", F.filter("__toks", lambda t: t.isin(q)))
+    counts = F.transform(F.array_sort(F.array_distinct("__toks")), lambda t: F.struct(
+        t.alias("token"), F.size(F.filter("__toks", lambda x: x == t)).alias("tf")))
     path = scratch_path(spark, "bm25")
-    pairs.write.parquet(path)
+    docs.where(F.size("__toks") > 0).withColumn("hits", counts).drop("__toks").write.parquet(path)
     t = spark.read.parquet(path)
-    if t.limit(1).count() == 0:
+    dfs = {r["token"]: int(r["df"]) for r in collect_bounded(
+        t.select(F.explode("hits.token").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")), len(q),
+        "token frequencies")}
+    if not dfs:
         # nothing matched; the statistics are not needed (and an empty branch may have been pruned with them)
         return t.select(id_col, *keep, F.lit(0.0).alias(SCORE_COL))
     st = obs.get
     n, total = int(st["n"] or 0), int(st["total_len"] or 0)
     avgdl = total / n if total else 1.0
-    import math
-    dfs = {r["token"]: int(r["df"]) for r in
-           collect_bounded(t.groupBy("token").agg(F.count(F.lit(1)).alias("df")), len(q), "token frequencies")}
     idf = F.create_map(*[x for tok, d in dfs.items()
                          for x in (F.lit(tok), F.lit(math.log(1.0 + (n - d + 0.5) / (d + 0.5))))])
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl").cast("double") / F.lit(avgdl))
-    part = F.element_at(idf, F.col("token")) * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    return t.groupBy(id_col).agg(*[F.first(k).alias(k) for k in keep], F.sum(part).alias(SCORE_COL)) \
-        .select(id_col, *keep, SCORE_COL)
-
-
-def _bm25_from_token_rows(df: DataFrame, text_col: str, q: list[str], id_col: str, analyzer: Analyzer,
-                          k1: float, b: float, keep: list[str]) -> DataFrame:
-    """BM25 when analysis runs as joins (large dictionary): token rows → lengths and query-token counts."""
-    import math
-    toks = tokens(df, text_col, id_col, analyzer)
-    lengths = toks.groupBy(id_col).agg(F.count(F.lit(1)).alias("dl"))
-    n = df.count()
-    total = lengths.agg(F.sum("dl")).first()[0] or 0
-    avgdl = total / n if n else 1.0
-    pairs = toks.filter(F.col("token").isin(q)).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
-    dfs = {r["token"]: int(r["df"]) for r in
-           collect_bounded(pairs.groupBy("token").agg(F.count(F.lit(1)).alias("df")), max(len(q), 1), "token frequencies")}
-    if not dfs:
-        return df.limit(0).select(F.col(id_col), *keep, F.lit(0.0).alias(SCORE_COL))
-    idf = F.create_map(*[x for tok, d in dfs.items() for x in (F.lit(tok), F.lit(math.log(1.0 + (n - d + 0.5) / (d + 0.5))))])
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl").cast("double") / F.lit(avgdl))
-    part = F.element_at(idf, F.col("token")) * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    scored = pairs.join(lengths, id_col).groupBy(id_col).agg(F.sum(part).alias(SCORE_COL))
-    if keep:
-        scored = scored.join(df.select(id_col, *keep), id_col)
-    return scored.select(id_col, *keep, SCORE_COL)
+    score = F.aggregate("hits", F.lit(0.0), lambda acc, h: acc + _gain(
+        F.element_at(idf, h["token"]), h["tf"], F.col("dl"), avgdl, k1, b))
+    scored = t.withColumn(SCORE_COL, score)
+    own = [F.max_by(F.col(k), F.col(SCORE_COL)).alias(k) for k in keep if k != id_col]
+    return scored.groupBy(id_col).agg(*own, F.max(SCORE_COL).alias(SCORE_COL)).select(id_col, *[k for k in keep if k != id_col], SCORE_COL)
 
 
 # ----------------------------------------------------------------------------------------------------------------
@@ -323,21 +347,24 @@ def token_table(df: DataFrame, text_col: str, id_col: str = ID_COL, analyzer: An
 
 def build_token_index(df: DataFrame, text_col: str, path: str, id_col: str = ID_COL,
                       analyzer: Analyzer = Analyzer(), partitions: int | None = None) -> None:
-    """Write ``{path}/terms`` (token, id, tf, dl), range-partitioned and sorted by token and id: row-group statistics
-    prune a match query to the files and row groups of its tokens, and a frequent token is spread over several
-    files. ``{path}/stats`` holds the number of documents and their mean length. The texts are tokenised once."""
-    terms = token_table(df, text_col, id_col, analyzer)
+    """Write ``{path}/terms`` (token, id, row, tf, dl), range-partitioned and sorted by token and id: row-group
+    statistics prune a match query to the files and row groups of its tokens, and a frequent token is spread over
+    several files. ``row`` tells rows that share an id apart. ``{path}/stats`` holds the number of rows and their mean
+    length. The texts are tokenised once."""
+    spark = df.sparkSession
     n = partitions or partitions_for(df)
+    rows = analyzed(df, text_col, analyzer, [id_col]).withColumn("row", F.monotonically_increasing_id())
+    words = rows.select(id_col, "row", F.size("__toks").cast("long").alias("dl"), F.explode("__toks").alias("token"))
     plain = f"{path}/counts"
-    terms.write.mode("overwrite").parquet(plain)
-    terms = df.sparkSession.read.parquet(plain)
-    lengths = terms.groupBy(id_col).agg(F.sum("tf").alias("dl"))
-    terms.join(lengths, id_col).select("token", id_col, "tf", "dl").repartitionByRange(n, "token", id_col) \
+    words.groupBy("token", id_col, "row", "dl").agg(F.count(F.lit(1)).alias("tf")).write.mode("overwrite").parquet(plain)
+    terms = spark.read.parquet(plain)
+    terms.select("token", id_col, "row", "tf", "dl").repartitionByRange(n, "token", id_col) \
         .sortWithinPartitions("token", id_col).write.mode("overwrite").parquet(f"{path}/terms")
-    total = df.agg(F.count(F.lit(1)).alias("n"))
-    words = lengths.agg(F.sum("dl").alias("words"))
-    total.crossJoin(words).select("n", (F.coalesce("words", F.lit(0)) / F.greatest("n", F.lit(1))).alias("avgdl")) \
-        .write.mode("overwrite").parquet(f"{path}/stats")                       # one row each
+    totals = df.select(F.lit(1).alias("n"), F.lit(0).cast("long").alias("words")) \
+        .unionByName(terms.select(F.lit(0).alias("n"), F.col("tf").alias("words")))
+    totals.agg(F.sum("n").alias("n"), F.sum("words").alias("words")) \
+        .select("n", (F.coalesce("words", F.lit(0)) / F.greatest("n", F.lit(1))).alias("avgdl")) \
+        .write.mode("overwrite").parquet(f"{path}/stats")                       # one row
 
 
 def match_index(spark, path: str, query: str, id_col: str = ID_COL, analyzer: Analyzer = Analyzer(),
@@ -346,14 +373,40 @@ def match_index(spark, path: str, query: str, id_col: str = ID_COL, analyzer: An
     document frequencies come from those rows, lengths stand in them, and the totals are one stored row."""
     q = query_tokens(spark, query, analyzer)
     terms = spark.read.parquet(f"{path}/terms").filter(F.col("token").isin(q))
+    gain = _index_gain(spark, path, terms, k1, b, len(q))
+    scored = gain.groupBy(id_col, "row").agg(F.sum("gain").alias(SCORE_COL))
+    return scored.groupBy(id_col).agg(F.max(SCORE_COL).alias(SCORE_COL))
+
+
+def _index_gain(spark, path: str, terms: DataFrame, k1: float, b: float, most: int | None = None) -> DataFrame:
+    """``terms`` (rows of a token index, all of each token that is there) with what each adds to its row's score.
+    ``most`` is a bound on the number of tokens; without one the token table is counted before it is broadcast."""
     st = spark.read.parquet(f"{path}/stats").first()
-    n, avgdl = int(st["n"]), float(st["avgdl"] or 1.0)
-    dfs = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df"))                 # at most one row per query token
-    idf = F.log(F.lit(1.0) + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    hits = terms.join(F.broadcast(dfs), "token")
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl))
-    part = idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    return hits.groupBy(id_col).agg(F.sum(part).alias(SCORE_COL))
+    n, avgdl = float(st["n"] or 0), float(st["avgdl"] or 1.0)
+    dfs = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    dfs = F.broadcast(dfs) if most is not None and most <= BROADCAST_MAX_ROWS else maybe_broadcast(dfs)
+    idf = F.log(F.lit(1.0) + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    return terms.join(dfs, "token").withColumn("gain", _gain(idf, F.col("tf"), F.col("dl"), avgdl, k1, b)).drop("df")
+
+
+def match_many(spark, path: str, queries: DataFrame, k: int = 10, query_id: str = "query_id", query_col: str = "query",
+               id_col: str = ID_COL, analyzer: Analyzer = Analyzer(), k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
+    """P4/T8 for a table of queries in one plan: (query_id, rank, id, _score), the ``k`` best ids of each query.
+
+    The queries' tokens are a table joined to the index by token (broadcast only under a counted bound; beyond it the
+    join shuffles and AQE splits frequent tokens), so their number has no bound. Only index rows of asked tokens are
+    aggregated, and the ranking keeps ``k`` rows a query before its shuffle. Scores are rounded to nine digits, so that
+    equal texts tie; ties go to the smaller id. Rows of one query id are one query; a query without a known token
+    returns nothing."""
+    asked = tokens(queries, query_col, query_id, analyzer, search_time=True).select(query_id, "token").distinct()
+    terms = spark.read.parquet(f"{path}/terms")
+    terms = terms.join(maybe_broadcast(asked.select("token").distinct()), "token", "left_semi")
+    hits = _index_gain(spark, path, terms, k1, b).join(maybe_broadcast(asked), "token")
+    scored = hits.groupBy(query_id, id_col, "row").agg(F.sum("gain").alias(SCORE_COL))
+    scored = scored.groupBy(query_id, id_col).agg(F.round(F.max(SCORE_COL), 9).alias(SCORE_COL))
+    order = Window.partitionBy(query_id).orderBy(F.desc(SCORE_COL), F.asc(id_col))
+    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
+        .select(query_id, "rank", id_col, SCORE_COL)
 
 
 # ----------------------------------------------------------------------------------------------------------------

@@ -1,6 +1,7 @@
 """Text analysis and BM25."""
 
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -65,27 +66,99 @@ def test_bm25_matches_formula_and_index(spark, tmp_path):
     assert lens
 
 
-def test_large_dictionary_uses_join_path(spark, monkeypatch):
+def test_dictionary_and_repeated_ids(spark):
     rules = ("노트북", "삼성전자 삼성 전자", "ab")
     text = "삼성전자 노트북을 ABC 123"
-    small = toks(spark, text, X.Analyzer(user_dictionary=rules, stoptags=("SN",)))
-    monkeypatch.setattr(X, "MAP_LITERAL_MAX", 1)
-    big = toks(spark, text, X.Analyzer(user_dictionary=rules, stoptags=("SN",)))
-    assert big == small == ["삼성전자", "삼성", "전자", "노트북", "을", "ab", "c"]
+    found = toks(spark, text, X.Analyzer(user_dictionary=rules, stoptags=("SN",)))
+    assert found == ["삼성전자", "삼성", "전자", "노트북", "을", "ab", "c"]
     twice = spark.createDataFrame([("d", "foo x"), ("d", "foobar"), ("e", None)], "_id string, t string")
     an = X.Analyzer(user_dictionary=("foo",))
-    both = []
-    for limit in (1000, 0):
-        monkeypatch.setattr(X, "MAP_LITERAL_MAX", limit)
-        both.append(sorted(map(tuple, X.tokens(twice, "t", analyzer=an).collect())))
-    assert both[0] == both[1] == [("d", 0, "foo"), ("d", 0, "foo"), ("d", 1, "bar"), ("d", 1, "x")]
-    monkeypatch.setattr(X, "MAP_LITERAL_MAX", 1)
+    rows = sorted(map(tuple, X.tokens(twice, "t", analyzer=an).collect()))
+    assert rows == [("d", 0, "foo"), ("d", 0, "foo"), ("d", 1, "bar"), ("d", 1, "x")]
     assert len(X.query_tokens(spark, " ".join(f"t{i}" for i in range(3000)))) == 3000
     docs = spark.createDataFrame([("n1", "삼성 노트북 구매"), ("n2", "애플 아이폰 리뷰")], "_id string, title string")
     hits = X.bm25(docs, "title", "노트북을", index_analyzer=X.Analyzer(user_dictionary=rules)).collect()
     assert [h["_id"] for h in hits] == ["n1"]
 
 
+def test_many_rules_give_the_same_tokens(spark):
+    few = ("foo", "bar b ar")
+    many = few + tuple(f"zz{i}" for i in range(30_000))
+    for kind in X.SEGMENTATIONS:
+        got = [toks(spark, "foobar foofoo xbar", X.Analyzer(user_dictionary=r, segmentation=kind)) for r in (few, many)]
+        assert got[0] == got[1]
+    assert got[0] == ["foo", "bar", "b", "ar", "foo", "foo", "x", "bar", "b", "ar"]
+
+
+def _all_cuts(token, words):
+    if not token:
+        yield []
+    for n in range(1, len(token) + 1):
+        if token[:n] in words:
+            yield from ([(token[:n], True), *rest] for rest in _all_cuts(token[n:], words))
+    if token:
+        yield from ([(token[0], False), *rest] for rest in _all_cuts(token[1:], words))
+
+
+def test_cut_token_is_the_cheapest_of_all_cuts():
+    rng = random.Random(3)
+    for _ in range(300):
+        words = {"".join(rng.choices("ab", k=rng.randint(1, 4))) for _ in range(3)}
+        token = "".join(rng.choices("abc", k=rng.randint(1, 9)))
+        matches = [(i, w) for w in words for i in range(len(token)) if token.startswith(w, i)]
+        rng.shuffle(matches)
+        cost = lambda cut: (sum(not k for _, k in cut), sum(k for _, k in cut), [-len(p) * k for p, k in cut])
+        best = min(_all_cuts(token, words), key=cost)
+        joined = []
+        for piece, known in best:
+            if joined and not known and not joined[-1][1]:
+                joined[-1] = (joined[-1][0] + piece, False)
+            else:
+                joined.append((piece, known))
+        assert X.cut_token(token, matches) == joined
+    assert X.cut_token("", []) == []
+    assert X.cut_token("aabbcc", [(0, "aa"), (2, "bb")]) == [("aa", True), ("bb", True), ("cc", False)]
+    assert len(X.cut_token("ab" * 100_000, [(2 * i, "ab") for i in range(100_000)])) == 100_000
+
+
+def test_synonyms_of_several_words(spark):
+    an = X.Analyzer(synonyms=("a b => c", "x, a b d", "q => r s", "bad =>", "a => b => c"))
+    assert an.synonym_rules()[("a", "b", "d")] == [("x",), ("a", "b", "d")]
+    assert toks(spark, "a b a b d b q", an, search=True) == ["c", "x", "a", "b", "d", "b", "r", "s"]
+    assert toks(spark, "a", an, search=True) == ["a"] and toks(spark, "", an, search=True) == []
+    assert toks(spark, "a a b", an, search=True) == ["a", "c"]
+    overlap = X.Analyzer(synonyms=("a b => p", "b c => q"))
+    assert toks(spark, "a b c b c", overlap, search=True) == ["p", "c", "q"]
+
+
+def test_scores_of_repeated_ids_agree_on_every_path(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "red red fox"), ("a", "red and a long text about nothing at all"), ("b", "fox"),
+                                  ("c", None), ("d", "")], "_id string, t string")
+    plain = {r["_id"]: r["_score"] for r in X.bm25(docs, "t", "red fox").collect()}
+    ruled = X.Analyzer(user_dictionary=("zzz",))
+    other = {r["_id"]: r["_score"] for r in X.bm25(docs, "t", "red fox", index_analyzer=ruled).collect()}
+    X.build_token_index(docs, "t", str(tmp_path / "i"))
+    index = {r["_id"]: r["_score"] for r in X.match_index(spark, str(tmp_path / "i"), "red fox").collect()}
+    idf = lambda df: math.log(1 + (5 - df + 0.5) / (df + 0.5))
+    gain = lambda tf, dl: tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / (13 / 5)))
+    want = {"a": idf(2) * gain(2, 3) + idf(2) * gain(1, 3), "b": idf(2) * gain(1, 1)}
+    for got in (plain, other, index):
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_many_queries_at_once(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "red fox"), ("b", "red hen red"), ("c", "blue hen"), ("d", "red fox"), ("e", None)],
+                                 "_id string, t string")
+    X.build_token_index(docs, "t", str(tmp_path / "i"))
+    asked = spark.createDataFrame([(1, "red"), (2, "HEN blue"), (3, "nothing"), (4, None), (5, "fox")], "query_id int, query string")
+    rows = X.match_many(spark, str(tmp_path / "i"), asked, k=2).collect()
+    got = {(r["query_id"], r["rank"]): r["_id"] for r in rows}
+    assert got == {(1, 1): "b", (1, 2): "a", (2, 1): "c", (2, 2): "b", (5, 1): "a", (5, 2): "d"}
+    for q, text in ((1, "red"), (2, "hen blue")):
+        one = {r["_id"]: r["_score"] for r in X.match_index(spark, str(tmp_path / "i"), text).collect()}
+        assert all(abs(one[r["_id"]] - r["_score"]) < 1e-8 for r in rows if r["query_id"] == q)
+
+
 def test_match_search_with_field_analysers(spark):
     from docspark.functions import predicates as P
     from docspark.schema import Collection, Field
