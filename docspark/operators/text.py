@@ -43,8 +43,6 @@ DECOMPOUND_MODES = ("none", "discard", "mixed")
 DICT_TAG = "NNG"
 # How a token is cut into dictionary words.
 SEGMENTATIONS = ("prefix", "whole")
-# Joins the words of a synonym rule's side; no token holds it.
-WORD_SEP = "\x01"
 BM25_K1 = 1.2
 BM25_B = 0.75
 
@@ -240,27 +238,28 @@ def expand_synonyms(df: DataFrame, column: str, analyzer: Analyzer) -> DataFrame
     rules = analyzer.synonym_rules()
     if not rules:
         return df
-    toks = F.col(column)
-    m = F.create_map(*[x for k, v in rules.items()
-                       for x in (F.lit(WORD_SEP.join(k)), F.array(*[F.lit(w) for t in v for w in t]))])
-    lengths = sorted({len(k) for k in rules} - {1}, reverse=True)
-    single = lambda t: F.coalesce(F.element_at(m, t), F.array(t))                        # noqa: E731
-    if not lengths:
-        return df.withColumn(column, F.flatten(F.transform(toks, single)))
-    run = lambda i, n: F.array_join(F.slice(toks, i + 1, n), WORD_SEP)                    # noqa: E731
-    width = lambda i: F.coalesce(*[F.when((i + n <= F.size(toks)) & F.map_contains_key(m, run(i, F.lit(n))), n)
-                                   for n in lengths])
-    every = F.when(F.size(toks) > 0, F.sequence(F.lit(0), F.size(toks) - 1)).otherwise(F.array().cast("array<int>"))
-    fits = F.filter(F.transform(every, lambda i: F.struct(i.alias("at"), width(i).alias("n"))), lambda x: x["n"].isNotNull())
-    start = F.struct(F.lit(0).alias("free"), F.array().cast("array<struct<at:int,n:int>>").alias("got"))
-    taken = F.aggregate(F.col("__fits"), start, lambda acc, x: F.when(
-        x["at"] >= acc["free"], F.struct((x["at"] + x["n"]).alias("free"), F.concat(acc["got"], F.array(x)).alias("got"))
-    ).otherwise(acc), lambda acc: acc["got"])
-    inside = lambda i: F.exists("__taken", lambda x: (x["at"] <= i) & (i < x["at"] + x["n"]))
-    here = lambda i: F.filter("__taken", lambda x: x["at"] == i)                              # noqa: E731
-    out = F.flatten(F.transform(every, lambda i: F.when(~inside(i), single(F.get(toks, i))).when(
-        F.size(here(i)) > 0, F.element_at(m, run(i, F.get(here(i), F.lit(0))["n"]))).otherwise(F.array().cast("array<string>"))))
-    return df.withColumn("__fits", fits).withColumn("__taken", taken).withColumn(column, out).drop("__fits", "__taken")
+    longest = max(len(k) for k in rules)
+    if longest == 1:
+        m = F.create_map(*[x for k, v in rules.items()
+                           for x in (F.lit(k[0]), F.array(*[F.lit(w) for t in v for w in t]))])
+        return df.withColumn(column, F.flatten(F.transform(column, lambda t: F.coalesce(F.element_at(m, t), F.array(t)))))
+    flat = {k: [w for t in v for w in t] for k, v in rules.items()}
+
+    def rewrite(words: list[str]) -> list[str]:
+        out, i = [], 0
+        while i < len(words):
+            n = next((n for n in range(min(longest, len(words) - i), 0, -1) if tuple(words[i:i + n]) in flat), 0)
+            out += flat[tuple(words[i:i + n])] if n else words[i:i + 1]
+            i += n or 1
+        return out
+
+    def run(batches):
+        for b in batches:
+            at = b.schema.names.index(column)
+            new = pa.array([rewrite(w or []) for w in b.column(at).to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], new, *b.columns[at + 1:]], b.schema.names)
+
+    return df.mapInArrow(run, df.schema)
 
 
 def tokens(df: DataFrame, text_col: str, id_col: str = ID_COL, analyzer: Analyzer = Analyzer(),

@@ -1586,3 +1586,98 @@ def conform_strict_nested_ids(spark, sf):
     bad = C.split_valid(C.conform_json(li.select(line.alias("line"), doc.alias("doc")), coll, "doc", keep=["line"],
                                        keep_source=False))[1]
     return bad.select("line", F.col(ERRORS_COL)[0]["field"].alias("field"))
+
+
+# ----------------------------------------------------------------------------------------------------------------
+# Whole-token segmentation, synonyms of several words, many queries at once, distinct-count sketches
+# ----------------------------------------------------------------------------------------------------------------
+
+# Rules whose words can't overlap one another, so that cutting out every occurrence is the cheapest cut.
+SEGMENT_RULES = ("eau", "qu", "en e n", "ti")
+
+
+@register("dict_segments", rf"""
+WITH t AS (SELECT doc_id, {_TOKENS_SQL} AS toks FROM documents),
+p AS (SELECT doc_id, flatten(list_transform(toks, lambda t: list_filter(string_split(
+          regexp_replace(t, '(eau|qu|en|ti)', chr(31) || '\1' || chr(31), 'g'), chr(31)), lambda x: x <> ''))) AS ps FROM t),
+e AS (SELECT doc_id, flatten(list_transform(ps, lambda x: CASE WHEN x = 'en' THEN ['en', 'e', 'n'] ELSE [x] END)) AS toks FROM p)
+SELECT doc_id, CAST(i - 1 AS BIGINT) AS pos, toks[i] AS token
+FROM e, LATERAL (SELECT unnest(generate_series(1, len(toks))) AS i)
+""")
+def dict_segments(spark, sf):
+    """Every token cut into dictionary words and what lies between them, several words a token."""
+    an = X.Analyzer(user_dictionary=SEGMENT_RULES, decompound="mixed", segmentation="whole")
+    return X.tokens(read(spark, sf, "documents"), "text", "doc_id", an)
+
+
+# Synonym rules with sides of several words.
+SYN_PHRASES = ("the the => double", "the and, et", "is is is => triple", "is is => pair")
+
+
+@register("synonym_phrases", rf"""
+WITH t AS (SELECT doc_id, ' ' || array_to_string({_TOKENS_SQL}, '  ') || ' ' AS s FROM documents),
+m AS (SELECT doc_id, regexp_replace(s, ' the  the | the  and | is  is  is | is  is | et ',
+                                    ' ' || chr(1) || '\0' || chr(1) || ' ', 'g') AS s FROM t),
+r AS (SELECT doc_id, replace(replace(replace(replace(replace(s,
+          chr(1) || ' the  the ' || chr(1), 'double'), chr(1) || ' the  and ' || chr(1), 'the and et'),
+          chr(1) || ' is  is  is ' || chr(1), 'triple'), chr(1) || ' is  is ' || chr(1), 'pair'),
+          chr(1) || ' et ' || chr(1), 'the and et') AS s FROM m),
+e AS (SELECT doc_id, list_filter(string_split(s, ' '), lambda x: x <> '') AS toks FROM r)
+SELECT doc_id, CAST(i - 1 AS BIGINT) AS pos, toks[i] AS token
+FROM e, LATERAL (SELECT unnest(generate_series(1, len(toks))) AS i)
+""")
+def synonym_phrases(spark, sf):
+    """Rules of several words, the longest that fits from the left."""
+    return X.tokens(read(spark, sf, "documents"), "text", "doc_id", X.Analyzer(synonyms=SYN_PHRASES), search_time=True)
+
+
+@register("match_many", f"""
+WITH d AS (SELECT doc_id, {_TOKENS_SQL} AS toks FROM documents),
+s AS (SELECT count(*) AS n, avg(len(toks)) AS avgdl FROM d),
+tok AS (SELECT doc_id, len(toks) AS dl, unnest(toks) AS t FROM d),
+tf AS (SELECT doc_id, dl, t, count(*) AS tf FROM tok GROUP BY ALL),
+dfq AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+q AS (SELECT DISTINCT item_id, unnest({_TOKENS_SQL}) AS t FROM benchmark),
+sc AS (SELECT q.item_id, tf.doc_id, round(sum(ln(1 + (s.n - dfq.df + 0.5) / (dfq.df + 0.5)) * tf.tf * 2.2
+                                    / (tf.tf + 1.2 * (0.25 + 0.75 * tf.dl / s.avgdl))), 9) AS score
+       FROM q JOIN tf ON tf.t = q.t JOIN dfq ON dfq.t = q.t, s GROUP BY q.item_id, tf.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc)
+SELECT item_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10
+""")
+def match_many(spark, sf):
+    """P4 + T8: the ten best documents for every benchmark text, all queries in one plan over a stored token index."""
+    from .sizing import scratch_path
+    path = scratch_path(spark, "token-index")
+    X.build_token_index(read(spark, sf, "documents"), "text", path, id_col="doc_id")
+    hits = X.match_many(spark, path, read(spark, sf, "benchmark"), k=10, query_id="item_id", query_col="text", id_col="doc_id")
+    return hits.select("item_id", F.col("rank").cast("long").alias("rank"), "doc_id", F.round("_score", 6).alias("score"))
+
+
+@register("agg_cardinality_merged", """
+SELECT coalesce(event_type, '(all)') AS key, count(DISTINCT user_id) AS exact, true AS within
+FROM events WHERE event_type IS NOT NULL GROUP BY GROUPING SETS ((event_type), ())
+""")
+def agg_cardinality_merged(spark, sf):
+    """Sketches stored by day and type, merged by type and over all; within three times the stated error of the
+    exact counts."""
+    from .sizing import scratch_path
+    ev = read(spark, sf, "events").where(F.col("event_type").isNotNull())
+    path = scratch_path(spark, "sketches")
+    A.cardinality_sketches(ev, "user_id", [F.to_date("ts").alias("day"), "event_type"]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    found = A.merge_cardinality(stored, [F.col("event_type").alias("key")]).unionByName(
+        A.merge_cardinality(stored).select(F.lit("(all)").alias("key"), "value"))
+    exact = ev.groupBy(F.col("event_type").alias("key")).agg(F.countDistinct("user_id").alias("exact")).unionByName(
+        ev.agg(F.countDistinct("user_id").alias("exact")).select(F.lit("(all)").alias("key"), "exact"))
+    near = F.abs(F.col("value") - F.col("exact")) <= F.greatest(F.lit(2.0), F.col("exact") * 0.05)
+    return found.join(exact, "key").select("key", "exact", near.alias("within"))
+
+
+@register("agg_cardinality_default", """
+SELECT count(DISTINCT user_id) AS exact, true AS within FROM events
+""")
+def agg_cardinality_default(spark, sf):
+    """G13 through the library's default form, beside its exact form, in one pass."""
+    got = A.metrics(read(spark, sf, "events"), {"value": A.Cardinality("user_id"), "exact": A.Cardinality("user_id", exact=True)})
+    near = F.abs(F.col("value") - F.col("exact")) <= F.greatest(F.lit(2.0), F.col("exact") * 0.03)
+    return got.select("exact", near.alias("within"))
