@@ -205,23 +205,52 @@ def _metric_columns(name: str, spec) -> list[Column]:
     raise TypeError(spec)
 
 
+def _metric_names(name: str, spec) -> list[str]:
+    return [f"{name}_{p}" for p in ("count", "min", "max", "avg", "sum")] if isinstance(spec, Stats) else [name]
+
+
+def _apart(specs: Mapping[str, Any]) -> list[str]:
+    """The exact cardinalities that need an aggregation of their own. An aggregation with a distinct count groups its
+    input by the distinct values first, and holds the state of every other aggregate once for each of them: next to
+    a sketch (or a custom aggregate, whose state may have any size) that is a sketch per value, so all exact
+    cardinalities run apart. Otherwise the first may stay; more would force an ``Expand`` of the input per column."""
+    own = [k for k, s in specs.items() if isinstance(s, Metric)]
+    exact = [k for k in own if specs[k].kind == "cardinality" and specs[k].exact]
+    large = [k for k in own if specs[k].expr is not None or (specs[k].kind == "cardinality" and not specs[k].exact)]
+    return exact if large else exact[1:]
+
+
 def metrics(df: DataFrame, specs: Mapping[str, Any]) -> DataFrame:
-    """All metrics in one aggregation → one row. Several exact distinct counts would force an ``Expand``
-    of the input per distinct column, so each exact cardinality beyond the first runs as its own aggregation."""
+    """All metrics in one aggregation → one row; exact cardinalities in aggregations of their own where
+    :func:`_apart` says so."""
     exact = [k for k, s in specs.items() if isinstance(s, Metric) and s.kind == "cardinality" and s.exact]
-    fused = {k: s for k, s in specs.items() if k not in exact[1:]}
+    apart = _apart(specs)
+    fused = {k: s for k, s in specs.items() if k not in apart}
     out = df.agg(*[c for k, s in fused.items() for c in _metric_columns(k, s)])
-    if len(exact) > 1:
+    if apart:
         # one-row frames stacked and folded back to one row (no cross join)
-        parts = [out] + [df.agg(specs[k].column().alias(k)) for k in exact[1:]]
-        stacked = parts[0]
-        for p in parts[1:]:
-            stacked = stacked.unionByName(p, allowMissingColumns=True)
-        names = list(out.columns) + exact[1:]
+        stacked = out
+        for k in apart:
+            stacked = stacked.unionByName(df.agg(specs[k].column().alias(k)), allowMissingColumns=True)
+        names = [c for k, s in specs.items() if k not in exact[1:] for c in _metric_names(k, s)] + exact[1:]
         out = stacked.agg(*[F.first(F.col(c), ignorenulls=True).alias(c) for c in names])
     return out
 
 
+def bucket_metrics(df: DataFrame, key: str, specs: Mapping[str, Any], *counts: Column) -> DataFrame:
+    """(key, counts..., metrics...) of every non-null value of column ``key``: one group-by, and one more for each exact
+    cardinality that :func:`_apart` names, joined by key."""
+    apart = _apart(specs)
+    columns = [c for k, s in specs.items() if k not in apart for c in _metric_columns(k, s)]
+    out = df.groupBy(key).agg(*counts, *columns)
+    if not apart:
+        return out
+    for k in apart:
+        out = out.join(df.groupBy(key).agg(specs[k].column().alias(k)), key)
+    named = [c for k, s in specs.items() for c in _metric_names(k, s)]
+    return out.select(key, *[c for c in out.columns if c != key and c not in named], *named)
+
+
 # ----------------------------------------------------------------------------------------------------------------
 # Bucket aggregations
 # ----------------------------------------------------------------------------------------------------------------
@@ -233,8 +262,7 @@ def terms(df: DataFrame, spec: Terms) -> DataFrame:
     else:
         base = df.select(key.alias("key"), "*")
     base = base.filter(F.col("key").isNotNull())
-    extra = [c for k, m in spec.metrics.items() for c in _metric_columns(k, m)]
-    g = base.groupBy("key").agg(F.count(F.lit(1)).alias("doc_count"), *extra)
+    g = bucket_metrics(base, "key", spec.metrics, F.count(F.lit(1)).alias("doc_count"))
     if spec.min_doc_count > 1:
         g = g.filter(F.col("doc_count") >= spec.min_doc_count)
     out = g.orderBy(F.desc("doc_count"), F.asc("key")).limit(spec.size)

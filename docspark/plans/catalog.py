@@ -1501,8 +1501,9 @@ SELECT event_type AS key, count(DISTINCT user_id) AS exact, true AS within FROM
 def agg_cardinality_sketch(spark, sf):
     """Per bucket, the sketch stays within three times its stated relative error of the exact count."""
     ev = read(spark, sf, "events").where(F.col("event_type").isNotNull())
-    return ev.groupBy(F.col("event_type").alias("key")).agg(
-        F.countDistinct("user_id").alias("exact"), F.approx_count_distinct("user_id", 0.01).alias("sketch")).select(
+    got = A.bucket_metrics(ev.withColumnRenamed("event_type", "key"), "key", {
+        "exact": A.Cardinality("user_id", exact=True), "sketch": A.Cardinality("user_id", rsd=0.01)})
+    return got.select(
         "key", "exact", (F.abs(F.col("sketch") - F.col("exact")) <= F.greatest(F.lit(2.0), F.col("exact") * 0.03)).alias("within"))
 
 
@@ -1677,7 +1678,7 @@ def agg_cardinality_merged(spark, sf):
 SELECT count(DISTINCT user_id) AS exact, true AS within FROM events
 """)
 def agg_cardinality_default(spark, sf):
-    """G13 through the library's default form, beside its exact form, in one pass."""
+    """G13 through the library's default form, beside its exact form, in one request."""
     got = A.metrics(read(spark, sf, "events"), {"value": A.Cardinality("user_id"), "exact": A.Cardinality("user_id", exact=True)})
     near = F.abs(F.col("value") - F.col("exact")) <= F.greatest(F.lit(2.0), F.col("exact") * 0.03)
     return got.select("exact", near.alias("within"))

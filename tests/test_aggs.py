@@ -119,3 +119,21 @@ def test_terms_key_as_string_for_dates_and_booleans(spark):
     assert dates == [(1704067200000, "2024-01-01T00:00:00.000Z", 2), (1704153600000, "2024-01-02T00:00:00.000Z", 1)]
     bools = [(r["key"], r["key_as_string"], r["doc_count"]) for r in A.terms(df, A.Terms("b")).collect()]
     assert bools == [(1, "true", 2), (0, "false", 1)]
+
+
+def test_an_exact_count_stands_in_no_aggregation_with_a_sketch(spark):
+    """Beside a distinct count, Spark holds the sketch's state once for every value."""
+    df = spark.range(0, 3000).select((F.col("id") % 3).alias("g"), (F.col("id") % 500).alias("u"))
+    both = {"near": A.Cardinality("u"), "exact": A.Cardinality("u", exact=True), "s": A.Stats("u")}
+
+    def apart(out):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        return not any("approx_count_distinct" in x and "u#" in x.split("functions")[0] for x in plan.splitlines() if "Aggregate" in x)
+
+    one = A.metrics(df, both)
+    assert apart(one) and one.columns == ["near", "exact", "s_count", "s_min", "s_max", "s_avg", "s_sum"]
+    row = one.first()
+    assert row["exact"] == 500 and abs(row["near"] - 500) <= 15 and row["s_count"] == 3000
+    found = A.terms(df, A.Terms("g", size=2, metrics={"near": A.Cardinality("u"), "exact": A.Cardinality("u", exact=True)}))
+    assert apart(found) and found.columns == ["key", "doc_count", "near", "exact"]
+    assert [(r["key"], r["doc_count"], r["exact"]) for r in found.collect()] == [(0, 1000, 500), (1, 1000, 500)]
