@@ -11,9 +11,8 @@
 4. T4 lowercase;
 5. T6 search-time synonyms expand query tokens only; the longest rule that fits the tokens wins, from the left.
 
-Without a dictionary analysis is a per-row array expression and never shuffles. With one, the distinct raw tokens are
-analysed once: their substrings are joined to the rules (a hash join, whatever the number of rules), the tokens that
-hold a rule's word are cut, and the result is joined back to the documents' tokens.
+Analysis is a per-row array expression and never shuffles. With a dictionary the expression is an Arrow function that
+cuts each distinct raw token of a batch once, looking its substrings up among the rules by hash.
 
 BM25 (k1=1.2, b=0.75) takes one corpus scan that keeps the query tokens' counts of each row and observes the totals.
 A persisted token index (:func:`build_token_index`) serves repeated queries by reading only the query tokens' row
@@ -29,6 +28,7 @@ from collections import defaultdict
 from dataclasses import dataclass, replace
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.sizing import BROADCAST_MAX_ROWS, collect_bounded, ensure_parallelism, maybe_broadcast, partitions_for
@@ -155,61 +155,56 @@ def cut_token(token: str, matches: list[tuple[int, str]]) -> list[tuple[str, boo
     return pieces
 
 
-def _cut_tokens(batches):
-    kind = pa.list_(pa.struct([("piece", pa.string()), ("known", pa.bool_())]))
-    for b in batches:
-        cuts = [[{"piece": p, "known": k} for p, k in cut_token(t, [(m["start"], m["word"]) for m in found])]
-                for t, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cuts, kind)], ["t", "pieces"])
+def _emitted(token: str, analyzer: "Analyzer", dictionary: dict[str, list[str]], lengths: list[int]) -> list[tuple[str, str | None]]:
+    """What one raw token becomes, as (token, tag); the tag of a piece outside dictionary words is left open."""
+    starts = range(len(token)) if analyzer.segmentation == "whole" else range(1)
+    matches = [(s, token[s:s + n]) for s in starts for n in lengths if s + n <= len(token) and token[s:s + n] in dictionary]
+    if analyzer.segmentation == "prefix":
+        matches = matches[-1:]                               # lengths ascend: the longest word
+    out: list[tuple[str, str | None]] = []
+    for piece, known in cut_token(token, matches) if matches else [(token, False)]:
+        parts = dictionary[piece] if known and analyzer.decompound != "none" else []
+        if not known or not parts or analyzer.decompound != "discard":
+            out.append((piece, DICT_TAG if known else None))
+        out += [(p, DICT_TAG) for p in parts]
+    return out
 
 
-def segment_vocabulary(vocabulary: DataFrame, analyzer: "Analyzer") -> DataFrame:
-    """``vocabulary`` (t: distinct raw tokens) → (t, emitted array<struct<token,tag>>) of the tokens that hold
-    a dictionary word. The rules are a table joined by word; each word's parts come from the same table."""
+def segmented(raw: Column, analyzer: "Analyzer", tagged: bool = False) -> Column:
+    """An array of raw tokens → the array of emitted tokens (``tagged``: of struct<token,tag>, where a null tag
+    is still to be found). Rows stay where they are; each distinct token of an Arrow batch is cut once, and the cuts are
+    dealt back to the tokens by their number. The rules are looked up by hash, whatever their number."""
     dictionary = analyzer.dictionary()
-    rules = vocabulary.sparkSession.createDataFrame(list(dictionary.items()), "word string, parts array<string>")
-    lengths = F.array(*[F.lit(n) for n in sorted({len(w) for w in dictionary})])
-    starts = F.sequence(F.lit(1), F.length("t")) if analyzer.segmentation == "whole" else F.array(F.lit(1))
-    places = (vocabulary.select("t", F.explode(starts).alias("s"))
-              .select("t", "s", F.explode(F.filter(lengths, lambda n: n <= F.length("t") - F.col("s") + 1)).alias("n"))
-              .select("t", (F.col("s") - 1).alias("start"), F.expr("substring(t, s, n)").alias("word")))
-    found = places.join(maybe_broadcast(rules.select("word")), "word")
-    if analyzer.segmentation == "prefix":
-        matches = found.groupBy("t").agg(F.array(F.max_by(F.struct("start", "word"), F.length("word"))).alias("matches"))
-    else:
-        matches = found.groupBy("t").agg(F.collect_list(F.struct("start", "word")).alias("matches"))
-    cuts = matches.select("t", "matches").mapInArrow(_cut_tokens, "t string, pieces array<struct<piece:string,known:boolean>>")
-    pieces = cuts.select("t", F.posexplode("pieces").alias("at", "p")).select("t", "at", "p.piece", "p.known")
-    none = F.array().cast("array<string>")
-    pieces = (pieces.join(maybe_broadcast(rules), F.col("known") & (F.col("piece") == F.col("word")), "left")
-              .withColumn("parts", F.coalesce("parts", none)))
-    part_tokens = F.transform("parts", lambda p: _tok(p, DICT_TAG))
-    word = F.array(_tok(F.col("piece"), DICT_TAG))
-    emitted = {"none": word, "mixed": F.concat(word, part_tokens),
-               "discard": F.when(F.size("parts") > 0, part_tokens).otherwise(word)}[analyzer.decompound]
-    out = F.when(F.col("known"), emitted).otherwise(F.array(_tok(F.col("piece"), _tag(F.col("piece")))))
-    in_order = F.sort_array(F.collect_list(F.struct("at", out.alias("out"))))
-    return pieces.groupBy("t").agg(F.flatten(F.transform(in_order, lambda x: x["out"])).alias("emitted"))
+    lengths = sorted({len(w) for w in dictionary})
+    item = pa.struct([("token", pa.string()), ("tag", pa.string())]) if tagged else pa.string()
 
+    def run(rows: pa.Array) -> pa.Array:
+        words = rows.flatten().dictionary_encode()
+        if not len(words):
+            return pa.array([[]] * len(rows), pa.list_(item))
+        cuts = [_emitted(t, analyzer, dictionary, lengths) for t in words.dictionary.to_pylist()]
+        cuts = [[{"token": t, "tag": g} for t, g in c] if tagged else [t for t, _ in c] for c in cuts]
+        found = pa.array(cuts, pa.list_(item)).take(words.indices)
+        ends = pc.subtract(rows.offsets, rows.offsets[0])
+        return pa.ListArray.from_arrays(found.offsets.take(ends), found.values)
 
-def analyzed(df: DataFrame, text_col: str, analyzer: "Analyzer", columns=()) -> DataFrame:
-    """``columns`` and ``__toks`` (array<string>, T1-T5) of every row; with a dictionary the rows are told apart by a
-    key of their own, since ids may repeat."""
-    df = ensure_parallelism(df)
+    # not deterministic for the optimizer: a filter on the result would otherwise run the function a second time
+    return F.arrow_udf(run, f"array<{TOKEN_STRUCT}>" if tagged else "array<string>").asNondeterministic()(raw)
+
+
+def _analyzed_tokens(text: Column, analyzer: "Analyzer") -> Column:
+    raw = _raw_tokens(text, analyzer)
     if not analyzer.user_dictionary:
-        return df.select(*columns, analyze(F.col(text_col), analyzer).alias("__toks"))
-    raw = df.select(F.struct(*columns, F.lit(0).alias("__none")).alias("__own"), F.monotonically_increasing_id().alias("__row"),
-                    _raw_tokens(F.col(text_col), analyzer).alias("__ts"))
-    words = raw.select("__own", "__row", F.posexplode_outer("__ts").alias("__at", "t"))
-    vocabulary = df.select(F.explode(_raw_tokens(F.col(text_col), analyzer)).alias("t")).distinct()
-    cuts = segment_vocabulary(vocabulary, analyzer)
-    emitted = F.coalesce("emitted", F.when(F.col("t").isNull(), F.array().cast(f"array<{TOKEN_STRUCT}>"))
-                         .otherwise(F.array(_tok(F.col("t"), _tag(F.col("t"))))))
-    words = words.join(cuts, "t", "left").withColumn("out", F.transform(_without(emitted, analyzer), lambda z: z["token"]))
-    in_order = F.sort_array(F.collect_list(F.struct("__at", "out")))
-    rows = words.groupBy("__row").agg(F.first("__own").alias("__own"), in_order.alias("__parts"))
-    return rows.select(*[F.col(f"__own.`{c}`").alias(c) for c in columns],
-                       F.flatten(F.transform("__parts", lambda x: x["out"])).alias("__toks"))
+        return analyze(text, analyzer)
+    if not analyzer.stoptags:
+        return segmented(raw, analyzer)
+    cut = F.transform(segmented(raw, analyzer, True), lambda z: _tok(z["token"], F.coalesce(z["tag"], _tag(z["token"]))))
+    return F.transform(_without(cut, analyzer), lambda z: z["token"])
+
+
+def analyzed(df: DataFrame, text_col: str, analyzer: "Analyzer", columns=()) -> DataFrame:
+    """``columns`` and ``__toks`` (array<string>, T1-T5) of every row. Rows are not moved."""
+    return ensure_parallelism(df).select(*columns, _analyzed_tokens(F.col(text_col), analyzer).alias("__toks"))
 
 
 def _without(emitted: Column, analyzer: "Analyzer") -> Column:

@@ -1,6 +1,7 @@
 """Text analysis and BM25."""
 
 import math
+import re
 import random
 
 from pyspark.sql import functions as F
@@ -181,3 +182,15 @@ def test_frequent_token_is_spread_over_files(spark, tmp_path):
     files = [pq.read_table(f).column("token").to_pylist() for f in (tmp_path / "i" / "terms").glob("*.parquet")]
     assert sum("the" in f for f in files) >= 3
     assert X.match_index(spark, str(tmp_path / "i"), "the").count() == 4000
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_a_dictionary_moves_no_row(spark):
+    docs = spark.range(0, 40, 1, 200).select(F.col("id").cast("string").alias("_id"), F.lit("foobar x").alias("t"))
+    an = X.Analyzer(user_dictionary=("foo f oo",), decompound="discard", segmentation="whole")
+    found = X.tokens(docs, "t", analyzer=an)
+    assert _shuffles(found) == 0
+    assert [r["token"] for r in found.where("_id = '7'").orderBy("pos").collect()] == ["f", "oo", "bar", "x"]
