@@ -27,6 +27,7 @@ import uuid
 from collections import defaultdict
 from dataclasses import dataclass, replace
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -46,6 +47,10 @@ SEGMENTATIONS = ("prefix", "whole")
 BM25_K1 = 1.2
 BM25_B = 0.75
 
+# Bytes of index read for one task that scores many queries, and of a row group of the index.
+MATCH_PARTITION_BYTES = 4 << 20
+SEGMENT_ROW_GROUP = 16 << 20
+
 TOKEN_STRUCT = "struct<token:string,tag:string>"
 
 
@@ -339,23 +344,37 @@ def token_table(df: DataFrame, text_col: str, id_col: str = ID_COL, analyzer: An
     return tokens(df, text_col, id_col, analyzer).groupBy("token", id_col).agg(F.count(F.lit(1)).alias("tf"))
 
 
+def token_counts(tokens: Column) -> Column:
+    """An array of tokens → array<struct<token,tf>>, each token once. Counted where the row lies, without a shuffle."""
+    item = pa.struct([("token", pa.string()), ("tf", pa.int64())])
+
+    def run(rows: pa.Array) -> pa.Array:
+        words = rows.flatten().dictionary_encode()
+        size, row = max(len(words.dictionary), 1), np.repeat(np.arange(len(rows)), np.diff(rows.offsets.to_numpy()))
+        pairs, tf = np.unique(row * size + words.indices.to_numpy(zero_copy_only=False), return_counts=True)
+        found = pa.StructArray.from_arrays([words.dictionary.take(pa.array(pairs % size)).cast(pa.string()),
+                                            pa.array(tf.astype("int64"))], fields=list(item))
+        ends = np.searchsorted(pairs // size, np.arange(len(rows) + 1))
+        return pa.ListArray.from_arrays(pa.array(ends.astype("int32")), found)
+
+    return F.arrow_udf(run, "array<struct<token:string,tf:long>>").asNondeterministic()(tokens)
+
+
 def build_token_index(df: DataFrame, text_col: str, path: str, id_col: str = ID_COL,
                       analyzer: Analyzer = Analyzer(), partitions: int | None = None) -> None:
-    """Write ``{path}/terms`` (token, id, row, tf, dl), range-partitioned and sorted by token and id: row-group
-    statistics prune a match query to the files and row groups of its tokens, and a frequent token is spread over
-    several files. ``row`` tells rows that share an id apart. ``{path}/stats`` holds the number of rows and their mean
-    length. The texts are tokenised once."""
+    """Write ``{path}/terms`` (token, id, row, tf, dl) in segments: each task counts the tokens of its own rows and
+    writes them as one file sorted by token and id, so building moves no row. Page and row-group statistics prune a match
+    query to its tokens' part of every segment, and a frequent token is spread over all of them. ``row`` tells rows that
+    share an id apart. ``{path}/stats`` holds the number of rows and their mean length. The texts are tokenised once.
+    ``partitions`` deals the rows into that many segments; otherwise they stay as they come."""
     spark = df.sparkSession
-    n = partitions or partitions_for(df)
-    rows = analyzed(df, text_col, analyzer, [id_col]).withColumn("row", F.monotonically_increasing_id())
-    words = rows.select(id_col, "row", F.size("__toks").cast("long").alias("dl"), F.explode("__toks").alias("token"))
-    plain = f"{path}/counts"
-    words.groupBy("token", id_col, "row", "dl").agg(F.count(F.lit(1)).alias("tf")).write.mode("overwrite").parquet(plain)
-    terms = spark.read.parquet(plain)
-    terms.select("token", id_col, "row", "tf", "dl").repartitionByRange(n, "token", id_col) \
-        .sortWithinPartitions("token", id_col).write.mode("overwrite").parquet(f"{path}/terms")
+    rows = df.repartition(partitions) if partitions else df
+    rows = analyzed(rows, text_col, analyzer, [id_col]).withColumn("row", F.monotonically_increasing_id())
+    words = rows.select(id_col, "row", F.size("__toks").cast("long").alias("dl"), F.explode(token_counts(F.col("__toks"))).alias("t"))
+    words.select("t.token", id_col, "row", "t.tf", "dl").sortWithinPartitions("token", id_col) \
+        .write.option("parquet.block.size", SEGMENT_ROW_GROUP).mode("overwrite").parquet(f"{path}/terms")
     totals = df.select(F.lit(1).alias("n"), F.lit(0).cast("long").alias("words")) \
-        .unionByName(terms.select(F.lit(0).alias("n"), F.col("tf").alias("words")))
+        .unionByName(spark.read.parquet(f"{path}/terms").select(F.lit(0).alias("n"), F.col("tf").alias("words")))
     totals.agg(F.sum("n").alias("n"), F.sum("words").alias("words")) \
         .select("n", (F.coalesce("words", F.lit(0)) / F.greatest("n", F.lit(1))).alias("avgdl")) \
         .write.mode("overwrite").parquet(f"{path}/stats")                       # one row
@@ -389,13 +408,14 @@ def match_many(spark, path: str, queries: DataFrame, k: int = 10, query_id: str
 
     The queries' tokens are a table joined to the index by token (broadcast only under a counted bound; beyond it the
     join shuffles and AQE splits frequent tokens), so their number has no bound. Only index rows of asked tokens are
-    aggregated, and the ranking keeps ``k`` rows a query before its shuffle. Scores are rounded to nine digits, so that
-    equal texts tie; ties go to the smaller id. Rows of one query id are one query; a query without a known token
-    returns nothing."""
+    dealt by id, once and before they meet the queries: what a task then holds of an id is all of it, so scores are
+    summed and ranked there, and ``k`` rows a query and task go on. Scores are rounded to nine digits, so that equal texts
+    tie; ties go to the smaller id. Rows of one query id are one query; a query without a known token returns nothing."""
     asked = tokens(queries, query_col, query_id, analyzer, search_time=True).select(query_id, "token").distinct()
     terms = spark.read.parquet(f"{path}/terms")
     terms = terms.join(maybe_broadcast(asked.select("token").distinct()), "token", "left_semi")
-    hits = _index_gain(spark, path, terms, k1, b).join(maybe_broadcast(asked), "token")
+    gains = _index_gain(spark, path, terms, k1, b).select("token", id_col, "row", "gain")
+    hits = gains.repartition(partitions_for(gains, MATCH_PARTITION_BYTES), id_col).join(maybe_broadcast(asked), "token")
     scored = hits.groupBy(query_id, id_col, "row").agg(F.sum("gain").alias(SCORE_COL))
     scored = scored.groupBy(query_id, id_col).agg(F.round(F.max(SCORE_COL), 9).alias(SCORE_COL))
     order = Window.partitionBy(query_id).orderBy(F.desc(SCORE_COL), F.asc(id_col))

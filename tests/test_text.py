@@ -194,3 +194,22 @@ def test_a_dictionary_moves_no_row(spark):
     found = X.tokens(docs, "t", analyzer=an)
     assert _shuffles(found) == 0
     assert [r["token"] for r in found.where("_id = '7'").orderBy("pos").collect()] == ["f", "oo", "bar", "x"]
+
+
+def test_building_an_index_moves_no_row_and_takes_no_rows(spark, tmp_path):
+    docs = spark.range(0, 40, 1, 200).select(F.col("id").cast("string").alias("_id"), F.lit("b a b").alias("t"))
+    X.build_token_index(docs, "t", str(tmp_path / "i"))
+    assert not (tmp_path / "i" / "counts").exists()                       # no second copy of the postings
+    rows = spark.read.parquet(str(tmp_path / "i" / "terms"))
+    assert sorted({(r["token"], r["tf"], r["dl"]) for r in rows.collect()}) == [("a", 1, 3), ("b", 2, 3)] and rows.count() == 80
+    X.build_token_index(docs.limit(0), "t", str(tmp_path / "none"))
+    assert X.match_index(spark, str(tmp_path / "none"), "a").count() == 0
+
+
+def test_many_queries_meet_the_index_rows_after_they_are_dealt(spark, tmp_path):
+    docs = spark.range(30).select(F.col("id").cast("string").alias("_id"), F.lit("a b c").alias("t"))
+    X.build_token_index(docs, "t", str(tmp_path / "i"))
+    asked = spark.range(20).select(F.col("id").alias("query_id"), F.lit("a b c").alias("query"))
+    found = X.match_many(spark, str(tmp_path / "i"), asked, k=3)
+    assert not re.search(r"hashpartitioning\(query_id#\w+, _id#", found._jdf.queryExecution().executedPlan().toString())
+    assert found.count() == 60
