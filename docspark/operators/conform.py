@@ -28,6 +28,8 @@ from ..session import ensure_checkpoint_dir
 # Integer ranges of the declared integral types.
 INT_RANGE = {"integer": (-(2 ** 31), 2 ** 31 - 1), "long": (-(2 ** 63), 2 ** 63 - 1)}
 FLOAT_MAX = 3.4028234663852886e38
+# Estimated bytes of input for one task that conforms documents: some hundred thousand short ones.
+CONFORM_PARTITION_BYTES = 4 << 20
 
 ERROR_TYPE = T.ArrayType(T.StructType([T.StructField("field", T.StringType()),
                                        T.StructField("reason", T.StringType())]))
@@ -90,7 +92,9 @@ def _no_errors() -> Column:
 def _combine(items: list) -> Column:
     scalars = [c for c, is_arr in items if not is_arr]
     arrays = [F.coalesce(c, _no_errors()) for c, is_arr in items if is_arr]
-    base = F.array_compact(F.array(*scalars)).cast(ERROR_TYPE) if scalars else _no_errors()
+    # array_compact is interpreted, with all it holds: it runs on rows that have an error only
+    base = (F.when(F.coalesce(*scalars).isNull(), _no_errors()).otherwise(F.array_compact(F.array(*scalars)).cast(ERROR_TYPE))
+            if scalars else _no_errors())
     return F.concat(base, *arrays) if arrays else base
 
 
@@ -297,7 +301,7 @@ def conform_variant(df: DataFrame, collection: Collection, doc: Column, id_expr:
     # Stage 1 extracts each top-level value and its JSON kind once; stage 2 converts. Two small projections keep
     # the generated code of each under the JVM method size limit (one huge expression falls back to interpretation).
     names = list(collection.fields)
-    df = ensure_parallelism(df)
+    df = ensure_parallelism(df, target_bytes=CONFORM_PARTITION_BYTES)
     d = df.select(*(keep or []), doc.alias("__doc"), *([id_expr.alias("__id")] if id_expr is not None else []),
                   *([is_object.alias("__isobj")] if is_object is not None else []))
     d = d.select("*", *[child(F.col("__doc"), n).alias(f"__v{i}") for i, n in enumerate(names)],
@@ -583,7 +587,7 @@ def observed_paths(df: DataFrame, doc: Column, depth: int | None = None, element
     (which are written to the checkpoint folder, so asking costs no scan); if so, the objects down there are listed in
     the same way. An aggregated schema of all documents would tell the shape first, but it grows with the distinct keys
     in the memory of every task, and hides what lies below a key of several kinds."""
-    rows = ensure_parallelism(df).select(F.lit(None).cast("string").alias("prefix"), doc.alias("doc"))
+    rows = ensure_parallelism(df, target_bytes=CONFORM_PARTITION_BYTES).select(F.lit(None).cast("string").alias("prefix"), doc.alias("doc"))
     first, seen = True, None
     while True:
         levels = min(LEVELS, depth or LEVELS)

@@ -23,7 +23,7 @@ from ..operators import text as X
 from ..operators import writes as W
 from ..functions.sorting import SortSpec
 from ..schema import ERRORS_COL, ID_COL, Collection, Field
-from ..session import ensure_checkpoint_dir
+from ..session import compile_in_parts, ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,6 +40,7 @@ def register(name: str, sql: str | None = None):
 
 def prep(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    compile_in_parts(spark)
     ensure_checkpoint_dir(spark)
 
 

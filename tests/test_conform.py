@@ -124,3 +124,23 @@ def test_runtime_field_and_widen(spark, docs):
                      "ok": "boolean", "o": "object"}
     assert wide.fields["title"].fields["keyword"].type == "keyword"
     assert wide.fields["o"].properties["p"].type == "long"
+
+
+def test_a_task_that_conforms_does_not_grow_with_the_input(spark):
+    """Few input partitions are dealt finer than one for each task slot when they are estimated large."""
+    import re
+    coll = Collection("sized", {"n": Field("long")})
+    slots = spark.sparkContext.defaultParallelism
+
+    def dealt(rows):
+        docs = spark.range(0, rows, 1, 1).select(F.to_json(F.struct(F.col("id").alias("n"))).alias("doc"))
+        plan = C.conform_json(docs, coll, "doc")._jdf.queryExecution().executedPlan().toString()
+        return int(re.search(r"RoundRobinPartitioning\((\d+)\)", plan).group(1))
+
+    assert dealt(100) == slots and dealt(3_000_000) > 2 * slots and dealt(10 ** 12) <= 16 * slots
+
+
+def test_rows_with_and_without_errors(spark, docs):
+    coll = Collection("mixed", {"n": Field("integer"), "s": Field("keyword")}, dynamic="strict")
+    rows = C.conform_json(docs([{"n": 1, "s": "a"}, {"n": "x", "s": ["b"], "z": 0}, {"n": None}]), coll, "doc").collect()
+    assert [[e["field"] for e in r["_errors"]] for r in rows] == [[], ["n", "s", "_root"], []]
