@@ -604,6 +604,23 @@ def observed_paths(df: DataFrame, doc: Column, depth: int | None = None, element
         rows, first = found.where("f.kind IS NULL").select(F.col("f.path").alias("prefix"), F.col("f.below").alias("doc")), False
 
 
+# Shapes that do not tell every (path, kind) of a document: arrays of anything but one plain kind, and quoted keys.
+OPEN_SHAPE = r"ARRAY<(?!(BIGINT|STRING|BOOLEAN)>)|VARIANT|`"
+
+
+def representatives(df: DataFrame, doc: Column) -> DataFrame:
+    """``doc``: documents that show the same (path, kind) pairs as all of ``df``, whole arrays of nulls or of nothing
+    apart: one for each shape (the schema of a document with its numbers as whole or not), and every document whose
+    shape leaves something open. Listing the paths of a document costs many times what its shape does."""
+    rows = ensure_parallelism(df, target_bytes=CONFORM_PARTITION_BYTES).select(doc.alias("doc"))
+    # a filter must not sink below the dealing of the rows, into few input tasks (see the barrier in conform_variant)
+    rows = rows.select("doc", F.when(F.spark_partition_id() >= 0, F.schema_of_variant("doc")).alias("shape"))
+    is_open = F.coalesce(F.col("shape").rlike(OPEN_SHAPE), F.lit(True))
+    shape = F.regexp_replace(F.regexp_replace("shape", r"DECIMAL\(\d+,0\)", "BIGINT"), r"DECIMAL\(\d+,\d+\)", "DOUBLE")
+    alike = rows.where(~is_open).select("doc", shape.alias("shape")).dropDuplicates(["shape"])
+    return alike.select("doc").unionByName(rows.where(is_open).select("doc"))
+
+
 # The field type given to an undeclared field of each JSON kind when no template matches.
 DEFAULT_DYNAMIC_TYPES = {"long": "long", "double": "float", "boolean": "boolean", "date": "date"}
 

@@ -241,7 +241,7 @@ class DocStore:
         """``coll`` with the undeclared fields of ``docs`` where the declaration lets them become fields."""
         if asked.dynamic is not True and not any(f.dynamic is True for _, f in flatten_paths(coll.fields)):
             return coll
-        seen = C.observed_paths(docs, doc, elements=True).select("path", "kind").limit(FIELD_LIMIT + 1).collect()
+        seen = C.observed_paths(C.representatives(docs, doc), F.col("doc"), elements=True).select("path", "kind").limit(FIELD_LIMIT + 1).collect()
         if len(seen) > FIELD_LIMIT:
             raise FieldLimitError(f"the documents have more than {FIELD_LIMIT} different paths; keys that are data belong "
                                   "under an object whose dynamic is false or runtime")

@@ -144,3 +144,15 @@ def test_rows_with_and_without_errors(spark, docs):
     coll = Collection("mixed", {"n": Field("integer"), "s": Field("keyword")}, dynamic="strict")
     rows = C.conform_json(docs([{"n": 1, "s": "a"}, {"n": "x", "s": ["b"], "z": 0}, {"n": None}]), coll, "doc").collect()
     assert [[e["field"] for e in r["_errors"]] for r in rows] == [[], ["n", "s", "_root"], []]
+
+
+def test_one_document_a_shape_shows_all_paths(spark, docs):
+    texts = [{"a b": 1}, {"a": []}, {"a": [1, None]}, {"a": [1, 2.5]}, {"a": [1, "x"]}, {"a": [{"k": 1}, {"z": [1]}]},
+             {"a": None, "b": 1.5, "d": 10 ** 25}, {"a": {"x": {"y": True}}}, {"a": [[1], [2]]}, {"a": {}}, {"": 1}, "[1]",
+             "null", "no json"]
+    rows = docs(texts * 3).select(F.try_parse_json("doc").alias("v"))
+    paths = lambda df, c: {(r["path"], r["kind"]) for r in C.observed_paths(df, F.col(c), elements=True).collect()}
+    assert paths(C.representatives(rows, F.col("v")), "doc") == paths(rows, "v")
+    plain = docs([{"id": i, "x": i / 4, "s": str(i), "o": {"k": i}, "m": [i]} for i in range(500)])
+    kept = C.representatives(plain, F.try_parse_json("doc"))
+    assert kept.count() <= 2 and paths(kept, "doc") == paths(plain.select(F.try_parse_json("doc").alias("v")), "v")
