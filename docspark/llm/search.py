@@ -4,15 +4,19 @@ Rows are dealt to shards by the hash of their id. A shard's index holds its post
 with frequencies and lengths. Global statistics (rows, mean length, document frequencies of the query terms) come from
 all shards, so every shard scores like one index and the merge of the shards' best rows is exact.
 
-In a shard the documents stand in blocks of ``BLOCK``. Rare query terms are added up first, posting list by posting
-list. For frequent terms a task takes the largest impact in every block, which bounds what a block can still gain.
-The best rows so far, scored exactly, give a threshold; a block whose best partial score plus bound stays below it is
-skipped, then single rows are pruned by the same bound, and only the survivors' frequent terms are looked up.
-Bounds are compared with a slack far above rounding, and the scores returned are correctly rounded sums, so equal texts have equal
-scores in any shard; ties go to the smaller id.
+In a shard the documents stand in blocks of ``BLOCK``. Queries are taken ``TOGETHER``. Rare query terms are added up
+first, over their whole posting lists. For frequent terms a task takes the largest impact in every block, which bounds
+what a block can still gain. The rows of the block with the best bound are scored, and the k-th of them is a threshold; a
+block whose best partial score plus bound stays below it is skipped. A query that few blocks are left of looks its frequent
+terms up there; the others multiply theirs with the shard's dense impacts in one product.
+Bounds are compared with a slack far above rounding, and the scores returned are correctly rounded sums, taken from the
+few rows that are left by their own terms, so equal texts have equal scores in any shard; ties go to the smaller id.
 
 Queries are broadcast in blocks of at most ``QUERY_BLOCK`` rows against the stored index: the index is built once and
-read once per block.
+read once per block. A shard looks the distinct terms of a block up once. The shards are asked in rounds, each of as many
+as all before (the first: a few for every core). The k-th best score of the rounds before is a query's floor in the next:
+no row below it can be among the k best, so blocks are skipped by it and, with rows dealt by hash, a round after the first
+returns about k rows a query however many shards it has.
 
 Defined results: null and empty texts are indexed with no terms and never found; a query without a known term returns
 nothing; rows with a null id can be found, after others of the same score; repeated rows are found each; words are
@@ -22,9 +26,11 @@ compared with A-Z lower-cased; a repeated query word counts each time.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from . import kernel as K
@@ -35,6 +41,9 @@ BLOCK = 64
 SHARD_MB = 4
 QUERY_BLOCK = 4096
 FREQUENT = 16                # a term in more than 1/16 of a shard's rows is frequent
+TOGETHER = 64                # queries scored at a time, or fewer,
+HELD = 1 << 20               # so that they hold at most this many sums
+FIRST = 2                    # shards a core in the first round
 LAST = np.iinfo(np.int64).max
 _ARRAYS = {"ids": np.int64, "lengths": np.int64, "terms": np.uint64, "starts": np.int64, "docs": np.int32,
            "tf": np.int32}
@@ -56,8 +65,8 @@ def _counted(column: pa.Array):
     return cat(rows, np.int64), cat(terms, np.uint64), cat(tfs, np.int32), lengths
 
 
-def build_index(rows: DataFrame, shards: int) -> DataFrame:
-    """``rows``: (id, text). One row per shard with the index as packed arrays."""
+def build_index(rows: DataFrame, shards: int, first: int = 0, end: int | None = None) -> DataFrame:
+    """``rows``: (id, text). One row per shard (of those from ``first`` to before ``end``) with the index as packed arrays."""
     def shard(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         ids = t.column("id").combine_chunks().fill_null(LAST).to_numpy(zero_copy_only=False)
@@ -72,6 +81,8 @@ def build_index(rows: DataFrame, shards: int) -> DataFrame:
                          **{k: pa.array([data[k].astype(d).tobytes()], pa.binary()) for k, d in _ARRAYS.items()}})
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
+    if first or end is not None:
+        dealt = dealt.where(F.col("shard").between(first, (shards if end is None else end) - 1))
     kinds = ", ".join(f"{k} binary" for k in _ARRAYS)
     return cut(dealt.groupBy("shard").applyInArrow(shard, f"shard long, n long, words long, {kinds}"))
 
@@ -102,6 +113,18 @@ def query_vectors(queries: DataFrame, index: DataFrame, n_rows: int) -> DataFram
             .select("id", F.col("v.term").alias("terms"), F.col("v.w").alias("weights")))
 
 
+class Queries:
+    """A block of query vectors: ids, the distinct terms of all, and each query's places among them with its weights."""
+
+    def __init__(self, rows: pa.Table):
+        t = rows.combine_chunks()
+        terms, weights = (t.column(c).combine_chunks() for c in ("terms", "weights"))
+        self.ids = t.column("id").to_pylist()
+        self.starts = np.concatenate(([0], np.cumsum(terms.value_lengths().to_numpy(zero_copy_only=False)))).tolist()
+        self.terms, self.places = np.unique(terms.flatten().to_numpy().view(np.uint64), return_inverse=True)
+        self.weights = weights.flatten().to_numpy()
+
+
 class Shard:
     def __init__(self, row: dict, mean: float):
         for k, kind in _ARRAYS.items():
@@ -109,8 +132,8 @@ class Shard:
         self.n = len(self.ids)
         norm = K1 * (1 - B + B * self.lengths / mean)
         self.impact = self.tf * (K1 + 1) / (self.tf + norm[self.docs])
-        df = np.diff(self.starts)
-        frequent = np.flatnonzero(df > max(self.n / FREQUENT, 8))
+        self.df = np.diff(self.starts)
+        frequent = np.flatnonzero(self.df > max(self.n / FREQUENT, 8))
         self.slot = np.full(len(self.terms), -1)
         self.slot[frequent] = np.arange(len(frequent))
         self.edges = np.arange(0, self.n, BLOCK)
@@ -120,65 +143,106 @@ class Shard:
             self.dense[s, self.docs[at]] = self.impact[at]
         self.block_max = (np.maximum.reduceat(self.dense, self.edges, axis=1) if self.n and len(frequent)
                           else np.zeros((len(frequent), len(self.edges))))
-        self.scores = np.zeros(self.n)
+        order = np.argsort(self.docs, kind="stable")                          # the postings by row
+        self.row_terms = np.repeat(np.arange(len(self.terms), dtype=np.int32), self.df)[order]
+        self.row_impact = self.impact[order]
+        self.row_starts = np.concatenate(([0], np.cumsum(np.bincount(self.docs, minlength=self.n)))).tolist()
+        self.asked = np.zeros(len(self.terms))                                # weights of one query
 
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The k best (score, id), best first."""
-        if not len(self.terms) or not len(terms):
-            return []
-        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        known = self.terms[at] == terms
-        at, weights = at[known], weights[known]
-        if not len(at):
-            return []
-        slot = self.slot[at]
-        partial = self.scores
-        partial[:] = 0
-        for t, w in zip(at[slot < 0].tolist(), weights[slot < 0].tolist(), strict=True):
-            where = slice(self.starts[t], self.starts[t + 1])
-            partial[self.docs[where]] += w * self.impact[where]
-        often, w = slot[slot >= 0], weights[slot >= 0]
-        if len(often):
-            gain = w @ self.block_max[often]                                  # the most a block's rows can gain
-            bound = np.repeat(gain, BLOCK)[:self.n] + partial
-            tried = np.argpartition(bound, -k)[-k:] if self.n > k else np.arange(self.n)
-            exact = partial[tried] + w @ self.dense[np.ix_(often, tried)]
-            limit = (exact.min() if len(exact) >= k else 0.0) * (1 - 1e-9)
-            best = np.maximum.reduceat(partial, self.edges) + gain
-            blocks = np.flatnonzero(best >= limit)                            # the others are skipped whole
-            rows = (self.edges[blocks][:, None] + np.arange(BLOCK)).ravel()
-            rows = rows[rows < self.n]
-            rows = rows[bound[rows] >= limit]
-            score = partial[rows] + w @ self.dense[np.ix_(often, rows)]
-        else:
-            rows = np.flatnonzero(partial > 0)
-            score = partial[rows]
-        if len(rows) > k:
-            keep = score >= np.partition(score, -k)[-k] * (1 - 1e-9)
-            rows, score = rows[keep], score[keep]
-        rows = rows[score > 0]
+    def _rare(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Sums of whole posting lists for every row."""
+        df = self.df[at]
+        where = np.repeat(self.starts[at] - np.cumsum(df) + df, df) + np.arange(df.sum())
+        return np.bincount(self.docs[where], np.repeat(weights, df) * self.impact[where], self.n)
+
+    def _left(self, partial: np.ndarray, w: np.ndarray, k: int, floors: np.ndarray) -> list[np.ndarray]:
+        """For each query the rows that may be among its k best, from the sums of its rare terms, the weights of the
+        frequent ones and a score that the k best have at least."""
+        best = np.maximum.reduceat(partial, self.edges, axis=1) + w @ self.block_max   # the most a row of a block can have
+        limits = floors * (1 - 1e-9)
+        top = best.argmax(axis=1)
+        for i in np.flatnonzero(best.max(axis=1) >= limits).tolist():
+            rows = slice(self.edges[top[i]], self.edges[top[i]] + BLOCK)
+            tried = partial[i, rows] + w[i] @ self.dense[:, rows]
+            if len(tried) >= k:
+                limits[i] = max(limits[i], np.partition(tried, -k)[-k] * (1 - 1e-9))
+        alive = best >= limits[:, None]                                       # the other blocks are skipped whole
+        few = alive.sum(axis=1) <= len(self.edges) / 16
+        partial[~few] += w[~few] @ self.dense
         out = []
-        for d in rows.tolist():                          # correctly rounded sums of the few that are left
-            parts = []
-            for t, x in zip(at.tolist(), weights.tolist(), strict=True):
-                lo, hi = self.starts[t], self.starts[t + 1]
-                i = lo + np.searchsorted(self.docs[lo:hi], d)
-                if i < hi and self.docs[i] == d:
-                    parts.append(x * float(self.impact[i]))
-            out.append((math.fsum(parts), int(self.ids[d])))
-        out.sort(key=lambda x: (-x[0], x[1]))
-        return out[:k]
+        for i, limit in enumerate(limits.tolist()):
+            if not alive[i].any():
+                out.append(np.zeros(0, np.int64))
+                continue
+            if few[i]:
+                rows = (self.edges[alive[i]][:, None] + np.arange(BLOCK)).ravel()
+                rows = rows[rows < self.n]
+                often = np.flatnonzero(w[i])
+                score = partial[i, rows] + w[i, often] @ self.dense[np.ix_(often, rows)]
+                keep = (score >= limit) & (score > 0)
+                rows, score = rows[keep], score[keep]
+            else:
+                rows = np.flatnonzero(partial[i] >= limit) if limit > 0 else np.flatnonzero(partial[i] > 0)
+                score = partial[i, rows]
+            if len(rows) > k:
+                keep = score >= np.partition(score, -k)[-k] * (1 - 1e-9)
+                rows = rows[keep]
+            out.append(rows)
+        return out
+
+    def _exact(self, rows: list[int], at: np.ndarray, weights: np.ndarray) -> list[tuple[float, int]]:
+        """(score, id) of some rows: correctly rounded sums."""
+        self.asked[at] = weights
+        out = []
+        for d in rows:
+            own = slice(self.row_starts[d], self.row_starts[d + 1])
+            parts = self.asked[self.row_terms[own]] * self.row_impact[own]
+            out.append((math.fsum(parts[parts > 0].tolist()), int(self.ids[d])))
+        self.asked[at] = 0
+        return out
+
+    def search(self, queries: Queries, k: int, floors: np.ndarray | None = None) -> list[tuple[int, float, int]]:
+        """(query id, score, id) of the k best rows for each query, best first; none below the query's floor."""
+        if not len(self.terms):
+            return []
+        if floors is None:
+            floors = np.zeros(len(queries.ids))
+        found = np.minimum(np.searchsorted(self.terms, queries.terms), len(self.terms) - 1)
+        found[self.terms[found] != queries.terms] = -1
+        step = max(1, min(TOGETHER, HELD // self.n))
+        hits = []
+        for lo in range(0, len(queries.ids), step):
+            ids = queries.ids[lo:lo + step]
+            partial, often, known = np.zeros((len(ids), self.n)), np.zeros((len(ids), len(self.dense))), []
+            for i in range(len(ids)):
+                own = slice(queries.starts[lo + i], queries.starts[lo + i + 1])
+                at, weights = found[queries.places[own]], queries.weights[own]
+                at, weights = at[at >= 0], weights[at >= 0]
+                slot = self.slot[at]
+                rare = slot < 0
+                partial[i] = self._rare(at[rare], weights[rare])
+                often[i, slot[~rare]] = weights[~rare]
+                known.append((at, weights))
+            least = floors[lo:lo + step]
+            for q, rows, own, floor in zip(ids, self._left(partial, often, k, least), known, least.tolist(), strict=True):
+                if len(rows):
+                    best = sorted((x for x in self._exact(rows.tolist(), *own) if x[0] >= floor), key=lambda x: (-x[0], x[1]))
+                    hits.extend((q, s, d) for s, d in best[:k])
+        return hits
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """(query_id, rank, id, score): the k best of all ``rows`` for every row that ``is_query`` marks."""
     marked = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
                          F.coalesce(is_query, F.lit(False)).alias("asks"))
-    # shards follow the bytes of the table, not the number of shuffle partitions: each returns k rows a query
-    shards = parts_for(rows, SHARD_MB, rows.sparkSession.sparkContext.defaultParallelism)
-    index = build_index(marked.select("id", "text"), shards)
-    total = index.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    # shards follow the bytes of the table, not the number of shuffle partitions
     spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    shards = parts_for(rows, SHARD_MB, cores)
+    ends = _round_ends(shards, FIRST * cores)
+    rounds = [build_index(marked.select("id", "text"), shards, a, z) for a, z in zip([0, *ends], ends, strict=False)]
+    index = reduce(DataFrame.union, rounds)
+    total = index.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
     empty = spark.createDataFrame([], "query_id long, rank int, id long, score double")
     if not total["words"]:
         return empty
@@ -186,30 +250,51 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "id", te
     vectors = cut(query_vectors(marked.where("asks AND id IS NOT NULL").select("id", "text").dropDuplicates(["id"]),
                                 index, total["n"]))
     blocks = -(-vectors.count() // QUERY_BLOCK)
-    found = []
-    for block in range(blocks):
-        part = vectors.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).collect()   # one block of queries
-        asked = spark.sparkContext.broadcast([(r["id"], np.array(r["terms"], np.int64).view(np.uint64),
-                                               np.array(r["weights"])) for r in part])
-
-        def run(batches, asked=asked):
-            for b in batches:
-                for row in b.to_pylist():
-                    shard = Shard(row, mean)
-                    hits = [(q, s, d) for q, t, w in asked.value for s, d in shard.search(t, w, k)]
-                    q, s, d = (list(c) for c in zip(*hits, strict=True)) if hits else ([], [], [])
-                    yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(d, pa.int64()),
-                                                      pa.array(s, pa.float64())], ["query_id", "id", "score"])
-
-        found.append(index.mapInArrow(run, "query_id long, id long, score double"))
-    if not found:
-        return empty
-    hits = found[0]
-    for f in found[1:]:
-        hits = hits.unionByName(f)
+    asked = [spark.sparkContext.broadcast(Queries(
+        vectors.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).toArrow())) for block in range(blocks)]
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return (hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", F.when(F.col("id") != LAST, F.col("id")).alias("id"), "score"))
+    best = None
+    for i, part in enumerate(rounds if asked else []):
+        # the ids of the queries that have k rows by now, and the scores of their last
+        last = best.where(F.col("rank") == k).select("query_id", "score").orderBy("query_id").toArrow() if i else None
+        known = spark.sparkContext.broadcast(tuple(last.column(c).to_numpy() for c in last.column_names) if i else None)
+        hits = [part.mapInArrow(_asking(q, known, mean, k), "query_id long, id long, score double") for q in asked]
+        if i:
+            hits.append(best.drop("rank"))
+        best = (reduce(DataFrame.unionByName, hits).withColumn("rank", F.row_number().over(order))
+                .where(F.col("rank") <= k))
+        if i < len(rounds) - 1:
+            best = cut(best)
+    if best is None:
+        return empty
+    return best.select("query_id", "rank", F.when(F.col("id") != LAST, F.col("id")).alias("id"), "score")
+
+
+def _round_ends(shards: int, first: int) -> list[int]:
+    """Each round asks as many shards as all before it."""
+    ends = [min(first, shards)]
+    while ends[-1] < shards:
+        ends.append(min(2 * ends[-1], shards))
+    return ends
+
+
+def _asking(asked: Broadcast, known: Broadcast, mean: float, k: int):
+    """The hits of a block of queries in shards, given the scores that some queries' hits have at least."""
+    def run(batches):
+        queries = asked.value
+        floors = np.zeros(len(queries.ids))
+        if known.value is not None and len(known.value[0]):
+            ids, scores = known.value
+            at = np.minimum(np.searchsorted(ids, queries.ids), len(ids) - 1)
+            floors = np.where(ids[at] == queries.ids, scores[at], 0.0)
+        for b in batches:
+            for row in b.to_pylist():
+                hits = Shard(row, mean).search(queries, k, floors)
+                q, s, d = (list(c) for c in zip(*hits, strict=True)) if hits else ([], [], [])
+                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(d, pa.int64()),
+                                                  pa.array(s, pa.float64())], ["query_id", "id", "score"])
+
+    return run
 
 
 def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:

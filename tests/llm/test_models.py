@@ -103,6 +103,62 @@ def test_search_matches_brute_force(spark, corpus):
     assert search.top_k(df.limit(0), F.col("id") % 10 == 0).count() == 0
 
 
+@pytest.mark.parametrize("frequent, together", [(16, 64), (2, 3), (10**6, 1)])
+def test_search_looks_terms_up_once(spark, corpus, monkeypatch, frequent, together):
+    """A shard looks up the distinct terms of a block of queries at once, not those of each query for each hit; sums
+    over posting lists, block bounds and products give the same hits."""
+    monkeypatch.setattr(search, "FREQUENT", frequent)
+    monkeypatch.setattr(search, "TOGETHER", together)
+    rows = [(i, t) for i, t, *_ in corpus if i is not None] + [(500 + i, "w1 w2 only here") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(1)
+    index = search.build_index(df, 1)
+    row = index.collect()[0].asDict()
+    mean = row["words"] / row["n"]
+    vectors = search.query_vectors(df.where("id % 3 = 0").dropDuplicates(["id"]), index, row["n"])
+    queries = search.Queries(vectors.toArrow())
+    shard = search.Shard(row, mean)
+    calls, look = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **k: (calls.append(1), look(*a, **k))[1])
+    got = shard.search(queries, 5)
+    assert len(queries.ids) > 80 and len(calls) == 1
+    # the list of ids holds a repeated row twice, as the shard does
+    place = {t: k for k, t in enumerate(shard.terms.tolist())}
+    impact = [{} for _ in range(shard.n)]
+    for k in range(len(shard.terms)):
+        for j in range(shard.starts[k], shard.starts[k + 1]):
+            impact[shard.docs[j]][k] = float(shard.impact[j])
+    want = []
+    for i, q in enumerate(queries.ids):
+        own = slice(queries.starts[i], queries.starts[i + 1])
+        asked = {place[t]: w for t, w in zip(queries.terms[queries.places[own]].tolist(), queries.weights[own].tolist(), strict=True)}
+        scored = [(math.fsum(w * x[k] for k, w in asked.items() if k in x), int(shard.ids[d])) for d, x in enumerate(impact)]
+        want += [(q, *x) for x in sorted((x for x in scored if x[0] > 0), key=lambda x: (-x[0], x[1]))[:5]]
+    assert got == want
+
+
+def test_search_rounds_return_few_rows(spark, corpus, monkeypatch):
+    """Hits are those of one shard, however many rounds there are; a floor keeps what can't be among the k best out."""
+    rows = [(i, t) for i, t, *_ in corpus if i is not None] + [(None, "w1 w2 only here")]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    found = []
+    for shards, first in ((1, 1), (13, 0.25)):
+        monkeypatch.setattr(search, "parts_for", lambda *a, n=shards: n)
+        monkeypatch.setattr(search, "FIRST", first)
+        found.append(search.top_k(df, F.col("id") % 3 == 0, k=4).collect())
+    key = lambda r: (r["query_id"], r["rank"])                                                         # noqa: E731
+    assert sorted(found[0], key=key) == sorted(found[1], key=key) and len(found[0]) > 150
+    assert search._round_ends(13, 1) == [1, 2, 4, 8, 13] and search._round_ends(3, 12) == [3]
+    index = search.build_index(df, 1)
+    row = index.collect()[0].asDict()
+    queries = search.Queries(search.query_vectors(df.where("id % 3 = 0").dropDuplicates(["id"]), index, row["n"]).toArrow())
+    shard = search.Shard(row, row["words"] / row["n"])
+    every = shard.search(queries, 4)
+    least = {q: s for q, s, _ in every}
+    floors = np.array([least.get(q, 0.0) for q in queries.ids])
+    assert shard.search(queries, 4, floors) == every
+    assert shard.search(queries, 4, floors * 1.5) == [x for x in every if x[1] >= 1.5 * least[x[0]]]
+
+
 def test_op9_asks_whole_documents(spark):
     import collections
     small = SF.replace("0.01", "0.001")
