@@ -9,7 +9,9 @@ index file beside it gives each document's place. Documents' global starts are t
 A task writes to a name of its own attempt and moves the finished files to their final names, so a task that is run
 again replaces its files by equal ones. The folder is under spark.checkpoint.dir (any file system pyarrow knows);
 inputs are read by Spark alone. Words are encoded by the tokenizers library once per distinct word and remembered in
-a bounded memo: the tokenizer drops white space, so a text's ids are those of its words in turn.
+a bounded memo: the tokenizer drops white space, so a text's ids are those of its words in turn. Where it also lower-cases
+and splits letters from punctuation, a word of letters and trailing punctuation is the ids of its lower-cased letters and
+those of the punctuation, and the letters that a text brings for the first time go to the library in one call.
 
 Defined results: null and empty texts have only the end id; rows with a null id stand first; rows that repeat an id
 stand together and each is returned; an empty table gives files without sequences and an empty result.
@@ -19,6 +21,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import string
 import uuid
 import zlib
 
@@ -37,12 +41,35 @@ BATCH_ROWS = 256
 END_ID = 2
 WORDS_REMEMBERED = 500_000
 PART_MB = 12
+# letters that stay one piece in any case (in UTF-8: A-Z, a-z, U+00C0 to U+00FF but the two signs)
+LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+PUNCTUATION = string.punctuation.encode()
+# the normaliser and the splitting pattern under which such letters and the punctuation after them encode alone
+LOWERED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + os.path.abspath(uri))
 
 
+def _letters_of(word: bytes) -> bytes | None:
+    """The letters of a word of letters and trailing punctuation; None for other words."""
+    letters = word.rstrip(PUNCTUATION)
+    return letters if letters.isalpha() or LETTERS.fullmatch(letters) else None
+
+
+def _word_ends(spec: dict) -> list[int]:
+    """Ids of the tokens that end a piece, if a tokenizer encodes letters and the punctuation after them alone; else none."""
+    model, suffix = spec["model"], spec["model"].get("end_of_word_suffix")
+    split = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    if (not suffix or model.get("dropout") or (spec.get("normalizer") or {}).get("normalizers") != LOWERED
+            or split[0].get("pattern") != {"Regex": PIECES} or [x.get("type") for x in split[1:]] != ["ByteLevel"]
+            or any(_letters_of(t["content"].encode()) for t in spec.get("added_tokens", []))):
+        return []
+    return [i for t, i in model["vocab"].items() if t.endswith(suffix)]
+
+
 class WordEncoder:
     """Packed ids of whole texts by a tokenizer that drops white space; distinct words are encoded once."""
 
@@ -51,19 +78,54 @@ class WordEncoder:
         self.tokenizer, self.width = Tokenizer.from_str(content), width
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.memo = Memo(lambda w: self._many([w])[0], WORDS_REMEMBERED)
+        ends = _word_ends(json.loads(content))
+        self.last = np.zeros(1 << 16 if width == "<u2" else max(ends, default=0) + 1, bool)     # tokens that end a piece
+        self.last[ends] = True
+        self.split = bool(ends)
 
     def _many(self, words: list[bytes]) -> list[bytes]:
         return [np.array(e.ids, self.width).tobytes()
                 for e in self.batch([w.decode() for w in words], add_special_tokens=False)]
 
+    def _letters(self, words: list[bytes]) -> list[bytes]:
+        """Words of letters alone, in one text: each is one piece, so it ends with the first token that ends one."""
+        ids = np.array(self.batch([b" ".join(words).decode()], add_special_tokens=False)[0].ids, self.width)
+        packed = ids.tobytes()
+        ends = ((np.flatnonzero(self.last[ids]) + 1) * ids.itemsize).tolist()
+        return [packed[a:z] for a, z in zip([0, *ends], ends, strict=False)]
+
+    def _learn(self, new: list[bytes]) -> None:
+        memo, old = self.memo, self.memo.old
+        if self.split:
+            parts, others = [], []
+            for w in new:
+                c = _letters_of(w)
+                if c:
+                    parts.append((w, c.lower(), w[len(c):]))
+                else:
+                    others.append(w)
+            letters = [c for c in {c for _, c, _ in parts} if c not in memo and c not in old]
+            if letters:
+                memo.update(zip(letters, self._letters(letters), strict=True))
+            for w, c, tail in parts:
+                memo[w] = memo[c] + memo[tail] if tail else memo[c]
+            new = others
+        if new:
+            memo.update(zip(new, self._many(new), strict=True))
+
     def encode(self, text: str | None) -> bytes:
         words = (text or "").encode().split()
         memo = self.memo
         memo.trim()
-        new = [w for w in set(words) if w not in memo and w not in memo.old and len(w) <= 64]
-        if new:
-            memo.update(zip(new, self._many(new), strict=True))
-        return b"".join(map(memo.__getitem__, words))
+        distinct = list(set(words))
+        ids = dict(zip(distinct, map(memo.get, distinct), strict=True))          # small, so asked for every word
+        missing = [w for w, x in ids.items() if x is None]
+        if missing:
+            new = [w for w in missing if w not in memo.old and len(w) <= 64]
+            if new:
+                self._learn(new)
+            ids.update((w, memo[w]) for w in missing)
+        return b"".join(map(ids.__getitem__, words))
 
 
 _encoders: dict[int, WordEncoder] = {}

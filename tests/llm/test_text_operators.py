@@ -261,6 +261,38 @@ def test_sequence_files_round_trip(spark, docs, corpus, tmp_path):
         assert sum(reader.sequence(i)[1].sum() for i in range(rows)) == f["n_ids"]
 
 
+def test_words_of_known_letters_are_not_encoded_again(monkeypatch):
+    """Case and trailing punctuation make no new word; any other text has the library's ids, too."""
+    import random
+    content = bpe.read_tokenizer(bpe.public_tokenizer("word_bpe_49k.json"))
+    encoder = arrow_files.WordEncoder(content, "<u2")
+    given, batch = [], encoder.batch
+    monkeypatch.setattr(encoder, "batch", lambda texts, **k: (given.extend(texts), batch(texts, **k))[1])
+    ids = lambda text: np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+    assert encoder.encode("river grün Wald, it's") == ids("river grün Wald, it's")
+    given.clear()
+    again = "River, RIVER river; Grün, grün wald Wald"
+    assert encoder.encode(again) == ids(again)
+    assert given == [";"]
+    rng = random.Random(8)
+    letters = "aAbBsStTdDmMwWéÉÀßÿ×÷'.,!<|>/-_`~@[{\u0301\u030a\u0307 \n\u0130\u0131\u1e9e\u03a3\u03c3\ud55c0129\U0001f600"
+    for _ in range(3000):
+        text = "".join(rng.choices(letters, k=rng.randint(0, 20))) + rng.choice(["", "<|endoftext|>", "</w>", "W\u030a", "IT'S"])
+        assert encoder.encode(text) == ids(text), text
+
+
+def test_other_tokenizers_take_whole_words():
+    """Words are split for the library only where its normaliser and pattern allow it."""
+    import json
+    spec = json.loads(bpe.read_tokenizer(bpe.public_tokenizer("word_bpe_49k.json")))
+    assert arrow_files.WordEncoder(json.dumps(spec), "<u2").split
+    spec["normalizer"]["normalizers"].pop()                                            # no lower-casing
+    encoder = arrow_files.WordEncoder(json.dumps(spec), "<u2")
+    text = "River, river RIVER"
+    want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert not encoder.split and np.frombuffer(encoder.encode(text), "<u2").tolist() == want
+
+
 def test_sequence_files_empty(empty, tmp_path):
     manifest = arrow_files.write_sequences(empty, bpe.public_tokenizer("word_bpe_49k.json"), str(tmp_path / "none"))
     assert arrow_files.read_documents(manifest).count() == 0
