@@ -159,6 +159,70 @@ def test_search_rounds_return_few_rows(spark, corpus, monkeypatch):
     assert shard.search(queries, 4, floors * 1.5) == [x for x in every if x[1] >= 1.5 * least[x[0]]]
 
 
+def test_search_prepares_a_shard_once(spark, corpus, monkeypatch):
+    """A shard is prepared once for all blocks of queries, and one block at a time stays in memory."""
+    class Sent:
+        def __init__(self, value):
+            self._path = value
+
+        @property
+        def value(self):
+            return self.__dict__.setdefault("_value", self._path)
+
+    rows = [(i, t) for i, t, *_ in corpus if i is not None]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    index = search.build_index(df, 2)
+    assert index.rdd.getNumPartitions() == 2 and index.select("shard").distinct().count() == 2
+    assert index.agg(F.sum("n")).first()[0] == len(rows)
+    total = index.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    vectors = search.query_vectors(df.where("id % 3 = 0").dropDuplicates(["id"]), index, total["n"], 5).toArrow()
+    assert sorted(vectors.to_pylist(), key=str) == sorted(
+        search.query_vectors(df.where("id % 3 = 0").dropDuplicates(["id"]), index, total["n"]).toArrow().to_pylist(), key=str)
+    shard, made = search.Shard, []
+    monkeypatch.setattr(search, "Shard", lambda *a: (made.append(1), shard(*a))[1])
+    found = []
+    for size in (len(vectors), 20):
+        asked = [Sent(search.Queries(vectors.slice(lo, size))) for lo in range(0, len(vectors), size)]
+        made.clear()
+        run = search._asking(asked, Sent(None), total["words"] / total["n"], 4)
+        found.append(sorted(tuple(r.values()) for b in run(iter(index.toArrow().to_batches())) for r in b.to_pylist()))
+        assert len(made) == 2 and (len(asked) == 1 or all("_value" not in a.__dict__ for a in asked))
+    assert len(asked) >= 3 and found[0] == found[1] and len(found[0]) > 150
+
+
+def test_search_puts_like_rows_together(spark):
+    """Blocks hold rows of one vocabulary by length, so that a query skips the blocks of the others."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{min(int(rng.paretovariate(0.7)), 400)}" for _ in range(rng.randrange(10, 90)))) for i in range(5000)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    index = search.build_index(df, 1)
+    row = index.collect()[0].asDict()
+    shard = search.Shard(row, row["words"] / row["n"])
+    ends = [*shard.edges.tolist()[1:], shard.n]
+    for lo, hi in zip(shard.edges.tolist(), ends, strict=True):
+        assert 0 < hi - lo <= search.BLOCK and len(set((shard.ids[lo:hi] % 2).tolist())) == 1
+        assert (np.diff(shard.lengths[lo:hi]) >= 0).all()
+    assert sorted(shard.ids.tolist()) == list(range(5000)) and len(ends) >= 5
+    queries = search.Queries(search.query_vectors(df.where("id % 500 = 7"), index, row["n"]).toArrow())
+    products, size = [], [d.shape[1] for d in shard.dense]
+
+    class Counted(np.ndarray):
+        def __rmatmul__(self, other):
+            products.append(len(other) * self.shape[1])
+            return np.asarray(other) @ np.asarray(self)
+
+    shard.dense = [d.view(Counted) for d in shard.dense]
+    assert len(shard.search(queries, 3)) == 3 * len(queries.ids)
+    assert 0 < sum(products) <= 0.5 * sum(size) * len(queries.ids)
+
+
+def test_search_orders_hashes():
+    rng = np.random.default_rng(4)
+    for h in (rng.integers(0, 1 << 63, 999, np.uint64), rng.integers(0, 40, 999, np.uint64), np.zeros(0, np.uint64),
+              np.array([(1 << 64) - 1, 3, 2, 2, 1], np.uint64)):
+        assert search._order(h).tolist() == np.argsort(h, kind="stable").tolist()
+
+
 def test_op9_asks_whole_documents(spark):
     import collections
     small = SF.replace("0.01", "0.001")
